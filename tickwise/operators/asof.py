@@ -45,8 +45,12 @@ def _axis(df: DataFrame, on: str) -> Column:
     return tick_col(df, on)
 
 
-def _bucket(t: Column, width: float) -> Column:
-    return F.floor(t / F.lit(width)).cast("long")
+def _bucket(name: str, width: float, integral: bool) -> Column:
+    if integral and float(width).is_integer():
+        w = int(width)
+        # exact floor division for long ticks (double division loses ns digits)
+        return F.expr(f"({name} - pmod({name}, {w}L)) div {w}L")
+    return F.floor(F.col(name) / F.lit(float(width))).cast("long")
 
 
 def asof_join(
@@ -114,13 +118,14 @@ def asof_join(
     for k in keys:  # null keys never match (pandas drops them too)
         rt = rt.where(F.col(k).isNotNull())
 
-    lt = lt.withColumn(_B, _bucket(F.col(_T), width))
+    integral = lt.schema[_T].dataType.simpleString() == "bigint"
+    lt = lt.withColumn(_B, _bucket(_T, width, integral))
     if tolerance is not None:
         # each right row serves its own and both neighbouring buckets
         rt = rt.withColumn(_B, F.explode(F.array(*[
-            _bucket(F.col(_T), width) + F.lit(d) for d in (-1, 0, 1)])))
+            _bucket(_T, width, integral) + F.lit(d) for d in (-1, 0, 1)])))
     else:
-        rt = rt.withColumn(_B, _bucket(F.col(_T), width))
+        rt = rt.withColumn(_B, _bucket(_T, width, integral))
 
     u = (
         lt.select(*keys, _B, _T, F.lit(1).alias(_SIDE), F.lit(None).cast("long").alias(_TIE),
