@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import checked_broadcast, cut_lineage
 
 ROW_IDX = "row_idx"
 
@@ -35,25 +35,44 @@ def _cols(order: Sequence[str | Column]) -> list[Column]:
 
 
 def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = ROW_IDX,
-                   num_partitions: int | None = None) -> tuple[DataFrame, int]:
-    """Add a dense 0-based ``name`` column following ``order``; returns
-    ``(frame, n_rows)``. The frame is checkpointed (lineage cut)."""
+                   num_partitions: int | None = None,
+                   partition_by: Sequence[str] = ()) -> tuple[DataFrame, int]:
+    """Add a dense 0-based ``name`` column following ``order`` (restarting
+    per ``partition_by`` key when given); returns ``(frame, n_rows)``. The
+    frame is checkpointed (lineage cut).
+
+    Keyed form: the range partitioning is on (key, order), so a hot key is
+    split over several partitions; per (partition, key) first ids and running
+    offsets come from a summary with one row per (partition, key).
+    """
     spark = df.sparkSession
+    pb = list(partition_by)
     parts = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                                   df.rdd.getNumPartitions())
-    oc = _cols(order)
+    oc = [F.col(c) for c in pb] + _cols(order)
     ranged = (df.repartitionByRange(parts, *oc).sortWithinPartitions(*oc)
                 .withColumn("__pid", F.spark_partition_id())
                 .withColumn("__mid", F.monotonically_increasing_id()))
     ranged = cut_lineage(ranged)
-    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__m0"))
-    # one row per partition; a global running sum over P rows is trivial
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", "__m0", "__n",
+    counts = ranged.groupBy("__pid", *pb).agg(F.count(F.lit(1)).alias("__n"),
+                                              F.min("__mid").alias("__m0"))
+    w = Window.partitionBy(*pb).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__pid", *pb, "__m0", "__n",
                             F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    if pb:
+        offsets = cut_lineage(offsets)
     n = offsets.agg(F.sum("__n")).first()[0] or 0
-    out = (ranged.join(F.broadcast(offsets.drop("__n")), "__pid")
-                 .withColumn(name, F.col("__mid") - F.col("__m0") + F.col("__off"))
+    offsets = offsets.drop("__n")
+    if pb:
+        # one row per (partition, key): broadcast only under the row bound
+        o = checked_broadcast(offsets.withColumnsRenamed({c: f"__o_{c}" for c in ["__pid", *pb]}))
+        cond = F.col("__pid") == F.col("__o___pid")
+        for c in pb:
+            cond = cond & F.col(c).eqNullSafe(F.col(f"__o_{c}"))
+        joined = ranged.join(o, cond).drop(*[f"__o_{c}" for c in ["__pid", *pb]])
+    else:
+        joined = ranged.join(F.broadcast(offsets), "__pid")  # P rows
+    out = (joined.withColumn(name, F.col("__mid") - F.col("__m0") + F.col("__off"))
                  .drop("__pid", "__mid", "__m0", "__off"))
     return out, int(n)
 

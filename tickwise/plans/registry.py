@@ -11,6 +11,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROUND = 8
+
+
+def r8(col):
+    """Round a computed double to 8 dp (the oracle SQL rounds the same)."""
+    from pyspark.sql import functions as F
+    return F.round(col if not isinstance(col, str) else F.col(col), ROUND)
+
+
+def round_doubles(df, nd: int = ROUND):
+    """Round every double column of a result to ``nd`` dp."""
+    from pyspark.sql import functions as F
+    return df.select(*[F.round(f.name, nd).alias(f.name) if f.dataType.simpleString() == "double"
+                       else F.col(f.name) for f in df.schema.fields])
+
+
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 
