@@ -163,3 +163,34 @@ def systematic_sample(df: DataFrame, order: Sequence[str | Column], k: int = 500
 def linspace_np(n: int, k: int) -> np.ndarray:
     """Reference form (float linspace, truncated) for comparison in tests."""
     return np.linspace(0, n - 1, k, dtype=int)
+
+
+def cumulative_sums(df: DataFrame, order: Sequence[str | Column], cols: Sequence[str],
+                    partition_by: Sequence[str] = (), suffix: str = "_cum",
+                    num_partitions: int | None = None) -> DataFrame:
+    """Running totals of ``cols`` in ``order`` (inclusive), per ``partition_by``
+    key when given, without a single-partition window: range partitioning,
+    per-partition running sums, and offsets from a (partition, key) summary."""
+    spark = df.sparkSession
+    pb = list(partition_by)
+    parts = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                  df.rdd.getNumPartitions())
+    oc = [F.col(c) for c in pb] + _cols(order)
+    ranged = (df.repartitionByRange(parts, *oc).sortWithinPartitions(*oc)
+                .withColumn("__pid", F.spark_partition_id())
+                .withColumn("__mid", F.monotonically_increasing_id()))
+    ranged = cut_lineage(ranged)
+    w_in = (Window.partitionBy("__pid", *pb).orderBy("__mid")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = ranged.withColumns({f"__loc_{c}": F.sum(c).over(w_in) for c in cols})
+    tot = ranged.groupBy("__pid", *pb).agg(*[F.sum(c).alias(f"__tot_{c}") for c in cols])
+    w_off = Window.partitionBy(*pb).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select("__pid", *pb, *[F.coalesce(F.sum(f"__tot_{c}").over(w_off), F.lit(0)).alias(f"__off_{c}")
+                                      for c in cols])
+    offs = checked_broadcast(offs.withColumnsRenamed({c: f"__o_{c}" for c in ["__pid", *pb]}))
+    cond = F.col("__pid") == F.col("__o___pid")
+    for c in pb:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__o_{c}"))
+    out = local.join(offs, cond).drop(*[f"__o_{c}" for c in ["__pid", *pb]])
+    out = out.withColumns({f"{c}{suffix}": F.col(f"__loc_{c}") + F.col(f"__off_{c}") for c in cols})
+    return out.drop("__pid", "__mid", *[f"__loc_{c}" for c in cols], *[f"__off_{c}" for c in cols])
