@@ -151,6 +151,7 @@ def sliding_sequences(
     partition_by: Sequence[str] = (),
     seq_name: str = "seq",
     bucket_rows: int = DEFAULT_INDEX_BUCKET,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Stride-1 windows of ``seq_len`` rows ending at each row whose
     (per-key) position is >= seq_len - 1; keys with fewer rows yield nothing.
@@ -166,10 +167,10 @@ def sliding_sequences(
          .rowsBetween(-(seq_len - 1), Window.currentRow))
     x = x.withColumn(seq_name, F.collect_list(step).over(w))
     x = x.where((F.col(_B) == F.col(_OWN)) & (F.col(ROW_IDX) >= seq_len - 1))
-    keep = [*partition_by, ROW_IDX, seq_name]
+    cols = [*partition_by, ROW_IDX, *keep, seq_name]
     if target_col:
-        keep.append(F.col(target_col).alias("target"))
-    return x.select(*keep)
+        cols.append(F.col(target_col).alias("target"))
+    return x.select(*cols)
 
 
 def context_rows(indexed: DataFrame, centres: DataFrame, n: int, before: int = 10,
