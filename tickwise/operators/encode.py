@@ -1,7 +1,8 @@
 """Fit/transform feature encoders with scikit-learn parity.
 
-* F1 median impute: exact interpolated ``percentile`` (``ml.Imputer`` is
-  approximate); columns that are all null in the fit data are dropped.
+* F1 median impute: exact interpolated median from the distributed quantile
+  operator (``ml.Imputer`` is approximate, ``percentile`` gathers a whole
+  column in one task); columns that are all null in the fit data are dropped.
 * F2 standardise with the *population* std; zero variance -> scale 1.
 * F3/F4 one-hot: nulls -> ``__MISSING__``; categories sorted; unknown -> all
   zeros; a column with exactly two categories keeps only the second.
@@ -119,9 +120,14 @@ def fit_encoder(train: DataFrame, spec: EncoderSpec) -> TabularEncoderModel:
     num = list(spec.numeric)
     medians, means, scales = {}, {}, {}
     if num:
-        row = train.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(f"m{i}")
-                          for i, c in enumerate(num)]).first()
-        medians = {c: float(row[f"m{i}"]) for i, c in enumerate(num) if row[f"m{i}"] is not None}
+        from .stats import exact_quantiles
+        long = train.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in num])).alias("s")
+        ).select("s.*")
+        # one row per numeric column: the exact distributed median
+        rows = exact_quantiles(long, "v", [0.5], ["column"]).collect()
+        got = {r["column"]: r["q0"] for r in rows}
+        medians = {c: float(got[c]) for c in num if got.get(c) is not None}
         kept = list(medians)
         if kept:
             imp = {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in kept}

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions.dist import student_t_two_sided_p
 from ..functions.hashing import poisson1_weights
+from ..session import checked_broadcast
 
 CHUNK_ROWS = 2048
 
@@ -30,6 +31,46 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
               .join(F.broadcast(one_row.withColumn("__one", F.lit(1))), "__one").drop("__one"))
 
 
+# ---------------------------------------------------------------- quantiles
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
+                    prefix: str = "q") -> DataFrame:
+    """Exact linearly interpolated quantiles (NumPy default / ``quantile_cont``)
+    of non-null ``value`` per group, one row per group with columns
+    ``{prefix}0, {prefix}1, ...`` in ``probs`` order.
+
+    Distributed: a per-group dense rank from ``order.with_row_index`` (range
+    partitioned on (group, value), so a hot group is split over many tasks),
+    group sizes, then a semi-join on the <= 2 * len(probs) positions needed
+    per group. No task ever holds a whole group (``percentile`` would).
+    """
+    from .order import ROW_IDX, with_row_index
+    by = list(by)
+    x = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(
+        *by, F.col(value).cast("double").alias("__v"))
+    idx, _ = with_row_index(x, ["__v"], partition_by=by)
+    n = idx.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    pos_rows = []
+    for i, q in enumerate(probs):
+        h = (F.col("__n") - 1) * F.lit(float(q))
+        pos_rows.append(F.struct(F.lit(i).alias("qi"), F.floor(h).cast("long").alias("lo"),
+                                 F.ceil(h).cast("long").alias("hi"), (h - F.floor(h)).alias("frac")))
+    pos = n.select(*by, F.explode(F.array(*pos_rows)).alias("p")).select(*by, "p.*")
+    need = pos.select(*by, F.explode(F.array_distinct(F.array("lo", "hi"))).alias(ROW_IDX)).distinct()
+    picked = idx.join(checked_broadcast(need), [*by, ROW_IDX], "left_semi")
+    lo = picked.select(*by, F.col(ROW_IDX).alias("lo"), F.col("__v").alias("v_lo"))
+    hi = picked.select(*by, F.col(ROW_IDX).alias("hi"), F.col("__v").alias("v_hi"))
+    j = pos.join(lo, [*by, "lo"]).join(hi, [*by, "hi"])
+    val = F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))
+    wide = j.groupBy(*by).agg(*[F.max(F.when(F.col("qi") == i, val)).alias(f"{prefix}{i}")
+                                for i in range(len(probs))])
+    return wide
+
+
+def _quantile_cols(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str], names: Sequence[str]):
+    q = exact_quantiles(df, value, probs, by)
+    return q.select(*by, *[F.col(f"q{i}").alias(n) for i, n in enumerate(names)])
+
+
 # ---------------------------------------------------------------- profiling
 def missing_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """A1: per column missing count and percent (2 dp), sorted desc.
@@ -76,32 +117,32 @@ def numeric_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A4: min / max / median / mean of non-null values per column."""
     aggs = []
     for i, c in enumerate(cols):
-        aggs += [F.min(c).alias(f"mn{i}"), F.max(c).alias(f"mx{i}"),
-                 F.percentile(c, 0.5).alias(f"md{i}"), F.avg(c).alias(f"av{i}")]
+        aggs += [F.min(c).alias(f"mn{i}"), F.max(c).alias(f"mx{i}"), F.avg(c).alias(f"av{i}")]
     row = df.agg(*aggs)
-    return row.select(F.explode(F.array(*[
+    long = row.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"mn{i}").cast("double").alias("min"),
-                 F.col(f"mx{i}").cast("double").alias("max"),
-                 F.col(f"md{i}").cast("double").alias("median"), F.col(f"av{i}").alias("mean"))
+                 F.col(f"mx{i}").cast("double").alias("max"), F.col(f"av{i}").alias("mean"))
         for i, c in enumerate(cols)])).alias("s")).select("s.*")
+    med = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
+                                        for c in cols])).alias("s")).select("s.*")
+    med = _quantile_cols(med, "v", [0.5], ["column"], ["median"])
+    return long.join(med, "column", "left").select("column", "min", "max", "median", "mean")
 
 
 def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """A5: count, mean, sample std, min, 25/50/75 % (interpolated), max."""
-    parts = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        g = (df.groupBy(*by) if by else df.groupBy()).agg(
-            F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"), F.percentile(x, [0.25, 0.5, 0.75]).alias("q"),
-            F.max(x).alias("max"))
-        parts.append(g.select(*by, F.lit(c).alias("column"), "count", "mean", "std", "min",
-                              F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
-                              F.col("q")[2].alias("p75"), "max"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """A5: count, mean, sample std, min, 25/50/75 % (interpolated), max.
+    All columns are stacked into (group, column, value) once, so one
+    aggregate and one quantile pass serve every column."""
+    by = list(by)
+    long = df.select(*by, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s")
+    ).select(*by, "s.column", "s.v")
+    g = long.groupBy(*by, "column").agg(
+        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+        F.min("v").alias("min"), F.max("v").alias("max"))
+    q = _quantile_cols(long, "v", [0.25, 0.5, 0.75], [*by, "column"], ["p25", "p50", "p75"])
+    return g.join(q, [*by, "column"], "left").select(*by, "column", "count", "mean", "std", "min",
+                                                     "p25", "p50", "p75", "max")
 
 
 def value_counts(df: DataFrame, col: str, normalize: bool = False) -> DataFrame:
@@ -191,13 +232,13 @@ def histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] = ()) -> Dat
 
 def box_summary(df: DataFrame, by: str, value: str) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (extreme data inside the fences) and
-    outlier count per group. Two aggregates joined on the (small) group key."""
-    q = df.where(F.col(value).isNotNull()).groupBy(by).agg(
-        F.percentile(value, [0.25, 0.5, 0.75]).alias("q"), F.count(value).alias("n"))
-    q = q.select(by, "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                 F.col("q")[2].alias("q3"))
-    q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    j = df.where(F.col(value).isNotNull()).join(q.select(by, "q1", "q3", "iqr"), by)
+    outlier count per group. Quartiles are exact distributed quantiles; the
+    per-group fences (one row per group) are joined back to the rows."""
+    x = df.where(F.col(value).isNotNull())
+    q = _quantile_cols(x, value, [0.25, 0.5, 0.75], [by], ["q1", "median", "q3"])
+    n = x.groupBy(by).agg(F.count(value).alias("n"))
+    q = n.join(q, by).withColumn("iqr", F.col("q3") - F.col("q1"))
+    j = x.join(checked_broadcast(q.select(by, "q1", "q3", "iqr")), by)
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
     inside = (F.col(value) >= lo_f) & (F.col(value) <= hi_f)
@@ -205,12 +246,12 @@ def box_summary(df: DataFrame, by: str, value: str) -> DataFrame:
         F.min(F.when(inside, F.col(value))).cast("double").alias("whisker_lo"),
         F.max(F.when(inside, F.col(value))).cast("double").alias("whisker_hi"),
         F.sum((~inside).cast("long")).alias("n_outliers"))
-    return q.join(w, by)
+    return q.join(w, by).select(by, "n", "q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi", "n_outliers")
 
 
 def percentile_by(df: DataFrame, by: Sequence[str], value: str, p: float, name: str) -> DataFrame:
-    """Exact interpolated percentile per group."""
-    return df.groupBy(*by).agg(F.percentile(value, p).alias(name))
+    """Exact interpolated percentile per group (distributed)."""
+    return _quantile_cols(df, value, [p], list(by), [name])
 
 
 def argmin_by_group(df: DataFrame, by: str | Sequence[str], label: str, score: str) -> DataFrame:
