@@ -24,6 +24,12 @@ from ..session import checked_broadcast
 CHUNK_ROWS = 2048
 
 
+def num(c: str) -> Column:
+    """Column as double with NaN read as missing (pandas semantics)."""
+    x = F.col(c).cast("double")
+    return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
+
+
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a one-row aggregate to every row (broadcast
     join on a constant key; the right side has exactly one row)."""
@@ -194,8 +200,7 @@ def corr_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     (``corr`` skips rows where either side is null). Long form (a, b, r),
     a < b in column order; one aggregate job for all pairs."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
-                   for i, (a, b) in enumerate(pairs)])
+    row = df.agg(*[F.corr(num(a), num(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     return row.select(F.explode(F.array(*[
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
         for i, (a, b) in enumerate(pairs)])).alias("s")).select("s.*")
@@ -203,8 +208,7 @@ def corr_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def top_correlated(df: DataFrame, target: str, cols: Sequence[str], k: int = 15) -> DataFrame:
     """The ``k`` features with largest |r| against ``target`` (signed r kept)."""
-    row = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"r{i}")
-                   for i, c in enumerate(cols)])
+    row = df.agg(*[F.corr(num(c), num(target)).alias(f"r{i}") for i, c in enumerate(cols)])
     long = row.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(f"r{i}").alias("r")) for i, c in enumerate(cols)]))
         .alias("s")).select("s.*")
