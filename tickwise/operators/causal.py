@@ -17,19 +17,58 @@ from .asof import asof_join
 from .rangejoin import ROW_T, ROW_TIE, control_centre, event_windows
 
 
-def _window_stats(win: DataFrame, keys: Sequence[str], value: str, min_pts: int) -> DataFrame:
+def _window_stats(win: DataFrame, key: str, value: str, min_pts: int, *, carry: Sequence[str] = (),
+                  with_p95: bool = True, smooth: int | None = None) -> DataFrame:
+    """Per event: pre/post means, counts (and p95, restoration time).
+
+    Every step is clustered on the event key (whole-partition window for the
+    pre mean, per (event, role) running window for the trailing mean, then
+    the grouped aggregate), so the joined window rows are shuffled once.
+    """
     pre = F.col("role") == "pre"
     post = F.col("role") == "post"
-    g = win.groupBy(*keys).agg(
-        F.avg(F.when(pre, F.col(value))).alias("pre_mean"),
-        F.avg(F.when(post, F.col(value))).alias("post_mean"),
-        F.percentile(F.when(pre, F.col(value)), 0.95).alias("pre_p95"),
-        F.percentile(F.when(post, F.col(value)), 0.95).alias("post_p95"),
-        F.count(F.when(pre, F.lit(1))).alias("pre_n"),
-        F.count(F.when(post, F.lit(1))).alias("post_n"))
-    g = g.where((F.col("pre_n") >= min_pts) & (F.col("post_n") >= min_pts))
-    return g.withColumn("delta_mean", F.col("post_mean") - F.col("pre_mean")).withColumn(
-        "delta_p95", F.col("post_p95") - F.col("pre_p95"))
+    x = win
+    aggs = [F.avg(F.when(pre, F.col(value))).alias("pre_mean"),
+            F.avg(F.when(post, F.col(value))).alias("post_mean"),
+            F.count(F.when(pre, F.lit(1))).alias("pre_n"),
+            F.count(F.when(post, F.lit(1))).alias("post_n"),
+            *[F.first(c).alias(c) for c in carry]]
+    ev = Window.partitionBy(key)       # every window shares one hash exchange on the event
+    if with_p95:
+        # exact interpolated p95 from the value rank inside each role; rows are
+        # ordered (role, value) per event ('post' sorts before 'pre')
+        x = (x.withColumn("__pn", F.count(F.when(post, F.lit(1))).over(ev))
+              .withColumn("__qn", F.count(F.when(pre, F.lit(1))).over(ev))
+              .withColumn("__rk", F.row_number().over(ev.orderBy("role", value)) - 1))
+        vr = F.when(post, F.col("__rk")).otherwise(F.col("__rk") - F.col("__pn"))
+        vn = F.when(post, F.col("__pn")).otherwise(F.col("__qn"))
+        h = (vn - 1) * F.lit(0.95)
+        at_lo = vr == F.floor(h)
+        at_hi = vr == F.ceil(h)
+        frac = h - F.floor(h)
+        for role, cond in (("pre", pre), ("post", post)):
+            aggs += [F.max(F.when(cond & at_lo, F.col(value))).alias(f"__{role}_lo"),
+                     F.max(F.when(cond & at_hi, F.col(value))).alias(f"__{role}_hi"),
+                     F.max(F.when(cond, frac)).alias(f"__{role}_frac")]
+    if smooth:
+        x = x.withColumn("__pre_mean", F.avg(F.when(pre, F.col(value))).over(ev))
+        # post rows first in (role, t, tie) order: their running numbers and
+        # trailing means only ever see post rows once __rn >= smooth
+        wp = ev.orderBy("role", ROW_T, ROW_TIE)
+        x = (x.withColumn("__rn", F.row_number().over(wp))
+              .withColumn("__m", F.avg(value).over(wp.rowsBetween(-(smooth - 1), 0))))
+        ok = post & (F.col("__rn") >= smooth) & (F.col("__m") <= F.col("__pre_mean"))
+        aggs += [F.min(F.when(ok, F.col(ROW_T))).alias("__first_ok"),
+                 F.max(F.when(post, F.col(ROW_T))).alias("__last")]
+    g = x.groupBy(key).agg(*aggs).where((F.col("pre_n") >= min_pts) & (F.col("post_n") >= min_pts))
+    g = g.withColumn("delta_mean", F.col("post_mean") - F.col("pre_mean"))
+    if with_p95:
+        for role in ("pre", "post"):
+            lo, hi, fr = (F.col(f"__{role}_{k}") for k in ("lo", "hi", "frac"))
+            g = g.withColumn(f"{role}_p95", lo + fr * (hi - lo))
+        g = g.withColumn("delta_p95", F.col("post_p95") - F.col("pre_p95")).drop(
+            *[f"__{r}_{k}" for r in ("pre", "post") for k in ("lo", "hi", "frac")])
+    return g
 
 
 def pre_post(series: DataFrame, events: DataFrame, *, t_col: str, tie_col: str, value_col: str,
@@ -41,22 +80,12 @@ def pre_post(series: DataFrame, events: DataFrame, *, t_col: str, tie_col: str,
     ev = events.select(event_key, F.col(event_t).alias("__centre"), *attrs)
     win = event_windows(series, ev, t_col=t_col, tie_col=tie_col, value_cols=[value_col],
                         event_keys=[event_key], centre_col="__centre", half_width=half_width)
-    stats = _window_stats(win, [event_key, "__centre", *attrs], value_col, min_pts)
-    post = win.where(F.col("role") == "post")
-    w = Window.partitionBy(event_key).orderBy(ROW_T, ROW_TIE)
-    post = (post.withColumn("__rn", F.row_number().over(w))
-                .withColumn("__m", F.avg(value_col).over(w.rowsBetween(-(smooth - 1), 0))))
-    post = post.join(stats.select(event_key, "pre_mean"), event_key)
-    rest = post.groupBy(event_key).agg(
-        F.min(F.when((F.col("__rn") >= smooth) & (F.col("__m") <= F.col("pre_mean")), F.col(ROW_T)))
-        .alias("__first_ok"),
-        F.max(ROW_T).alias("__last"), F.count(F.lit(1)).alias("__np"))
-    out = stats.join(rest, event_key, "left")
-    rt = F.when(F.col("__np") < smooth, F.lit(None)).otherwise(
+    out = _window_stats(win, event_key, value_col, min_pts, carry=["__centre", *attrs], smooth=smooth)
+    rt = F.when(F.col("post_n") < smooth, F.lit(None)).otherwise(
         F.coalesce(F.col("__first_ok"), F.col("__last")) - F.col("__centre"))
-    return (out.withColumn("restoration_time", rt.cast("double"))
-               .withColumnRenamed("__centre", event_t)
-               .drop("__first_ok", "__last", "__np"))
+    cols = [event_key, *attrs, F.col("__centre").alias(event_t), "pre_mean", "post_mean", "pre_p95", "post_p95",
+            "pre_n", "post_n", "delta_mean", "delta_p95", rt.cast("double").alias("restoration_time")]
+    return out.select(*cols)
 
 
 def did_deltas(series: DataFrame, events: DataFrame, *, t_col: str, tie_col: str, value_col: str,
@@ -68,14 +97,14 @@ def did_deltas(series: DataFrame, events: DataFrame, *, t_col: str, tie_col: str
     ev = events.select(event_key, group_col, F.col(event_t).alias("__centre"))
     tw = event_windows(series, ev, t_col=t_col, tie_col=tie_col, value_cols=[value_col],
                        event_keys=[event_key], centre_col="__centre", half_width=half_width)
-    treated = _window_stats(tw, [event_key, group_col], value_col, min_pts)
+    treated = _window_stats(tw, event_key, value_col, min_pts, carry=[group_col], with_p95=False)
     ctrl_ev = (treated.select(event_key, group_col)
                .join(ev, [event_key, group_col])
                .withColumn("__cc", control_centre(F.col("__centre"), half_width, int(t_min), int(t_max), shift))
                .where(F.col("__cc").isNotNull()).select(event_key, group_col, "__cc"))
     cw = event_windows(series, ctrl_ev, t_col=t_col, tie_col=tie_col, value_cols=[value_col],
                        event_keys=[event_key], centre_col="__cc", half_width=half_width)
-    control = _window_stats(cw, [event_key, group_col], value_col, min_pts)
+    control = _window_stats(cw, event_key, value_col, min_pts, carry=[group_col], with_p95=False)
     return (treated.select(event_key, group_col, F.lit("treated").alias("arm"), "delta_mean")
             .unionByName(control.select(event_key, group_col, F.lit("control").alias("arm"), "delta_mean")))
 

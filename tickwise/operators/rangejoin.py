@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checked_broadcast
@@ -38,22 +38,29 @@ def event_windows(series: DataFrame, events: DataFrame, *, t_col: str, tie_col:
 
     ``series`` has (t_col, tie_col, *value_cols); ``events`` has
     (*event_keys, centre_col) plus any attributes (kept). Centres and ticks are
-    integers in the same unit. The series tick / tie come out as ``row_t`` /
-    ``row_tie``.
+    integers in the same unit; ``tie_col`` is unique per series row. The series
+    tick / tie come out as ``row_t`` / ``row_tie``.
+
+    The dropped centre row (first row at/after the centre by (t, tie)) is found
+    per event by a forward as-of lookup on the series, so the joined window
+    rows need no sort or extra shuffle.
     """
+    from .asof import asof_join
     w = int(half_width)
     s = series.select(F.col(t_col).alias("__t"), F.col(tie_col).alias("__tie"), *value_cols)
-    s = s.withColumn("__b", _bucket("__t", w))
     e = events.withColumn("__c", F.col(centre_col).cast("long"))
+    centre = s.select(F.col("__t").alias("__ct"), F.col("__tie").alias("__ctie"))
+    e = asof_join(e, centre, on="__c", right_on="__ct", direction="forward", tolerance=w,
+                  right_tie="__ctie")
     e = e.withColumn("__b", F.explode(F.array(*[
         F.expr(f"((__c - pmod(__c, {w}L)) div {w}L) + {d}") for d in (-1, 0, 1)])))
+    s = s.withColumn("__b", _bucket("__t", w))
     j = s.join(checked_broadcast(e), "__b").where(
         (F.col("__t") >= F.col("__c") - w) & (F.col("__t") <= F.col("__c") + w))
     after = F.col("__t") >= F.col("__c")
-    rn = F.row_number().over(Window.partitionBy(*event_keys, after).orderBy("__t", "__tie"))
-    j = j.withColumn("__rn", rn).where(~after | (F.col("__rn") > 1))
+    j = j.where(~after | F.col("__ctie").isNull() | (F.col("__tie") != F.col("__ctie")))
     return (j.withColumn(role_col, F.when(after, F.lit("post")).otherwise(F.lit("pre")))
-             .drop("__b", "__rn", "__c")
+             .drop("__b", "__c", "__ctie")
              .withColumnsRenamed({"__t": ROW_T, "__tie": ROW_TIE}))
 
 

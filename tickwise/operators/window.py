@@ -6,7 +6,8 @@ Time-range windows (W1-W3) use *halo buckets*: ``own = t div B`` with
 the next one, windows run per bucket, and only rows in their own bucket are
 kept. Every frame ``(t-w, t]`` lies in buckets ``own-1`` and ``own``, so the
 result equals the global window. Frames are RANGE frames: rows with the same
-tick are peers and see each other (SQL semantics).
+tick are peers and see each other (SQL semantics). Window statistics are
+differences of running totals (O(rows), independent of the window width).
 
 Row-count windows (lags W4, sequences W11/W12) use *index buckets*: a dense
 row index (global or per key, ``order.with_row_index``), ``own = idx div B``,
@@ -30,6 +31,7 @@ from .order import ROW_IDX, with_row_index
 
 _T, _OWN, _B = "__w_t", "__w_own", "__w_bucket"
 DEFAULT_INDEX_BUCKET = 1 << 18
+_DEC = "decimal(38,12)"
 
 
 def _floor_div(col: str, width: int) -> Column:
@@ -55,6 +57,13 @@ def rolling_time_stats(
     ``windows`` maps a label to a width in ticks of ``t_col`` (microseconds for
     timestamps, raw values for integer ticks). Rows are ordered globally
     (``partition_by`` restricts windows to a key, as an option).
+
+    Each statistic is a difference of two running totals inside the halo
+    bucket: ``(-inf, t]`` minus ``(-inf, t - width]``. Both are growing
+    frames, so the cost is O(rows) whatever the window width (a sliding RANGE
+    frame re-aggregates the whole frame for every row). Sums and sums of
+    squares accumulate as DECIMAL(38, 12), so the differences are exact and
+    the variance has no cancellation error from long prefixes.
     """
     widths = {k: int(v) for k, v in windows.items()}
     bw = int(bucket_width or max(widths.values()))
@@ -64,16 +73,28 @@ def rolling_time_stats(
     x = df.withColumn(_T, tick_col(df, t_col))
     x = x.withColumn(_OWN, _floor_div(_T, bw))
     x = x.withColumn(_B, F.explode(F.array(F.col(_OWN), F.col(_OWN) + 1)))
+    v = F.col(value_col).cast("double")
+    x = x.withColumn("__w_x", v.cast(_DEC)).withColumn("__w_x2", (v * v).cast(_DEC))
     base = Window.partitionBy(*partition_by, _B).orderBy(_T)
+    upto = base.rangeBetween(Window.unboundedPreceding, 0)
+
+    def totals(frame):
+        return (F.count(value_col).over(frame), F.sum("__w_x").over(frame), F.sum("__w_x2").over(frame),
+                F.count(cc).over(frame))
+    c1, s1, q1, k1 = totals(upto)
     cols = {}
     for label, width in widths.items():
-        fr = base.rangeBetween(-(width - 1), 0)
-        cols[mean_name.format(v=value_col, w=label)] = F.avg(value_col).over(fr)
-        cols[std_name.format(v=value_col, w=label)] = F.coalesce(
-            F.stddev_samp(value_col).over(fr), F.lit(0.0))
-        cols[count_name.format(v=value_col, w=label)] = F.count(cc).over(fr).cast("double")
+        c0, s0, q0, k0 = totals(base.rangeBetween(Window.unboundedPreceding, -width))
+        n = c1 - F.coalesce(c0, F.lit(0))
+        sx = (s1 - F.coalesce(s0, F.lit(0))).cast("double")
+        sq = (q1 - F.coalesce(q0, F.lit(0))).cast("double")
+        mean = F.when(n > 0, sx / n)
+        var = F.when(n > 1, F.greatest((sq - sx * sx / n) / (n - 1), F.lit(0.0)))
+        cols[mean_name.format(v=value_col, w=label)] = mean
+        cols[std_name.format(v=value_col, w=label)] = F.coalesce(F.sqrt(var), F.lit(0.0))
+        cols[count_name.format(v=value_col, w=label)] = (k1 - F.coalesce(k0, F.lit(0))).cast("double")
     x = x.withColumns(cols)
-    return x.where(F.col(_B) == F.col(_OWN)).drop(_T, _OWN, _B)
+    return x.where(F.col(_B) == F.col(_OWN)).drop(_T, _OWN, _B, "__w_x", "__w_x2")
 
 
 def _index_buckets(idx: DataFrame, halo: int, bucket_rows: int, idx_col: str = ROW_IDX) -> DataFrame:
