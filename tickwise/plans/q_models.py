@@ -133,12 +133,15 @@ def m8(spark, sf_dir):
             va = folds.where((F.col("fold") == k) & (F.col("role") == "val"))
             m = M.gbt_regressor(tr, "features", "y", max_iter=cfg["max_iter"], max_depth=cfg["max_depth"],
                                 step=cfg["step"])
+            params = F.struct(*[F.lit(v).alias(p) for p, v in sorted(cfg.items())])
             rows.append(E.regression_metrics(m.transform(va), "y", "prediction").select(
-                F.lit(ci).alias("config"), F.lit(str(cfg)).alias("params"), F.lit(k).alias("fold"), "mae"))
+                F.lit(ci).alias("config"), params.alias("params"), F.lit(k).alias("fold"), "mae"))
     allr = rows[0]
     for r in rows[1:]:
         allr = allr.unionByName(r)
-    return round_doubles(S.mean_popstd(allr, ["config", "params"], "mae"))
+    res = S.mean_popstd(allr, ["config", "params"], "mae")
+    # C17: flatten the nested parameter struct into columns; T6: best first
+    return round_doubles(res.select("config", "params.*", "mean", "std").orderBy("mean", "config"))
 
 
 @register("M10_W11_sequence_model")

@@ -17,7 +17,7 @@ from ..operators import stats as S
 from ..session import ensure_checkpoint_dir
 from ..sources import io
 from ..sources.tables import Tables
-from .registry import register
+from .registry import register, round_doubles
 
 
 def _scratch(spark, label):
@@ -70,3 +70,31 @@ def s11(spark, sf_dir):
     io.write_metrics(prof, path, "json")
     back = spark.read.schema(prof.schema).json(path)
     return back.select("table", "n_rows", "n_columns", "column", "missing")
+
+
+@register("S7_F9_feature_table_sink_roundtrip", """
+WITH e AS (SELECT event_id, value, epoch_us(ts) AS t_us FROM events)
+SELECT event_id, value, t_us, round(avg(value) OVER (ORDER BY t_us RANGE BETWEEN 3599999999 PRECEDING AND CURRENT ROW), 8) AS value_roll_mean_1h, round(coalesce(stddev_samp(value) OVER (ORDER BY t_us RANGE BETWEEN 3599999999 PRECEDING AND CURRENT ROW), 0.0), 8) AS value_roll_std_1h, CAST(count(value) OVER (ORDER BY t_us RANGE BETWEEN 3599999999 PRECEDING AND CURRENT ROW) AS DOUBLE) AS rate_1h, round(avg(value) OVER (ORDER BY t_us RANGE BETWEEN 86399999999 PRECEDING AND CURRENT ROW), 8) AS value_roll_mean_24h, round(coalesce(stddev_samp(value) OVER (ORDER BY t_us RANGE BETWEEN 86399999999 PRECEDING AND CURRENT ROW), 0.0), 8) AS value_roll_std_24h, CAST(count(value) OVER (ORDER BY t_us RANGE BETWEEN 86399999999 PRECEDING AND CURRENT ROW) AS DOUBLE) AS rate_24h, coalesce(lag(value, 1) OVER w, first_value(value) OVER w, 0.0) AS value_lag_1, coalesce(lag(value, 2) OVER w, first_value(value) OVER w, 0.0) AS value_lag_2, row_number() OVER w - 1 AS row_idx
+FROM e WINDOW w AS (ORDER BY t_us, event_id)
+""")
+def s7(spark, sf_dir):
+    """Rolling + lag features written range-partitioned by time (one time slice
+    per file) and read back."""
+    from ..operators.features import RollingLagFeatures
+    from ..session import micros
+    ev = Tables(spark, sf_dir).events.select("event_id", "value", micros("ts").alias("t_us"))
+    h = 3_600_000_000
+    feats = RollingLagFeatures(t_col="t_us", value_col="value", windows={"1h": h, "24h": 24 * h},
+                               lags=(1, 2), tie_col="event_id").transform(ev)
+    path = io.save_feature_table(round_doubles(feats), _scratch(spark, "s7"), "t_us")
+    return spark.read.parquet(path)
+
+
+@register("S10_K2_effect_summary_csv_roundtrip")
+def s10(spark, sf_dir):
+    """DiD effect rows written as CSV with a header and read back with the
+    declared schema."""
+    from .q_causal import k2
+    eff = k2(spark, sf_dir)
+    path = io.write_metrics(eff, _scratch(spark, "s10"), "csv")
+    return spark.read.schema(eff.schema).option("header", True).csv(path)

@@ -257,3 +257,29 @@ def c_exprs(spark, sf_dir):
     return x.select("event_id", "k_num", "k_flag", "stratum",
                     r8(res["residual"]).alias("residual"), r8(res["abs_error"]).alias("abs_error"),
                     r8(res["ape"]).alias("ape"))
+
+
+@register("C1_C4_C6_C7_C10_C16_C19_casts_and_units", """
+SELECT event_id,
+       epoch_us(ts) * 1000 AS t_ns,
+       epoch_us(make_timestamp(CAST(floor(epoch_us(ts) * 1000 / 1000) AS BIGINT))) AS t_us_back,
+       CAST(CAST(event_type = 'purchase' AS INTEGER) AS DOUBLE) AS is_purchase,
+       round(value / 1000, 8) AS value_k,
+       round_even(value / 3, 2) AS third_half_even,
+       CAST(user_id AS BIGINT) AS user_key,
+       CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS treated
+FROM events
+""")
+def c_casts(spark, sf_dir):
+    from ..functions.expr import (bool_to_double, ns_to_timestamp, round_half_even, to_ns_ticks,
+                                  treatment_indicator, unit_scale)
+    ev = Tables(spark, sf_dir).events
+    x = to_ns_ticks(ev.select("event_id", "ts", "user_id", "event_type", "value"), "ts")
+    x = x.withColumn("is_purchase", F.col("event_type") == "purchase")
+    x = bool_to_double(x)
+    return x.select("event_id", F.col("ts").alias("t_ns"),
+                    F.unix_micros(ns_to_timestamp("ts")).alias("t_us_back"), "is_purchase",
+                    r8(unit_scale("value", 1000)).alias("value_k"),
+                    round_half_even(F.col("value") / 3, 2).alias("third_half_even"),
+                    F.col("user_id").cast("bigint").alias("user_key"),
+                    treatment_indicator(F.when(F.col("event_type") == "purchase", F.lit(1))).alias("treated"))
