@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
 
 from tickwise.operators import models as M
 
@@ -54,3 +55,15 @@ def test_sequence_flatten(spark):
     pdf = pd.DataFrame({"seq": [[[1.0, 2.0], [3.0, 4.0]]]})
     out = M.flatten_sequences(spark.createDataFrame(pdf)).first()["features"]
     assert list(out) == [1.0, 2.0, 3.0, 4.0]
+
+
+def test_tree_contributions_identity(spark):
+    from tickwise.operators.explain import mean_abs_contribution, tree_contributions
+    df, _, _ = _data(spark, 300, 3)
+    df = df.withColumn("rid", F.monotonically_increasing_id())
+    m = M.gbt_regressor(df, "features", "y", max_iter=8, max_depth=3)
+    c = tree_contributions(df, m, "features", "rid", ["a", "b", "c"])
+    j = c.join(m.transform(df).select("rid", "prediction"), "rid").toPandas()
+    np.testing.assert_allclose(j.explained, j.prediction, atol=1e-9)
+    s = mean_abs_contribution(c, ["a", "b", "c"]).toPandas().set_index("feature")
+    assert s.loc["b", "mean_abs_contribution"] > s.loc["c", "mean_abs_contribution"]   # |coef| 2.0 vs 0.5

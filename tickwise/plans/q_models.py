@@ -232,3 +232,19 @@ def e15(spark, sf_dir):
     worst = s.where(F.col("split") == "test").orderBy(F.col("abs_error").desc(), ROW_IDX).limit(10).select(ROW_IDX)
     ctx = context_rows(s.select(ROW_IDX, "y", "prediction", "abs_error"), worst, n)
     return round_doubles(ctx)
+
+
+@register("M13_T5_tree_contributions")
+def m13(spark, sf_dir):
+    """Per-row additive contributions of the boosted-tree model for every test
+    row; mean |contribution| per feature, and the largest deviation of
+    base + sum(contributions) from the model prediction (should be ~0)."""
+    from ..operators.explain import mean_abs_contribution, tree_contributions
+    d = model_table(spark, sf_dir)
+    tr, _va, te = _parts(d)
+    m = M.gbt_regressor(tr, "features", "y", **SMALL_GBT)
+    c = tree_contributions(te, m, "features", ROW_IDX, FEATS)
+    check = c.join(m.transform(te).select(ROW_IDX, "prediction"), ROW_IDX).agg(
+        F.max(F.abs(F.col("explained") - F.col("prediction"))).alias("max_identity_error"))
+    summary = mean_abs_contribution(c, FEATS)
+    return round_doubles(S.attach_row(summary, check).orderBy(F.col("mean_abs_contribution").desc(), "feature"))
