@@ -27,7 +27,8 @@ def _frames(seed, n_l, n_r, span):
 
 @pytest.mark.parametrize("direction", ["backward", "forward", "nearest"])
 @pytest.mark.parametrize("by", [True, False])
-def test_matches_merge_asof(spark, direction, by):
+@pytest.mark.parametrize("strategy", ["fixed", "depth"])
+def test_matches_merge_asof(spark, direction, by, strategy):
     left, right = _frames(7, 300, 120, 2000)
     # pandas takes the last equal right row for backward and the first for forward; unique right
     # times make the expected value independent of pandas' internal tie handling
@@ -37,7 +38,8 @@ def test_matches_merge_asof(spark, direction, by):
     l = spark.createDataFrame(left)
     r = spark.createDataFrame(right)
     got = asof_join(l, r, on="t", right_on="rt", by="k" if by else None, right_by="rk" if by else None,
-                    tolerance=tol, direction=direction, right_tie="rid").toPandas().set_index("lid")["rid"]
+                    tolerance=tol, direction=direction, right_tie="rid", strategy=strategy,
+                    target_rows=13).toPandas().set_index("lid")["rid"]
     got = got.reindex(exp.index)
     assert ((exp.isna() & got.isna()) | (exp == got)).all()
 
@@ -89,3 +91,28 @@ def test_plan_has_no_cartesian_or_single_partition(spark):
                    right_by="rk", tolerance=5, right_tie="rid")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "SinglePartition" not in plan
+
+
+def test_auto_switches_to_depth_when_dense(spark):
+    # every row inside one tolerance: fixed buckets would put all rows in one task
+    left, right = _frames(5, 400, 200, 50)
+    right = right.drop_duplicates(["rt", "rk"])
+    exp = _pandas(left, right, "nearest", 1000, True)
+    df = asof_join(spark.createDataFrame(left), spark.createDataFrame(right), on="t", right_on="rt", by="k",
+                   right_by="rk", tolerance=1000, right_tie="rid", dense_rows=100, target_rows=40)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "__fine" in plan
+    got = df.toPandas().set_index("lid")["rid"].reindex(exp.index)
+    assert ((exp.isna() & got.isna()) | (exp == got)).all()
+
+
+def test_unbounded_depth_on_double_axis(spark):
+    rng = np.random.default_rng(9)
+    left = pd.DataFrame({"lid": np.arange(200), "t": rng.random(200)})
+    right = pd.DataFrame({"rid": np.arange(80), "rt": rng.random(80)})
+    l = left.sort_values("t")
+    r = right.sort_values("rt")
+    exp = pd.merge_asof(l, r, left_on="t", right_on="rt", direction="nearest").set_index("lid")["rid"]
+    got = asof_join(spark.createDataFrame(left), spark.createDataFrame(right), on="t", right_on="rt",
+                    right_tie="rid", target_rows=17).toPandas().set_index("lid")["rid"].reindex(exp.index)
+    assert (exp == got).all()

@@ -17,11 +17,16 @@ def _series(n=400, seed=3, null_frac=0.05):
     return pd.DataFrame({"rid": np.arange(n), "t": t, "v": v})
 
 
-def test_rolling_matches_pandas_on_unique_ticks(spark):
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("strategy", ["fixed", "depth"])
+def test_rolling_matches_pandas_on_unique_ticks(spark, strategy):
     pdf = _series()
     windows = {"a": 500, "b": 3000}
     sdf = nan_to_null(spark.createDataFrame(pdf))
-    got = rolling_time_stats(sdf, "t", "v", windows, bucket_width=3000).toPandas().sort_values("t")
+    got = rolling_time_stats(sdf, "t", "v", windows, bucket_width=3000, strategy=strategy,
+                             target_rows=37).toPandas().sort_values("t")
     s = pdf.set_index(pd.to_datetime(pdf.t, unit="ns"))["v"]
     for lab, w in windows.items():
         r = s.rolling(f"{w}ns", min_periods=1)
@@ -97,3 +102,16 @@ def test_grouped_bin_counts_pivot(spark):
     got = grouped_bin_counts(spark.createDataFrame(pdf), "g", "t", 10).toPandas().sort_values("bin_start")
     assert list(got.bin_start) == [0, 10, 20]
     assert list(got.a) == [1, 0, 1] and list(got.b) == [0, 1, 0]
+
+
+def test_rolling_depth_keyed_with_peers(spark):
+    # duplicate ticks: RANGE peers see each other in both strategies
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"k": rng.integers(0, 3, 600), "t": rng.integers(0, 300, 600), "v": rng.normal(size=600)})
+    sdf = spark.createDataFrame(pdf)
+    a = rolling_time_stats(sdf, "t", "v", {"w": 40}, partition_by=["k"], strategy="fixed").toPandas()
+    b = rolling_time_stats(sdf, "t", "v", {"w": 40}, partition_by=["k"], strategy="depth", target_rows=25).toPandas()
+    key = ["k", "t", "v"]
+    a, b = a.sort_values(key).reset_index(drop=True), b.sort_values(key).reset_index(drop=True)
+    for c in ("v_roll_mean_w", "v_roll_std_w", "rate_w"):
+        np.testing.assert_allclose(a[c].to_numpy(dtype=float), b[c].to_numpy(dtype=float), rtol=1e-9, atol=1e-12)

@@ -69,6 +69,9 @@ def asof_join(
     bucket_width: float | None = None,
     right_prefix: str = "",
     distance_col: str | None = None,
+    strategy: str = "auto",
+    target_rows: int = 1_000_000,
+    dense_rows: int = 4_000_000,
 ) -> DataFrame:
     """Left as-of join of ``left`` to ``right`` on the ordering column ``on``.
 
@@ -81,15 +84,27 @@ def asof_join(
 
     All right columns except the key/ordering columns are appended, prefixed
     with ``right_prefix``.
+
+    ``strategy``: ``fixed`` uses fixed-width buckets (width = tolerance or
+    ``bucket_width``); ``depth`` uses equi-depth buckets of about
+    ``target_rows`` rows (``buckets.py``) with the cross-bucket carry, so
+    density never concentrates rows in one task; ``auto`` measures the largest
+    fixed-width (key, bucket) group with one aggregate and switches to
+    ``depth`` above ``dense_rows`` (or when there is neither a tolerance nor
+    a bucket width).
     """
     if direction not in ("backward", "forward", "nearest"):
         raise ValueError(f"direction {direction!r}")
     by = [by] if isinstance(by, str) else list(by or [])
     right_by = [right_by] if isinstance(right_by, str) else list(right_by or by)
     right_on = right_on or on
+    if strategy not in ("auto", "fixed", "depth"):
+        raise ValueError(f"strategy {strategy!r}")
     if tolerance is None and bucket_width is None:
-        raise ValueError("an unbounded as-of join needs bucket_width (the span of one time bucket)")
-    width = float(bucket_width or tolerance)
+        if strategy == "fixed":
+            raise ValueError("a fixed-bucket unbounded as-of join needs bucket_width")
+        strategy = "depth"
+    width = float(bucket_width or tolerance or 1.0)
     if tolerance is not None and width < tolerance:
         raise ValueError("bucket_width must be >= tolerance")
 
@@ -119,13 +134,33 @@ def asof_join(
         rt = rt.where(F.col(k).isNotNull())
 
     integral = lt.schema[_T].dataType.simpleString() == "bigint"
-    lt = lt.withColumn(_B, _bucket(_T, width, integral))
-    if tolerance is not None:
-        # each right row serves its own and both neighbouring buckets
-        rt = rt.withColumn(_B, F.explode(F.array(*[
-            _bucket(_T, width, integral) + F.lit(d) for d in (-1, 0, 1)])))
+    replicate = tolerance is not None
+    if strategy == "auto":
+        strategy = "fixed"
+        lt_b = lt.withColumn(_B, _bucket(_T, width, integral))
+        rt_b = rt.withColumn(_B, F.explode(F.array(*[
+            _bucket(_T, width, integral) + F.lit(d) for d in ((-1, 0, 1) if replicate else (0,))])))
+        sizes = (lt_b.select(*keys, _B).unionByName(rt_b.select(*keys, _B))
+                 .groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("n")))
+        biggest = sizes.agg(F.max("n")).first()[0] or 0
+        if biggest > dense_rows:
+            strategy = "depth"
+    if strategy == "depth":
+        from .buckets import fit_depth_buckets
+        axis = lt.select(F.col(_T)).unionByName(rt.select(F.col(_T)))
+        db = fit_depth_buckets(axis, _T, target_rows)
+        lt = db.assign(lt, _T, _B)
+        rt = db.assign(rt, _T, _B)
+        carry = True
     else:
-        rt = rt.withColumn(_B, _bucket(_T, width, integral))
+        lt = lt.withColumn(_B, _bucket(_T, width, integral))
+        if replicate:
+            # each right row serves its own and both neighbouring buckets
+            rt = rt.withColumn(_B, F.explode(F.array(*[
+                _bucket(_T, width, integral) + F.lit(d) for d in (-1, 0, 1)])))
+        else:
+            rt = rt.withColumn(_B, _bucket(_T, width, integral))
+        carry = not replicate
 
     u = (
         lt.select(*keys, _B, _T, F.lit(1).alias(_SIDE), F.lit(None).cast("long").alias(_TIE),
@@ -152,7 +187,7 @@ def asof_join(
         u = u.withColumn("__asof_fw", F.last(right_only, ignorenulls=True).over(w_fwd))
     u = u.where(F.col(_SIDE) == 1)
 
-    if tolerance is None:
+    if carry:
         u = _fill_from_neighbour_buckets(u, rt, keys, payload, direction, backward_takes, r_struct)
 
     bw = F.col("__asof_bw") if direction != "forward" else F.lit(None)

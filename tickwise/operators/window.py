@@ -50,6 +50,9 @@ def rolling_time_stats(
     mean_name: str = "{v}_roll_mean_{w}",
     std_name: str = "{v}_roll_std_{w}",
     count_name: str = "rate_{w}",
+    strategy: str = "auto",
+    target_rows: int = 1_000_000,
+    dense_rows: int = 4_000_000,
 ) -> DataFrame:
     """Rolling mean, sample std (single row -> 0) and non-null count of
     ``count_col`` (default ``value_col``) over ``(t - width, t]`` per window.
@@ -64,6 +67,13 @@ def rolling_time_stats(
     frame re-aggregates the whole frame for every row). Sums and sums of
     squares accumulate as DECIMAL(38, 12), so the differences are exact and
     the variance has no cancellation error from long prefixes.
+
+    ``strategy="auto"`` measures the largest (key, bucket) group with one
+    aggregate; above ``dense_rows`` (time span short against the windows, so
+    halo buckets would hold most rows) it switches to ``depth``: running
+    totals over equi-depth buckets with carried offsets, and the total at
+    ``t - width`` looked up with a backward as-of join (see
+    ``_rolling_depth``).
     """
     widths = {k: int(v) for k, v in windows.items()}
     bw = int(bucket_width or max(widths.values()))
@@ -72,6 +82,13 @@ def rolling_time_stats(
     cc = count_col or value_col
     x = df.withColumn(_T, tick_col(df, t_col))
     x = x.withColumn(_OWN, _floor_div(_T, bw))
+    if strategy == "auto":
+        biggest = x.groupBy(*partition_by, _OWN).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        strategy = "depth" if 2 * (biggest or 0) > dense_rows else "fixed"
+    if strategy == "depth":
+        out = _rolling_depth(x.drop(_OWN), value_col, widths, cc, list(partition_by), target_rows,
+                             mean_name, std_name, count_name)
+        return out.drop(_T)
     x = x.withColumn(_B, F.explode(F.array(F.col(_OWN), F.col(_OWN) + 1)))
     v = F.col(value_col).cast("double")
     x = x.withColumn("__w_x", v.cast(_DEC)).withColumn("__w_x2", (v * v).cast(_DEC))
@@ -97,6 +114,53 @@ def rolling_time_stats(
     return x.where(F.col(_B) == F.col(_OWN)).drop(_T, _OWN, _B, "__w_x", "__w_x2")
 
 
+def _rolling_depth(x: DataFrame, value_col: str, widths: Mapping[str, int], cc: str, pb: list[str],
+                   target_rows: int, mean_name: str, std_name: str, count_name: str) -> DataFrame:
+    """Density-robust rolling statistics.
+
+    1. Equi-depth buckets on the tick; per (key, bucket) running totals
+       (RANGE frame, peers included) plus the carried totals of earlier
+       buckets of the key -> cumulative count / sum / sum of squares at every
+       row (exact decimals).
+    2. For each window, the cumulative totals at ``t - width`` come from a
+       backward as-of join (equi-depth strategy) of (key, t - width) against the
+       cumulative table; the window value is the difference.
+    """
+    from .asof import asof_join
+    from .buckets import fit_depth_buckets
+    v = F.col(value_col).cast("double")
+    x = x.withColumn("__w_x", v.cast(_DEC)).withColumn("__w_x2", (v * v).cast(_DEC)).withColumn(
+        "__w_c", F.col(value_col).isNotNull().cast("long")).withColumn("__w_k", F.col(cc).isNotNull().cast("long"))
+    db = fit_depth_buckets(x.select(_T), _T, target_rows)
+    x = db.assign(x, _T, _B)
+    tots = ["__w_c", "__w_x", "__w_x2", "__w_k"]
+    run = Window.partitionBy(*pb, _B).orderBy(_T).rangeBetween(Window.unboundedPreceding, 0)
+    x = x.withColumns({f"{c}_run": F.sum(c).over(run) for c in tots})
+    summ = x.groupBy(*pb, _B).agg(*[F.sum(c).alias(f"{c}_tot") for c in tots])
+    earlier = Window.partitionBy(*pb).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.select(*pb, _B, *[F.coalesce(F.sum(f"{c}_tot").over(earlier), F.lit(0)).alias(f"{c}_off")
+                                  for c in tots])
+    x = x.join(summ, [*pb, _B], "left")
+    x = x.withColumns({f"{c}_cum": F.col(f"{c}_run") + F.col(f"{c}_off") for c in tots}).drop(
+        *[f"{c}_run" for c in tots], *[f"{c}_off" for c in tots], _B)
+    cum = x.select(*pb, F.col(_T).alias("__w_tc"), *[F.col(f"{c}_cum").alias(f"{c}_at") for c in tots])
+    out = x
+    for label, width in widths.items():
+        probe = out.withColumn("__w_probe", F.col(_T) - F.lit(int(width)))
+        out = asof_join(probe, cum, on="__w_probe", right_on="__w_tc", by=pb or None, direction="backward",
+                        strategy="depth", target_rows=target_rows, right_prefix=f"__w{label}_").drop("__w_probe")
+        d = {c: F.col(f"{c}_cum") - F.coalesce(F.col(f"__w{label}_{c}_at"), F.lit(0)) for c in tots}
+        n = d["__w_c"]
+        sx, sq = d["__w_x"].cast("double"), d["__w_x2"].cast("double")
+        var = F.when(n > 1, F.greatest((sq - sx * sx / n) / (n - 1), F.lit(0.0)))
+        out = out.withColumns({
+            mean_name.format(v=value_col, w=label): F.when(n > 0, sx / n),
+            std_name.format(v=value_col, w=label): F.coalesce(F.sqrt(var), F.lit(0.0)),
+            count_name.format(v=value_col, w=label): d["__w_k"].cast("double"),
+        }).drop(*[f"__w{label}_{c}_at" for c in tots])
+    return out.drop(*tots, *[f"{c}_cum" for c in tots])
+
+
 def _index_buckets(idx: DataFrame, halo: int, bucket_rows: int, idx_col: str = ROW_IDX) -> DataFrame:
     """Own bucket plus a copy of the last ``halo`` rows into the next bucket."""
     b = int(max(bucket_rows, halo + 1))
