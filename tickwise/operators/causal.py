@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from . import stats as S
 from .asof import asof_join
+from ..session import cut_lineage
 from .rangejoin import ROW_T, ROW_TIE, control_centre, event_windows
 
 
@@ -97,7 +98,8 @@ def did_deltas(series: DataFrame, events: DataFrame, *, t_col: str, tie_col: str
     ev = events.select(event_key, group_col, F.col(event_t).alias("__centre"))
     tw = event_windows(series, ev, t_col=t_col, tie_col=tie_col, value_cols=[value_col],
                        event_keys=[event_key], centre_col="__centre", half_width=half_width)
-    treated = _window_stats(tw, event_key, value_col, min_pts, carry=[group_col], with_p95=False)
+    # per-event rows, reused to place the control windows: written once
+    treated = cut_lineage(_window_stats(tw, event_key, value_col, min_pts, carry=[group_col], with_p95=False))
     ctrl_ev = (treated.select(event_key, group_col)
                .join(ev, [event_key, group_col])
                .withColumn("__cc", control_centre(F.col("__centre"), half_width, int(t_min), int(t_max), shift))
@@ -111,7 +113,12 @@ def did_deltas(series: DataFrame, events: DataFrame, *, t_col: str, tie_col: str
 
 def did_effects(deltas: DataFrame, *, event_key: str, group_col: str, n_boot: int = 2000,
                 alpha: float = 0.05, seed: int = 42, min_n: int = 5) -> DataFrame:
-    """K2: per group ATE = mean(treated) - mean(control), bootstrap CI, Welch p."""
+    """K2: per group ATE = mean(treated) - mean(control), bootstrap CI, Welch p.
+
+    The per-event deltas (one row per event) feed three aggregates; they are
+    written once (reliable checkpoint) instead of re-running both window joins
+    for each of them."""
+    deltas = cut_lineage(deltas)
     wt = S.welch_test(deltas, [group_col], "arm", "delta_mean", "treated", "control")
     wt = wt.where((F.col("n_a") >= min_n) & (F.col("n_b") >= min_n))
     ci = S.bootstrap_mean_diff_ci(deltas, [group_col], "arm", "delta_mean", event_key, "treated", "control",
@@ -140,6 +147,7 @@ def psm_effects(matched: DataFrame, control_values: DataFrame, *, row_key: str,
     CI, Welch p (unpaired, as the reference), n treated = n control."""
     cv = control_values.select(F.col(row_key).alias("c_key"), F.col(outcome).alias("c_outcome"))
     pairs = matched.join(cv, "c_key").select(row_key, group_col, F.col(outcome).alias("t_outcome"), "c_outcome")
+    pairs = cut_lineage(pairs)   # one row per treated unit, read by two aggregates
     boot = S.bootstrap_paired(pairs, [group_col], "t_outcome", "c_outcome", row_key, n_boot, alpha, seed)
     long = (pairs.select(group_col, F.lit("t").alias("arm"), F.col("t_outcome").alias("y"))
             .unionByName(pairs.select(group_col, F.lit("c").alias("arm"), F.col("c_outcome").alias("y"))))

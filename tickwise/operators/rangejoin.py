@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checked_broadcast
+from ..session import checked_broadcast, cut_lineage
 
 
 ROW_T, ROW_TIE = "row_t", "row_tie"   # series tick / tie in the output
@@ -52,6 +52,9 @@ def event_windows(series: DataFrame, events: DataFrame, *, t_col: str, tie_col:
     centre = s.select(F.col("__t").alias("__ct"), F.col("__tie").alias("__ctie"))
     e = asof_join(e, centre, on="__c", right_on="__ct", direction="forward", tolerance=w,
                   right_tie="__ctie")
+    # one row per event: written once, so the size check and the join below
+    # do not each re-run the as-of lookup
+    e = cut_lineage(e)
     e = e.withColumn("__b", F.explode(F.array(*[
         F.expr(f"((__c - pmod(__c, {w}L)) div {w}L) + {d}") for d in (-1, 0, 1)])))
     s = s.withColumn("__b", _bucket("__t", w))
