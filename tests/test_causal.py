@@ -83,3 +83,27 @@ def test_did_and_rollups_shapes(spark):
     for _, row in best.iterrows():
         sub = ba[ba.attack == row.attack]
         assert row.recommended_action == sub.sort_values(["delta_mean", "action"]).action.iloc[0]
+
+
+def test_window_moments_equal_materialised_windows(spark):
+    from pyspark.sql import functions as F
+    from tickwise.operators.rangejoin import event_windows, window_moments
+    rng = np.random.default_rng(21)
+    n = 1200
+    ts = np.sort(rng.integers(0, 40_000, n))            # duplicate ticks
+    series = spark.createDataFrame(pd.DataFrame({"rid": np.arange(n), "t": ts, "lat": rng.normal(50, 9, n)}))
+    cen = pd.DataFrame({"eid": np.arange(80), "tc": rng.integers(-500, 40_500, 80)})   # incl. outside the data
+    ev = spark.createDataFrame(cen)
+    m = window_moments(series, ev, t_col="t", tie_col="rid", value_col="lat", centre_keys=["eid"],
+                       centre_col="tc", half_width=900).toPandas().set_index("eid")
+    w = event_windows(series, ev, t_col="t", tie_col="rid", value_cols=["lat"], event_keys=["eid"],
+                      centre_col="tc", half_width=900)
+    g = w.groupBy("eid").agg(F.sum(F.when(F.col("role") == "pre", 1).otherwise(0)).alias("pre_n"),
+                             F.sum(F.when(F.col("role") == "pre", F.col("lat"))).alias("pre_sum"),
+                             F.sum(F.when(F.col("role") == "post", 1).otherwise(0)).alias("post_n"),
+                             F.sum(F.when(F.col("role") == "post", F.col("lat"))).alias("post_sum")).toPandas()
+    g = g.set_index("eid").reindex(m.index)
+    np.testing.assert_array_equal(m.pre_n.to_numpy(), g.pre_n.fillna(0).to_numpy())
+    np.testing.assert_array_equal(m.post_n.to_numpy(), g.post_n.fillna(0).to_numpy())
+    np.testing.assert_allclose(m.pre_sum.to_numpy(), g.pre_sum.fillna(0).to_numpy(), atol=1e-9)
+    np.testing.assert_allclose(m.post_sum.to_numpy(), g.post_sum.fillna(0).to_numpy(), atol=1e-9)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from . import stats as S
 from .asof import asof_join
 from ..session import cut_lineage
-from .rangejoin import ROW_T, ROW_TIE, control_centre, event_windows
+from .rangejoin import ROW_T, ROW_TIE, control_centre, event_windows, window_moments
 
 
 def _window_stats(win: DataFrame, key: str, value: str, min_pts: int, *, carry: Sequence[str] = (),
@@ -93,22 +93,25 @@ def did_deltas(series: DataFrame, events: DataFrame, *, t_col: str, tie_col: str
                event_key: str, event_t: str, group_col: str, half_width: int, min_pts: int = 5,
                shift: int = 5) -> DataFrame:
     """K2 inputs: per treated event the treated delta (arm 'treated') and, when
-    its shifted control window qualifies, the control delta (arm 'control')."""
+    its shifted control window qualifies, the control delta (arm 'control').
+
+    DiD needs only window means and counts, so both windows of every event
+    come from one ``window_moments`` pass (running totals + edge lookups): no
+    window rows are materialised. A control counts only for events whose
+    treated window qualifies (the reference skips the control otherwise)."""
     t_min, t_max = series.agg(F.min(t_col), F.max(t_col)).first()
-    ev = events.select(event_key, group_col, F.col(event_t).alias("__centre"))
-    tw = event_windows(series, ev, t_col=t_col, tie_col=tie_col, value_cols=[value_col],
-                       event_keys=[event_key], centre_col="__centre", half_width=half_width)
-    # per-event rows, reused to place the control windows: written once
-    treated = cut_lineage(_window_stats(tw, event_key, value_col, min_pts, carry=[group_col], with_p95=False))
-    ctrl_ev = (treated.select(event_key, group_col)
-               .join(ev, [event_key, group_col])
-               .withColumn("__cc", control_centre(F.col("__centre"), half_width, int(t_min), int(t_max), shift))
-               .where(F.col("__cc").isNotNull()).select(event_key, group_col, "__cc"))
-    cw = event_windows(series, ctrl_ev, t_col=t_col, tie_col=tie_col, value_cols=[value_col],
-                       event_keys=[event_key], centre_col="__cc", half_width=half_width)
-    control = _window_stats(cw, event_key, value_col, min_pts, carry=[group_col], with_p95=False)
-    return (treated.select(event_key, group_col, F.lit("treated").alias("arm"), "delta_mean")
-            .unionByName(control.select(event_key, group_col, F.lit("control").alias("arm"), "delta_mean")))
+    ev = events.select(event_key, group_col, F.col(event_t).cast("long").alias("__centre"))
+    centres = (ev.select(event_key, F.lit("treated").alias("arm"), F.col("__centre").alias("__cc"))
+               .unionByName(ev.select(event_key, F.lit("control").alias("arm"), control_centre(
+                   F.col("__centre"), half_width, int(t_min), int(t_max), shift).alias("__cc"))))
+    m = window_moments(series, centres, t_col=t_col, tie_col=tie_col, value_col=value_col,
+                       centre_keys=[event_key, "arm"], centre_col="__cc", half_width=half_width)
+    ok = (F.col("pre_n") >= min_pts) & (F.col("post_n") >= min_pts)
+    d = m.where(ok).select(event_key, "arm", (F.col("post_sum") / F.col("post_n")
+                                              - F.col("pre_sum") / F.col("pre_n")).alias("delta_mean"))
+    treated_ok = d.where(F.col("arm") == "treated").select(event_key)
+    d = d.join(treated_ok, event_key, "left_semi").join(ev.select(event_key, group_col), event_key)
+    return d.select(event_key, group_col, "arm", "delta_mean")
 
 
 def did_effects(deltas: DataFrame, *, event_key: str, group_col: str, n_boot: int = 2000,
