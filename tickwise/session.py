@@ -38,6 +38,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.ui.enabled", "false")
         .config("spark.log.level", "ERROR")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("TICKWISE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
     )
