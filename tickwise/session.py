@@ -73,9 +73,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: data is written to the shared checkpoint folder,
     so a lost executor re-reads it instead of recomputing a plan whose
-    partitioning or ids might differ on the second run."""
+    partitioning or ids might differ on the second run.
+
+    The plan is persisted while the checkpoint is written (an eager reliable
+    checkpoint otherwise computes it twice: once for the action, once for the
+    files) and unpersisted afterwards; later stages read the checkpoint."""
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
