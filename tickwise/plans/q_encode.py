@@ -96,7 +96,20 @@ def f6(spark, sf_dir):
     return round_doubles(enc)
 
 
-@register("F8_feature_names")
+@register("F8_feature_names", f"""
+WITH {_BASE_SQL},
+nm AS (SELECT 1 AS blk, 0 AS k, 'num__o_totalprice' AS feature WHERE (SELECT count(o_totalprice) FROM tr) > 0 UNION ALL SELECT 1 AS blk, 1 AS k, 'num__n_lines' AS feature WHERE (SELECT count(n_lines) FROM tr) > 0 UNION ALL SELECT 1 AS blk, 2 AS k, 'num__sum_qty' AS feature WHERE (SELECT count(sum_qty) FROM tr) > 0),
+c2 AS (SELECT v, row_number() OVER (ORDER BY v) AS r, count(*) OVER () AS m
+        FROM (SELECT DISTINCT coalesce(CAST(o_orderstatus AS VARCHAR), '__MISSING__') AS v FROM tr)),
+o2 AS (SELECT 2 AS blk, r AS k, 'onehot__o_orderstatus_' || v AS feature FROM c2 WHERE NOT (m = 2 AND r = 1)),
+c3 AS (SELECT v, row_number() OVER (ORDER BY v) AS r, count(*) OVER () AS m
+        FROM (SELECT DISTINCT coalesce(CAST(any_returnflag AS VARCHAR), '__MISSING__') AS v FROM tr)),
+o3 AS (SELECT 3 AS blk, r AS k, 'onehot__any_returnflag_' || v AS feature FROM c3 WHERE NOT (m = 2 AND r = 1)),
+rest AS (SELECT 4 AS blk, 0 AS k, 'ordinal__o_orderpriority' AS feature
+         UNION ALL SELECT 5 AS blk, 0 AS k, 'freq__o_custkey_freq' AS feature),
+a AS (SELECT * FROM nm UNION ALL SELECT * FROM o2 UNION ALL SELECT * FROM o3 UNION ALL SELECT * FROM rest)
+SELECT CAST(row_number() OVER (ORDER BY blk, k) - 1 AS INTEGER) AS position, feature FROM a
+""")
 def f8(spark, sf_dir):
     """Feature names of the fitted encoder, in assembly order."""
     base = _base(spark, sf_dir)
