@@ -161,3 +161,59 @@ def j3_unbounded(spark, sf_dir):
     return asof_join(left, right, on="t_us", right_on="prev_t_us", by="user_id",
                      direction="backward", bucket_width=24 * HOUR_US, right_tie="prev_id",
                      distance_col="gap_us")
+
+
+@register("T7_J5_J3_J2_J1_combined_table_build", f"""
+WITH sp AS (SELECT event_id, user_id, event_type, value, epoch_us(ts) AS t_us FROM events WHERE event_type <> 'error'),
+d AS (SELECT sp.*, c.c_nationkey, c.c_acctbal, c.c_mktsegment FROM sp LEFT JOIN customer c ON sp.user_id = c.c_custkey),
+fo AS (SELECT o_custkey, o_orderkey AS first_orderkey, o_orderpriority FROM orders
+       QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1),
+f AS (SELECT d.*, fo.first_orderkey, fo.o_orderpriority FROM d LEFT JOIN fo ON d.user_id = fo.o_custkey),
+r AS (SELECT event_id AS err_id, user_id, value AS err_value, epoch_us(ts) AS err_t_us FROM events WHERE event_type = 'error'),
+c AS (SELECT f.event_id, r.err_id, r.err_value,
+             row_number() OVER (PARTITION BY f.event_id
+                                ORDER BY abs(f.t_us - r.err_t_us), CASE WHEN r.err_t_us <= f.t_us THEN 0 ELSE 1 END,
+                                         CASE WHEN r.err_t_us <= f.t_us THEN -r.err_id ELSE r.err_id END) AS rn
+      FROM f JOIN r ON f.user_id = r.user_id AND r.err_t_us BETWEEN f.t_us - {TOL_US} AND f.t_us + {TOL_US}),
+a AS (SELECT f.*, c.err_id, c.err_value FROM f LEFT JOIN c ON c.event_id = f.event_id AND c.rn = 1),
+z AS (SELECT a.*, row_number() OVER (ORDER BY t_us, event_id) - 1 AS row_idx FROM a),
+ctl AS (SELECT l_quantity AS queue_qty, l_discount AS ctl_discount, l_returnflag AS controller_state,
+               row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS zi
+        FROM lineitem),
+comb AS (SELECT z.*, ctl.queue_qty, ctl.ctl_discount, ctl.controller_state FROM z LEFT JOIN ctl ON z.row_idx = ctl.zi),
+p AS (SELECT count(*) // 5 AS n, count(*) AS n_tot FROM comb),
+cs AS (SELECT coalesce(event_type, '<null>') AS s, count(*) AS cnt FROM comb GROUP BY 1),
+t AS (SELECT s, cnt, CAST(round_even(cnt / n_tot * n, 0) AS BIGINT) AS target, n FROM cs, p),
+tg AS (SELECT s, cnt, target + CASE WHEN row_number() OVER (ORDER BY target DESC, cnt DESC, s) = 1
+                                    THEN n - sum(target) OVER () ELSE 0 END AS target FROM t),
+rk AS (SELECT comb.*, coalesce(event_type, '<null>') AS s,
+              row_number() OVER (PARTITION BY coalesce(event_type, '<null>')
+                                 ORDER BY md5(concat('42', CAST(event_id AS VARCHAR))), event_id) AS k FROM comb)
+SELECT event_id, user_id, event_type, value, t_us, c_nationkey, c_acctbal, c_mktsegment, first_orderkey,
+       o_orderpriority, err_id, err_value, row_idx, queue_qty, ctl_discount, controller_state
+FROM rk JOIN tg USING (s) WHERE k <= least(greatest(tg.target, 0), tg.cnt)
+""")
+def combined_build(spark, sf_dir):
+    """The combined-table build: event spine -> device (customer) join ->
+    keep-first order per customer -> nearest error within 6 h -> positional
+    controller columns (line items in file order) -> exact stratified 20 %
+    sample by event type."""
+    from ..operators.order import zip_join
+    from ..operators.sample import stratified_sample
+    t = Tables(spark, sf_dir)
+    left, right = _events_split(t)
+    x = left_join_dimension(left, t.customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"),
+                            "user_id", "c_custkey")
+    orders = t.orders.select("o_custkey", F.col("o_orderkey").alias("first_orderkey"), "o_orderpriority",
+                             "o_orderdate")
+    x = left_join_first(x, orders, "user_id", ["o_orderdate", "first_orderkey"], other_key="o_custkey").drop(
+        "o_orderdate")
+    x = asof_join(x, right.select("err_id", "user_id", "err_value", "err_t_us"), on="t_us", right_on="err_t_us",
+                  by="user_id", tolerance=TOL_US, right_tie="err_id")
+    ctl = t.lineitem.select(F.col("l_quantity").alias("queue_qty"), F.col("l_discount").alias("ctl_discount"),
+                            F.col("l_returnflag").alias("controller_state"), "l_shipdate", "l_orderkey",
+                            "l_linenumber", "l_partkey", "l_suppkey")
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    z = zip_join(x, ["t_us", "event_id"], ctl, order).drop(*order)
+    n = z.count() // 5
+    return stratified_sample(z, n, 42, ["event_type", "latency_violation"], "event_id")
