@@ -140,3 +140,28 @@ def numeric_columns(df: DataFrame, drop_ids: bool = True,
 def present(df: DataFrame, cols: Sequence[str]) -> list[str]:
     """Plan-time presence guard."""
     return [c for c in cols if c in df.columns]
+
+
+def derived_features(df: DataFrame, *, ratio: tuple[str, str] | None = None,
+                     product: tuple[str, str] | None = None, severity_col: str | None = None,
+                     state_col: str | None = None, key: str | None = None,
+                     high_levels: Sequence[str] = ("High", "Critical"),
+                     attack_state: str = "Under Attack") -> DataFrame:
+    """C18 (documented in the reference's EDA notes, not implemented there):
+    ratio and product of two measures, high-severity and under-attack flags,
+    and rows per key (a grouped count joined back: no window over a hot key)."""
+    out = df
+    if ratio:
+        a, b = ratio
+        out = out.withColumn(f"{a}_per_{b}", F.when(F.col(b) != 0, F.col(a) / F.col(b)))
+    if product:
+        a, b = product
+        out = out.withColumn(f"{a}_x_{b}", F.col(a) * F.col(b))
+    if severity_col:
+        out = out.withColumn("is_high_severity", F.col(severity_col).isin(*high_levels).cast("int"))
+    if state_col:
+        out = out.withColumn("is_under_attack", (F.col(state_col) == attack_state).cast("int"))
+    if key:
+        counts = df.groupBy(key).agg(F.count(F.lit(1)).alias(f"rows_per_{key}"))
+        out = out.join(counts, key, "left")
+    return out

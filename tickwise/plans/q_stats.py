@@ -283,3 +283,39 @@ def c_casts(spark, sf_dir):
                     round_half_even(F.col("value") / 3, 2).alias("third_half_even"),
                     F.col("user_id").cast("bigint").alias("user_key"),
                     treatment_indicator(F.when(F.col("event_type") == "purchase", F.lit(1))).alias("treated"))
+
+
+@register("P4_P5_C12_A13_numeric_correlations_with_nulls", "WITH e AS (" + __import__(
+    "tickwise.plans.q_joins", fromlist=["_NEAREST_SQL"])._NEAREST_SQL + ")\n" + _union([
+        f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 8) AS r FROM e"
+        for a, b in [("value", "err_value"), ("value", "gap_us"), ("err_value", "gap_us")]]))
+def p4(spark, sf_dir):
+    """Numeric columns chosen by type with ``*_id`` and time columns dropped,
+    then pairwise-complete Pearson correlations (null matches are skipped
+    pair by pair) on the as-of enriched events."""
+    from ..functions.expr import numeric_columns
+    from .q_joins import nearest_error
+    x = nearest_error(spark, sf_dir)
+    cols = numeric_columns(x, extra_drop=("t_us",))
+    return round_doubles(S.corr_pairs(x, cols))
+
+
+@register("C18_derived_ratio_flag_features", """
+WITH c AS (SELECT user_id, count(*) AS rows_per_user_id FROM events GROUP BY user_id),
+e AS (SELECT event_id, user_id, value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
+             ['Low', 'Medium', 'High', 'Critical'][CAST(user_id % 4 AS INTEGER) + 1] AS severity_level
+      FROM events)
+SELECT e.event_id, round(CASE WHEN k <> 0 THEN value / k END, 8) AS value_per_k, round(value * k, 8) AS value_x_k,
+       CAST(severity_level IN ('High', 'Critical') AS INTEGER) AS is_high_severity, c.rows_per_user_id
+FROM e JOIN c USING (user_id)
+""")
+def c18(spark, sf_dir):
+    from ..functions.expr import derived_features
+    from .q_causal import SEVERITIES
+    ev = Tables(spark, sf_dir).events.select(
+        "event_id", "user_id", "value", F.get_json_object("props", "$.k").cast("double").alias("k"),
+        F.element_at(F.array(*map(F.lit, SEVERITIES)), F.pmod(F.col("user_id"), F.lit(4)).cast("int") + 1)
+        .alias("severity_level"))
+    x = derived_features(ev, ratio=("value", "k"), product=("value", "k"), severity_col="severity_level",
+                         key="user_id")
+    return round_doubles(x.select("event_id", "value_per_k", "value_x_k", "is_high_severity", "rows_per_user_id"))
