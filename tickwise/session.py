@@ -45,9 +45,31 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tickwise`` importable in Python workers (pandas UDFs and
+    ``mapInPandas`` functions are pickled by module reference): zip the package
+    once per SparkContext and ``addPyFile`` it, as ``--py-files`` would."""
+    import zipfile
+    sc = spark.sparkContext
+    if getattr(sc, "_tickwise_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="tickwise-pyfiles-"), "tickwise.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    sc._tickwise_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory.
 
