@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 # Rows above which a side is never broadcast, whatever the optimizer thinks.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -109,16 +110,32 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         held.unpersist()
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
+def _row_bytes(dt: T.DataType) -> int:
+    """Rough serialized width of a value (Spark's default sizes; strings and
+    collections counted generously)."""
+    if isinstance(dt, T.StructType):
+        return sum(_row_bytes(f.dataType) for f in dt.fields) + 8
+    if isinstance(dt, (T.ArrayType, T.MapType)):
+        return 256
+    if isinstance(dt, (T.StringType, T.BinaryType)):
+        return 64
+    return 8
 
-    The bound is checked with a ``limit(max_rows + 1).count()`` job that stops
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows and
+    ``rows x estimated row width`` stays under ``max_bytes``.
+
+    The bound is checked with a ``limit(n + 1).count()`` job that stops
     reading as soon as the bound is exceeded. Above the bound the frame is
     returned unchanged, and the join falls back to a shuffle join (AQE may still
     convert it at runtime from real statistics).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    width = max(_row_bytes(df.schema), 1)
+    cap = min(max_rows, max_bytes // width)
+    n = df.limit(cap + 1).count()
+    return F.broadcast(df) if n <= cap else df
 
 
 def ticks(col: str | Column, dtype: T.DataType | None = None) -> Column:
