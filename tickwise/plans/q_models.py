@@ -20,7 +20,7 @@ from ..functions.expr import prob_flag
 from ..operators import evaluate as E
 from ..operators import models as M
 from ..operators import stats as S
-from ..operators.order import ROW_IDX, chrono_split, expanding_folds, with_row_index
+from ..operators.order import ROW_IDX, chrono_split, expanding_folds
 from ..operators.sample import hashed_normal
 from ..operators.window import context_rows, sliding_sequences
 from ..sources.tables import Tables
