@@ -86,14 +86,20 @@ def random_sample(df: DataFrame, n: int, seed: int, key: str, *, prefix_len: int
     return exact_sample_by_hash(df, F.lit(""), targets, key, seed, prefix_len).drop(_S)
 
 
+def _hashed_uniform(k: Column, seed: int, stream: int) -> Column:
+    """52-bit integer from ``md5(seed|key|stream)`` (same value in DuckDB)."""
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), k.cast("string"), F.lit(str(stream))))
+    return F.conv(F.substring(h, 1, 13), 16, 10).cast("long")
+
+
 def hashed_normal(key: str | Column, seed: int) -> Column:
     """N(0,1) from two hashed uniforms (Box-Muller): same value for a row
-    whatever the partitioning or task retry."""
+    whatever the partitioning or task retry, and reproducible in SQL."""
     k = F.col(key) if isinstance(key, str) else key
-    two53 = 9007199254740992
-    u1 = (F.pmod(F.xxhash64(k, F.lit(seed), F.lit(1)), F.lit(two53)) + 1) / F.lit(float(two53 + 1))
-    u2 = F.pmod(F.xxhash64(k, F.lit(seed), F.lit(2)), F.lit(two53)) / F.lit(float(two53))
-    return F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * 3.141592653589793 * u2)
+    two52 = float(1 << 52)
+    u1 = (_hashed_uniform(k, seed, 1) + 1) / F.lit(two52 + 1)
+    u2 = _hashed_uniform(k, seed, 2) / F.lit(two52)
+    return F.sqrt(-2.0 * F.log(u1)) * F.cos(F.lit(2.0 * 3.141592653589793) * u2)
 
 
 def inject_noise(df: DataFrame, col: str, scale: float, seed: int, key: str) -> DataFrame:

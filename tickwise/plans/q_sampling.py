@@ -59,7 +59,15 @@ def t8(spark, sf_dir):
     return random_sample(o, o.count() // 10, SEED, "o_orderkey")
 
 
-@register("C14_E10_gaussian_noise_grid")
+@register("C14_E10_gaussian_noise_grid", """
+WITH s AS (SELECT stddev_samp(value) AS sd FROM events),
+lv AS (SELECT i, CAST(lvl AS DOUBLE) AS lvl FROM (VALUES (0, 0.0), (1, 0.5), (2, 2.0)) t(i, lvl)),
+z AS (SELECT event_id, value, lvl,
+             sqrt(-2.0 * ln((CAST(('0x' || substr(md5(concat(CAST(42 + i AS VARCHAR), '|', CAST(event_id AS VARCHAR), '|1')), 1, 13)) AS BIGINT) + 1) / 4503599627370497.0))
+             * cos(6.283185307179586 * CAST(('0x' || substr(md5(concat(CAST(42 + i AS VARCHAR), '|', CAST(event_id AS VARCHAR), '|2')), 1, 13)) AS BIGINT) / 4503599627370496.0) AS z
+      FROM events, lv)
+SELECT event_id, round(value + z * (lvl * (SELECT sd FROM s)), 8) AS value, round(lvl, 8) AS noise_level FROM z
+""")
 def c14(spark, sf_dir):
     """Noise levels 0, 0.5, 2.0 sigma on ``value``; one copy of the rows per level
     (grid is a 3-element parameter)."""
