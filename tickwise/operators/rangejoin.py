@@ -7,9 +7,9 @@ For each event centre ``c`` with half-width ``w``:
   order (the reference's ``mid + 1``), which at a centre with no row at ``c``
   drops the first later row.
 
-Plan: ``bucket = t div w``; each event probes buckets b-1, b, b+1 (3 rows per
-event) and is equi-joined to the series on the bucket, then filtered by the
-exact range. The event side is broadcast behind a size check; otherwise a
+Plan: ``bucket = t div ceil(w/2)``; each event probes buckets b-2..b+2 (5
+rows per event) and is equi-joined to the series on the bucket, then filtered
+by the exact range. The event side is broadcast behind a size check; otherwise a
 shuffle join on the bucket, where AQE splits a dense (skewed) bucket. Work is
 proportional to the rows inside the windows, never events x rows.
 """
@@ -55,9 +55,12 @@ def event_windows(series: DataFrame, events: DataFrame, *, t_col: str, tie_col:
     # one row per event: written once, so the size check and the join below
     # do not each re-run the as-of lookup
     e = cut_lineage(e)
+    # half-width buckets: a window [c-w, c+w] touches at most 5 of them, so the
+    # candidate span before the exact filter is 2.5w instead of 3w
+    bw = max((w + 1) // 2, 1)
     e = e.withColumn("__b", F.explode(F.array(*[
-        F.expr(f"((__c - pmod(__c, {w}L)) div {w}L) + {d}") for d in (-1, 0, 1)])))
-    s = s.withColumn("__b", _bucket("__t", w))
+        F.expr(f"((__c - pmod(__c, {bw}L)) div {bw}L) + {d}") for d in (-2, -1, 0, 1, 2)])))
+    s = s.withColumn("__b", _bucket("__t", bw))
     j = s.join(checked_broadcast(e), "__b").where(
         (F.col("__t") >= F.col("__c") - w) & (F.col("__t") <= F.col("__c") + w))
     after = F.col("__t") >= F.col("__c")
