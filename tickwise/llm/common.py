@@ -14,6 +14,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Checkpoint folder known, package importable in Python workers."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    # whole texts travel in these batches: few rows keep a worker's memory small where texts are long
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark
 
 
