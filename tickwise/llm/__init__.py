@@ -2,5 +2,5 @@
 quality, sharding, secrets and packing. Importing the package registers their
 queries; nothing outside this package imports it but the driver entry."""
 
-from . import mixing, packing, secrets, sharding  # noqa: F401
+from . import mixing, packing, pii, secrets, sharding  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
