@@ -78,7 +78,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 
 
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", size: Column | None = None,
-             bucket_rows: int = 20_000, **how) -> tuple[DataFrame, DataFrame]:
+             bucket_rows: int = 2_000, **how) -> tuple[DataFrame, DataFrame]:
     """(sizes, plan). sizes: source, doc_id, size per document. plan: one row
     per source with its target, whole ``epochs`` and the cut: every document
     with (cut_key, cut_id, cut_size) below the cut is taken once more, the
@@ -99,7 +99,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     order = ["key", "doc_id", "size"]
     sums = at.groupBy("source", "bucket").agg(F.sum("words").alias("all"), F.first("rest").alias("rest"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # the one bucket of each source in which the budget ends; one row per 20,000 documents is ranked
+    # the one bucket of each source in which the budget ends; one row per ``bucket_rows`` documents is ranked
     cut = (sums.withColumn("start", F.coalesce(F.sum("all").over(before), F.lit(0)))
            .where((F.col("start") <= F.col("rest")) & (F.col("rest") < F.col("start") + F.col("all")))
            .select(F.col("source").alias("s"), F.col("bucket").alias("k"), "start"))
