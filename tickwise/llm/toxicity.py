@@ -238,7 +238,7 @@ def learn_lexicon(sample: DataFrame, n_pos: int, n_neg: int, least: int = 4, mos
             yield pd.DataFrame({"hits": [sorted(entries(words_of(t)) & odds_of.keys()) for t in pdf["text"]]})
 
     rows = [set(r["hits"]) for r in sample.where("label = 1").select("text").mapInPandas(hits, "hits array<string>").collect()]
-    chosen: dict[str, float] = {}
+    chosen: dict[str, float] = {w: odds_of[w] for w in SEED_INSULTS if w in odds_of}
     cover = Counter(e for r in rows for e in r)
     open_rows = rows
     while cover and len(chosen) < most:
