@@ -256,9 +256,9 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
 
 
 ORACLE = """
-WITH e AS (SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS a FROM embeddings
-           WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_sum(list_transform(generate_series(1, len(q.a)), i -> q.a[i] * c.a[i]))::BIGINT AS score
+WITH e AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS a FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_sum(list_transform(generate_series(1, len(q.a)), lambda i: q.a[i] * c.a[i]))::BIGINT AS score
       FROM e q JOIN e c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.a) = len(q.a)),
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5"""
