@@ -9,13 +9,14 @@ ends once its next point comes after the latest register. Two signatures agree
 on a register with the probability Jaccard similarity of the weighted sets.
 
 24 bands of 4 registers propose pairs: at similarity 0.8 a pair shares no band
-with probability 3e-6. In a band's bucket every text is paired with three
+with probability 3e-6. In a band's bucket every text is paired with two
 pivots, not with every other. Pairs whose signatures agree on less than 0.62 of
 96 registers (4.4 standard deviations below 0.8) go; the rest are verified by
 the exact Jaccard similarity of their shingle sets. Links make components. What
 pivots leave open is settled next: buckets whose texts are still in different
-components are compared in blocks, pairs across components only, so that no
-link is lost; a group of copies that the pivots have joined costs nothing there.
+components are compared in blocks, pairs across components only and each in
+one bucket, verified where they meet and never listed, so that no link between
+components is lost; a group that the pivots have joined costs nothing there.
 
 Exact copies are one node, found by a 128-bit digest. A null text is an empty
 one; empty texts, and texts without words, are copies only of texts that are
@@ -157,9 +158,9 @@ def nodes_of(signed: DataFrame) -> DataFrame:
 
 
 def band_rows(nodes: DataFrame) -> DataFrame:
-    """key, node: a row per band of every text with words."""
+    """key, band, node: a row per band of every text with words."""
     cut = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substr("signature", b * 8 + 1, F.lit(8))))
-    return nodes.where(F.col("signature").isNotNull()).select("node", F.explode(cut).alias("key"))
+    return nodes.where(F.col("signature").isNotNull()).select("node", F.posexplode(cut).alias("band", "key"))
 
 
 def agreement(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -175,16 +176,23 @@ def agreement(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(sig("a"), "a").join(sig("b"), "b").where(agree("sa", "sb") >= SURE).select("a", "b")
 
 
-def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY,
-           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """a, b, jaccard of the pairs whose shingle sets reach ``similarity``. The
-    texts of the pairs' nodes are read again and cut into shingles where they
-    lie; ids choose them, broadcast up to BROADCAST_IDS rows of 24 bytes
-    (counted), by a shuffle beyond."""
-    pairs = materialise(pairs)
-    ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = materialise(nodes.join(ends, "node").select("node", F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")))
-    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+def jaccard(u: np.ndarray, v: np.ndarray, least: float) -> float:
+    """Jaccard similarity of two sorted sets, or 0 if their sizes rule ``least`` out."""
+    if not min(len(u), len(v)) or min(len(u), len(v)) < least * max(len(u), len(v)):
+        return 0.0
+    both = np.concatenate([u, v])
+    both.sort(kind="stable")
+    common = np.count_nonzero(both[1:] == both[:-1])
+    return common / (len(both) - common)
+
+
+def shingle_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """node, set (sorted 32-bit shingle hashes) of the nodes in ``wanted``.
+    Their texts are read again and cut where they lie; ids choose them,
+    broadcast up to BROADCAST_IDS rows of 24 bytes (counted), by a shuffle
+    beyond."""
+    ids = materialise(nodes.join(wanted, "node").select("node", F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")))
+    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
     rows = rows.join(side, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__hash"))).select("node", "text")
@@ -198,65 +206,92 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: floa
             yield pd.DataFrame({"node": pdf["node"], "set": [short[i:j].tobytes() for i, j in zip(at[:-1], at[1:])]})
 
     # repeated rows of one text give equal sets; one is kept
-    sets = materialise(rows.mapInPandas(cut, "node long, set binary").groupBy("node").agg(F.min("set").alias("set")))
+    return materialise(rows.mapInPandas(cut, "node long, set binary").groupBy("node").agg(F.min("set").alias("set")))
+
+
+def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY,
+           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """a, b, jaccard of the pairs whose shingle sets reach ``similarity``."""
+    ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = shingle_sets(ends, nodes, docs, id_col, text_col)
 
     @F.pandas_udf("double")
-    def jaccard(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = np.zeros(len(x))
-        for i, (p, q) in enumerate(zip(x, y)):
-            u, v = np.frombuffer(p, dtype="<u4"), np.frombuffer(q, dtype="<u4")
-            if min(len(u), len(v)) < similarity * max(len(u), len(v)):
-                continue  # sizes alone rule the pair out
-            both = np.concatenate([u, v])
-            both.sort(kind="stable")
-            common = np.count_nonzero(both[1:] == both[:-1])
-            out[i] = common / (len(both) - common) if len(both) else 0.0
-        return pd.Series(out)
+    def exact(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([jaccard(np.frombuffer(p, dtype="<u4"), np.frombuffer(q, dtype="<u4"), similarity) for p, q in zip(x, y)], dtype=float)
 
     part = lambda name: sets.select(F.col("node").alias(name), F.col("set").alias(f"s{name}"))
-    return pairs.join(part("a"), "a").join(part("b"), "b").select("a", "b", jaccard("sa", "sb").alias("jaccard")).where(
+    return pairs.join(part("a"), "a").join(part("b"), "b").select("a", "b", exact("sa", "sb").alias("jaccard")).where(
         F.col("jaccard") >= similarity)
 
 
-def across_components(open_rows: DataFrame) -> DataFrame:
-    """a, b: pairs of nodes of one bucket and different components whose
-    signatures agree. ``open_rows``: key, node, component, signature, size of
-    the bucket. A bucket is cut into blocks of about BLOCK nodes; a pair of
-    blocks is a group of its own, so a group never outgrows two blocks."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+def join_block(node: np.ndarray, component: np.ndarray, side: np.ndarray, across: bool, band: int, sig: np.ndarray,
+               sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links that join components among the rows of a block (``across``: of two
+    blocks, told apart by ``side``). Pairs of different components whose
+    signatures agree, and that share no earlier band (there they are met in
+    that band's bucket), are verified from the likeliest on; a pair that earlier
+    links have joined meanwhile is skipped."""
+    up = {c: c for c in component.tolist()}
+
+    def find(c: int) -> int:
+        while up[c] != c:
+            up[c] = up[up[c]]
+            c = up[c]
+        return c
+
+    found, pairs = [], []
+    for x in range(len(node)):
+        y = np.arange(x + 1, len(node))
+        y = y[(component[y] != component[x]) & ((side[y] != side[x]) if across else True)]
+        if len(y):
+            same = sig[y] == sig[x]
+            agree = same.mean(axis=1)
+            first = same.reshape(len(y), BANDS, ROWS).all(axis=2).argmax(axis=1)
+            near = (agree >= SURE) & (first == band)
+            pairs.append(np.column_stack([agree[near], np.full(near.sum(), x), y[near]]))
+    if not pairs:
+        return found
+    pairs = np.concatenate(pairs)
+    for _, x, y in pairs[np.argsort(-pairs[:, 0], kind="stable")]:
+        x, y = int(x), int(y)
+        p, q = find(component[x]), find(component[y])
+        if p != q and jaccard(sets[x], sets[y], similarity) >= similarity:
+            up[max(p, q)] = min(p, q)
+            found.append((int(node[x]), int(node[y])))
+    return found
+
+
+def across_components(open_rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """a, b: verified links between nodes of one bucket and different
+    components. ``open_rows``: key, band, node, component, signature, set, size
+    of the bucket. A bucket is cut into blocks of about BLOCK nodes; a pair of
+    blocks is a group of its own, so a group never outgrows two blocks, and
+    pairs are compared in it without being listed."""
+    open_rows = open_rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    spread = (open_rows.withColumn("blocks", blocks).withColumn("own", own)
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "signature"))
-    grouped = spread.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "own", "node")
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        sig = np.frombuffer(b"".join(group["signature"]), dtype="<u2").reshape(len(group), -1)
-        node, comp, own_block = (group[c].to_numpy() for c in ("node", "component", "own"))
-        i, j = group["i"].iloc[0], group["j"].iloc[0]
-        left, right = np.flatnonzero(own_block == i), np.flatnonzero(own_block == j)
-        a, b = [], []
-        for x in left:
-            others = right[right > x] if i == j else right
-            others = others[comp[others] != comp[x]]
-            near = others[(sig[others] == sig[x]).mean(axis=1) >= SURE] if len(others) else others
-            a.append(np.full(len(near), node[x]))
-            b.append(node[near])
-        u, v = (np.concatenate(z) if z else np.empty(0, np.int64) for z in (a, b))
-        return pd.DataFrame({"a": np.minimum(u, v).astype(np.int64), "b": np.maximum(u, v).astype(np.int64)})
+    spread = (open_rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+              .select("key", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component",
+                      "signature", "set"))
+    grouped = spread.repartition("key", "band", "i", "j").sortWithinPartitions("key", "band", "i", "j", "own", "node")
+
+    def compare(g: pd.DataFrame) -> pd.DataFrame:
+        sig = np.frombuffer(b"".join(g["signature"]), dtype="<u2").reshape(len(g), -1)
+        found = join_block(g["node"].to_numpy(), g["component"].to_numpy(), g["own"].to_numpy(), g["i"].iloc[0] != g["j"].iloc[0],
+                           int(g["band"].iloc[0]), sig, [np.frombuffer(x, dtype="<u4") for x in g["set"]], similarity)
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None  # the group that the last batch may have cut
         for pdf in batches:
             pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
-            parts = [g for _, g in pdf.groupby(["key", "i", "j"], sort=False)]
+            parts = [g for _, g in pdf.groupby(["key", "band", "i", "j"], sort=False)]
             rest = parts.pop() if parts else None
             for g in parts:
                 yield compare(g)
         if rest is not None:
             yield compare(rest)
 
-    return grouped.mapInPandas(run, "a long, b long").distinct()
+    return grouped.mapInPandas(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -267,24 +302,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = materialise(sign(docs, id_col, text_col).withColumn("row_id", F.monotonically_increasing_id()))
     nodes = nodes_of(signed)
     bands = materialise(band_rows(nodes))
-    buckets = (bands.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("p"), F.max("node").alias("q"),
-                                        F.min(F.struct(F.xxhash64("node", "key").alias("h"), "node")).alias("r")).where("size > 1")
-               .select("key", "size", "p", "q", F.col("r.node").alias("r")))
-    shared = materialise(bands.join(buckets, "key"))
-    pivots = shared.select("node", F.explode(F.array_distinct(F.array("p", "q", "r"))).alias("pivot")).where("node <> pivot")
+    buckets = bands.groupBy("key", "band").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("p"), F.max("node").alias("q")).where("size > 1")
+    shared = materialise(bands.join(buckets, ["key", "band"]))
+    pivots = shared.select("node", F.explode(F.array_distinct(F.array("p", "q"))).alias("pivot")).where("node <> pivot")
     pairs = pivots.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     tested = materialise(agreement(pairs, nodes))
     links = materialise(verify(tested, nodes, docs, similarity, id_col, text_col).select("a", "b"))
     found = materialise(connected_components(links))
-    # three pivots settle buckets of up to three; larger ones are open while they span components
-    wide = shared.where("size > 3").select("key", "node", "size").join(found, "node", "left") \
-        .withColumn("component", F.coalesce("component", "node"))
-    wide = materialise(wide)
-    still = wide.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    open_rows = wide.join(still, "key", "left_semi").join(nodes.select("node", "signature"), "node")
-    more = across_components(open_rows).join(tested, ["a", "b"], "left_anti")
-    links = links.unionAll(verify(more, nodes, docs, similarity, id_col, text_col).select("a", "b"))
-    found = materialise(connected_components(links))
+    # two pivots settle buckets of up to three; larger ones are open while they span components
+    wide = materialise(shared.where("size > 3").select("key", "band", "node", "size").join(found, "node", "left")
+                       .withColumn("component", F.coalesce("component", "node")))
+    still = wide.groupBy("key", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key", "band")
+    open_rows = materialise(wide.join(still, ["key", "band"], "left_semi"))
+    sets = shingle_sets(open_rows.select("node").distinct(), nodes, docs, id_col, text_col)
+    more = across_components(open_rows.join(nodes.select("node", "signature"), "node").join(sets, "node"), similarity)
+    found = materialise(connected_components(links.unionAll(materialise(more))))
     per_text = nodes.join(found, "node", "left").select("text_id", F.coalesce("component", "node").alias("component"))
     rows = materialise(signed.select("doc_id", "text_hash", "text_id", "row_id").join(per_text, "text_id"))
     pick = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "row_id", "text_id")).alias("r")

@@ -19,7 +19,8 @@ labels' own shares; ids, labels, language and source are no inputs of a score.
 A null or empty text has no clause and gets the curve's floor. Equal rows are
 scored alike; rows without a label are scored too; labels that are null, or
 that disagree for an id, are left out. Without labels of both kinds the seed
-lexicon and a default curve serve. Other columns are left alone.
+lexicon and a default curve serve. The curve's floor is below 0.25, so a text
+without a match is never marked. Other columns are left alone.
 """
 
 from __future__ import annotations
@@ -285,7 +286,8 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 3000, negatives: in
     rows = sample.select("text", "label").mapInPandas(measure, "x double, y double, label int").toPandas()
     share = rows["label"].map(lambda k: counts[k] / got[k]).to_numpy(float)
     curve = fit_curve(rows[["x", "y"]].to_numpy(float), rows["label"].to_numpy(float), share / share.mean())
-    return Grammar(lexicon, (curve[0], max(curve[1], 0.0), max(curve[2], 0.0)))
+    # a text in which nothing matches stays below 0.25, however common the label is
+    return Grammar(lexicon, (min(curve[0], math.log(0.25 / 0.75)), max(curve[1], 0.0), max(curve[2], 0.0)))
 
 
 def score(docs: DataFrame, model: Grammar, keep: list[str] | None = None) -> DataFrame:
