@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import global_row_number, table
+from .common import global_row_number, materialise, table
 from .registry import register
 
 PRIME = (1 << 31) - 1
@@ -110,7 +110,8 @@ def feistel_shards(docs: DataFrame, shards: int = 16, seed: int = 20240601, id_c
     extra = [F.col(f"`{c}`") for c in (keep or []) if c not in own]
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
                        F.crc32(text.cast("binary")).cast("long").alias("text_crc32"), *extra)
-    numbered = global_row_number(rows, ["doc_id", "text_crc32", "size"])
+    # written first: range bounds are sampled from these few bytes a row, not by a second pass over the texts
+    numbered = global_row_number(materialise(rows), ["doc_id", "text_crc32", "size"])
     n = numbered.count()
     at = numbered.withColumn("position", permuted(F.col("row_number"), max(n, 1), seed))
     at = at.withColumn("position", F.when(F.col("position") < n, F.col("position"))
