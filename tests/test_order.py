@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 
 from tickwise.operators.order import (chrono_split, cumulative_sums, expanding_folds, fold_bounds,
-                                      linspace_np, linspace_positions, positional_slice, split_bounds,
+                                      linspace_positions, positional_slice, split_bounds,
                                       systematic_sample, with_row_index, zip_join)
 
 
@@ -65,7 +65,7 @@ def test_slice_and_zip_join(spark):
 def test_linspace_positions_and_sample(spark):
     for n in (1, 7, 499, 500, 10_000, 12_345):
         exact = linspace_positions(n, 500)
-        ref = linspace_np(n, 500)
+        ref = np.linspace(0, n - 1, 500, dtype=int)
         assert max(abs(a - b) for a, b in zip(exact, ref)) <= 1
     pdf = pd.DataFrame({"id": np.arange(2000), "t": np.arange(2000)})
     s = systematic_sample(spark.createDataFrame(pdf), ["t"], 500).toPandas()

@@ -50,3 +50,14 @@ def test_stream_asof_matches_batch_for_settled_rows(spark):
     a = {r.event_id: r.err_id for r in st.where(F.col("t_us") < settled).collect()}
     b = {r.event_id: r.err_id for r in batch.where(F.col("t_us") < settled).collect()}
     assert a == b and len(a) > 0
+
+
+def test_stream_reads_every_file_of_a_table(spark, tmp_dir):
+    """A table that is a folder of part files, met in several batches."""
+    from tickwise.streaming.stream import run_available, table_stream
+    src = spark.read.parquet(f"{SF}/events.parquet")
+    src.repartition(3).write.parquet(f"{tmp_dir}/events.parquet")
+    for per_trigger in (None, 1):
+        got = run_available(table_stream(spark, tmp_dir, "events", per_trigger))
+        assert got.count() == src.count()
+    assert run_available(table_stream(spark, SF, "events")).count() == src.count()

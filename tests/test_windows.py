@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from tickwise.functions.expr import nan_to_null
 from tickwise.operators.features import RollingLagFeatures
@@ -17,7 +18,6 @@ def _series(n=400, seed=3, null_frac=0.05):
     return pd.DataFrame({"rid": np.arange(n), "t": t, "v": v})
 
 
-import pytest  # noqa: E402
 
 
 @pytest.mark.parametrize("strategy", ["fixed", "depth"])
@@ -115,3 +115,24 @@ def test_rolling_depth_keyed_with_peers(spark):
     a, b = a.sort_values(key).reset_index(drop=True), b.sort_values(key).reset_index(drop=True)
     for c in ("v_roll_mean_w", "v_roll_std_w", "rate_w"):
         np.testing.assert_allclose(a[c].to_numpy(dtype=float), b[c].to_numpy(dtype=float), rtol=1e-9, atol=1e-12)
+
+
+@pytest.mark.parametrize("strategy", ["fixed", "depth"])
+@pytest.mark.parametrize("offset,scale", [(0, 1), (1e9, 0.1), (1e5, 0.01), (0, 1e-7), (0, 1e-13), (1e14, 1e3)])
+def test_rolling_std_at_any_magnitude(spark, strategy, offset, scale):
+    """The spread of a window is kept whatever the values' size."""
+    rng = np.random.default_rng(0)
+    t = np.sort(rng.integers(0, 3000, 200))
+    v = offset + rng.standard_normal(200) * scale
+    df = spark.createDataFrame(pd.DataFrame({"t": t, "i": range(200), "v": v}))
+    got = rolling_time_stats(df, "t", "v", {"w": 60}, strategy=strategy, target_rows=50).orderBy("i").toPandas()
+    own = [v[(t > x - 60) & (t <= x)] for x in t]
+    want = np.array([w.std(ddof=1) if len(w) > 1 else 0.0 for w in own])
+    assert np.abs(got.v_roll_std_w - want).max() < 1e-6 * scale
+    assert np.allclose(got.v_roll_mean_w, [w.mean() for w in own], rtol=1e-12)
+
+
+def test_rolling_skips_values_that_are_no_numbers(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, 3.0), (4, None), (5, float("inf"))], "t long, v double")
+    got = {r.t: (r.v_roll_mean_w, r.v_roll_std_w) for r in rolling_time_stats(df, "t", "v", {"w": 10}).collect()}
+    assert got[5][0] == pytest.approx(2.0) and got[5][1] == pytest.approx(2 ** 0.5) and got[2][0] == 1.0

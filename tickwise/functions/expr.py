@@ -48,9 +48,11 @@ def to_ns_ticks(df: DataFrame, col: str = "timestamp_ns") -> DataFrame:
 
 
 def ns_to_timestamp(c: str | Column) -> Column:
-    """Ns ticks -> UTC timestamp (microsecond precision; for display and
-    bucketing at >= 1 us only)."""
-    return F.timestamp_micros(F.floor(col_(c) / 1000).cast("long"))
+    """Ns ticks -> UTC timestamp, rounded down to the microsecond in integer
+    arithmetic (a double holds no ns tick of this century exactly)."""
+    ns = col_(c).cast("long")
+    thousand = F.lit(1000).cast("long")
+    return F.timestamp_micros(F.call_function("div", ns - F.pmod(ns, thousand), thousand))
 
 
 def coerce_numeric(df: DataFrame, cols: Sequence[str] = NUMERIC_COLS) -> DataFrame:
@@ -59,10 +61,11 @@ def coerce_numeric(df: DataFrame, cols: Sequence[str] = NUMERIC_COLS) -> DataFra
 
 
 def lenient_bool(c: str) -> Column:
-    """Numeric -> ``bool(int(x))`` (truncation: 0.5 -> False, 2 -> True);
-    boolean literals kept; anything else -> null."""
+    """Numeric -> ``bool(int(x))`` (truncation: 0.5 -> False, 2 -> True); the
+    words true and false in any case; anything else ("yes", "t") -> null."""
     num = F.expr(f"try_cast(try_cast(`{c}` as double) as bigint)")
-    return F.coalesce(num != 0, F.expr(f"try_cast(`{c}` as boolean)"))
+    word = F.lower(F.trim(F.col(c).cast("string")))
+    return F.coalesce(num != 0, F.when(word == "true", True).when(word == "false", False))
 
 
 def coerce_boolean(df: DataFrame, cols: Sequence[str] = BOOLEAN_COLS) -> DataFrame:

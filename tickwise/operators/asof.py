@@ -116,7 +116,7 @@ def asof_join(
 
     keys = [f"__asof_k{i}" for i in range(len(by))]
     tie_expr = F.col(right_tie) if right_tie else F.lit(0)
-    r_struct = F.struct(F.col(_T).alias("t"), F.col(_TIE).alias("tie"),
+    r_struct = F.struct(F.col(_T).alias("__t"), F.col(_TIE).alias("__tie"),
                         *[F.col(c).alias(c) for c in payload])
 
     lt = left.select(
@@ -163,10 +163,10 @@ def asof_join(
         carry = not replicate
 
     u = (
-        lt.select(*keys, _B, _T, F.lit(1).alias(_SIDE), F.lit(None).cast("long").alias(_TIE),
+        lt.select(*keys, _B, _T, F.lit(1).alias(_SIDE), F.lit(None).cast(rt.schema[_TIE].dataType).alias(_TIE),
                   F.col("__asof_l"), F.lit(None).cast(r_struct_type(rt, payload)).alias(_R))
         .unionByName(
-            rt.select(*keys, _B, _T, F.lit(0).alias(_SIDE), F.col(_TIE).cast("long").alias(_TIE),
+            rt.select(*keys, _B, _T, F.lit(0).alias(_SIDE), F.col(_TIE),
                       F.lit(None).cast(lt.schema["__asof_l"].dataType).alias("__asof_l"),
                       r_struct.alias(_R)))
     )
@@ -192,8 +192,8 @@ def asof_join(
 
     bw = F.col("__asof_bw") if direction != "forward" else F.lit(None)
     fw = F.col("__asof_fw") if direction != "backward" else F.lit(None)
-    bd = F.col(_T) - F.col("__asof_bw.t") if direction != "forward" else F.lit(None)
-    fd = F.col("__asof_fw.t") - F.col(_T) if direction != "backward" else F.lit(None)
+    bd = F.col(_T) - F.col("__asof_bw.__t") if direction != "forward" else F.lit(None)
+    fd = F.col("__asof_fw.__t") - F.col(_T) if direction != "backward" else F.lit(None)
     if direction == "backward":
         pick, dist = bw, bd
     elif direction == "forward":
@@ -215,7 +215,7 @@ def asof_join(
 
 def r_struct_type(rt: DataFrame, payload: list[str]):
     from pyspark.sql import types as T
-    fields = [T.StructField("t", rt.schema[_T].dataType), T.StructField("tie", T.LongType())]
+    fields = [T.StructField("__t", rt.schema[_T].dataType), T.StructField("__tie", rt.schema[_TIE].dataType)]
     fields += [T.StructField(c, rt.schema[c].dataType) for c in payload]
     return T.StructType(fields)
 
@@ -227,11 +227,15 @@ def _fill_from_neighbour_buckets(u, rt, keys, payload, direction, backward_takes
     window over buckets handles far fewer rows than the data.
     """
     part = [*keys, _B]
-    tie_last = F.col(_TIE) if backward_takes == "last" else -F.col(_TIE)
-    summ = rt.groupBy(*part).agg(
-        F.max_by(r_struct, F.struct(F.col(_T), tie_last)).alias("__asof_last"),
-        F.min_by(r_struct, F.struct(F.col(_T), F.col(_TIE))).alias("__asof_first"),
-    )
+    first = F.min_by(r_struct, F.struct(F.col(_T), F.col(_TIE)))
+    if backward_takes == "last":
+        last = F.max_by(r_struct, F.struct(F.col(_T), F.col(_TIE)))
+        summ = rt.groupBy(*part).agg(last.alias("__asof_last"), first.alias("__asof_first"))
+    else:
+        # the smallest tie at the last tick: ties of any type have no negative, so the ticks are found first
+        per_tick = rt.groupBy(*part, _T).agg(first.alias("__r"))
+        summ = per_tick.groupBy(*part).agg(F.max_by("__r", F.col(_T)).alias("__asof_last"),
+                                           F.min_by("__r", F.col(_T)).alias("__asof_first"))
     lb = u.select(*part).distinct()
     summ = summ.join(lb, part, "full")
     # both carries are running frames (O(n)); "unbounded following" frames

@@ -26,7 +26,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checked_broadcast
@@ -43,6 +43,11 @@ class EncoderSpec:
     frequency: Sequence[str] = ()
 
 
+def _number(c: str) -> Column:
+    """The column as double with NaN as null: a missing value either way."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
 @dataclass
 class TabularEncoderModel:
     """Fitted encoder. ``freq_maps`` are DataFrames (col -> (value, share))."""
@@ -65,7 +70,7 @@ class TabularEncoderModel:
     def transform(self, df: DataFrame, keep: Sequence[str] = (), assemble: str | None = None) -> DataFrame:
         exprs = [F.col(k) for k in keep]
         for c, med in self.medians.items():
-            x = F.coalesce(F.col(c).cast("double"), F.lit(med))
+            x = F.coalesce(_number(c), F.lit(med))
             exprs.append(((x - F.lit(self.means[c])) / F.lit(self.scales[c])).alias(f"num__{c}"))
         for c, cats in self.categories.items():
             v = F.coalesce(F.col(c).cast("string"), F.lit(MISSING))
@@ -130,7 +135,7 @@ def fit_encoder(train: DataFrame, spec: EncoderSpec) -> TabularEncoderModel:
         medians = {c: float(got[c]) for c in num if got.get(c) is not None}
         kept = list(medians)
         if kept:
-            imp = {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in kept}
+            imp = {c: F.coalesce(_number(c), F.lit(medians[c])) for c in kept}
             row = train.agg(*[F.avg(e).alias(f"a{i}") for i, e in enumerate(imp.values())],
                             *[F.stddev_pop(e).alias(f"s{i}") for i, e in enumerate(imp.values())]).first()
             for i, c in enumerate(kept):

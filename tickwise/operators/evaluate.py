@@ -106,8 +106,11 @@ def confusion(df: DataFrame, y: str, pred: str | Column) -> DataFrame:
 
 
 def calibration(df: DataFrame, y: str, p: str, n_bins: int = 10) -> DataFrame:
-    """Uniform right-closed bins, empty bins dropped; (bin, mean p, mean y)."""
-    b = (F.greatest(F.ceil(F.col(p) * n_bins), F.lit(1)) - 1).cast("int")
+    """Uniform right-closed bins, empty bins dropped; (bin, mean p, mean y).
+    A bin is the number of inner edges below the score; the edges are doubles
+    ``i * (1 / n)``, so a score on an edge falls where comparing puts it."""
+    edges = [float(x) for x in np.linspace(0.0, 1.0, n_bins + 1)[1:-1]]
+    b = sum(((F.col(p) > e).cast("int") for e in edges), F.lit(0))
     return df.where(F.col(p).isNotNull()).groupBy(b.alias("bin")).agg(
         F.count(F.lit(1)).alias("n"), F.avg(p).alias("prob_pred"), F.avg(F.col(y).cast("double")).alias("prob_true"))
 

@@ -21,7 +21,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,8 +46,9 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = ROW
     """
     spark = df.sparkSession
     pb = list(partition_by)
-    parts = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                                  df.rdd.getNumPartitions())
+    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # written before the bounds are sampled, so that the plan above runs once
+    df = cut_lineage(df)
     oc = [F.col(c) for c in pb] + _cols(order)
     ranged = (df.repartitionByRange(parts, *oc).sortWithinPartitions(*oc)
                 .withColumn("__pid", F.spark_partition_id())
@@ -160,11 +160,6 @@ def systematic_sample(df: DataFrame, order: Sequence[str | Column], k: int = 500
     return idx.join(F.broadcast(posdf), ROW_IDX, "left_semi")
 
 
-def linspace_np(n: int, k: int) -> np.ndarray:
-    """Reference form (float linspace, truncated) for comparison in tests."""
-    return np.linspace(0, n - 1, k, dtype=int)
-
-
 def cumulative_sums(df: DataFrame, order: Sequence[str | Column], cols: Sequence[str],
                     partition_by: Sequence[str] = (), suffix: str = "_cum",
                     num_partitions: int | None = None) -> DataFrame:
@@ -173,8 +168,9 @@ def cumulative_sums(df: DataFrame, order: Sequence[str | Column], cols: Sequence
     per-partition running sums, and offsets from a (partition, key) summary."""
     spark = df.sparkSession
     pb = list(partition_by)
-    parts = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                                  df.rdd.getNumPartitions())
+    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # written before the bounds are sampled, so that the plan above runs once
+    df = cut_lineage(df)
     oc = [F.col(c) for c in pb] + _cols(order)
     ranged = (df.repartitionByRange(parts, *oc).sortWithinPartitions(*oc)
                 .withColumn("__pid", F.spark_partition_id())

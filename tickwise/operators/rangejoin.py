@@ -84,6 +84,8 @@ def window_moments(series: DataFrame, centres: DataFrame, *, t_col: str, tie_col
     Exact running totals over (t, tie) (``order.cumulative_sums``, decimal
     sums) are read at the window edges with two as-of joins:
 
+    Sums are exact in a fixed-point scale about the series' mean (``Scaled``).
+
     * one backward lookup for three probes per centre: ``c-w-1``, ``c-1``
       (``t < x`` is ``t <= x-1`` on integer ticks) and ``c+w``;
     * one forward lookup at ``c`` for the first row at/after the centre (the
@@ -95,12 +97,16 @@ def window_moments(series: DataFrame, centres: DataFrame, *, t_col: str, tie_col
     """
     from .asof import asof_join
     from .order import cumulative_sums
+    from .window import Scaled, finite
     w = int(half_width)
+    v = finite(value_col)
+    centre = float(series.agg(F.avg(v)).first()[0] or 0.0)
+    spread = float(series.agg(F.max(F.abs(v - F.lit(centre)))).first()[0] or 0.0)
+    scaled = Scaled(F.lit(centre), F.lit(spread), 12)
     keys = list(centre_keys)
     s = series.select(F.col(t_col).cast("long").alias("__rt"), F.col(tie_col).alias("__rtie"),
                       F.lit(1).cast("long").alias("__one"),
-                      F.col(value_col).cast("double").cast("decimal(38,12)").alias("__xv"),
-                      F.col(value_col).cast("double").alias("__x"))
+                      scaled.first(v).cast("decimal(38,12)").alias("__xv"), v.alias("__x"))
     cum = cut_lineage(cumulative_sums(s, ["__rt", "__rtie"], ["__one", "__xv"]))
     tab = cum.select("__rt", "__rtie", F.col("__one_cum").alias("n"), F.col("__xv_cum").alias("s"), "__x")
     c = centres.select(*keys, F.col(centre_col).cast("long").alias("__c")).where(F.col("__c").isNotNull())
@@ -121,9 +127,10 @@ def window_moments(series: DataFrame, centres: DataFrame, *, t_col: str, tie_col
     n_mid, s_mid = F.coalesce("mid_n", z), F.coalesce("mid_s", z)
     n_hi, s_hi = F.coalesce("hi_n", z), F.coalesce("hi_s", z)
     post_all = n_hi - n_mid
+    total = lambda n, s: n * F.lit(centre) + s.cast("double") * scaled.scale
     return j.select(
         *keys, F.col("__c").alias(centre_col),
-        (n_mid - n_lo).alias("pre_n"), (s_mid - s_lo).cast("double").alias("pre_sum"),
+        (n_mid - n_lo).alias("pre_n"), total(n_mid - n_lo, s_mid - s_lo).alias("pre_sum"),
         F.when(post_all > 0, post_all - 1).otherwise(z).alias("post_n"),
-        F.when(post_all > 0, (s_hi - s_mid).cast("double") - F.col("ctr_x")).otherwise(F.lit(0.0))
+        F.when(post_all > 0, total(post_all, s_hi - s_mid) - F.col("ctr_x")).otherwise(F.lit(0.0))
         .alias("post_sum"))

@@ -79,8 +79,8 @@ def _quantile_cols(df: DataFrame, value: str, probs: Sequence[float], by: Sequen
 
 # ---------------------------------------------------------------- profiling
 def missing_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """A1: per column missing count and percent (2 dp), sorted desc.
-    NaN counts as missing (pandas ``isnull``)."""
+    """A1: per column missing count and percent (2 dp), most missing first (ties
+    in column order); ``position`` tells the order. NaN counts as missing."""
     cols = list(cols or df.columns)
     num = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
 
@@ -89,10 +89,11 @@ def missing_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
         return (m | F.isnan(c)) if c in num else m
     row = df.agg(F.count(F.lit(1)).alias("__n"),
                  *[F.sum(miss(c).cast("long")).alias(f"m{i}") for i, c in enumerate(cols)])
-    stack = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("missing"))
-                                for i, c in enumerate(cols)]))
-    out = row.select("__n", stack.alias("s")).select(
-        "s.column", "s.missing",
+    stack = F.posexplode(F.array_sort(F.array(*[
+        F.struct((-F.col(f"m{i}")).alias("less"), F.lit(i).alias("i"), F.lit(c).alias("column"), F.col(f"m{i}").alias("missing"))
+        for i, c in enumerate(cols)])))
+    out = row.select("__n", stack.alias("position", "s")).select(
+        "position", "s.column", "s.missing",
         F.round(F.col("s.missing") / F.col("__n") * 100, 2).alias("pct"))
     return out
 

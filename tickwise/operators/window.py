@@ -31,7 +31,47 @@ from .order import ROW_IDX, with_row_index
 
 _T, _OWN, _B = "__w_t", "__w_own", "__w_bucket"
 DEFAULT_INDEX_BUCKET = 1 << 18
-_DEC = "decimal(38,12)"
+
+
+class Scaled:
+    """Exact running sums of a double column at any magnitude.
+
+    Values are shifted by a centre and divided by the largest distance from it,
+    so they lie in [-1, 1]; as fixed-point numbers with ``digits`` decimals
+    their sums and sums of squares are exact, and differences of running
+    totals lose nothing. The variance is taken about the window's own mean, in
+    fixed point too, before anything becomes a double: its error stays below
+    1e-20 of the squared scale, whatever the prefix. Sums hold 10^(38 - 2 x
+    digits) rows.
+    """
+
+    def __init__(self, centre: Column, scale: Column, digits: int):
+        self.centre, self.digits = centre, digits
+        self.scale = F.when(scale > 0, scale).otherwise(F.lit(1.0))
+
+    def first(self, v: Column) -> Column:
+        return ((v - self.centre) / self.scale).cast(f"decimal({self.digits + 2},{self.digits})")
+
+    def second(self, v: Column) -> Column:
+        x = self.first(v)
+        return (x * x).cast(f"decimal(38,{2 * self.digits})")
+
+    def mean(self, n: Column, s: Column) -> Column:
+        return F.when(n > 0, self.centre + self.scale * (s.cast("double") / n))
+
+    def std(self, n: Column, s: Column, q: Column) -> Column:
+        """Sample standard deviation; null below two values."""
+        d = self.digits
+        mean = F.when(n > 0, (s / n.cast("decimal(12,0)")).cast(f"decimal({d + 2},{d})"))
+        about = q - F.lit(2) * (mean * s.cast(f"decimal({38 - d - 3},{d})")) + mean * mean * n.cast("decimal(12,0)")
+        var = F.greatest(about.cast("double"), F.lit(0.0)) / (n - 1)
+        return F.when(n > 1, F.sqrt(var) * self.scale)
+
+
+def finite(c: str | Column) -> Column:
+    """The column as double; NaN and infinities are missing."""
+    v = (F.col(c) if isinstance(c, str) else c).cast("double")
+    return F.when(~F.isnan(v) & (F.abs(v) != float("inf")), v)
 
 
 def _floor_div(col: str, width: int) -> Column:
@@ -64,9 +104,9 @@ def rolling_time_stats(
     Each statistic is a difference of two running totals inside the halo
     bucket: ``(-inf, t]`` minus ``(-inf, t - width]``. Both are growing
     frames, so the cost is O(rows) whatever the window width (a sliding RANGE
-    frame re-aggregates the whole frame for every row). Sums and sums of
-    squares accumulate as DECIMAL(38, 12), so the differences are exact and
-    the variance has no cancellation error from long prefixes.
+    frame re-aggregates the whole frame for every row). Sums are exact in a
+    fixed-point scale fitted to each bucket (``Scaled``), so values of any
+    size keep their variance.
 
     ``strategy="auto"`` measures the largest (key, bucket) group with one
     aggregate; above ``dense_rows`` (time span short against the windows, so
@@ -90,28 +130,28 @@ def rolling_time_stats(
                              mean_name, std_name, count_name)
         return out.drop(_T)
     x = x.withColumn(_B, F.explode(F.array(F.col(_OWN), F.col(_OWN) + 1)))
-    v = F.col(value_col).cast("double")
-    x = x.withColumn("__w_x", v.cast(_DEC)).withColumn("__w_x2", (v * v).cast(_DEC))
+    v, whole = F.col("__w_v"), Window.partitionBy(*partition_by, _B)
+    x = x.withColumn("__w_v", finite(value_col)).withColumn("__w_c", F.coalesce(F.avg("__w_v").over(whole), F.lit(0.0)))
+    x = x.withColumn("__w_s", F.max(F.abs(v - F.col("__w_c"))).over(whole))
+    scaled = Scaled(F.col("__w_c"), F.col("__w_s"), 14)
+    x = x.withColumn("__w_x", scaled.first(v)).withColumn("__w_x2", scaled.second(v))
     base = Window.partitionBy(*partition_by, _B).orderBy(_T)
     upto = base.rangeBetween(Window.unboundedPreceding, 0)
 
     def totals(frame):
-        return (F.count(value_col).over(frame), F.sum("__w_x").over(frame), F.sum("__w_x2").over(frame),
+        return (F.count("__w_v").over(frame), F.sum("__w_x").over(frame), F.sum("__w_x2").over(frame),
                 F.count(cc).over(frame))
     c1, s1, q1, k1 = totals(upto)
     cols = {}
     for label, width in widths.items():
         c0, s0, q0, k0 = totals(base.rangeBetween(Window.unboundedPreceding, -width))
         n = c1 - F.coalesce(c0, F.lit(0))
-        sx = (s1 - F.coalesce(s0, F.lit(0))).cast("double")
-        sq = (q1 - F.coalesce(q0, F.lit(0))).cast("double")
-        mean = F.when(n > 0, sx / n)
-        var = F.when(n > 1, F.greatest((sq - sx * sx / n) / (n - 1), F.lit(0.0)))
-        cols[mean_name.format(v=value_col, w=label)] = mean
-        cols[std_name.format(v=value_col, w=label)] = F.coalesce(F.sqrt(var), F.lit(0.0))
+        sx, sq = s1 - F.coalesce(s0, F.lit(0)), q1 - F.coalesce(q0, F.lit(0))
+        cols[mean_name.format(v=value_col, w=label)] = scaled.mean(n, sx)
+        cols[std_name.format(v=value_col, w=label)] = F.coalesce(scaled.std(n, sx, sq), F.lit(0.0))
         cols[count_name.format(v=value_col, w=label)] = (k1 - F.coalesce(k0, F.lit(0))).cast("double")
     x = x.withColumns(cols)
-    return x.where(F.col(_B) == F.col(_OWN)).drop(_T, _OWN, _B, "__w_x", "__w_x2")
+    return x.where(F.col(_B) == F.col(_OWN)).drop(_T, _OWN, _B, "__w_x", "__w_x2", "__w_v", "__w_c", "__w_s")
 
 
 def _rolling_depth(x: DataFrame, value_col: str, widths: Mapping[str, int], cc: str, pb: list[str],
@@ -128,9 +168,13 @@ def _rolling_depth(x: DataFrame, value_col: str, widths: Mapping[str, int], cc:
     """
     from .asof import asof_join
     from .buckets import fit_depth_buckets
-    v = F.col(value_col).cast("double")
-    x = x.withColumn("__w_x", v.cast(_DEC)).withColumn("__w_x2", (v * v).cast(_DEC)).withColumn(
-        "__w_c", F.col(value_col).isNotNull().cast("long")).withColumn("__w_k", F.col(cc).isNotNull().cast("long"))
+    # totals run over all buckets here, so one centre and scale serves all: two aggregates to two numbers
+    v = finite(value_col)
+    centre = float(x.agg(F.avg(v)).first()[0] or 0.0)
+    spread = float(x.agg(F.max(F.abs(v - F.lit(centre)))).first()[0] or 0.0)
+    scaled = Scaled(F.lit(centre), F.lit(spread), 12)
+    x = x.withColumn("__w_x", scaled.first(v)).withColumn("__w_x2", scaled.second(v)).withColumn(
+        "__w_c", v.isNotNull().cast("long")).withColumn("__w_k", F.col(cc).isNotNull().cast("long"))
     db = fit_depth_buckets(x.select(_T), _T, target_rows)
     x = db.assign(x, _T, _B)
     tots = ["__w_c", "__w_x", "__w_x2", "__w_k"]
@@ -151,11 +195,10 @@ def _rolling_depth(x: DataFrame, value_col: str, widths: Mapping[str, int], cc:
                         strategy="depth", target_rows=target_rows, right_prefix=f"__w{label}_").drop("__w_probe")
         d = {c: F.col(f"{c}_cum") - F.coalesce(F.col(f"__w{label}_{c}_at"), F.lit(0)) for c in tots}
         n = d["__w_c"]
-        sx, sq = d["__w_x"].cast("double"), d["__w_x2"].cast("double")
-        var = F.when(n > 1, F.greatest((sq - sx * sx / n) / (n - 1), F.lit(0.0)))
+        sx, sq = d["__w_x"], d["__w_x2"]
         out = out.withColumns({
-            mean_name.format(v=value_col, w=label): F.when(n > 0, sx / n),
-            std_name.format(v=value_col, w=label): F.coalesce(F.sqrt(var), F.lit(0.0)),
+            mean_name.format(v=value_col, w=label): scaled.mean(n, sx),
+            std_name.format(v=value_col, w=label): F.coalesce(scaled.std(n, sx, sq), F.lit(0.0)),
             count_name.format(v=value_col, w=label): d["__w_k"].cast("double"),
         }).drop(*[f"__w{label}_{c}_at" for c in tots])
     return out.drop(*tots, *[f"{c}_cum" for c in tots])

@@ -111,7 +111,7 @@ def e6(spark, sf_dir):
 
 
 @register("E7_calibration_curve", f"""WITH {PRED_SQL}
-SELECT CAST(greatest(ceil(score * 10), 1) - 1 AS INTEGER) AS bin, count(*) AS n, round(avg(score), 8) AS prob_pred,
+SELECT CAST((SELECT count(*) FROM range(1, 10) AS e(i) WHERE p.score > e.i * CAST(0.1 AS DOUBLE)) AS INTEGER) AS bin, count(*) AS n, round(avg(score), 8) AS prob_pred,
        round(avg(CAST(y_cls AS DOUBLE)), 8) AS prob_true
 FROM p WHERE score IS NOT NULL GROUP BY 1
 """)

@@ -21,11 +21,15 @@ def _union(parts):
     return "\nUNION ALL\n".join(parts)
 
 
+_A1_COLS = ["event_id", "user_id", "event_type", "value", "t_us", "err_id", "err_value", "gap_us"]
+
+
 @register("A1_missing_summary_after_asof", "WITH e AS (" + __import__(
-    "tickwise.plans.q_joins", fromlist=["_NEAREST_SQL"])._NEAREST_SQL + ")\n" + _union([
-        f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS missing, "
+    "tickwise.plans.q_joins", fromlist=["_NEAREST_SQL"])._NEAREST_SQL + "),\nm AS (" + _union([
+        f"SELECT {i} AS i, '{c}' AS \"column\", count(*) - count({c}) AS missing, "
         f"round((count(*) - count({c})) / count(*) * 100, 2) AS pct FROM e"
-        for c in ["event_id", "user_id", "event_type", "value", "t_us", "err_id", "err_value", "gap_us"]]))
+        for i, c in enumerate(_A1_COLS)]) + """)
+SELECT CAST(row_number() OVER (ORDER BY missing DESC, i) - 1 AS INTEGER) AS position, "column", missing, pct FROM m""")
 def a1(spark, sf_dir):
     from .q_joins import nearest_error
     return S.missing_summary(nearest_error(spark, sf_dir))
@@ -262,7 +266,7 @@ def c_exprs(spark, sf_dir):
 @register("C1_C4_C6_C7_C10_C16_C19_casts_and_units", """
 SELECT event_id,
        epoch_us(ts) * 1000 AS t_ns,
-       epoch_us(make_timestamp(CAST(floor(epoch_us(ts) * 1000 / 1000) AS BIGINT))) AS t_us_back,
+       (epoch_us(ts) * 1000 + event_id % 1000) // 1000 AS t_us_back,
        CAST(CAST(event_type = 'purchase' AS INTEGER) AS DOUBLE) AS is_purchase,
        round(value / 1000, 8) AS value_k,
        round_even(value / 3, 2) AS third_half_even,
@@ -278,7 +282,7 @@ def c_casts(spark, sf_dir):
     x = x.withColumn("is_purchase", F.col("event_type") == "purchase")
     x = bool_to_double(x)
     return x.select("event_id", F.col("ts").alias("t_ns"),
-                    F.unix_micros(ns_to_timestamp("ts")).alias("t_us_back"), "is_purchase",
+                    F.unix_micros(ns_to_timestamp(F.col("ts") + F.col("event_id") % 1000)).alias("t_us_back"), "is_purchase",
                     r8(unit_scale("value", 1000)).alias("value_k"),
                     round_half_even(F.col("value") / 3, 2).alias("third_half_even"),
                     F.col("user_id").cast("bigint").alias("user_key"),

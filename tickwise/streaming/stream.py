@@ -21,13 +21,17 @@ from ..session import ensure_checkpoint_dir
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of ``{sf_dir}/{name}.parquet`` (file source on the folder
-    with a glob filter; schema from the batch reader)."""
-    schema = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    """Streaming scan of the table ``{sf_dir}/{name}.parquet``, whether it is one
+    file or a folder of part files (schema from the batch reader). A streaming
+    source reads folders, so a single file is picked out of its folder by name."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    folder = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hpath).isDirectory()
+    r = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(sf_dir)
+    return r.parquet(path) if folder else r.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def run_available(df: DataFrame, output_mode: str = "append", label: str = "stream") -> DataFrame:
