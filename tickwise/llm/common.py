@@ -15,7 +15,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     # whole texts travel in these batches: few rows keep a worker's memory small where texts are long
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "200")
     return spark
 
 
