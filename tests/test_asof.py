@@ -93,15 +93,13 @@ def test_plan_has_no_cartesian_or_single_partition(spark):
     assert "CartesianProduct" not in plan and "SinglePartition" not in plan
 
 
-def test_auto_switches_to_depth_when_dense(spark):
+def test_rows_inside_one_tolerance_are_cut_by_depth(spark):
     # every row inside one tolerance: fixed buckets would put all rows in one task
     left, right = _frames(5, 400, 200, 50)
     right = right.drop_duplicates(["rt", "rk"])
     exp = _pandas(left, right, "nearest", 1000, True)
     df = asof_join(spark.createDataFrame(left), spark.createDataFrame(right), on="t", right_on="rt", by="k",
-                   right_by="rk", tolerance=1000, right_tie="rid", dense_rows=100, target_rows=40)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "__fine" in plan
+                   right_by="rk", tolerance=1000, right_tie="rid", target_rows=40)
     got = df.toPandas().set_index("lid")["rid"].reindex(exp.index)
     assert ((exp.isna() & got.isna()) | (exp == got)).all()
 

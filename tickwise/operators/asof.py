@@ -5,18 +5,16 @@ nearest (or last before / first after), optionally within a tolerance.
 
 Plan shape (no fan-out, no cartesian product, no single partition):
 
-* The ordering axis is cut into buckets of width ``B``. With a tolerance,
-  ``B >= tolerance``; each right row is copied into its own bucket and both
-  neighbours (3 copies), so every candidate within tolerance of a left row
-  sits in the left row's (key, bucket) partition.
-* Left and right rows are unioned with a side flag and one hash exchange on
+* The ordering axis is cut into equi-depth buckets (``buckets.py``); left and
+  right rows are unioned with a side flag and one hash exchange on
   (key, bucket). Backward match = ``last(right, ignorenulls)`` over a running
   frame ordered by (t, right-first, tie); forward match is the same running
   frame over the descending order. Both are O(n) running frames.
-* Without a tolerance a per-(key, bucket) summary (last / first right row,
-  tiny compared with the data) is carried across buckets with a window over
-  buckets, and joined back on (key, bucket) to fill rows whose own bucket has
-  no candidate.
+* A per-(key, bucket) summary (last / first right row, tiny compared with the
+  data) is carried across buckets with a window over buckets, and joined back
+  on (key, bucket) to fill rows whose own bucket has no candidate.
+* ``strategy="fixed"`` cuts the axis into equal widths instead; with a
+  tolerance each right row is then copied into both neighbouring buckets.
 
 A hot key only ever sits in one partition per bucket, so its work is spread
 over as many tasks as it has buckets.
@@ -69,9 +67,8 @@ def asof_join(
     bucket_width: float | None = None,
     right_prefix: str = "",
     distance_col: str | None = None,
-    strategy: str = "auto",
-    target_rows: int = 1_000_000,
-    dense_rows: int = 4_000_000,
+    strategy: str = "depth",
+    target_rows: int = 20_000,
 ) -> DataFrame:
     """Left as-of join of ``left`` to ``right`` on the ordering column ``on``.
 
@@ -85,25 +82,20 @@ def asof_join(
     All right columns except the key/ordering columns are appended, prefixed
     with ``right_prefix``.
 
-    ``strategy``: ``fixed`` uses fixed-width buckets (width = tolerance or
-    ``bucket_width``); ``depth`` uses equi-depth buckets of about
-    ``target_rows`` rows (``buckets.py``) with the cross-bucket carry, so
-    density never concentrates rows in one task; ``auto`` measures the largest
-    fixed-width (key, bucket) group with one aggregate and switches to
-    ``depth`` above ``dense_rows`` (or when there is neither a tolerance nor
-    a bucket width).
+    ``strategy``: ``depth`` uses equi-depth buckets of about ``target_rows``
+    rows (``buckets.py``) with the cross-bucket carry, so density never
+    concentrates rows in one task; ``fixed``, for axes known to be even, uses
+    fixed-width buckets (width = tolerance or ``bucket_width``).
     """
     if direction not in ("backward", "forward", "nearest"):
         raise ValueError(f"direction {direction!r}")
     by = [by] if isinstance(by, str) else list(by or [])
     right_by = [right_by] if isinstance(right_by, str) else list(right_by or by)
     right_on = right_on or on
-    if strategy not in ("auto", "fixed", "depth"):
+    if strategy not in ("fixed", "depth"):
         raise ValueError(f"strategy {strategy!r}")
-    if tolerance is None and bucket_width is None:
-        if strategy == "fixed":
-            raise ValueError("a fixed-bucket unbounded as-of join needs bucket_width")
-        strategy = "depth"
+    if tolerance is None and bucket_width is None and strategy == "fixed":
+        raise ValueError("a fixed-bucket unbounded as-of join needs bucket_width")
     width = float(bucket_width or tolerance or 1.0)
     if tolerance is not None and width < tolerance:
         raise ValueError("bucket_width must be >= tolerance")
@@ -135,16 +127,6 @@ def asof_join(
 
     integral = lt.schema[_T].dataType.simpleString() == "bigint"
     replicate = tolerance is not None
-    if strategy == "auto":
-        strategy = "fixed"
-        lt_b = lt.withColumn(_B, _bucket(_T, width, integral))
-        rt_b = rt.withColumn(_B, F.explode(F.array(*[
-            _bucket(_T, width, integral) + F.lit(d) for d in ((-1, 0, 1) if replicate else (0,))])))
-        sizes = (lt_b.select(*keys, _B).unionByName(rt_b.select(*keys, _B))
-                 .groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("n")))
-        biggest = sizes.agg(F.max("n")).first()[0] or 0
-        if biggest > dense_rows:
-            strategy = "depth"
     if strategy == "depth":
         from .buckets import fit_depth_buckets
         axis = lt.select(F.col(_T)).unionByName(rt.select(F.col(_T)))

@@ -1,71 +1,55 @@
-"""Equi-depth time buckets (density-robust partitioning of an ordering axis).
+"""Equi-depth buckets of an ordering axis (density-robust partitioning).
 
 Fixed-width time buckets collapse when the data are dense relative to the
-bucket width (e.g. all rows inside one tolerance or one window). Equi-depth
-buckets hold about ``target_rows`` rows each whatever the density:
-
-1. fine buckets of fixed width ``span / max_fine`` (one aggregate gives the
-   span);
-2. a row count per fine bucket (partial aggregate; at most ``max_fine`` rows);
-3. running counts over the fine buckets (a window over that small summary)
-   cut into coarse buckets of ``target_rows``;
-4. the fine -> coarse map (<= ``max_fine`` rows, size-checked broadcast) is
-   joined back.
-
-Coarse ids are non-decreasing in the ordering value, and equal values always
-share a bucket. Only a single fine bucket holding more than ``target_rows``
-rows stays unsplit (one tick value carrying that many rows).
+bucket width (all rows inside one tolerance, or one stray timestamp that
+stretches the axis). Equi-depth buckets hold about ``target_rows`` rows each
+whatever the density: cut points are quantiles of the values, taken from a
+mergeable sketch that every task fills over its rows (one pass, no shuffle of
+rows). A bucket id is the number of cuts at or below the value, found by
+binary search in a literal array, so rows are assigned where they lie.
+
+Ids never fall as the value grows, and equal values always share a bucket:
+only one value that carries more than ``target_rows`` rows makes a bucket
+larger. The sketch's rank error is a quarter of a bucket, so a bucket holds at
+most one and a half times its share besides that.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-
-DEFAULT_MAX_FINE = 1 << 20
+MAX_BUCKETS = 1 << 16
 
 
 class DepthBuckets:
-    """Fitted fine -> coarse map for one ordering axis."""
+    """Fitted cut points of one ordering axis (at most MAX_BUCKETS numbers)."""
 
-    def __init__(self, lo: float, width: float, mapping: DataFrame, integral: bool):
-        self.lo, self.width, self.mapping, self.integral = lo, width, mapping, integral
+    def __init__(self, cuts: list[int] | list[float]):
+        self.cuts = cuts
 
-    def fine(self, t: Column) -> Column:
-        if self.integral:
-            return F.floor((t - F.lit(int(self.lo))) / F.lit(int(self.width))).cast("long")
-        return F.floor((t - F.lit(float(self.lo))) / F.lit(float(self.width))).cast("long")
+    def id_of(self, t: Column) -> Column:
+        if not self.cuts:
+            return F.lit(0)
+        n = len(self.cuts)
+        cuts = F.lit(self.cuts)
+        steps = F.lit([1 << k for k in range(n.bit_length() - 1, -1, -1)])
+        found = F.reduce(steps, F.lit(0), lambda at, s: F.when(
+            (at + s <= n) & (F.get(cuts, F.least(at + s, F.lit(n)) - 1) <= t), at + s).otherwise(at))
+        return F.when(t.isNull(), F.lit(0)).otherwise(found)
 
     def assign(self, df: DataFrame, t_col: str, out: str) -> DataFrame:
-        """Add the coarse bucket id ``out`` for ordering column ``t_col``."""
-        x = df.withColumn("__fine", self.fine(F.col(t_col)))
-        m = self.mapping.withColumnRenamed("coarse", out)
-        return x.join(m, "__fine", "left").drop("__fine")
-
-
-def fit_depth_buckets(values: DataFrame, t_col: str, target_rows: int,
-                      max_fine: int = DEFAULT_MAX_FINE) -> DepthBuckets:
-    """Fit equi-depth buckets on the (non-null) values of ``t_col``."""
-    integral = values.schema[t_col].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint")
-    lo, hi = values.agg(F.min(t_col), F.max(t_col)).first()
-    if lo is None:
-        lo, hi = 0, 0
-    span = float(hi) - float(lo)
-    if integral:
-        width = max(1, math.ceil((int(hi) - int(lo) + 1) / max_fine))
-    else:
-        width = span / max_fine if span > 0 else 1.0
-    b = DepthBuckets(lo, width, None, integral)
-    counts = values.where(F.col(t_col).isNotNull()).groupBy(b.fine(F.col(t_col)).alias("__fine")).agg(
-        F.count(F.lit(1)).alias("__n"))
-    before = F.coalesce(F.sum("__n").over(Window.orderBy("__fine").rowsBetween(Window.unboundedPreceding, -1)),
-                        F.lit(0))
-    mapping = counts.select("__fine", (before / F.lit(int(target_rows))).cast("long").alias("coarse"))
-    # at most max_fine + 1 rows by construction (fine ids lie in [0, max_fine]);
-    # written once so every side that is bucketed reuses it
-    b.mapping = F.broadcast(cut_lineage(mapping))
-    return b
+        """Add the bucket id ``out`` of the ordering column ``t_col``."""
+        return df.withColumn(out, self.id_of(F.col(t_col)))
+
+
+def fit_depth_buckets(values: DataFrame, t_col: str, target_rows: int, max_buckets: int = MAX_BUCKETS) -> DepthBuckets:
+    """Cut points for buckets of about ``target_rows`` (non-null) values."""
+    kind = values.schema[t_col].dataType.simpleString()
+    integral = kind in ("bigint", "int", "smallint", "tinyint")
+    n = values.where(F.col(t_col).isNotNull()).count()
+    k = min(max_buckets, -(-n // int(target_rows)))
+    if k <= 1:
+        return DepthBuckets([])
+    got = values.select(F.col(t_col).cast("double").alias("t")).approxQuantile("t", [i / k for i in range(1, k)], 1 / (4 * k))
+    return DepthBuckets(sorted({int(x) if integral else float(x) for x in got}))

@@ -90,9 +90,8 @@ def rolling_time_stats(
     mean_name: str = "{v}_roll_mean_{w}",
     std_name: str = "{v}_roll_std_{w}",
     count_name: str = "rate_{w}",
-    strategy: str = "auto",
-    target_rows: int = 1_000_000,
-    dense_rows: int = 4_000_000,
+    strategy: str = "depth",
+    target_rows: int = 20_000,
 ) -> DataFrame:
     """Rolling mean, sample std (single row -> 0) and non-null count of
     ``count_col`` (default ``value_col``) over ``(t - width, t]`` per window.
@@ -108,12 +107,10 @@ def rolling_time_stats(
     fixed-point scale fitted to each bucket (``Scaled``), so values of any
     size keep their variance.
 
-    ``strategy="auto"`` measures the largest (key, bucket) group with one
-    aggregate; above ``dense_rows`` (time span short against the windows, so
-    halo buckets would hold most rows) it switches to ``depth``: running
-    totals over equi-depth buckets with carried offsets, and the total at
-    ``t - width`` looked up with a backward as-of join (see
-    ``_rolling_depth``).
+    ``strategy="depth"`` runs totals over equi-depth buckets with carried
+    offsets and looks the total at ``t - width`` up with a backward as-of join
+    (``_rolling_depth``), whatever the density; ``fixed``, for axes known to be
+    even, uses halo buckets.
     """
     widths = {k: int(v) for k, v in windows.items()}
     bw = int(bucket_width or max(widths.values()))
@@ -122,9 +119,6 @@ def rolling_time_stats(
     cc = count_col or value_col
     x = df.withColumn(_T, tick_col(df, t_col))
     x = x.withColumn(_OWN, _floor_div(_T, bw))
-    if strategy == "auto":
-        biggest = x.groupBy(*partition_by, _OWN).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-        strategy = "depth" if 2 * (biggest or 0) > dense_rows else "fixed"
     if strategy == "depth":
         out = _rolling_depth(x.drop(_OWN), value_col, widths, cc, list(partition_by), target_rows,
                              mean_name, std_name, count_name)
