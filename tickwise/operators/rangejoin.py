@@ -100,9 +100,8 @@ def window_moments(series: DataFrame, centres: DataFrame, *, t_col: str, tie_col
     from .window import Scaled, finite
     w = int(half_width)
     v = finite(value_col)
-    centre = float(series.agg(F.avg(v)).first()[0] or 0.0)
-    spread = float(series.agg(F.max(F.abs(v - F.lit(centre)))).first()[0] or 0.0)
-    scaled = Scaled(F.lit(centre), F.lit(spread), 12)
+    centre, low, high = (float(z or 0.0) for z in series.agg(F.avg(v), F.min(v), F.max(v)).first())
+    scaled = Scaled(F.lit(centre), F.lit(max(high - centre, centre - low)), 12)
     keys = list(centre_keys)
     s = series.select(F.col(t_col).cast("long").alias("__rt"), F.col(tie_col).alias("__rtie"),
                       F.lit(1).cast("long").alias("__one"),

@@ -26,7 +26,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import tick_col
+from ..session import cut_lineage, tick_col
 from .order import ROW_IDX, with_row_index
 
 _T, _OWN, _B = "__w_t", "__w_own", "__w_bucket"
@@ -157,16 +157,15 @@ def _rolling_depth(x: DataFrame, value_col: str, widths: Mapping[str, int], cc:
        buckets of the key -> cumulative count / sum / sum of squares at every
        row (exact decimals).
     2. For each window, the cumulative totals at ``t - width`` come from a
-       backward as-of join (equi-depth strategy) of (key, t - width) against the
-       cumulative table; the window value is the difference.
+       backward as-of join of (key, t - width) against the cumulative table; the
+       window value is the difference.
     """
     from .asof import asof_join
     from .buckets import fit_depth_buckets
-    # totals run over all buckets here, so one centre and scale serves all: two aggregates to two numbers
+    # totals run over all buckets here, so one centre and scale serves all: one aggregate to three numbers
     v = finite(value_col)
-    centre = float(x.agg(F.avg(v)).first()[0] or 0.0)
-    spread = float(x.agg(F.max(F.abs(v - F.lit(centre)))).first()[0] or 0.0)
-    scaled = Scaled(F.lit(centre), F.lit(spread), 12)
+    centre, low, high = (float(z or 0.0) for z in x.agg(F.avg(v), F.min(v), F.max(v)).first())
+    scaled = Scaled(F.lit(centre), F.lit(max(high - centre, centre - low)), 12)
     x = x.withColumn("__w_x", scaled.first(v)).withColumn("__w_x2", scaled.second(v)).withColumn(
         "__w_c", v.isNotNull().cast("long")).withColumn("__w_k", F.col(cc).isNotNull().cast("long"))
     db = fit_depth_buckets(x.select(_T), _T, target_rows)
@@ -181,21 +180,25 @@ def _rolling_depth(x: DataFrame, value_col: str, widths: Mapping[str, int], cc:
     x = x.join(summ, [*pb, _B], "left")
     x = x.withColumns({f"{c}_cum": F.col(f"{c}_run") + F.col(f"{c}_off") for c in tots}).drop(
         *[f"{c}_run" for c in tots], *[f"{c}_off" for c in tots], _B)
+    # the probes of all windows go through one as-of join, as narrow rows; written once, since both sides read it
+    x = cut_lineage(x.withColumn("__w_id", F.monotonically_increasing_id()))
     cum = x.select(*pb, F.col(_T).alias("__w_tc"), *[F.col(f"{c}_cum").alias(f"{c}_at") for c in tots])
-    out = x
-    for label, width in widths.items():
-        probe = out.withColumn("__w_probe", F.col(_T) - F.lit(int(width)))
-        out = asof_join(probe, cum, on="__w_probe", right_on="__w_tc", by=pb or None, direction="backward",
-                        strategy="depth", target_rows=target_rows, right_prefix=f"__w{label}_").drop("__w_probe")
-        d = {c: F.col(f"{c}_cum") - F.coalesce(F.col(f"__w{label}_{c}_at"), F.lit(0)) for c in tots}
+    edges = F.array(*[F.col(_T) - F.lit(int(w)) for w in widths.values()])
+    probes = x.select("__w_id", *pb, F.posexplode(edges).alias("__w_k", "__w_probe"))
+    got = asof_join(probes, cum, on="__w_probe", right_on="__w_tc", by=pb or None, direction="backward", target_rows=target_rows)
+    at = got.groupBy("__w_id").agg(*[F.max(F.when(F.col("__w_k") == k, F.col(f"{c}_at"))).alias(f"{c}_at{k}")
+                                     for k in range(len(widths)) for c in tots])
+    out = x.join(at, "__w_id")
+    for k, label in enumerate(widths):
+        d = {c: F.col(f"{c}_cum") - F.coalesce(F.col(f"{c}_at{k}"), F.lit(0)) for c in tots}
         n = d["__w_c"]
         sx, sq = d["__w_x"], d["__w_x2"]
         out = out.withColumns({
             mean_name.format(v=value_col, w=label): scaled.mean(n, sx),
             std_name.format(v=value_col, w=label): F.coalesce(scaled.std(n, sx, sq), F.lit(0.0)),
             count_name.format(v=value_col, w=label): d["__w_k"].cast("double"),
-        }).drop(*[f"__w{label}_{c}_at" for c in tots])
-    return out.drop(*tots, *[f"{c}_cum" for c in tots])
+        })
+    return out.drop("__w_id", *tots, *[f"{c}_cum" for c in tots], *[f"{c}_at{k}" for k in range(len(widths)) for c in tots])
 
 
 def _index_buckets(idx: DataFrame, halo: int, bucket_rows: int, idx_col: str = ROW_IDX) -> DataFrame:
