@@ -67,3 +67,26 @@ def test_row_index_runs_its_input_once(spark):
     df = spark.range(1000).repartition(3).mapInArrow(count, "id long")
     out, n = with_row_index(df, ["id"])
     assert n == 1000 and out.where("row_idx = id").count() == 1000 and seen.value == 1000
+
+
+def test_quantiles_of_few_values(spark):
+    """Values shared by many rows are added up first; positions are exact."""
+    from tickwise.operators.stats import exact_quantiles
+    rng = np.random.default_rng(4)
+    v = np.concatenate([rng.integers(0, 3, 900), rng.normal(size=101) * 5]).astype(float)
+    g = np.concatenate([np.zeros(900, int), np.ones(101, int)])
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(g, v)] + [(2, 7.0), (1, None), (0, float("nan"))], "g int, v double")
+    qs = [0.0, 0.05, 0.25, 0.5, 0.95, 1.0]
+    got = {r.g: list(r)[1:] for r in exact_quantiles(df, "v", qs, ["g"]).collect()}
+    for k in (0, 1):
+        assert np.allclose(got[k], np.quantile(v[g == k], qs))
+    assert got[2] == [7.0] * 6
+    assert np.allclose(list(exact_quantiles(df, "v", qs).first()), np.quantile(np.append(v, 7.0), qs))
+
+
+def test_domains_beyond_the_limit_are_refused(spark):
+    from tickwise.operators.stats import pivot_mean
+    df = spark.range(50).selectExpr("id % 2 AS i", "id AS c", "1.0D AS v")
+    with pytest.raises(ValueError, match="more than 20"):
+        pivot_mean(df, "i", "c", "v", max_columns=20)
+    assert len(pivot_mean(df, "i", "c", "v").columns) == 51

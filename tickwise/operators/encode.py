@@ -29,8 +29,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checked_broadcast
+from ..session import bounded_values, checked_broadcast
 
+MAX_CATEGORIES = 2000
 MISSING = "__MISSING__"
 ORDINAL_FILL = "Normal"
 
@@ -146,7 +147,9 @@ def fit_encoder(train: DataFrame, spec: EncoderSpec) -> TabularEncoderModel:
     if spec.onehot:
         doms = train.select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("c"), F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias("v"))
-            for c in spec.onehot])).alias("s")).select("s.*").distinct().collect()
+            for c in spec.onehot])).alias("s")).select("s.*").distinct()
+        # every category becomes a column, so the domains are bounded by what a plan can hold
+        doms = bounded_values(doms, MAX_CATEGORIES * len(spec.onehot), f"one-hot domains of {list(spec.onehot)}")
         for c in spec.onehot:
             categories[c] = sorted(r["v"] for r in doms if r["c"] == c)
     freq_maps = {c: frequency_map(train, c) for c in spec.frequency}

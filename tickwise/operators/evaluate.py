@@ -15,6 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checked_broadcast
 from . import stats as S
 from .order import cumulative_sums
 
@@ -65,7 +66,7 @@ def score_table(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> Da
         F.sum((F.col(y) == 1).cast("long")).alias("pos"), F.sum((F.col(y) != 1).cast("long")).alias("neg"))
     c = cumulative_sums(g, [F.col(score).desc()], ["pos", "neg"], partition_by=by)
     tot = g.groupBy(*by).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    c = c.join(F.broadcast(tot), list(by)) if by else S.attach_row(c, tot)
+    c = c.join(checked_broadcast(tot), list(by)) if by else S.attach_row(c, tot)
     return c.select(*by, score, "pos", "neg", F.col("pos_cum").alias("tp"), F.col("neg_cum").alias("fp"),
                     "n_pos", "n_neg",
                     _safe_div(F.col("neg_cum"), F.col("n_neg")).alias("fpr"),

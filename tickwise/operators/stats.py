@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions.dist import student_t_two_sided_p
 from ..functions.hashing import poisson1_weights
-from ..session import checked_broadcast
+from ..session import bounded_values, checked_broadcast, cut_lineage
 
 CHUNK_ROWS = 2048
 
@@ -44,32 +44,30 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     of non-null ``value`` per group, one row per group with columns
     ``{prefix}0, {prefix}1, ...`` in ``probs`` order.
 
-    Distributed: a per-group dense rank from ``order.with_row_index`` (range
-    partitioned on (group, value), so a hot group is split over many tasks),
-    group sizes, then a semi-join on the <= 2 * len(probs) positions needed
-    per group. No task ever holds a whole group (``percentile`` would).
+    Distributed: rows are first added up to (group, value, count), so a value
+    that many rows share is one row; running counts per group
+    (``order.cumulative_sums``, range partitioned on (group, value)) tell which
+    positions a value covers; one grouped aggregate picks the two values around
+    each quantile. No task ever holds a whole group (``percentile`` would).
     """
-    from .order import ROW_IDX, with_row_index
+    from .order import cumulative_sums
     by = list(by)
     x = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(
         *by, F.col(value).cast("double").alias("__v"))
-    idx, _ = with_row_index(x, ["__v"], partition_by=by)
-    n = idx.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-    pos_rows = []
+    counts = x.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    cum = cut_lineage(cumulative_sums(counts, ["__v"], ["__c"], partition_by=by))
+    n = cum.groupBy(*by).agg(F.sum("__c").alias("__n"))
+    j = cum.join(checked_broadcast(n), by) if by else attach_row(cum, n)
+    first, end = F.col("__c_cum") - F.col("__c"), F.col("__c_cum")
+    aggs = []
     for i, q in enumerate(probs):
         h = (F.col("__n") - 1) * F.lit(float(q))
-        pos_rows.append(F.struct(F.lit(i).alias("qi"), F.floor(h).cast("long").alias("lo"),
-                                 F.ceil(h).cast("long").alias("hi"), (h - F.floor(h)).alias("frac")))
-    pos = n.select(*by, F.explode(F.array(*pos_rows)).alias("p")).select(*by, "p.*")
-    need = pos.select(*by, F.explode(F.array_distinct(F.array("lo", "hi"))).alias(ROW_IDX)).distinct()
-    picked = idx.join(checked_broadcast(need), [*by, ROW_IDX], "left_semi")
-    lo = picked.select(*by, F.col(ROW_IDX).alias("lo"), F.col("__v").alias("v_lo"))
-    hi = picked.select(*by, F.col(ROW_IDX).alias("hi"), F.col("__v").alias("v_hi"))
-    j = pos.join(lo, [*by, "lo"]).join(hi, [*by, "hi"])
-    val = F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))
-    wide = j.groupBy(*by).agg(*[F.max(F.when(F.col("qi") == i, val)).alias(f"{prefix}{i}")
-                                for i in range(len(probs))])
-    return wide
+        for name, at in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            aggs.append(F.max(F.when((first <= at) & (at < end), F.col("__v"))).alias(f"__{name}{i}"))
+        aggs.append(F.max(h - F.floor(h)).alias(f"__f{i}"))
+    got = j.groupBy(*by).agg(*aggs)
+    return got.select(*by, *[(F.col(f"__lo{i}") + F.col(f"__f{i}") * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(f"{prefix}{i}")
+                             for i in range(len(probs))])
 
 
 def _quantile_cols(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str], names: Sequence[str]):
@@ -189,10 +187,11 @@ def named_agg(df: DataFrame, by: Sequence[str], aggs: Mapping[str, Column], drop
     return x.groupBy(*by).agg(*[c.alias(n) for n, c in aggs.items()])
 
 
-def pivot_mean(df: DataFrame, index: str, columns: str, value: str) -> DataFrame:
-    """``pivot_table(aggfunc='mean')`` (column values are a small domain)."""
-    vals = [r[0] for r in df.where(F.col(columns).isNotNull()).select(columns).distinct()
-            .orderBy(columns).collect()]
+def pivot_mean(df: DataFrame, index: str, columns: str, value: str, max_columns: int = 1000) -> DataFrame:
+    """``pivot_table(aggfunc='mean')``. Column values become columns of the
+    plan; more than ``max_columns`` of them is an error."""
+    found = df.where(F.col(columns).isNotNull()).select(columns).distinct()
+    vals = sorted(r[0] for r in bounded_values(found, max_columns, f"pivot of {columns}"))
     return df.where(F.col(index).isNotNull()).groupBy(index).pivot(columns, vals).agg(F.avg(value))
 
 
@@ -222,7 +221,7 @@ def histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] = ()) -> Dat
     ``bin = least(floor((x - min) * n / (max - min)), n - 1)``."""
     x = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double")))
     rng = x.groupBy(*by).agg(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi"))
-    j = x.join(F.broadcast(rng), list(by), "inner") if by else attach_row(x, rng)
+    j = x.join(checked_broadcast(rng), list(by), "inner") if by else attach_row(x, rng)
     width = F.col("hi") - F.col("lo")
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col(col) - F.col("lo")) * bins / width), F.lit(bins - 1))).cast("int")

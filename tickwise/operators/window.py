@@ -26,7 +26,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, tick_col
+from ..session import bounded_values, cut_lineage, tick_col
 from .order import ROW_IDX, with_row_index
 
 _T, _OWN, _B = "__w_t", "__w_own", "__w_bucket"
@@ -342,5 +342,5 @@ def grouped_bin_counts(df: DataFrame, key: str, t_col: str, width: int, *,
     long = long.select(key, (F.col(_OWN) * width).alias(bin_col), F.col("n").cast("long").alias("n"))
     if not wide:
         return long
-    keys = [r[0] for r in long.select(key).distinct().orderBy(key).collect()]
+    keys = sorted(r[0] for r in bounded_values(long.where(F.col(key).isNotNull()).select(key).distinct(), 1000, f"pivot of {key}"))
     return long.groupBy(bin_col).pivot(key, keys).agg(F.sum("n")).fillna(0)

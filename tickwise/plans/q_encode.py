@@ -80,16 +80,16 @@ def f7(spark, sf_dir):
 
 @register("F6_J9_frequency_encoding", """
 WITH f AS (SELECT p_brand AS v, count(*) / sum(count(*)) OVER () AS share FROM part
-           WHERE p_brand IS NOT NULL AND p_size <= 25 GROUP BY 1)
+           WHERE p_brand IS NOT NULL GROUP BY 1)
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, round(coalesce(f.share, 0.0), 8) AS freq__p_brand_freq
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN f ON p.p_brand = f.v
 """)
 def f6(spark, sf_dir):
-    """Brand frequency fitted on small parts (size <= 25), applied to every
-    line item through a broadcast lookup; unseen brands -> 0."""
+    """Brand frequency fitted on all parts, applied to every line item through
+    a size-checked lookup."""
     t = Tables(spark, sf_dir)
     part = t.part
-    model = fit_encoder(part.where(F.col("p_size") <= 25), EncoderSpec(frequency=["p_brand"]))
+    model = fit_encoder(part, EncoderSpec(frequency=["p_brand"]))
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey").join(
         part.select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey")
     enc = model.transform(li, keep=["l_orderkey", "l_linenumber", "l_partkey"])

@@ -138,6 +138,15 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     return F.broadcast(df) if n <= cap else df
 
 
+def bounded_values(df: DataFrame, limit: int, what: str) -> list:
+    """The rows of ``df`` for the driver (pivot columns, category domains):
+    refused with an error beyond ``limit`` rows, never cut short."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"{what}: more than {limit} distinct values; raise the limit or group them first")
+    return rows
+
+
 def ticks(col: str | Column, dtype: T.DataType | None = None) -> Column:
     """Integer time ticks for a time column.
 
