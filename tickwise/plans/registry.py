@@ -43,7 +43,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> dict[str, tuple[Builder, str | None]]:
     from . import q_joins  # noqa: F401  (modules register on import)
     for mod in ("q_order", "q_windows", "q_stats", "q_sampling", "q_encode", "q_eval",
-                "q_causal", "q_models", "q_streaming", "q_sources"):
+                "q_causal", "q_models", "q_streaming", "q_sources", "q_features"):
         try:
             __import__(f"{__package__}.{mod}")
         except ModuleNotFoundError as e:
