@@ -140,11 +140,6 @@ def numeric_columns(df: DataFrame, drop_ids: bool = True,
     return cols
 
 
-def present(df: DataFrame, cols: Sequence[str]) -> list[str]:
-    """Plan-time presence guard."""
-    return [c for c in cols if c in df.columns]
-
-
 def derived_features(df: DataFrame, *, ratio: tuple[str, str] | None = None,
                      product: tuple[str, str] | None = None, severity_col: str | None = None,
                      state_col: str | None = None, key: str | None = None,

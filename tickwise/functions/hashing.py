@@ -40,9 +40,3 @@ def poisson1_weights(keys: np.ndarray, n_boot: int, seed: int) -> np.ndarray:
     u = uniforms(keys, np.arange(n_boot, dtype=np.uint64), seed)
     return np.searchsorted(_POISSON1_CDF, u, side="right").astype(np.float32)
 
-
-def normal_pairs(keys: np.ndarray, seed: int) -> np.ndarray:
-    """N(0,1) per key by Box-Muller on two hashed uniforms."""
-    u = uniforms(keys, np.array([1, 2], dtype=np.uint64), seed)
-    u1 = np.maximum(u[:, 0], 1e-300)
-    return np.sqrt(-2.0 * np.log(u1)) * np.cos(2.0 * np.pi * u[:, 1])

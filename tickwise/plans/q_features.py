@@ -12,7 +12,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import bool_to_double, prob_flag
+from ..functions.expr import bool_to_double, lookup_default, prob_flag
 from ..operators import causal as K
 from ..operators import joins as J
 from ..operators import models as M
@@ -137,7 +137,8 @@ def collisions(spark, sf_dir):
     ``amount``), when both sides have a column of that name."""
     t = Tables(spark, sf_dir)
     orders = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("amount"),
-                             F.lit("order").alias("kind"))
+                             F.lit("order").alias("kind"), F.lit(0).alias("spare_dup"))
+    orders = J.drop_suffixed(orders)
     cust = t.customer.select("c_custkey", "c_nationkey", F.col("c_acctbal").alias("amount"), F.lit("customer").alias("kind"))
     joined = J.left_join_dimension(orders, J.rename_collisions(cust, ["amount"], "_cust"), "o_custkey", "c_custkey")
     nation = t.nation.select("n_nationkey", F.col("n_name").alias("name"), F.lit("nation").alias("kind"))
@@ -163,3 +164,17 @@ def both_rules(spark, sf_dir):
     """A score of just 0.5 is flagged online and not in sequence evaluation."""
     e = Tables(spark, sf_dir).events.select("event_id", F.round(F.col("value") / 500, 2).alias("p"))
     return e.select("event_id", prob_flag("p").alias("online_flag"), prob_flag("p", inclusive=False).alias("sequence_flag"))
+
+
+@register("C15_J9_lookups_with_default", """
+SELECT event_id, CASE event_type WHEN 'error' THEN 3 WHEN 'purchase' THEN 2 ELSE 0 END AS weight,
+       coalesce(c.c_mktsegment, 'none') AS segment
+FROM events e LEFT JOIN customer c ON e.user_id * 7 = c.c_custkey
+""")
+def lookups(spark, sf_dir):
+    """A fixed mapping as a CASE, a data-sized one as a size-checked join; what
+    is in neither gets the default."""
+    t = Tables(spark, sf_dir)
+    e = t.events.select("event_id", lookup_default("event_type", {"error": 3, "purchase": 2}, 0).alias("weight"),
+                        (F.col("user_id") * 7).alias("k"))
+    return J.lookup(e, "k", t.customer, "c_custkey", "c_mktsegment", "segment", "none").drop("k")

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Rows above which a side is never broadcast, whatever the optimizer thinks.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+DEFAULT_BROADCAST_ROWS = 200_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -110,32 +110,35 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         held.unpersist()
 
 
-def _row_bytes(dt: T.DataType) -> int:
-    """Rough serialized width of a value (Spark's default sizes; strings and
-    collections counted generously)."""
-    if isinstance(dt, T.StructType):
-        return sum(_row_bytes(f.dataType) for f in dt.fields) + 8
-    if isinstance(dt, (T.ArrayType, T.MapType)):
-        return 256
-    if isinstance(dt, (T.StringType, T.BinaryType)):
-        return 64
-    return 8
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values: measured for strings, binaries and collections,
+    8 for the rest (and 8 a field for nested ones' own layout)."""
+    def of(c: Column, dt: T.DataType) -> Column:
+        if isinstance(dt, T.StructType):
+            return sum((of(c[f.name], f.dataType) for f in dt.fields), F.lit(8))
+        if isinstance(dt, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        if isinstance(dt, T.ArrayType):
+            return F.coalesce(F.aggregate(c, F.lit(8).cast("long"), lambda acc, x: acc + of(x, dt.elementType)), F.lit(8))
+        if isinstance(dt, T.MapType):
+            return of(F.map_keys(c), T.ArrayType(dt.keyType)) + of(F.map_values(c), T.ArrayType(dt.valueType))
+        return F.lit(8).cast("long")
+    return sum((of(F.col(f"`{f.name}`"), f.dataType).cast("long") for f in df.schema.fields), F.lit(8).cast("long"))
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows and
-    ``rows x estimated row width`` stays under ``max_bytes``.
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows and
+    ``max_bytes`` measured bytes.
 
-    The bound is checked with a ``limit(n + 1).count()`` job that stops
-    reading as soon as the bound is exceeded. Above the bound the frame is
-    returned unchanged, and the join falls back to a shuffle join (AQE may still
-    convert it at runtime from real statistics).
+    At most ``max_rows + 1`` rows are taken, written once (reliable checkpoint)
+    and measured; within the bound the written rows are the side, so the plan
+    above runs once. Beyond it the frame is returned unchanged and the join is a
+    shuffle join (AQE may still convert it from real statistics).
     """
-    width = max(_row_bytes(df.schema), 1)
-    cap = min(max_rows, max_bytes // width)
-    n = df.limit(cap + 1).count()
-    return F.broadcast(df) if n <= cap else df
+    held = cut_lineage(df.limit(max_rows + 1))
+    n, size = held.agg(F.count(F.lit(1)), F.sum(_row_bytes(held))).first()
+    return F.broadcast(held) if n <= max_rows and (size or 0) <= max_bytes else df
 
 
 def bounded_values(df: DataFrame, limit: int, what: str) -> list:
