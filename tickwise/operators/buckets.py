@@ -29,8 +29,6 @@ class DepthBuckets:
         self.cuts = cuts
 
     def id_of(self, t: Column) -> Column:
-        if not self.cuts:
-            return F.lit(0)
         n = len(self.cuts)
         cuts = F.lit(self.cuts)
         steps = F.lit([1 << k for k in range(n.bit_length() - 1, -1, -1)])
@@ -50,6 +48,7 @@ def fit_depth_buckets(values: DataFrame, t_col: str, target_rows: int, max_bucke
     n = values.where(F.col(t_col).isNotNull()).count()
     k = min(max_buckets, -(-n // int(target_rows)))
     if k <= 1:
-        return DepthBuckets([])
+        # one cut all the same: a constant id would fold away and leave joins on it without a key
+        return DepthBuckets([0 if integral else 0.0])
     got = values.select(F.col(t_col).cast("double").alias("t")).approxQuantile("t", [i / k for i in range(1, k)], 1 / (4 * k))
     return DepthBuckets(sorted({int(x) if integral else float(x) for x in got}))

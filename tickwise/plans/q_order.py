@@ -3,7 +3,6 @@ positional zip join, systematic sample (W14, W9, W10, P10, J5, T9)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ..operators.order import (chrono_split, expanding_folds, positional_slice, systematic_sample,
                                with_row_index, zip_join)
