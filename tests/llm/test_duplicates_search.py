@@ -3,7 +3,6 @@
 from collections import defaultdict
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
