@@ -6,8 +6,9 @@ multiset of lengths below the capacity, so the search runs on its histogram
 (capacity - 1 counts at most, whatever the corpus). Per bin, a subset-sum
 dynamic programme over the lengths still available, held as the bits of one
 integer, finds the fullest feasible combination that holds the longest length
-left; the combination is removed as many times as the counts allow, so every
-step uses a length up and the steps are bounded by the capacity too.
+left; the combination is removed as many times as the counts allow. A step
+leaves less than half of at least one count (a remainder), so there are at most
+capacity x log2(pieces) steps.
 
 Every length then owns a row of places (pattern, copy, offset), and the k-th
 piece of a length takes its k-th place: pieces are ranked by a range-sorted
@@ -137,7 +138,8 @@ def fullest(lengths: dict[int, int], capacity: int) -> dict[int, int]:
 
 
 def minimum_slack_patterns(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
-    """[(combination, copies)] that use every length up."""
+    """[(combination, copies)] that use every length up, at most log2 of its
+    count steps for each length."""
     left, out = {k: v for k, v in counts.items() if v > 0}, []
     while left:
         used = fullest(left, capacity)
@@ -179,7 +181,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         starts.append((length, at))
         at += counts[length]
     plan = places(minimum_slack_patterns(counts, capacity))
-    # a pattern uses a length up, so the plan has at most capacity patterns of at most capacity lengths
+    # at most capacity x log2(pieces) patterns (a step halves a count), in practice about one per length
     by_length: dict[int, list] = {}
     for length, first, n, sequence, each, offset in plan:
         by_length.setdefault(length, []).append((first, n, sequence, each, offset))
