@@ -103,6 +103,18 @@ def test_classes_of_a_large_near_group(ready, monkeypatch):
     assert all(r.kept == (i == r.class_id) for i, r in got.items())
 
 
+def test_classes_of_copies_that_repeat_a_passage(ready):
+    """One copy has a passage 40 times, the other once: sets that are almost
+    equal, whatever the counts."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(40):
+        w = [f"v{x}" for x in rng.integers(0, 10**6, 300)]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[:100] + w[100:160] * 40 + w[160:]))]
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(ready.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i in range(80)} == dict(zip([i for i, _ in rows], classes_by_search(rows)))
+
+
 def test_classes_of_documents(ready):
     docs = table(ready, SF, "documents")
     rows = [(r.doc_id, r.text) for r in docs.collect()]

@@ -1,12 +1,13 @@
 """MinHash near-duplicates by ProbMinHash signatures, banding and verification.
 
 Shingles are five words (runs of ASCII letters and digits, or of non-ASCII
-characters, in lower case); a shorter text is one shingle of its words. A
-shingle weighs 1 + ln(how often it stands in the text). Every weighted shingle
-starts a Poisson process of its weight's rate, whose points fall on random
-registers; a register keeps the shingle with the earliest point, and a process
-ends once its next point comes after the latest register. Two signatures agree
-on a register with the probability Jaccard similarity of the weighted sets.
+characters, in lower case); a shorter text is one shingle of its words. Every
+distinct shingle weighs 1, however often it stands in the text. It starts a
+Poisson process of its weight's rate, whose points fall on random registers; a
+register keeps the shingle with the earliest point, and a process ends once its
+next point comes after the latest register. Two signatures agree on a register
+with the probability Jaccard similarity of the weighted sets, which for equal
+weights is the Jaccard similarity of the sets that pairs are verified by.
 
 24 bands of 4 registers propose pairs: at similarity 0.8 a pair shares no band
 with probability 3e-6. In a band's bucket every text is paired with two
@@ -136,8 +137,8 @@ def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         import xxhash
         for pdf in batches:
             texts = pdf["text"].to_list()
-            owner, h, count = shingles(texts)
-            got = signatures(owner, h, 1 + np.log(count), len(texts))
+            owner, h, _ = shingles(texts)
+            got = signatures(owner, h, np.ones(len(h)), len(texts))
             short = (mix(got) & np.uint64(0xFFFF)).astype("<u2")
             sizes = np.bincount(owner, minlength=len(texts))
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "text_hash": pdf["text_hash"],
