@@ -46,7 +46,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset; a document
     that the mix repeats is packed once per copy."""
     prepare(spark)
-    return packing.pack(materialise(packing.tokenize(docs)))
+    return packing.pack(materialise(packing.tokenize(docs, added=True)))
 
 
 STAGES = [("toxicity", remove_toxic), ("near_dedup", remove_near_duplicates), ("pii", redact_personal_data),

@@ -119,3 +119,20 @@ def test_one_length_for_all(ready):
     docs = ready.range(3000).selectExpr("id AS doc_id", "'same words' AS text")
     rows = packing.pack(packing.tokenize(docs, 16), 16).collect()
     assert check_packing(rows, 16) == pytest.approx(sum(r.length for r in rows) / 15, abs=1)
+
+
+def test_queries_give_added_tokens_their_id(ready, tmp_dir):
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))  # as it comes: no flag
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "naïve — 日本語 <|endoftext|>", "no <|endoftext| here", "word " * 3000 + "<|endoftext|>"]
+    docs = ready.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_dir}/documents.parquet")
+    assert plain.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    want = Counter()
+    for i, text in enumerate(texts):
+        ids = np.asarray(plain.encode(text, add_special_tokens=False).ids + [0], dtype="<u4").tobytes()
+        want.update((i, k, at, len(x) // 4, zlib.crc32(x)) for k, at, x in packing.cut(ids, 2048))
+    for rows in (packing.op10_min_bin_slack(ready, tmp_dir).collect(), corpus_pipeline.pack_sequences(ready, docs, tmp_dir).collect()):
+        assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want

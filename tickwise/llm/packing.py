@@ -46,12 +46,15 @@ class Encoder:
 
     For texts of PLAIN characters the ids come from the same vocabulary in its
     rank form, which is several times faster and splits and merges alike there
-    (tested); any other text goes to the tokenizer. Strings that look like
-    special tokens are ordinary text in both.
+    (tested); any other text goes to the tokenizer. With ``added`` so does a
+    text that holds an added token of the vocabulary, which then is that one
+    token, as the tokenizer gives it by default; without, strings that look like
+    added tokens are ordinary text in both.
     """
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, added: bool = False):
         import base64
+        import json
 
         import public_tokenizers
         import regex
@@ -60,25 +63,29 @@ class Encoder:
         with open(public_tokenizers.path(vocabulary.rsplit(".", 1)[0] + ".tiktoken"), "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
         self.ranks = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.plain, self.tokenizer = regex.compile(PLAIN), None
+        self.plain, self.tokenizer, self.added = regex.compile(PLAIN), None, ()
+        if added:
+            with open(self.path, encoding="utf-8") as f:
+                self.added = tuple(t["content"] for t in json.load(f)["added_tokens"])
 
     def whole(self, text: str) -> bytes:
         if self.tokenizer is None:
             from tokenizers import Tokenizer
             self.tokenizer = Tokenizer.from_file(self.path)
-            self.tokenizer.encode_special_tokens = True
+            if not self.added:
+                self.tokenizer.encode_special_tokens = True
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        if self.plain.fullmatch(text):
+        if self.plain.fullmatch(text) and not any(t in text for t in self.added):
             return self.ranks.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
         return self.whole(text)
 
 
 @lru_cache(maxsize=4)
-def encoder(vocabulary: str) -> Encoder:
-    """One encoder per worker process and vocabulary."""
-    return Encoder(vocabulary)
+def encoder(vocabulary: str, added: bool = False) -> Encoder:
+    """One encoder per worker process, vocabulary and treatment of added tokens."""
+    return Encoder(vocabulary, added)
 
 
 def cut(ids: bytes, capacity: int) -> Iterator[tuple[int, int, bytes]]:
@@ -91,12 +98,14 @@ def cut(ids: bytes, capacity: int) -> Iterator[tuple[int, int, bytes]]:
 
 
 def tokenize(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY, end_id: int = 0,
-             id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """Pieces of every document; ``with_ids`` adds their ids (32-bit, binary).
+             id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, added: bool = False) -> DataFrame:
+    """Pieces of every document; ``with_ids`` adds their ids (32-bit, binary),
+    ``added`` gives added tokens of the vocabulary their own ids (op10 and the
+    pipeline do).
     ``vocabulary`` is a file that the workers' tokenizer package names, beside
     which the same vocabulary lies as ranks."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, end = encoder(vocabulary).encode, end_id.to_bytes(4, "little")
+        encode, end = encoder(vocabulary, added).encode, end_id.to_bytes(4, "little")
         for pdf in batches:
             out = []
             for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
@@ -221,4 +230,4 @@ def sequences(docs: DataFrame, capacity: int = CAPACITY, **how) -> DataFrame:
 def op10_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     prepare(spark)
-    return pack(materialise(tokenize(table(spark, sf_dir, "documents"))))
+    return pack(materialise(tokenize(table(spark, sf_dir, "documents"), added=True)))
