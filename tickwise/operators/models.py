@@ -72,11 +72,13 @@ def balanced_logistic(train: DataFrame, features: str, label: str, C: float = 1.
 
 # M5
 def gbt_classifier(train: DataFrame, features: str, label: str, *, max_iter: int = 200, max_depth: int = 6,
-                   step: float = 0.1, weighted: bool = True, seed: int = 42):
+                   step: float = 0.1, subsample: float = 1.0, feature_subset: str = "all", weighted: bool = True,
+                   seed: int = 42):
     data = balanced_weights(train, label) if weighted else train
     kw = {"weightCol": "class_weight"} if weighted else {}
     return GBTClassifier(featuresCol=features, labelCol=label, maxIter=max_iter, maxDepth=max_depth,
-                         stepSize=step, seed=seed, **kw).fit(data)
+                         stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=feature_subset,
+                         seed=seed, **kw).fit(data)
 
 
 # M9

@@ -10,6 +10,7 @@ classification target ``l_returnflag = 'R'``; chronological 70/15/15 split.
 from __future__ import annotations
 
 import random
+from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -20,6 +21,7 @@ from ..functions.expr import prob_flag
 from ..operators import evaluate as E
 from ..operators import models as M
 from ..operators import stats as S
+from ..operators.encode import EncoderSpec, fit_encoder
 from ..operators.order import ROW_IDX, chrono_split, expanding_folds
 from ..operators.sample import hashed_normal
 from ..operators.window import context_rows, sliding_sequences
@@ -47,26 +49,51 @@ def _parts(df):
             df.where(F.col("split") == "test"))
 
 
-def _reg_eval(name: str, scored: DataFrame) -> DataFrame:
-    return E.regression_metrics(scored, "y", "prediction").select(F.lit(name).alias("model"), "*")
+def _reg_eval(name: str, scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return E.regression_metrics(scored, "y", "prediction", by).select(F.lit(name).alias("model"), "*")
+
+
+def _clf_eval(name: str, scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    s = scored.withColumn("score", vector_to_array("probability")[1])
+    c, *more = (E.classification_metrics(s, "y_cls", prob_flag("score"), by), E.rank_metrics(s, "y_cls", "score", by),
+                E.log_loss(s, "y_cls", "score", by))
+    for m in more:
+        c = c.join(m, list(by)) if by else S.attach_row(c, m)
+    return c.select(F.lit(name).alias("model"), "*")
+
+
+def _both_tasks(reg: list[DataFrame], clf: list[DataFrame]) -> DataFrame:
+    """Regression and classification rows under one header; a metric of the
+    other task is null."""
+    out = None
+    for task, frames in (("regression", reg), ("classification", clf)):
+        for f in frames:
+            f = f.withColumn("task", F.lit(task))
+            out = f if out is None else out.unionByName(f, allowMissingColumns=True)
+    return out
 
 
 @register("M1_M2_M3_E13_regression_models")
 def m_reg(spark, sf_dir):
-    """Mean predictor, ridge (alpha=1), boosted trees; test metrics in long
-    form with best / worst and % improvement over the mean predictor."""
+    """Mean predictor, ridge (alpha=1), boosted trees, and the balanced logistic
+    and class-weighted boosted classifiers; test metrics in long form with best /
+    worst of each task (by MAE, by F1) and % improvement over the mean predictor."""
     d = cut_lineage(model_table(spark, sf_dir))  # written once for the three fits and their scoring
     tr, _va, te = _parts(d)
     mu = M.mean_predictor(tr, "y")
     rows = [_reg_eval("mean", M.predict_constant(te, mu)),
             _reg_eval("ridge", M.ridge(tr, "features", "y").transform(te)),
             _reg_eval("gbt", M.gbt_regressor(tr, "features", "y", **SMALL_GBT).transform(te))]
-    out = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    clf = [_clf_eval("logistic_balanced", M.balanced_logistic(tr, "features", "y_cls").transform(te)),
+           _clf_eval("gbt_weighted", M.gbt_classifier(tr, "features", "y_cls", **SMALL_GBT).transform(te))]
+    out = _both_tasks(rows, clf)
     base = out.where(F.col("model") == "mean").select(F.col("mae").alias("__base"))
     out = S.attach_row(out, base).withColumn(
         "improvement_pct", (F.col("__base") - F.col("mae")) / F.col("__base") * 100).drop("__base")
-    ends = out.agg(F.min("mae").alias("__best"), F.max("mae").alias("__worst"))
-    out = S.attach_row(out, ends).withColumns({"best": F.col("mae") == F.col("__best"), "worst": F.col("mae") == F.col("__worst")})
+    out = out.withColumn("__loss", F.coalesce("mae", -F.col("f1")))
+    ends = out.groupBy("task").agg(F.min("__loss").alias("__best"), F.max("__loss").alias("__worst"))
+    out = out.join(F.broadcast(ends), "task").withColumns(
+        {"best": F.col("__loss") == F.col("__best"), "worst": F.col("__loss") == F.col("__worst")}).drop("__loss")
     return round_doubles(out.drop("__best", "__worst"))
 
 
@@ -76,14 +103,8 @@ def m_clf(spark, sf_dir):
     accuracy / precision / recall / F1 / ROC-AUC / AP / log loss."""
     d = model_table(spark, sf_dir)
     tr, _va, te = _parts(d)
-    res = []
-    for name, m in (("logistic_balanced", M.balanced_logistic(tr, "features", "y_cls")),
-                    ("gbt_weighted", M.gbt_classifier(tr, "features", "y_cls", **SMALL_GBT))):
-        s = m.transform(te).withColumn("score", vector_to_array("probability")[1])
-        c = E.classification_metrics(s, "y_cls", prob_flag("score"))
-        r = E.rank_metrics(s, "y_cls", "score")
-        ll = E.log_loss(s, "y_cls", "score")
-        res.append(S.attach_row(S.attach_row(c, r), ll).select(F.lit(name).alias("model"), "*"))
+    res = [_clf_eval("logistic_balanced", M.balanced_logistic(tr, "features", "y_cls").transform(te)),
+           _clf_eval("gbt_weighted", M.gbt_classifier(tr, "features", "y_cls", **SMALL_GBT).transform(te))]
     return round_doubles(res[0].unionByName(res[1]))
 
 
@@ -103,16 +124,21 @@ def m6(spark, sf_dir):
 
 @register("M7_stacking_ensemble")
 def m7(spark, sf_dir):
-    """Ridge + boosted-tree bases on train, ridge meta learner on validation
-    predictions; test metrics of bases and ensemble."""
-    d = model_table(spark, sf_dir)
+    """Three bases a task on train (linear, boosted trees, boosted trees over
+    sampled rows and columns), a ridge / logistic meta learner on their
+    validation predictions; test metrics of bases and ensembles."""
+    d = cut_lineage(model_table(spark, sf_dir))  # written once for the eight fits and their scoring
     tr, va, te = _parts(d)
-    bases = [M.ridge(tr, "features", "y"), M.gbt_regressor(tr, "features", "y", **SMALL_GBT)]
-    _meta, score = M.stacking(tr, va, "features", "y", bases, classification=False)
-    out = _reg_eval("stacking", score(te))
-    for i, b in enumerate(bases):
-        out = out.unionByName(_reg_eval(f"base_{i}", b.transform(te)))
-    return round_doubles(out)
+    sampled = {"subsample": 0.8, "feature_subset": "0.8", **SMALL_GBT}
+    reg = [M.ridge(tr, "features", "y"), M.gbt_regressor(tr, "features", "y", **SMALL_GBT),
+           M.gbt_regressor(tr, "features", "y", **sampled)]
+    clf = [M.balanced_logistic(tr, "features", "y_cls"), M.gbt_classifier(tr, "features", "y_cls", **SMALL_GBT),
+           M.gbt_classifier(tr, "features", "y_cls", **sampled)]
+    rows = []
+    for bases, label, ev, is_clf in ((reg, "y", _reg_eval, False), (clf, "y_cls", _clf_eval, True)):
+        _meta, score = M.stacking(tr, va, "features", label, bases, classification=is_clf)
+        rows.append([ev("stacking", score(te)), *[ev(f"base_{i}", b.transform(te)) for i, b in enumerate(bases)]])
+    return round_doubles(_both_tasks(*rows))
 
 
 def sample_configs(n: int, seed: int = 42) -> list[dict]:
@@ -124,27 +150,34 @@ def sample_configs(n: int, seed: int = 42) -> list[dict]:
 
 @register("M8_W10_random_search_expanding_cv")
 def m8(spark, sf_dir):
-    """4 sampled configs x 3 expanding folds on the train+val rows; MAE mean
-    and population std over folds (A23) per config, best first (T6). The
-    encoded table is built once and reused by every fit."""
-    d = model_table(spark, sf_dir).where(F.col("split") != "test").drop(ROW_IDX, "split")
-    folds = expanding_folds(d, ORDER, n_splits=3)
+    """4 sampled configs x 3 expanding folds on the train+val rows, for both
+    tasks: mean and population std over folds (A23) of MAE / log loss per
+    config, best first (T6). The encoder is fitted on each fold's train rows;
+    the encoded fold is built once and reused by every fit."""
+    d = model_table(spark, sf_dir).where(F.col("split") != "test").drop(ROW_IDX, "split", "features")
+    folds = cut_lineage(expanding_folds(d, ORDER, n_splits=3))
     rows = []
-    for ci, cfg in enumerate(sample_configs(4)):
-        for k in (1, 2, 3):
-            tr = folds.where((F.col("fold") == k) & (F.col("role") == "train"))
-            va = folds.where((F.col("fold") == k) & (F.col("role") == "val"))
-            m = M.gbt_regressor(tr, "features", "y", max_iter=cfg["max_iter"], max_depth=cfg["max_depth"],
-                                step=cfg["step"])
+    configs = sample_configs(4)
+    for k in (1, 2, 3):
+        fold = folds.where(F.col("fold") == k)
+        enc = fit_encoder(fold.where(F.col("role") == "train"), EncoderSpec(numeric=FEATS))
+        coded = cut_lineage(enc.transform(fold, keep=["role", "y", "y_cls"], assemble="features"))
+        tr, va = coded.where(F.col("role") == "train"), coded.where(F.col("role") == "val")
+        for ci, cfg in enumerate(configs):
+            how = {"max_iter": cfg["max_iter"], "max_depth": cfg["max_depth"], "step": cfg["step"]}
             params = F.struct(*[F.lit(v).alias(p) for p, v in sorted(cfg.items())])
-            rows.append(E.regression_metrics(m.transform(va), "y", "prediction").select(
-                F.lit(ci).alias("config"), params.alias("params"), F.lit(k).alias("fold"), "mae"))
+            mae = E.regression_metrics(M.gbt_regressor(tr, "features", "y", **how).transform(va), "y", "prediction")
+            scored = M.gbt_classifier(tr, "features", "y_cls", **how).transform(va)
+            ll = E.log_loss(scored.withColumn("score", vector_to_array("probability")[1]), "y_cls", "score")
+            for task, metric, r in (("regression", "mae", mae), ("classification", "log_loss", ll)):
+                rows.append(r.select(F.lit(task).alias("task"), F.lit(metric).alias("metric"), F.lit(ci).alias("config"),
+                                     params.alias("params"), F.lit(k).alias("fold"), F.col(metric).alias("value")))
     allr = rows[0]
     for r in rows[1:]:
         allr = allr.unionByName(r)
-    res = S.mean_popstd(allr, ["config", "params"], "mae")
+    res = S.mean_popstd(allr, ["task", "metric", "config", "params"], "value")
     # C17: flatten the nested parameter struct into columns; T6: best first
-    return round_doubles(res.select("config", "params.*", "mean", "std").orderBy("mean", "config"))
+    return round_doubles(res.select("task", "metric", "config", "params.*", "mean", "std").orderBy("task", "mean", "config"))
 
 
 @register("M10_W11_sequence_model")
@@ -186,68 +219,98 @@ def m12(spark, sf_dir):
     return round_doubles(M.feature_importances(spark, m, FEATS, top=20))
 
 
+def _fit_three(tr: DataFrame) -> list:
+    """(name, evaluation, model): ridge, boosted trees, class-weighted boosted trees."""
+    return [("ridge", _reg_eval, M.ridge(tr, "features", "y")),
+            ("gbt", _reg_eval, M.gbt_regressor(tr, "features", "y", **SMALL_GBT)),
+            ("gbt_weighted", _clf_eval, M.gbt_classifier(tr, "features", "y_cls", **SMALL_GBT))]
+
+
 @register("E10_noise_robustness")
 def e10(spark, sf_dir):
-    """Model fitted once; test rows re-scored with Gaussian noise on two
-    inputs at 0, 0.5 and 2 sigma; MAE per (column, level)."""
-    d = model_table(spark, sf_dir).drop("features")
+    """Ridge, boosted trees and the boosted classifier fitted once; test rows
+    re-scored with Gaussian noise on two inputs at 0, 0.5 and 2 sigma; metrics
+    per (column, level)."""
+    d = cut_lineage(model_table(spark, sf_dir))  # written once for the three fits and their scoring
     tr, _va, te = _parts(d)
+    te = te.drop("features")
     va = VectorAssembler(inputCols=FEATS, outputCol="features")
-    m = M.ridge(va.transform(tr), "features", "y")
-    out = None
+    noisy = None
     for col in ("l_quantity", "l_discount"):
         sigma = te.agg(F.stddev_samp(col)).first()[0] or 0.0
         for lvl in (0.0, 0.5, 2.0):
-            noisy = te.withColumn(col, F.col(col) + hashed_normal(ROW_IDX, 42) * F.lit(lvl * sigma))
-            r = E.regression_metrics(m.transform(va.transform(noisy)), "y", "prediction").select(
-                F.lit(col).alias("column"), F.lit(lvl).alias("level"), "mae", "rmse", "r2")
-            out = r if out is None else out.unionByName(r)
-    return round_doubles(out)
+            one = te.withColumn(col, F.col(col) + hashed_normal(ROW_IDX, 42) * F.lit(lvl * sigma)).withColumns(
+                {"column": F.lit(col), "level": F.lit(lvl)})
+            noisy = one if noisy is None else noisy.unionByName(one)
+    noisy, by = va.transform(noisy), ["column", "level"]
+    rows = {_reg_eval: [], _clf_eval: []}
+    for name, ev, m in _fit_three(tr):
+        rows[ev].append(ev(name, m.transform(noisy), by))
+    return round_doubles(_both_tasks(rows[_reg_eval], rows[_clf_eval]))
 
 
 @register("E11_drift_train60_test40")
 def e11(spark, sf_dir):
-    """Model on the first 60 % vs model on the first 70 % (the reference's full
-    model), both scored on the last 40 %, and on the non-overlapping last 30 %."""
-    base = model_table(spark, sf_dir)
+    """Models on the first 60 % vs models on the first 70 % (the reference's full
+    models), regression and classification, scored on the last 40 % and on the
+    non-overlapping last 30 %."""
+    base = cut_lineage(model_table(spark, sf_dir))  # written once for the six fits and their scoring
     n = base.count()
     a, b = int(n * 0.6), int(n * 0.7)
-    early = M.ridge(base.where(F.col(ROW_IDX) < a), "features", "y")
-    full = M.ridge(base.where(F.col(ROW_IDX) < b), "features", "y")
-    out = None
-    for name, m in (("train60", early), ("train70", full)):
-        for slice_name, lo in (("last40", a), ("last30_no_overlap", b)):
-            r = _reg_eval(name, m.transform(base.where(F.col(ROW_IDX) >= lo))).withColumn(
-                "test_slice", F.lit(slice_name))
-            out = r if out is None else out.unionByName(r)
-    return round_doubles(out)
+    test = base.where(F.col(ROW_IDX) >= a).withColumn("test_slice", F.explode(F.when(
+        F.col(ROW_IDX) >= b, F.array(F.lit("last40"), F.lit("last30_no_overlap"))).otherwise(F.array(F.lit("last40")))))
+    rows = {_reg_eval: [], _clf_eval: []}
+    for trained, end in (("train60", a), ("train70", b)):
+        for name, ev, m in _fit_three(base.where(F.col(ROW_IDX) < end)):
+            rows[ev].append(ev(name, m.transform(test), ["test_slice"]).withColumn("trained", F.lit(trained)))
+    return round_doubles(_both_tasks(rows[_reg_eval], rows[_clf_eval]))
 
 
 @register("E15_T4_W13_worst_case_traces")
 def e15(spark, sf_dir):
     """10 largest absolute errors of the ridge model on test (T4) with their
-    +-10-row context windows (W13)."""
-    d = model_table(spark, sf_dir)
-    tr, _va, _te = _parts(d)
+    +-10-row context windows (W13), and of each worst row the value and the
+    contribution (coefficient x distance from the train mean) of every feature,
+    ranked by mean |contribution| over test (T5)."""
+    d = cut_lineage(model_table(spark, sf_dir))
+    tr, _va, te = _parts(d)
     m = M.ridge(tr, "features", "y")
+    mu = tr.agg(*[F.avg(f).alias(f) for f in FEATS]).first()
+    parts = {f: (F.col(f) - F.lit(float(mu[f] or 0.0))) * F.lit(float(w)) for f, w in zip(FEATS, m.coefficients.toArray())}
     s = m.transform(d).withColumn("abs_error", F.abs(F.col("y") - F.col("prediction")))
     n = d.count()
-    worst = s.where(F.col("split") == "test").orderBy(F.col("abs_error").desc(), ROW_IDX).limit(10).select(ROW_IDX)
-    ctx = context_rows(s.select(ROW_IDX, "y", "prediction", "abs_error"), worst, n)
-    return round_doubles(ctx)
+    worst = s.where(F.col("split") == "test").orderBy(F.col("abs_error").desc(), ROW_IDX).limit(10).select(ROW_IDX, *FEATS)
+    ctx = context_rows(s.select(ROW_IDX, "y", "prediction", "abs_error"), worst.select(ROW_IDX), n)
+    size = te.agg(*[F.avg(F.abs(c)).alias(f) for f, c in parts.items()]).first()  # one row of a value per feature
+    top = sorted(FEATS, key=lambda f: (-(size[f] or 0.0), f))[:10]
+    values = worst.select(F.col(ROW_IDX).alias("centre_idx"), *[x for r, f in enumerate(top, 1) for x in (
+        F.lit(f).alias(f"top{r}_feature"), F.col(f).cast("double").alias(f"top{r}_value"),
+        parts[f].cast("double").alias(f"top{r}_contribution"))])
+    return round_doubles(ctx.join(F.broadcast(values), "centre_idx"))
 
 
 @register("M13_T5_tree_contributions")
 def m13(spark, sf_dir):
     """Per-row additive contributions of the boosted-tree model for every test
-    row; mean |contribution| per feature, and the largest deviation of
-    base + sum(contributions) from the model prediction (should be ~0)."""
+    row, by ``kind`` of row: ``feature``, mean |contribution| and the largest
+    deviation of base + sum(contributions) from the model prediction (should be
+    ~0); ``device``, mean |contribution| within the 5 suppliers with most test
+    rows; ``dependence``, (value, contribution) of every test row for the top 5
+    features."""
     from ..operators.explain import mean_abs_contribution, tree_contributions
-    d = model_table(spark, sf_dir)
+    d = cut_lineage(model_table(spark, sf_dir))
     tr, _va, te = _parts(d)
     m = M.gbt_regressor(tr, "features", "y", **SMALL_GBT)
     c = tree_contributions(te, m, "features", ROW_IDX, FEATS)
-    check = c.join(m.transform(te).select(ROW_IDX, "prediction"), ROW_IDX).agg(
-        F.max(F.abs(F.col("explained") - F.col("prediction"))).alias("max_identity_error"))
-    summary = mean_abs_contribution(c, FEATS)
-    return round_doubles(S.attach_row(summary, check).orderBy(F.col("mean_abs_contribution").desc(), "feature"))
+    c = cut_lineage(c.join(m.transform(te).select(ROW_IDX, "prediction", "l_suppkey", *FEATS), ROW_IDX))
+    check = c.agg(F.max(F.abs(F.col("explained") - F.col("prediction"))).alias("max_identity_error"))
+    summary = S.attach_row(mean_abs_contribution(c, FEATS), check).withColumn("kind", F.lit("feature"))
+    # at most one row per feature reaches the driver
+    top = [r["feature"] for r in summary.orderBy(F.col("mean_abs_contribution").desc(), "feature").limit(5).collect()]
+    devices = c.groupBy("l_suppkey").count().orderBy(F.col("count").desc(), "l_suppkey").limit(5).select("l_suppkey")
+    device = mean_abs_contribution(c.join(F.broadcast(devices), "l_suppkey"), FEATS, ["l_suppkey"]).withColumn("kind", F.lit("device"))
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value"),
+                               F.col(f"contrib_{f}").alias("contribution")) for f in top])
+    dependence = c.select(F.lit("dependence").alias("kind"), ROW_IDX, F.explode(pairs).alias("s")).select("kind", ROW_IDX, "s.*")
+    out = summary.unionByName(device, allowMissingColumns=True).unionByName(dependence, allowMissingColumns=True)
+    return round_doubles(out.orderBy(F.col("kind").desc(), "l_suppkey", F.col("mean_abs_contribution").desc(), "feature", ROW_IDX))
