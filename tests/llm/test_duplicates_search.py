@@ -248,3 +248,23 @@ def test_tree_bounds_skip_pages():
             pts = tree.point[tree.lo[child]:tree.hi[child]]
             d = np.linalg.norm(pts - tree.point[e], axis=1)
             assert (d <= tree.radius[e] + 1e-6).all() and np.allclose(d, tree.up[tree.lo[child]:tree.hi[child]])
+
+
+def test_every_vector_length_takes_part(ready):
+    """Vectors of two lengths: each is searched among its own."""
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.standard_normal(6 if i % 3 else 4)], 1) for i in range(60)]
+    rows += [(60 + i, rows[i][1], 1) for i in range(6)]
+    df = ready.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    want = {}
+    for dim in (4, 6):
+        want |= top_by_search([(i, v) for i, v, _ in rows if len(v) == dim], every=10)
+    got = defaultdict(list)
+    for r in mtree.top_k(df, every=10).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    assert {len(rows[i][1]) for i in got} == {4, 6} and dict(got) == want
+    links = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_duplicates(df).collect()}
+    of = {}
+    for dim in (4, 6):
+        of |= {i: (n, c) for i, n, c in links_by_search([r for r in rows if len(r[1]) == dim])}
+    assert links == of and links[60][0] >= 1 and links[61][0] >= 1

@@ -17,8 +17,9 @@ first band it shares, so links are counted once without listing pairs: tasks
 return partial link counts and the local component of each vector. A large
 bucket is cut into blocks and its pairs of blocks are dealt out.
 
-Vectors that are null, empty, zero, of another length than most, hold null or
-non-finite components, or have no label, link with nothing and stay alone.
+Vectors that are null, empty, zero, hold null or non-finite components, or have
+no label, link with nothing and stay alone. Vectors of different lengths never
+link; each length present is coded and banded by itself.
 Equal vectors link (cosine 1). Ids may be null (never kept; the component's id
 is the smallest that is not) or repeat (rows stay apart). An empty table gives
 no rows; other columns are left alone.
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import materialise, prepare, table
 from .components import connected_components
 from .registry import register
-from .vectors import common_length, matrix, unpack, usable
+from .vectors import lengths, matrix, unpack, usable
 
 THRESHOLD = 0.93
 MISS = 1e-4
@@ -149,8 +151,19 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                           F.when(usable(v) & F.exists(v, lambda x: x != 0), v).alias("v"))
     rows = materialise(rows.withColumn("node", F.monotonically_increasing_id()))
     live = rows.where("v IS NOT NULL AND label IS NOT NULL")
-    dim = common_length(live, "v")
-    live = live.where(F.size("v") == dim)
+    parts = reduce(DataFrame.unionAll, [links_of_length(live.where(F.size("v") == dim), dim, threshold, miss) for dim in lengths(live, "v")])
+    links = parts.groupBy("node").agg(F.sum("links").alias("n_links"))
+    found = connected_components(parts.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    got = materialise(rows.select("vec_id", "node").join(links, "node", "left").join(found, "node", "left")
+                      .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "node").alias("component")))
+    smallest = got.groupBy("component").agg(F.min("vec_id").alias("component_id"))
+    return got.join(smallest, "component").select("vec_id", "n_links", "component_id",
+                                                  F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def links_of_length(live: DataFrame, dim: int, threshold: float, miss: float) -> DataFrame:
+    """node, links, root (partial rows) of ``live`` (node, label, v), whose
+    vectors have ``dim`` components."""
     bits, bands = bands_for(live.count(), threshold, miss)
     coder_of = lambda: Coder(max(dim, 1), bits, bands)
 
@@ -163,7 +176,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                 yield pd.DataFrame({"node": pdf["node"], "label": pdf["label"], "vector": [x.tobytes() for x in vs], "code": [x.tobytes() for x in code],
                                     "factor": factor, "keys": list(coder.keys(units(vs)))})
 
-    kind = rows.schema["label"].dataType.simpleString()
+    kind = live.schema["label"].dataType.simpleString()
     coded = materialise(live.select("node", "label", "v").mapInPandas(
         encode, f"node long, label {kind}, vector binary, code binary, factor double, keys array<long>"))
     banded = coded.select("node", "label", F.posexplode("keys").alias("band", "key"))
@@ -194,14 +207,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         if rest is not None and len(rest):
             yield done(rest)
 
-    parts = materialise(met.mapInPandas(compare, "node long, links long, root long"))
-    links = parts.groupBy("node").agg(F.sum("links").alias("n_links"))
-    found = connected_components(parts.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    got = materialise(rows.select("vec_id", "node").join(links, "node", "left").join(found, "node", "left")
-                      .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "node").alias("component")))
-    smallest = got.groupBy("component").agg(F.min("vec_id").alias("component_id"))
-    return got.join(smallest, "component").select("vec_id", "n_links", "component_id",
-                                                  F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    return materialise(met.mapInPandas(compare, "node long, links long, root long"))
 
 
 @register("op3_rotation_codes")

@@ -19,8 +19,9 @@ ends when the best node left can't beat its k-th score.
 
 Queries: rows whose id is divisible by ``every``; candidates: all rows but those
 with the query's own id. Ties go to the smaller id. Vectors that are null,
-empty, of another length than most, or hold null or non-finite components, and
-rows without an id, take no part; equal rows (id and vector) are one row. Fewer
+empty, or hold null or non-finite components, and rows without an id, take no
+part; vectors of different lengths never meet (each length present has trees of
+its own); equal rows (id and vector) are one row. Fewer
 than k candidates give fewer results; an empty table gives no rows; other
 columns are left alone.
 """
@@ -31,6 +32,7 @@ import heapq
 import math
 import pickle
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -39,7 +41,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise, prepare, table
 from .registry import register
-from .vectors import common_length, matrix, unpack, usable
+from .vectors import lengths, matrix, unpack, usable
 
 PAGE = 64
 TREE_ROWS = 4096
@@ -154,12 +156,17 @@ def lift(points: np.ndarray, longest: float) -> np.ndarray:
 
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score."""
-    spark = vectors.sparkSession
     v = F.col(f"`{vector_col}`")
     rows = vectors.where(usable(v) & F.col(f"`{id_col}`").isNotNull()).select(
         F.col(f"`{id_col}`").cast("long").alias("id"), F.transform(v, lambda x: F.floor(x.cast("double") * 256).cast("double")).alias("v"))
-    dim = common_length(rows, "v")
-    rows = materialise(rows.where(F.size("v") == dim).distinct())
+    rows = materialise(rows.distinct())
+    found = [top_k_of_length(rows.where(F.size("v") == dim), dim, k, every) for dim in lengths(rows, "v")]
+    return reduce(DataFrame.unionAll, found)
+
+
+def top_k_of_length(rows: DataFrame, dim: int, k: int, every: int) -> DataFrame:
+    """``top_k`` of rows (id, v) whose vectors have ``dim`` components."""
+    spark = rows.sparkSession
     square = F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x)
     n, longest = rows.agg(F.count(F.lit(1)), F.max(square)).first()
     longest = float(longest or 0.0)

@@ -14,10 +14,9 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & fine, F.lit(False))
 
 
-def common_length(rows: DataFrame, vector: str) -> int:
-    """The most frequent vector length (the larger of equal ones; 0 without rows)."""
-    top = rows.groupBy(F.size(vector).alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    return top["d"] if top else 0
+def lengths(rows: DataFrame, vector: str) -> list[int]:
+    """The vector lengths present, one number each; 0 alone without rows."""
+    return sorted(r["d"] for r in rows.select(F.size(vector).alias("d")).distinct().collect()) or [0]
 
 
 def matrix(column: pd.Series) -> np.ndarray:
