@@ -2,5 +2,5 @@
 quality, sharding, secrets and packing. Importing the package registers their
 queries; nothing outside this package imports it but the driver entry."""
 
-from . import embed_dedup, minhash, mixing, mtree, packing, pii, quality, secrets, sharding, toxicity  # noqa: F401
+from . import alignment, embed_dedup, minhash, mixing, mtree, packing, pii, quality, secrets, sharding, toxicity  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
