@@ -74,6 +74,7 @@ def test_blocks_and_slices_don_t_change_the_result(ready, monkeypatch):
     docs = ready.createDataFrame(texts_of(table(ready, SF, "documents").limit(60)), "lang string, text string")
     want = got(C.collocations(docs, 3, 100))
     monkeypatch.setattr(C, "BLOCK", 500)
+    monkeypatch.setattr(C, "BUCKET", 5000)
     monkeypatch.setattr(C, "SHARE", 20)
     assert got(C.collocations(docs.repartition(7), 3, 100)) == want
 
@@ -81,7 +82,7 @@ def test_blocks_and_slices_don_t_change_the_result(ready, monkeypatch):
 def test_paths_are_phrases_that_always_occur_whole(ready):
     rows = [("en", "p q we hold these truths to be r s")] * 3 + [("en", "u we hold these truths to be")] * 2 + [("en", "hold on")]
     graph = C.phrase_graph(ready.createDataFrame(rows, "lang string, text string").repartition(2), 2)
-    found = {(r.phrase, r.n) for r in C.paths(graph.where("node like '% %'")).collect()}
+    found = {(r.phrase, r.n) for r in C.paths(graph).collect()}
     assert ("we hold these truths to be", 5) in found and ("p q we hold", 3) in found and ("to be r s", 3) in found
     text = " . ".join(t for _, t in rows)
     for phrase, n in found:
@@ -91,8 +92,8 @@ def test_paths_are_phrases_that_always_occur_whole(ready):
 def test_unary_edges_take_their_counts_from_the_path(ready):
     docs = ready.createDataFrame(texts_of(table(ready, SF, "documents").limit(60)), "lang string, text string")
     graph = C.phrase_graph(docs, 3)
-    edges = C.path_edges(graph.where("node like '% %'"))
-    flow = graph.selectExpr("lang", "node as suffix", "f as g")
+    edges = C.path_edges(graph)
+    flow = graph.selectExpr("lang", "gram as suffix", "n as g")
     linked = edges.where("linked").join(flow, ["lang", "suffix"])
     assert linked.count() == edges.where("linked").count() > 0
     assert linked.where("n <> g").count() == 0

@@ -6,10 +6,13 @@ are counted over the texts. Shorter counts follow from them: a pair occurs as
 often as flows out of its node, plus the pieces that end in it; a word as often
 as flows out of all its pairs, plus the pieces that end in it.
 
-Words are cut in blocks of whole texts inside the tasks, where equal edges are
-added up first; then one shuffle by node brings all edges of a node together,
-which gives the edge's weight and the node's flow in one go. What occurs less
-often than ``least`` can be no part of a phrase that reaches it and stays
+Words are cut in blocks of whole texts inside the tasks. A block adds up its
+edges and derives its nodes' and words' counts from their flow, which add up
+over blocks as edges do. Its rows are dealt to buckets by a hash of lang and
+gram, so no frequent word or pair makes a bucket large, and each bucket's rows
+travel as one compressed column block: the shuffle moves a fraction of the rows'
+size. Buckets are as many as keep one small, whatever the corpus. What occurs
+less often than ``least`` can be no part of a phrase that reaches it and stays
 behind there: the graph that is kept is small.
 
 A node that all its flow enters by one edge and leaves by one edge is unary:
@@ -46,60 +49,108 @@ COVER = 50
 #: Words of a block that are added up at once; a block holds whole texts.
 BLOCK = 1 << 20
 PLACES = 22
+#: Characters of text to a bucket: about two million words.
+BUCKET = 1 << 23
 #: A word that makes 1 / SHARE of all words is looked up in a broadcast table of at most SHARE rows.
 SHARE = 100_000
 SLICES = 64
 
 _LETTERS = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 10)
-_EDGES = pa.schema([("lang", pa.string()), ("node", pa.string()), ("third", pa.string()), ("n", pa.int64()), ("at", pa.int64())])
-EDGES = "lang string, node string, third string, n long, at long"
-
-
-def block_edges(lang: str, texts: list[bytes], base: int) -> tuple[int, pa.RecordBatch | None]:
-    """How many places the block takes, and its edges added up: (node, third, n,
-    first place, from ``base`` on). Pieces that end in a node have an empty third; a node of one word
-    carries its flow and no third; the empty node carries the number of words."""
-    whole = b" \n ".join(x.translate(_LETTERS).replace(b"\n", b" \n ") for x in texts)
-    words = pc.split_pattern(pa.array([whole], pa.large_binary()).cast(pa.large_string()), " ").values
-    words = words.filter(pc.not_equal(words, "")).dictionary_encode()
-    names = words.dictionary.cast(pa.string())
-    end = pc.index(names, "\n").as_py()
-    ids = words.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
-    if end >= 0:  # 0 is the end of a piece
-        ids[ids == end + 1] = 0
-    first, second, third = ids, np.append(ids[1:], 0), np.append(ids[2:], [0, 0])[:len(ids)]
-    place = np.flatnonzero(first)
-    if not len(place):
-        return len(ids), None
-    first, second = first[place], second[place]
-    third = np.where(second > 0, third[place], 0)
-    # three word numbers in one key, unless one text alone holds millions of different words
-    width = int(ids.max()).bit_length()
-    if 3 * width < 63:
-        key, at, n = np.unique((first << 2 * width) | (second << width) | third, return_index=True, return_counts=True)
-        first, second, third = key >> 2 * width, (key >> width) & ((1 << width) - 1), key & ((1 << width) - 1)
-    else:
-        key, at, n = np.unique(np.column_stack([first, second, third]), axis=0, return_index=True, return_counts=True)
-        first, second, third = key.T
-    flow = np.bincount(first, weights=n, minlength=len(names) + 1).astype(np.int64)
-    alone = np.flatnonzero(flow)
-    pair = second > 0
-    name = lambda i: names.take(pa.array(i - 1))
-    nodes = pc.binary_join_element_wise(name(first[pair]), name(second[pair]), " ")
-    follows = pc.if_else(pa.array(third[pair] > 0), name(np.maximum(third[pair], 1)), "")
-    spots = base + place[at[pair]]
-    out = pa.table([pa.array([lang] * (len(nodes) + len(alone) + 1), pa.string()),
-                    pa.chunked_array([nodes, name(alone), pa.array([""])]),
-                    pa.chunked_array([follows, pa.nulls(len(alone) + 1, pa.string())]),
-                    pa.array(np.concatenate([n[pair], flow[alone], [len(place)]]).astype(np.int64)),
-                    pa.array(np.concatenate([spots, np.zeros(len(alone) + 1, dtype=np.int64)]))], schema=_EDGES)
-    return len(ids), out.combine_chunks().to_batches()[0]
-
-
-def edges_of(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """EDGES of every block; ``at`` numbers the places of all words, neighbours
-    in a piece one apart. A block begins at a multiple of 2^PLACES."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Spreads the bits of 64-bit numbers."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+        return x ^ (x >> np.uint64(33))
+
+
+class Block:
+    """Grams of a block of texts of one lang, added up: ``grams`` (up to three
+    word numbers, 0 for none), ``n`` and ``at`` (first place; words keep none).
+    The gram without words counts all words."""
+
+    def __init__(self, texts: list[bytes]):
+        whole = b" \n ".join(x.translate(_LETTERS).replace(b"\n", b" \n ") for x in texts)
+        words = pc.split_pattern(pa.array([whole], pa.large_binary()).cast(pa.large_string()), " ").values
+        words = words.filter(pc.not_equal(words, "")).dictionary_encode()
+        names = words.dictionary
+        end = pc.index(names, "\n").as_py()
+        ids = words.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        if end >= 0:  # 0 is the end of a piece
+            ids[ids == end + 1] = 0
+        self.names = pa.concat_arrays([pa.array([""], names.type), names])
+        self.places = len(ids)
+        second, third = np.append(ids[1:], 0), np.append(ids[2:], [0, 0])[:len(ids)]
+        place = np.flatnonzero(ids)
+        first, second = ids[place], second[place]
+        third = np.where(second > 0, third[place], 0)
+        # three word numbers in one key, unless one text alone holds millions of different words
+        width = max(int(ids.max(initial=0)).bit_length(), 1)
+        if 3 * width < 63:
+            key, seen, n = np.unique((first << 2 * width) | (second << width) | third, return_index=True, return_counts=True)
+            grams = np.column_stack([key >> 2 * width, (key >> width) & ((1 << width) - 1), key & ((1 << width) - 1)])
+        else:
+            grams, seen, n = np.unique(np.column_stack([first, second, third]), axis=0, return_index=True, return_counts=True)
+        # a node's flow: its edges and the pieces that end in it; a word's: its nodes and the pieces that end in it
+        begin = np.flatnonzero(np.r_[True, (grams[1:, :2] != grams[:-1, :2]).any(axis=1)][:len(grams)])
+        nodes, flow = grams[begin].copy(), np.add.reduceat(n, begin) if len(begin) else n
+        nodes[:, 2] = 0
+        flow_of_word = np.bincount(nodes[:, 0], weights=flow, minlength=1).astype(np.int64)
+        single = np.flatnonzero(flow_of_word)
+        edge, pair = grams[:, 2] > 0, nodes[:, 1] > 0
+        alone = np.zeros((len(single) + 1, 3), dtype=np.int64)
+        alone[:-1, 0] = single
+        self.grams = np.concatenate([grams[edge], nodes[pair], alone])
+        self.n = np.concatenate([n[edge], flow[pair], flow_of_word[single], [len(place)]]).astype(np.int64)
+        self.at = np.concatenate([place[seen[edge]], np.zeros(int(pair.sum()) + len(alone), dtype=np.int64)])
+
+    def packed(self, lang: str, base: int, buckets: int) -> Iterator[tuple[int, bytes]]:
+        """(bucket, compressed columns) of every bucket that holds grams."""
+        import xxhash
+        import zstandard
+        told = np.fromiter(map(xxhash.xxh64_intdigest, self.names.to_pylist()), dtype=np.uint64, count=len(self.names))
+        with np.errstate(over="ignore"):
+            h = np.full(len(self.grams), xxhash.xxh64_intdigest(lang), dtype=np.uint64)
+            for part in self.grams.T:
+                h = mix(h * np.uint64(0x9E3779B97F4A7C15) + told[part])
+        bucket = (h % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cut = np.flatnonzero(np.r_[True, np.diff(bucket[order]) > 0])
+        grams, n, at = self.grams[order], self.n[order], self.at[order] + base
+        shrink = zstandard.ZstdCompressor(level=1).compress
+        for lo, hi in zip(cut, np.r_[cut[1:], len(order)]):
+            words = [self.names.take(pa.array(c)).cast(pa.string()) for c in grams[lo:hi].T]
+            sizes = [np.diff(np.frombuffer(w.buffers()[1], dtype="<i4", count=hi - lo + 1)) for w in words]
+            letters = [w.buffers()[2].to_pybytes()[:k.sum()] if w.buffers()[2] else b"" for w, k in zip(words, sizes)]
+            numbers = np.concatenate([[hi - lo], n[lo:hi], at[lo:hi]]).astype("<i8")
+            yield int(bucket[order[lo]]), shrink(b"".join([numbers.tobytes(), np.concatenate(sizes).astype("<i4").tobytes(), *letters]))
+
+
+def unpacked(blob: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(gram, n, at) of a packed bucket; a gram's words have a space between."""
+    import zstandard
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    k = int(np.frombuffer(raw, dtype="<i8", count=1)[0])
+    n, at = (np.frombuffer(raw, dtype="<i8", count=k, offset=8 + i * 8 * k) for i in (0, 1))
+    sizes = np.frombuffer(raw, dtype="<i4", count=3 * k, offset=8 + 16 * k).reshape(3, k)
+    start, words = 8 + 28 * k, []
+    for size in sizes:
+        ends = np.concatenate([[0], np.cumsum(size)]).astype("<i4")
+        words.append(pa.StringArray.from_buffers(k, pa.py_buffer(ends), pa.py_buffer(raw[start:start + int(ends[-1])])))
+        start += int(ends[-1])
+    return pc.utf8_rtrim(pc.binary_join_element_wise(*words, " "), characters=" "), n, at
+
+
+def phrase_graph(docs: DataFrame, least: int = LEAST, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """lang, gram, n, at of the edges (three words), nodes (two) and words that
+    occur ``least`` times; the empty gram of a lang has its number of words.
+    ``at`` numbers places, neighbours in a piece one apart."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    rows = docs.select(F.coalesce(F.col(f"`{lang_col}`"), F.lit("und")).alias("lang"), text.alias("text"))
+    buckets = 1 + (rows.agg(F.sum(F.length("text"))).first()[0] or 0) // BUCKET
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         base = TaskContext.get().partitionId() << 40
         held: dict[str, list[bytes]] = {}
@@ -108,43 +159,49 @@ def edges_of(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") ->
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal base
             for lang in list(held):
-                taken, out = block_edges(lang, held.pop(lang), base)
-                base += -(-taken >> PLACES) << PLACES
-                if out is not None:
-                    for start in range(0, out.num_rows, 65_536):
-                        yield out.slice(start, 65_536)
+                block = Block(held.pop(lang))
+                for bucket, blob in block.packed(lang, base, buckets):
+                    yield pa.RecordBatch.from_pydict({"bucket": pa.array([bucket], pa.int64()), "lang": pa.array([lang], pa.string()),
+                                                      "blob": pa.array([blob], pa.binary())})
+                base += -(-block.places >> PLACES) << PLACES
 
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-                held.setdefault(lang, []).append(text)
-                size += text.count(b" ") + text.count(b"\t") + 1
+            for lang, t in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+                held.setdefault(lang, []).append(t)
+                size += t.count(b" ") + t.count(b"\t") + 1
                 if size >= BLOCK:
                     yield from flush()
                     size = 0
         yield from flush()
 
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = docs.select(F.coalesce(F.col(f"`{lang_col}`"), F.lit("und")).alias("lang"), text.alias("text"))
-    return rows.mapInArrow(run, EDGES)
+    def add(part: pa.Table) -> pa.Table:
+        langs, out = part.column("lang").to_pylist(), []
+        for lang in dict.fromkeys(langs):
+            got = [unpacked(b) for b, of in zip(part.column("blob").to_pylist(), langs) if of == lang]
+            grams = pa.table({"gram": pa.chunked_array([g for g, _, _ in got]), "n": np.concatenate([n for _, n, _ in got]),
+                              "at": np.concatenate([at for _, _, at in got])})
+            total = grams.group_by("gram").aggregate([("n", "sum"), ("at", "min")])
+            total = total.filter(pc.or_(pc.greater_equal(total.column("n_sum"), least), pc.equal(total.column("gram"), "")))
+            out.append(pa.table([pa.array([lang] * len(total), pa.string()), total.column("gram").cast(pa.string()), total.column("n_sum"),
+                                 total.column("at_min")], names=["lang", "gram", "n", "at"]))
+        return pa.concat_tables(out)
 
+    packed = rows.mapInArrow(cut, "bucket long, lang string, blob binary")
+    return materialise(packed.groupBy("bucket").applyInArrow(add, "lang string, gram string, n long, at long"))
 
-def phrase_graph(docs: DataFrame, least: int = LEAST, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """lang, node, f, edges (third, n, at) of the nodes, pairs and single words,
-    with a flow of ``least`` or more; edges below it are left out. The empty
-    node of a lang has its number of words."""
-    # one exchange by node serves both aggregates
-    by_node = edges_of(docs, lang_col, text_col).repartition("lang", "node")
-    edge = by_node.groupBy("lang", "node", "third").agg(F.sum("n").alias("n"), F.min("at").alias("at"))
-    heavy = F.when((F.col("third") != "") & (F.col("n") >= least), F.struct("third", "n", "at"))
-    node = edge.groupBy("lang", "node").agg(F.sum("n").alias("f"), F.collect_list(heavy).alias("edges"))
-    return materialise(node.where((F.col("f") >= least) | (F.col("node") == "")))
+
+def words_in(gram: str) -> Column:
+    return F.when(F.col(gram) == "", 0).otherwise(F.length(gram) - F.length(F.replace(gram, F.lit(" "), F.lit(""))) + 1)
 
 
 def path_edges(graph: DataFrame) -> DataFrame:
     """lang, node, third, n, f, at, suffix, head, linked: every edge of the
     graph with its node's flow; ``linked``: the next word's edge continues its
     path (the node between is unary); ``head``: place of the path's first edge."""
-    edges = graph.select("lang", "node", "f", F.inline("edges")).withColumn("block", F.shiftright("at", PLACES))
+    nodes = graph.where(words_in("gram") == 2).select("lang", F.col("gram").alias("node"), F.col("n").alias("f"))
+    node, third = F.substring_index("gram", " ", 2), F.substring_index("gram", " ", -1)
+    edges = graph.where(words_in("gram") == 3).select("lang", node.alias("node"), third.alias("third"), "n", "at")
+    edges = edges.join(nodes, ["lang", "node"]).withColumn("block", F.shiftright("at", PLACES))
     # a window holds the edges first seen in one block, at most its words; a path that outgrows it goes on as another
     order = Window.partitionBy("block").orderBy("at")
     joins = lambda at, n, f, prior_at, prior_n: (at == prior_at + 1) & (n == prior_n) & (f == prior_n)
@@ -191,22 +248,21 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, cover: int
     and three words of each lang that occur ``least`` times and that no longer
     one covers (``cover`` percent of their occurrences)."""
     graph = phrase_graph(docs, least, lang_col, text_col)
-    single = ~F.col("node").contains(" ")
-    words = graph.where(single & (F.col("node") != "")).select("lang", "node", F.col("f").alias("w"))
-    counts = graph.where("node = ''").select("lang", F.col("f").alias("n"))
+    words = graph.where(words_in("gram") == 1).select("lang", F.col("gram").alias("node"), F.col("n").alias("w"))
+    counts = graph.where("gram = ''").select("lang", "n")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    nodes = graph.where(~single)
-    triples = materialise(path_edges(nodes))
+    nodes = graph.where(words_in("gram") == 2).select("lang", F.col("gram").alias("node"), F.col("n").alias("f"))
+    triples = materialise(path_edges(graph))
     ends = triples.where("not linked")
     flow = nodes.select("lang", F.col("node").alias("suffix"), F.col("f").alias("g"))
     # inside a path the second pair's count is the path's weight; at its end it is the node's flow
     third = triples.where("linked").withColumn("g", F.col("n")).unionByName(ends.join(flow, ["lang", "suffix"]))
     third = third.select("lang", F.concat_ws(" ", "node", "third").alias("phrase"), F.col("n").alias("a"), F.col("f").alias("left2"),
                          F.col("g").alias("right2"), F.substring_index("node", " ", 1).alias("first"), F.col("third").alias("last"))
-    # a pair inside a path leaves by one edge of its own weight, so the longest edge out of it covers it already
-    enters = ends.groupBy("lang", F.col("suffix").alias("node")).agg(F.max("n").alias("enters"))
-    longest = F.greatest(F.coalesce("enters", F.lit(0)), F.coalesce(F.array_max(F.transform("edges", lambda e: e["n"])), F.lit(0)))
-    second = nodes.join(enters, ["lang", "node"], "left").where(100 * longest < cover * F.col("f")).select(
+    # edges that hold a pair: those that leave its node, and those that enter it, where a path ends (inside one, the edge
+    # that leaves has the same weight)
+    holds = triples.select("lang", "node", "n").unionAll(ends.select("lang", "suffix", "n")).groupBy("lang", "node").agg(F.max("n").alias("longest"))
+    second = nodes.join(holds, ["lang", "node"], "left").where(100 * F.coalesce("longest", F.lit(0)) < cover * F.col("f")).select(
         "lang", F.col("node").alias("phrase"), F.col("f").alias("a"), F.lit(None).cast("long").alias("left2"),
         F.lit(None).cast("long").alias("right2"), F.substring_index("node", " ", 1).alias("first"), F.substring_index("node", " ", -1).alias("last"))
     found = with_word_count(with_word_count(third.unionByName(second), words, "first", "w1", total), words, "last", "w2", total)
@@ -229,17 +285,18 @@ ORACLE = """
 WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
 p AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM t),
 s AS (SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS w FROM p),
-u AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM s),
-k AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, w[i:i + k - 1] AS w FROM u, (VALUES (1), (2), (3)) v(k) WHERE i + k - 1 <= len(w)),
-f AS (SELECT lang, k, phrase, any_value(w) AS w, count(*)::BIGINT AS f FROM k GROUP BY lang, k, phrase),
+k AS (SELECT lang, k, unnest(list_transform(generate_series(1, len(w) - k + 1), lambda i: w[i:i + k - 1])) AS w FROM s, (VALUES (1), (2), (3)) v(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, array_to_string(w, ' ') AS phrase, any_value(w) AS w, count(*)::BIGINT AS f FROM k GROUP BY 1, 2, 3),
 n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
 c AS (SELECT * FROM f WHERE k > 1 AND f >= 10),
-x AS (SELECT c.lang, c.phrase, c.k, c.f AS a, j, l.f AS l, r.f AS r, (1000000::HUGEINT * c.f * c.f) // (l.f::HUGEINT * r.f) AS score
-      FROM c JOIN (VALUES (1), (2)) v(j) ON j < c.k JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:j], ' ')
-      JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[j + 1:], ' ')),
+h AS (SELECT lang, phrase, k, f AS a, w, unnest(range(1, k)) AS j FROM c),
+y AS (SELECT lang, phrase, k, a, j, array_to_string(w[1:j], ' ') AS left_part, array_to_string(w[j + 1:], ' ') AS right_part FROM h),
+x AS (SELECT y.lang, y.phrase, y.k, a, j, l.f AS l, r.f AS r, (1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS score
+      FROM y JOIN f l ON l.lang = y.lang AND l.phrase = left_part JOIN f r ON r.lang = y.lang AND r.phrase = right_part),
 b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
-d AS (SELECT * FROM b WHERE k = 3 OR NOT EXISTS (SELECT 1 FROM c WHERE c.k = 3 AND c.lang = b.lang AND 100 * c.f >= 50 * b.a
-      AND (array_to_string(c.w[1:2], ' ') = b.phrase OR array_to_string(c.w[2:3], ' ') = b.phrase))),
+z AS (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, f FROM c WHERE k = 3),
+m AS (SELECT lang, phrase, max(f) AS most FROM z GROUP BY lang, phrase),
+d AS (SELECT b.* FROM b LEFT JOIN m USING (lang, phrase) WHERE k = 3 OR most IS NULL OR 100 * most < 50 * a),
 o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM d)
 SELECT lang, rank::BIGINT AS rank, phrase, a, l, r, n, score::BIGINT AS score FROM o JOIN n USING (lang) WHERE rank <= 2000"""
 
