@@ -5,6 +5,8 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from conftest import SF
 from tickwise.llm import alignment as A
@@ -20,6 +22,13 @@ def tools():
     return t, sentencepiece.SentencePieceProcessor(model_file=P.path(A.VOCABULARY_B))
 
 
+def upto(tokens, end):
+    for i, e in tokens:
+        yield i
+        if e == end:
+            return
+
+
 def cut(text, t, sp, letters):
     """Groups as ([A ids], [B ids])."""
     if not text:
@@ -31,11 +40,9 @@ def cut(text, t, sp, letters):
     if not b"".join(as_a) == b"".join(as_b) == (" " + text).encode():
         return []
     ends_a, ends_b = np.cumsum([len(x) for x in as_a]).tolist(), np.cumsum([len(x) for x in as_b]).tolist()
-    common = sorted(set(ends_a) & set(ends_b))
-    groups, low = [], 0
-    for end in common:
-        groups.append(([i for i, e in zip(a, ends_a) if low < e <= end], [i for i, e in zip(b, ends_b) if low < e <= end]))
-        low = end
+    groups, xs, ys = [], iter(zip(a, ends_a)), iter(zip(b, ends_b))
+    for end in sorted(set(ends_a) & set(ends_b)):
+        groups.append((list(upto(xs, end)), list(upto(ys, end))))
     return groups
 
 
@@ -76,13 +83,30 @@ TEXTS = ["hello  world\n\n a", "  lead", "<s> x </s> <unk> <0x41> <|endoftext|>"
          "hello world", "The unbelievableness of antidisestablishmentarianism", "x" * 3000, "日" * 300 + "本" * 300, "\x00\x01 a", "don't DON'T", " "]
 
 
-@pytest.mark.parametrize("share", [1e-3, 0.3])
-def test_every_figure_equals_a_loop(ready, monkeypatch, share):
+@pytest.mark.parametrize("share,chunk", [(1e-3, 1 << 23), (0.3, 1)])
+def test_every_figure_equals_a_loop(ready, monkeypatch, share, chunk):
     monkeypatch.setattr(A, "SHARE", share)
+    monkeypatch.setattr(A, "CHUNK", chunk)
     docs = list(enumerate(TEXTS)) + [(None, "hello world"), (3, "hello world")]
     same(ready.createDataFrame(docs, "doc_id long, text string").repartition(3), docs)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \t\n'’ab.,1▁éß")), max_size=30), min_size=1, max_size=4))
+def test_units_give_the_tokens_of_the_whole_text(texts):
+    t, sp = _TOOLS or _TOOLS.extend(tools()) or _TOOLS
+    known = A.aligner(A.VOCABULARY_A, A.VOCABULARY_B)
+    letters = A.byte_letters()
+    for text, got in zip(texts, known.align(texts)):
+        groups = cut(text, t, sp, letters)
+        digest = ";".join(",".join(map(str, xs)) + "|" + ",".join(map(str, ys)) for xs, ys in groups)
+        assert got[4] == (hashlib.sha256(digest.encode()).hexdigest() if groups else "")
+        assert got[:4] == (sum(len(x) for x, _ in groups), sum(len(y) for _, y in groups), len(groups), sum(len(x) * len(y) for x, y in groups))
+
+
+_TOOLS = []
+
+
 def test_large_groups_are_counted_by_distinct_ids(ready, monkeypatch):
     monkeypatch.setattr(A, "LISTED", 1)
     tool = A.aligner(A.VOCABULARY_A, A.VOCABULARY_B)
@@ -93,14 +117,14 @@ def test_large_groups_are_counted_by_distinct_ids(ready, monkeypatch):
         of_a.sort(), of_b.sort()
         a, b = rng.integers(0, 9, 30), rng.integers(300, 306, 25)
         n_a, n_b = np.bincount(of_a, minlength=4), np.bincount(of_b, minlength=4)
-        ids, n, x, y, m = tool.pairs(a, b, of_a, of_b, n_a, n_b)
+        _, keys, links = tool.pairs(a, b, of_a, of_b, n_a, n_b)
         want = defaultdict(int)
         for i, g in zip(a, of_a):
             for j, h in zip(b, of_b):
                 want[i, j] += g == h
         want = {k: v for k, v in want.items() if v}
-        have = {(i, tool.same[i]): k for i, k in zip(ids, n)} | {(i, j): k for i, j, k in zip(x, y, m)}
-        assert have == want
+        have = dict(zip(*(x.tolist() for x in A.summed(keys, links))))
+        assert have == {int(i) << 32 | int(j): n for (i, j), n in want.items()}
 
 
 def test_documents_of_the_small_table(ready):

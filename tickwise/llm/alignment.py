@@ -16,6 +16,13 @@ large part of the rows; there are at most (mean pairs of a document) / SHARE of
 these, so they are broadcast, and the rest, with few rows each, are joined by a
 shuffle.
 
+Texts are cut at single spaces between plain characters into units (a space and
+what follows it) before they are tokenised. No token of A or B reaches over such
+a place (A's pattern begins a token there, and no piece of B has a space after
+another character, which is checked), so the distinct units of some hundred texts
+are tokenised and aligned together, once each, and the texts put together from
+them.
+
 Texts that are null or empty, or that either tokenizer doesn't give back byte
 for byte, have no tokens: zeros and an empty digest. Strings of special tokens
 are plain text. Long texts are cut whole. Ids may be null or repeat (rows are
@@ -26,6 +33,7 @@ left alone.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -41,6 +49,13 @@ from .registry import register
 VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
 SHARE = 1e-3
+#: Characters of text whose units are aligned together.
+CHUNK = 1 << 23
+STRING = 200
+#: A single space between characters that both vocabularies take for plain ones.
+PLAIN = r"[!-~\xa1-\xac\xae-\u024f]"
+PLACE = re.compile(f"(?<={PLAIN}) (?={PLAIN})")
+BETWEEN = re.compile(f"{PLAIN}(.*{PLAIN})?", re.S)
 #: Groups whose pairs are more than this are counted by distinct ids instead of being listed.
 LISTED = 4096
 
@@ -87,61 +102,128 @@ class Aligner:
         # a piece wins over the byte token of the same byte, which is only the fallback
         first = {x: i for i, x in sorted(enumerate(self.bytes_b), key=lambda e: not self.pieces.is_byte(e[0])) if x}
         self.same = np.fromiter((first.get(x, -1) for x in self.bytes_a), dtype=np.int64, count=len(self.bytes_a))
+        # whether units may be cut out: no piece goes on with a space
+        self.apart = not any("▁" in self.pieces.id_to_piece(i).lstrip("▁") for i in range(len(self.bytes_b)))
         # an id with the sign behind it: another of its group, the end of A's part, the end of the group
         self.more_a, self.last_a = (np.array([f"{i}{s}" for i in range(len(self.bytes_a))], dtype=object) for s in ",|")
         self.more_b, self.last_b = (np.array([f"{i}{s}" for i in range(len(self.bytes_b))], dtype=object) for s in ",;")
 
-    def tokens(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Ids of A and B per text; none where bytes don't come back."""
-        none = np.empty(0, dtype=np.int64)
-        for text, b in zip(texts, self.pieces.encode(texts, num_threads=1)):
-            raw = (" " + text).encode()
-            a = np.frombuffer(self.encode_a(" " + text), dtype="<u4").astype(np.int64) if text else none
-            whole = text and b"".join(map(self.bytes_a.__getitem__, a.tolist())) == raw == b"".join(map(self.bytes_b.__getitem__, b))
-            yield (a, np.asarray(b, dtype=np.int64)) if whole else (none, none)
-
-    def groups(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Group number of each A and B token; A and B tokens of each group."""
+    def groups(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Group number of each A and B token; bytes at which groups end."""
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         is_end = np.zeros(ends_a[-1] + 1, dtype=bool)
         is_end[ends_a] = True
         cuts = ends_b[is_end[ends_b]]
-        of_a, of_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
-        return of_a, of_b, np.bincount(of_a, minlength=len(cuts)), np.bincount(of_b, minlength=len(cuts))
+        return np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b), cuts
 
-    def digest(self, a, b, of_a, of_b, n_a, n_b) -> str:
+    def written(self, a, b, of_a, of_b, n_a, n_b) -> list[str]:
+        """Tokens group by group, A's and then B's, each with the sign behind it."""
         out = np.empty(len(a) + len(b), dtype=object)
         before_b, upto_a = np.cumsum(n_b) - n_b, np.cumsum(n_a)
         end_a, end_b = (np.append(g[1:] != g[:-1], True) for g in (of_a, of_b))
         out[np.arange(len(a)) + before_b[of_a]] = np.where(end_a, self.last_a[a], self.more_a[a])
         out[np.arange(len(b)) + upto_a[of_b]] = np.where(end_b, self.last_b[b], self.more_b[b])
-        return hashlib.sha256("".join(out.tolist())[:-1].encode()).hexdigest()
+        return out.tolist()
 
-    def pairs(self, a, b, of_a, of_b, n_a, n_b) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(A ids linked to their same-bytes id, links; A, B and links of every
-        other distinct pair)."""
+    def pairs(self, a, b, of_a, of_b, n_a, n_b) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(group, ``A << 32 | B``, links); a pair may come in several rows."""
         single = (n_a == 1) & (n_b == 1)
-        one_a, one_b = a[single[of_a]], b[single[of_b]]
-        plain = self.same[one_a] == one_b
-        # what isn't one to the same one: all pairs of the group, or of its distinct ids where these are many
+        at_a = single[of_a]
+        # groups of more tokens: all pairs, or those of distinct ids where they are many
         listed = ~single & (n_a * n_b <= LISTED)
         in_a, first_b = listed[of_a], np.cumsum(n_b) - n_b
         times = n_b[of_a[in_a]]
         at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first_b[of_a[in_a]], times)
-        keys = [one_a[~plain] << 32 | one_b[~plain], np.repeat(a[in_a], times) << 32 | b[at]]
+        group = [of_a[at_a], np.repeat(of_a[in_a], times)]
+        keys = [a[at_a] << 32 | b[single[of_b]], np.repeat(a[in_a], times) << 32 | b[at]]
         links = [np.ones(len(k), dtype=np.int64) for k in keys]
         for g in np.flatnonzero(~single & ~listed):
-            (x, nx), (y, ny) = (np.unique(t[o == g], return_counts=True) for t, o in ((a, of_a), (b, of_b)))
+            (x, nx), (y, ny) = (np.unique(t[slice(*np.searchsorted(o, [g, g + 1]))], return_counts=True) for t, o in ((a, of_a), (b, of_b)))
             keys.append((x[:, None] << 32 | y).ravel())
             links.append((nx[:, None] * ny).ravel())
-        key, place = np.unique(np.concatenate(keys), return_inverse=True)
-        n = np.bincount(place, weights=np.concatenate(links), minlength=len(key)).astype(np.int64)
-        x, y = key >> 32, key & 0xFFFFFFFF
-        same = self.same[x] == y
-        vector = np.bincount(one_a[plain], minlength=len(self.same))
-        vector[x[same]] += n[same]
-        ids = np.flatnonzero(vector)
-        return ids, vector[ids], x[~same], y[~same], n[~same]
+            group.append(np.full(len(keys[-1]), g))
+        return np.concatenate(group), np.concatenate(keys), np.concatenate(links)
+
+    def units(self, units: list[str]) -> "Units":
+        """The units aligned: those with plain ends many to a text, as if they
+        stood in it; the others one by one. Each is looked at by itself if their
+        bytes don't come back together (a literal U+2581, say)."""
+        raw = "".join(" " + u for u in units).encode()
+        plain = next((k for k, u in enumerate(units) if not BETWEEN.fullmatch(u)), len(units))
+        texts = [" ".join(units[k:min(k + STRING, plain)]) for k in range(0, plain, STRING)] + units[plain:]
+        a = np.frombuffer(b"".join(self.encode_a(" " + t) for t in texts), dtype="<u4").astype(np.int64)
+        b = [i for ids in self.pieces.encode(texts, num_threads=1) for i in ids]
+        if not b"".join(map(self.bytes_a.__getitem__, a.tolist())) == raw == b"".join(map(self.bytes_b.__getitem__, b)):
+            if len(units) > 1:
+                half = len(units) // 2
+                return self.units(units[:half]).joined(self.units(units[half:]))
+            none = np.empty(0, dtype=np.int64)
+            return Units([""], np.zeros((1, 4), dtype=np.int64), none, none, none)
+        b = np.asarray(b, dtype=np.int64)
+        of_a, of_b, cuts = self.groups(a, b)
+        n_a, n_b = (np.bincount(g, minlength=len(cuts)) for g in (of_a, of_b))
+        ends = np.cumsum([len(u.encode()) + 1 for u in units])
+        unit = np.searchsorted(ends, cuts)
+        figures = np.column_stack([np.bincount(unit, weights=x, minlength=len(units)) for x in (n_a, n_b, np.ones(len(cuts)), n_a * n_b)]).astype(np.int64)
+        parts, upto = self.written(a, b, of_a, of_b, n_a, n_b), np.cumsum(figures[:, 0] + figures[:, 1])
+        texts = ["".join(parts[i:j]) for i, j in zip([0, *upto[:-1].tolist()], upto.tolist())]
+        group, keys, links = self.pairs(a, b, of_a, of_b, n_a, n_b)
+        return Units(texts, figures, unit[group], keys, links)
+
+    def align(self, texts: list[str]) -> Iterator[tuple]:
+        """SCHEMA from n_a on for each text."""
+        index: dict[str, int] = {}
+        number = index.setdefault
+        cut = [[number(u, len(index)) for u in (PLACE.split(t) if self.apart else [t])] if t else [] for t in texts]
+        # units with plain ends first
+        order = sorted(index, key=lambda u: not BETWEEN.fullmatch(u))
+        place = np.zeros(len(index), dtype=np.int64)
+        place[[index[u] for u in order]] = np.arange(len(order))
+        known = self.units(order).sorted() if order else None
+        for c in cut:
+            which = place[c]
+            if not len(which) or not known.figures[which, 0].all():
+                yield 0, 0, 0, 0, "", [], [], [], [], []
+                continue
+            digest = hashlib.sha256("".join([known.texts[i] for i in which.tolist()])[:-1].encode()).hexdigest()
+            keys, n = summed(*known.pairs_of(which))
+            x, y = keys >> 32, keys & 0xFFFFFFFF
+            same = self.same[x] == y
+            yield *known.figures[which].sum(axis=0).tolist(), digest, x[same], n[same], x[~same], y[~same], n[~same]
+
+
+class Units:
+    """Units with their digest texts (each ends in a sign), figures (n_a, n_b,
+    n_groups, n_links; n_a 0: bytes don't come back) and pairs (unit, key, links)."""
+
+    def __init__(self, texts: list[str], figures: np.ndarray, unit: np.ndarray, keys: np.ndarray, links: np.ndarray):
+        self.texts, self.figures, self.unit, self.keys, self.links = texts, figures, unit, keys, links
+
+    def joined(self, other: "Units") -> "Units":
+        return Units(self.texts + other.texts, np.concatenate([self.figures, other.figures]),
+                     np.concatenate([self.unit, other.unit + len(self.texts)]), np.concatenate([self.keys, other.keys]),
+                     np.concatenate([self.links, other.links]))
+
+    def sorted(self) -> "Units":
+        """Pairs in the order of their units, ``start`` and ``size`` of each unit's."""
+        order = np.argsort(self.unit, kind="stable")
+        self.unit, self.keys, self.links = self.unit[order], self.keys[order], self.links[order]
+        self.size = np.bincount(self.unit, minlength=len(self.texts))
+        self.start = np.cumsum(self.size) - self.size
+        return self
+
+    def pairs_of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = self.size[which]
+        at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(self.start[which], size)
+        return self.keys[at], self.links[at]
+
+
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the sums of n."""
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
 
 
 @lru_cache(maxsize=2)
@@ -154,18 +236,25 @@ def linked(docs: DataFrame, vocabulary_a: str = VOCABULARY_A, vocabulary_b: str
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document (SCHEMA): its figures, links to same-bytes ids
     (``same_a``, ``same_n``) and its other distinct pairs (``a``, ``b``, ``n``)."""
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tool = aligner(vocabulary_a, vocabulary_b)
+        held: list[pd.DataFrame] = []
+
+        def done() -> Iterator[pd.DataFrame]:
+            figures = tool.align([t for pdf in held for t in pdf["text"]])
+            for pdf in held:
+                out = [(row, doc_id, *next(figures)) for row, doc_id in zip(pdf["row_id"], pdf["doc_id"])]
+                yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+
         for pdf in batches:
-            out = []
-            for row, doc_id, (a, b) in zip(pdf["row_id"], pdf["doc_id"], tool.tokens(pdf["text"].to_list())):
-                if not len(a):
-                    out.append((row, doc_id, 0, 0, 0, 0, "", [], [], [], [], []))
-                    continue
-                cut = tool.groups(a, b)
-                out.append((row, doc_id, len(a), len(b), len(cut[2]), int(cut[2] @ cut[3]), tool.digest(a, b, *cut), *tool.pairs(a, b, *cut)))
-            got = pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
-            yield got.astype({"doc_id": "Int64"})
+            held.append(pdf)
+            if sum(int(p["text"].str.len().sum()) for p in held) >= CHUNK:
+                yield from done()
+                held.clear()
+        if held:
+            yield from done()
 
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
