@@ -7,15 +7,17 @@ nearest are those of the largest inner product, and a distance bound is a score
 bound. Scores themselves are computed from the integers.
 
 The rows are dealt to the nearest of some routing objects (a bounded sample);
-large cells, a heap of equal vectors say, are split by a hash. Each part becomes
-one M-tree in one task: paged nodes with routing objects, covering radii and
-distances to the parent. Trees are rows of a table. Search: a query first runs
-in its own cell's tree, which gives it a k-th score to beat. Blocks of queries
-then go to those trees alone whose (centre, radius) can hold a better score for
-one of the block. In a tree a queue holds nodes by their lowest possible
-distance; stored parent distances rule entries out before their distance is
-computed (|d(q, parent) - d(parent, entry)| bounds it); the search of a query
-ends when the best node left can't beat its k-th score.
+large cells, a heap of equal vectors say, are split by a hash. Each part, about
+TREE_ROWS rows, becomes one M-tree in one task: paged nodes with routing
+objects, covering radii and distances to the parent. Trees are rows of a table.
+Search: a query first runs in its own cell's first tree, which gives it a k-th
+score to beat. Blocks of queries then go to the trees of those cells alone whose
+(centre, radius) can hold a better score for one of the block. In a tree the
+block's queries go down together: a queue holds nodes by the lowest distance
+that is possible for one of them; stored parent distances rule entries out
+before their distance is computed (|d(q, parent) - d(parent, entry)| bounds it);
+an opened page is one matrix product for the queries that still need it; the
+search ends when the best node left can't beat any query's k-th score.
 
 Queries: rows whose id is divisible by ``every``; candidates: all rows but those
 with the query's own id. Ties go to the smaller id. Vectors that are null,
@@ -100,49 +102,68 @@ class Tree:
             self.child[slot] = number
         del self.ids_in, self.points_in
 
-    def search(self, own: int, q: np.ndarray, k: int, beat: float, reach: float) -> list[tuple[int, int]]:
-        """Up to k (score, id) of score ``beat`` or more; q is augmented by 0,
-        ``reach`` is |q|^2 + M^2."""
-        best: list[tuple[float, int]] = []  # heap of (score, -id): the worst of the k first
-        least = beat
-
-        def far() -> float:
-            """Distance beyond which no score reaches ``least``."""
-            return math.sqrt(max(reach - 2 * least, 0.0)) * (1 + SLACK) + SLACK if least > -math.inf else math.inf
-
-        limit = far()
-        d0 = float(np.linalg.norm(q - self.center))
-        queue = [(max(0.0, d0 - self.center_radius), 0, d0)]
+    def search(self, own: np.ndarray, queries: np.ndarray, k: int, beat: np.ndarray, longest: float) -> list[tuple[int, int, int]]:
+        """(row of ``queries``, score, id): up to k a query, of score ``beat``
+        or more. The queries go down together: the queue holds nodes by the
+        lowest distance that any of them could find there, and a page that is
+        opened is one matrix product for the queries that still need it."""
+        size = np.sqrt((queries * queries).sum(axis=1))
+        reach = size * size + longest  # distance^2 = reach - 2 * score
+        least = np.array(beat, dtype=np.float64)
+        best = np.full((len(queries), k), -math.inf)
+        ids = np.full((len(queries), k), np.iinfo(np.int64).max)
+
+        def far(of: np.ndarray) -> np.ndarray:
+            """Distance beyond which no score reaches ``of``."""
+            with np.errstate(invalid="ignore"):
+                return np.where(np.isneginf(of), math.inf, np.sqrt(np.maximum(reach - 2 * of, 0.0)) * (1 + SLACK) + SLACK)
+
+        limit = far(least)
+        d0 = distances(np.column_stack([queries, np.zeros(len(queries))]), self.center[None])[:, 0]
+        # the ball |p - c| <= r holds before the coordinate was added too: scores there are <q, c> + |q| r at most
+        highest = queries @ self.center[:-1] + size * self.center_radius
+        low = np.maximum(d0 - self.center_radius, np.sqrt(np.maximum(reach - 2 * highest, 0.0)) * (1 - SLACK) - SLACK)
+        queue, pushed = [(float(low.min(initial=math.inf)), 0, 0, low, d0)], 0
         while queue:
-            low, node, d_up = heapq.heappop(queue)
-            if low > limit:
+            lowest, _, node, low, d_up = heapq.heappop(queue)
+            if lowest > limit.max(initial=0.0):
                 break
+            need = np.flatnonzero(low <= limit)
+            if not len(need):
+                continue
             s = slice(self.lo[node], self.hi[node])
             # what the stored parent distances leave
-            open_ = np.flatnonzero(np.abs(d_up - self.up[s]) - self.radius[s] <= limit) + s.start
+            bound = np.abs(d_up[need] - self.up[s][:, None]) - self.radius[s][:, None]
+            open_ = np.flatnonzero((bound <= limit[need]).any(axis=1)) + s.start
             if not len(open_):
                 continue
+            scores = queries[need] @ self.point[open_, :-1].T
             if self.leaf[node]:
-                scores = self.point[open_, :-1] @ q[:-1]
-                good = open_[scores >= least] if least > -math.inf else open_
-                for i, score in zip(good, scores[scores >= least] if least > -math.inf else scores):
-                    if self.id[i] == own:
-                        continue
-                    item = (float(score), -int(self.id[i]))
-                    if len(best) < k:
-                        heapq.heappush(best, item)
-                    elif item > best[0]:
-                        heapq.heapreplace(best, item)
-                    if len(best) == k and best[0][0] > least:
-                        least = best[0][0]
-                        limit = far()
+                scores[own[need][:, None] == self.id[open_][None]] = -math.inf
+                better = (scores >= least[need][:, None]) & (scores > -math.inf)
+                some = np.flatnonzero(better.any(axis=1))
+                if not len(some):
+                    continue
+                rows = need[some]
+                found = np.where(better[some], scores[some], -math.inf)
+                all_scores = np.concatenate([best[rows], found], axis=1)
+                all_ids = np.concatenate([ids[rows], np.where(np.isneginf(found), np.iinfo(np.int64).max, self.id[open_][None])], axis=1)
+                first = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
+                best[rows], ids[rows] = np.take_along_axis(all_scores, first, 1), np.take_along_axis(all_ids, first, 1)
+                least[rows] = np.maximum(least[rows], best[rows, -1])
+                limit = far(least)
             else:
-                d = np.linalg.norm(self.point[open_] - q, axis=1)
-                lows = np.maximum(d - self.radius[open_], 0.0)
-                for i, dist, lowest in zip(open_, d, lows):
-                    if lowest <= limit:
-                        heapq.heappush(queue, (float(lowest), int(self.child[i]), float(dist)))
-        return [(int(score), -i) for score, i in best]
+                d = np.sqrt(np.maximum(reach[need] - 2 * scores.T, 0.0))
+                radius = self.radius[open_][:, None]
+                highest = scores.T + size[need] * radius
+                lows = np.maximum(d - radius, np.sqrt(np.maximum(reach[need] - 2 * highest, 0.0)) * (1 - SLACK) - SLACK)
+                can = lows <= limit[need]
+                for i in np.flatnonzero(can.any(axis=1)):
+                    child_low, child_up = np.full(len(queries), math.inf), np.zeros(len(queries))
+                    child_low[need], child_up[need] = np.where(can[i], lows[i], math.inf), d[i]
+                    pushed += 1
+                    heapq.heappush(queue, (float(child_low.min()), pushed, int(self.child[open_[i]]), child_low, child_up))
+        return [(int(q), int(best[q, j]), int(ids[q, j])) for q, j in zip(*np.nonzero(best > -math.inf))]
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -170,9 +191,8 @@ def top_k_of_length(rows: DataFrame, dim: int, k: int, every: int) -> DataFrame:
     square = F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x)
     n, longest = rows.agg(F.count(F.lit(1)), F.max(square)).first()
     longest = float(longest or 0.0)
-    # routing objects: a bounded sample, the first by hash; more rows than CELLS * TREE_ROWS make larger trees
+    # routing objects: a bounded sample, the first by hash; beyond CELLS * TREE_ROWS rows a cell has more trees, not larger ones
     cells = min(CELLS, max(1, math.ceil(n / TREE_ROWS)))
-    target = max(TREE_ROWS, math.ceil(n / (16 * CELLS)))
     seeds = rows.orderBy(F.xxhash64("id", "v"), "id").limit(cells).select("v").toPandas()["v"]
     centers = spark.sparkContext.broadcast(lift(matrix(seeds), longest) if len(seeds) else np.zeros((1, dim + 1)))
 
@@ -180,21 +200,22 @@ def top_k_of_length(rows: DataFrame, dim: int, k: int, every: int) -> DataFrame:
         for pdf in batches:
             if len(pdf):
                 points = matrix(pdf["v"])
-                yield pd.DataFrame({"id": pdf["id"], "cell": distances(lift(points, longest), centers.value).argmin(axis=1),
+                lifted = lift(points, longest)
+                cell = distances(lifted, centers.value).argmin(axis=1)
+                yield pd.DataFrame({"id": pdf["id"], "cell": cell, "away": np.linalg.norm(lifted - centers.value[cell], axis=1),
                                     "point": [p.tobytes() for p in points]})
 
-    dealt = materialise(rows.mapInPandas(deal, "id long, cell long, point binary"))
-    parts = dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).select("cell", F.ceil(F.col("n") / target).alias("parts"))
-    # at most CELLS rows
-    parts = F.broadcast(parts)
-    placed = dealt.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("id", "point"), "parts"))
+    dealt = materialise(rows.mapInPandas(deal, "id long, cell long, away double, point binary"))
+    # a cell's trees are drawn from it by hash and share its ball: the directory has at most CELLS rows
+    cells_of = materialise(dealt.groupBy("cell").agg(F.max("away").alias("radius"), F.ceil(F.count(F.lit(1)) / TREE_ROWS).alias("parts")))
+    balls = cells_of.toPandas()
+    placed = dealt.join(F.broadcast(cells_of.select("cell", "parts")), "cell").withColumn("part", F.pmod(F.xxhash64("id", "point"), "parts"))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = Tree(pdf["id"].to_numpy(), lift(unpack(pdf["point"]), longest))
-        return pd.DataFrame({"cell": [pdf["cell"].iloc[0]], "part": [pdf["part"].iloc[0]], "center": [tree.center.tobytes()],
-                             "radius": [tree.center_radius], "tree": [pickle.dumps(tree)]})
+        return pd.DataFrame({"cell": [pdf["cell"].iloc[0]], "part": [pdf["part"].iloc[0]], "tree": [pickle.dumps(tree)]})
 
-    trees = materialise(placed.groupBy("cell", "part").applyInPandas(build, "cell long, part long, center binary, radius double, tree binary")
+    trees = materialise(placed.groupBy("cell", "part").applyInPandas(build, "cell long, part long, tree binary")
                         .withColumn("number", F.monotonically_increasing_id()))
 
     def search(key, forest: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
@@ -203,10 +224,8 @@ def top_k_of_length(rows: DataFrame, dim: int, k: int, every: int) -> DataFrame:
             tree = pickle.loads(blob)
             for block in blocks.itertuples(index=False):
                 points = np.frombuffer(block.points, dtype="<f8").reshape(len(block.ids), -1)
-                for own, beat, p in zip(block.ids, block.beats, points):
-                    q = np.append(p, 0.0)
-                    got = tree.search(own, q, k, beat, float(p @ p) + longest)
-                    found += [(own, i, score, p.tobytes()) for score, i in got]
+                got = tree.search(np.asarray(block.ids), points, k, np.asarray(block.beats, dtype=np.float64), longest)
+                found += [(block.ids[q], i, score, points[q].tobytes()) for q, score, i in got]
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score", "point"])
 
     shape = "query_id long, vec_id long, score long, point binary"
@@ -236,26 +255,27 @@ def top_k_of_length(rows: DataFrame, dim: int, k: int, every: int) -> DataFrame:
     worst = worst.select(F.col("query_id").alias("id"), "point",
                          F.when(F.col("n") >= k, F.col("worst").cast("double")).otherwise(float("-inf")).alias("beat"))
     again = queries.join(worst, ["id", "point"], "left").withColumn("beat", F.coalesce("beat", F.lit(float("-inf"))))
-    # one (centre, radius) per tree: at most CELLS + 16 * CELLS rows of (dim + 1) numbers
-    directory = trees.select("number", "cell", "part", "center", "radius").toPandas()
-    told = spark.sparkContext.broadcast((directory["number"].to_numpy(), directory["cell"].to_numpy(), directory["part"].to_numpy(),
-                                         unpack(directory["center"]) if len(directory) else np.zeros((0, dim + 1)), directory["radius"].to_numpy()))
+    told = spark.sparkContext.broadcast((balls["cell"].to_numpy(), centers.value[balls["cell"]], balls["radius"].to_numpy()))
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number, cell, part, center, radius = told.value
+        cell, center, radius = told.value
         for pdf in batches:
             for r in pdf.itertuples(index=False):
                 points = np.frombuffer(r.points, dtype="<f8").reshape(len(r.ids), -1)
+                reach = (points * points).sum(1)[:, None] + longest
                 d = distances(np.column_stack([points, np.zeros(len(points))]), center)
                 low = np.maximum(d * (1 - SLACK) - radius - SLACK, 0.0)
-                highest = ((points * points).sum(1)[:, None] + longest - low * low) / 2 * (1 + SLACK) + SLACK
+                # by the distance on the sphere, and by the ball without the added coordinate
+                highest = np.minimum((reach - low * low) / 2, points @ center[:, :-1].T + np.sqrt(reach - longest) * radius) * (1 + SLACK) + SLACK
                 can = highest >= np.asarray(r.beats)[:, None]
-                for t in np.flatnonzero(can.any(axis=0) & ~((cell == r.cell) & (part == 0))):
+                for t in np.flatnonzero(can.any(axis=0)):
                     rows = np.flatnonzero(can[:, t])
-                    yield pd.DataFrame({"number": [number[t]], "deal": [(r.cell * 31 + r.slice) // 16], "ids": [np.asarray(r.ids)[rows]],
+                    yield pd.DataFrame({"cell": [cell[t]], "home": [r.cell], "deal": [(r.cell * 31 + r.slice) // 16], "ids": [np.asarray(r.ids)[rows]],
                                         "beats": [np.asarray(r.beats)[rows]], "points": [points[rows].tobytes()]})
 
-    routed = materialise(blocks_of(again).mapInPandas(route, "number long, deal long, ids array<long>, beats array<double>, points binary"))
+    routed = blocks_of(again).mapInPandas(route, "cell long, home long, deal long, ids array<long>, beats array<double>, points binary")
+    routed = materialise(routed.join(trees.select("cell", "part", "number"), "cell").where("cell <> home or part <> 0")
+                         .select("number", "deal", "ids", "beats", "points"))
     every_one = first.unionAll(searched(routed))
     place = Window.partitionBy("query_id", "point").orderBy(F.desc("score"), "vec_id")
     return (every_one.distinct().withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
