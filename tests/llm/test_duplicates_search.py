@@ -115,6 +115,39 @@ def test_classes_of_copies_that_repeat_a_passage(ready):
     assert got == {i: i - i % 2 for i in range(80)} == dict(zip([i for i, _ in rows], classes_by_search(rows)))
 
 
+def weighted_classes(rows):
+    """As ``classes_by_search``, by the probability Jaccard similarity of shingles that weigh their words' bytes."""
+    texts = sorted({t or "" for _, t in rows})
+    sets = [{x: min(sum(len(w.encode()) for w in x), 255) for x in shingle_set(t)} for t in texts]
+
+    def similarity(a, b):
+        # sum over the common shingles of 1 / sum over all of max(x_j / x_i, y_j / y_i)
+        return sum(1 / sum(max(a.get(j, 0) / a[i], b.get(j, 0) / b[i]) for j in {*a, *b}) for i in a.keys() & b.keys())
+
+    edges = [(i, j) for i in range(len(texts)) for j in range(i) if sets[i] and similarity(sets[i], sets[j]) >= 0.8 - 1e-12]
+    root = dict(zip(texts, roots(len(texts), edges)))
+    by = defaultdict(list)
+    for i, t in rows:
+        by[root[t or ""]].append(i)
+    return [min(by[root[t or ""]]) for _, t in rows]
+
+
+def test_weights_decide_links(ready):
+    """Half the words are long: edits among the short ones change less than a
+    count of shingles would say, edits among the long ones more."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for g in range(24):
+        short, long = [f"s{x}" for x in rng.integers(0, 10**6, 30)], [f"{'long' * 6}{x}" for x in rng.integers(0, 10**6, 30)]
+        edit = g // 2
+        other = [(["t%d" % k for k in range(edit)] + short[edit:], long), (short, [f"{'gone' * 6}{k}" for k in range(edit)] + long[edit:])][g % 2]
+        rows += [(2 * g, " ".join(short + long)), (2 * g + 1, " ".join(other[0] + other[1]))]
+    want = weighted_classes(rows)
+    assert want != classes_by_search(rows)
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(ready.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i, _ in rows] == want
+
+
 def test_classes_of_documents(ready):
     docs = table(ready, SF, "documents")
     rows = [(r.doc_id, r.text) for r in docs.collect()]

@@ -21,12 +21,13 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     u, v = F.col(f"`{a}`").cast("long"), F.col(f"`{b}`").cast("long")
     e = materialise(edges.where(u.isNotNull() & v.isNotNull() & (u != v))
                     .select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct())
-    seen = None
     while True:
-        state = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(state) == seen:
+        # stars: a node that hangs below another hangs below one only, and nothing hangs below it
+        ends = F.inline(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")),
+                                F.struct(F.col("v").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("above"))))
+        ends = e.select(ends).groupBy("node").agg(F.sum("below").alias("below"), F.sum("above").alias("above"))
+        if not ends.where("below > 1 or below = 1 and above > 0").limit(1).count():
             break
-        seen = tuple(state)
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()

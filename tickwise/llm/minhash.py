@@ -1,19 +1,21 @@
 """MinHash near-duplicates by ProbMinHash signatures, banding and verification.
 
 Shingles are five words (runs of ASCII letters and digits, or of non-ASCII
-characters, in lower case); a shorter text is one shingle of its words. Every
-distinct shingle weighs 1, however often it stands in the text. It starts a
-Poisson process of its weight's rate, whose points fall on random registers; a
-register keeps the shingle with the earliest point, and a process ends once its
-next point comes after the latest register. Two signatures agree on a register
-with the probability Jaccard similarity of the weighted sets, which for equal
-weights is the Jaccard similarity of the sets that pairs are verified by.
+characters, in lower case); a shorter text is one shingle of its words. A
+distinct shingle weighs as much as its words are long (bytes, 255 at most),
+however often it stands in the text: words in common count for their text. It
+starts a Poisson process of its weight's rate, whose points fall on random
+registers; a register keeps the shingle with the earliest point, and a process
+ends once its next point comes after the latest register. Two signatures agree
+on a register with the probability Jaccard similarity of the weighted sets. As a
+shingle weighs the same in every text, that is the weight of the common shingles
+over the weight of all, by which pairs are verified too.
 
 24 bands of 4 registers propose pairs: at similarity 0.8 a pair shares no band
 with probability 3e-6. In a band's bucket every text is paired with two
 pivots, not with every other. Pairs whose signatures agree on less than 0.62 of
 96 registers (4.4 standard deviations below 0.8) go; the rest are verified by
-the exact Jaccard similarity of their shingle sets. Links make components. What
+that exact similarity of their weighted shingle sets. Links make components. What
 pivots leave open is settled next: buckets whose texts are still in different
 components are compared in blocks, pairs across components only and each in
 one bucket, verified where they meet and never listed, so that no link between
@@ -71,8 +73,14 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
 
 def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text index, shingle hash, count) of every distinct shingle, sorted by
-    text and hash. A word's hash is a polynomial over its bytes read off one
-    running sum over the whole batch."""
+    text and hash."""
+    return weighted_shingles(texts)[:3]
+
+
+def weighted_shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text index, shingle hash, count, weight) of every distinct shingle,
+    sorted by text and hash. A word's hash is a polynomial over its bytes read
+    off one running sum over the whole batch."""
     raw = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
     sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
     data = np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8)
@@ -80,7 +88,7 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inside = _IS_WORD[data].astype(np.int8)
     edge = np.diff(inside, prepend=np.int8(0))
     begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    none = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+    none = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
     if not len(begin):
         return none
     with np.errstate(over="ignore"):
@@ -94,16 +102,18 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         length = np.minimum(WORDS, per_text[owner])
         starts = np.flatnonzero(place + length <= per_text[owner])
         h = np.zeros(len(starts), dtype=np.uint64)
+        letters = np.concatenate([[0], np.cumsum(end - begin)])
+        weight = np.minimum(letters[starts + length[starts]] - letters[starts], 255)
         for k in range(WORDS):
             live = k < length[starts]
             h[live] = mix(h[live] * np.uint64(0xD1342543DE82EF95) + word[starts[live] + k] + np.uint64(k + 1))
     own = owner[starts]
     order = np.lexsort((h, own))
-    own, h = own[order], h[order]
+    own, h, weight = own[order], h[order], weight[order]
     new = np.ones(len(h), dtype=bool)
     new[1:] = (own[1:] != own[:-1]) | (h[1:] != h[:-1])
     at = np.flatnonzero(new)
-    return own[at], h[at], np.diff(np.append(at, len(h)))
+    return own[at], h[at], np.diff(np.append(at, len(h))), weight[at]
 
 
 def signatures(owner: np.ndarray, h: np.ndarray, weight: np.ndarray, n: int, registers: int = REGISTERS) -> np.ndarray:
@@ -137,8 +147,8 @@ def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         import xxhash
         for pdf in batches:
             texts = pdf["text"].to_list()
-            owner, h, _ = shingles(texts)
-            got = signatures(owner, h, np.ones(len(h)), len(texts))
+            owner, h, _, weight = weighted_shingles(texts)
+            got = signatures(owner, h, weight.astype(np.float64), len(texts))
             short = (mix(got) & np.uint64(0xFFFF)).astype("<u2")
             sizes = np.bincount(owner, minlength=len(texts))
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "text_hash": pdf["text_hash"],
@@ -177,18 +187,27 @@ def agreement(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(sig("a"), "a").join(sig("b"), "b").where(agree("sa", "sb") >= SURE).select("a", "b")
 
 
-def jaccard(u: np.ndarray, v: np.ndarray, least: float) -> float:
-    """Jaccard similarity of two sorted sets, or 0 if their sizes rule ``least`` out."""
-    if not min(len(u), len(v)) or min(len(u), len(v)) < least * max(len(u), len(v)):
+def weighted_set(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted hashes, weights) of a shingle set: four bytes a hash, then one a weight."""
+    n = len(blob) // 5
+    return np.frombuffer(blob, dtype="<u4", count=n), np.frombuffer(blob, dtype="u1", offset=4 * n)
+
+
+def jaccard(u: tuple[np.ndarray, np.ndarray], v: tuple[np.ndarray, np.ndarray], least: float) -> float:
+    """Weight of the common shingles over that of all, or 0 if the sets' weights
+    rule ``least`` out."""
+    a, b = int(u[1].sum()), int(v[1].sum())
+    if not min(a, b) or min(a, b) < least * max(a, b):
         return 0.0
-    both = np.concatenate([u, v])
-    both.sort(kind="stable")
-    common = np.count_nonzero(both[1:] == both[:-1])
-    return common / (len(both) - common)
+    both = np.concatenate([u[0], v[0]])
+    order = both.argsort(kind="stable")
+    twice = both[order[1:]] == both[order[:-1]]
+    common = int(np.concatenate([u[1], v[1]])[order[1:][twice]].sum())
+    return common / (a + b - common)
 
 
 def shingle_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """node, set (sorted 32-bit shingle hashes) of the nodes in ``wanted``.
+    """node, set (``weighted_set``) of the nodes in ``wanted``.
     Their texts are read again and cut where they lie; ids choose them,
     broadcast up to BROADCAST_IDS rows of 24 bytes (counted), by a shuffle
     beyond."""
@@ -200,11 +219,10 @@ def shingle_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: s
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            owner, h, _ = shingles(pdf["text"].to_list())
-            h = np.sort((h >> np.uint64(32)) | (owner.astype(np.uint64) << np.uint64(32)))  # per text, sorted 32-bit values
+            owner, h, _, weight = weighted_shingles(pdf["text"].to_list())  # by text, and by hash in it
             at = np.searchsorted(owner, np.arange(len(pdf) + 1))
-            short = (h & np.uint64(0xFFFFFFFF)).astype("<u4")
-            yield pd.DataFrame({"node": pdf["node"], "set": [short[i:j].tobytes() for i, j in zip(at[:-1], at[1:])]})
+            short, weight = (h >> np.uint64(32)).astype("<u4"), weight.astype("u1")
+            yield pd.DataFrame({"node": pdf["node"], "set": [short[i:j].tobytes() + weight[i:j].tobytes() for i, j in zip(at[:-1], at[1:])]})
 
     # repeated rows of one text give equal sets; one is kept
     return materialise(rows.mapInPandas(cut, "node long, set binary").groupBy("node").agg(F.min("set").alias("set")))
@@ -218,7 +236,7 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: floa
 
     @F.pandas_udf("double")
     def exact(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([jaccard(np.frombuffer(p, dtype="<u4"), np.frombuffer(q, dtype="<u4"), similarity) for p, q in zip(x, y)], dtype=float)
+        return pd.Series([jaccard(weighted_set(p), weighted_set(q), similarity) for p, q in zip(x, y)], dtype=float)
 
     part = lambda name: sets.select(F.col("node").alias(name), F.col("set").alias(f"s{name}"))
     return pairs.join(part("a"), "a").join(part("b"), "b").select("a", "b", exact("sa", "sb").alias("jaccard")).where(
@@ -226,7 +244,7 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: floa
 
 
 def join_block(node: np.ndarray, component: np.ndarray, side: np.ndarray, across: bool, band: int, sig: np.ndarray,
-               sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+               sets: list[tuple[np.ndarray, np.ndarray]], similarity: float) -> list[tuple[int, int]]:
     """Links that join components among the rows of a block (``across``: of two
     blocks, told apart by ``side``). Pairs of different components whose
     signatures agree, and that share no earlier band (there they are met in
@@ -278,7 +296,7 @@ def across_components(open_rows: DataFrame, similarity: float = SIMILARITY) -> D
     def compare(g: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(g["signature"]), dtype="<u2").reshape(len(g), -1)
         found = join_block(g["node"].to_numpy(), g["component"].to_numpy(), g["own"].to_numpy(), g["i"].iloc[0] != g["j"].iloc[0],
-                           int(g["band"].iloc[0]), sig, [np.frombuffer(x, dtype="<u4") for x in g["set"]], similarity)
+                           int(g["band"].iloc[0]), sig, [weighted_set(x) for x in g["set"]], similarity)
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -295,6 +313,20 @@ def across_components(open_rows: DataFrame, similarity: float = SIMILARITY) -> D
     return grouped.mapInPandas(run, "a long, b long")
 
 
+def with_links(found: DataFrame, more: DataFrame) -> DataFrame:
+    """node, component after links ``more`` (a, b) between components: only the
+    components that they join are looked at again."""
+    if not more.limit(1).count():
+        return found
+    end = lambda name: found.select(F.col("node").alias(name), F.col("component").alias(f"c{name}"))
+    ends = more.join(end("a"), "a", "left").join(end("b"), "b", "left")
+    joined = materialise(connected_components(ends.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))))
+    # nodes that stood alone are components of their own
+    known = found.unionAll(joined.select("node", F.col("node").alias("component")).join(found, "node", "left_anti"))
+    return materialise(known.join(joined.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left")
+                       .select("node", F.coalesce("root", "component").alias("component")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, text_hash, class_id, class_size, kept, twins per row of
     ``docs``: classes are components of texts linked at ``similarity`` or more;
@@ -315,9 +347,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        .withColumn("component", F.coalesce("component", "node")))
     still = wide.groupBy("key", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key", "band")
     open_rows = materialise(wide.join(still, ["key", "band"], "left_semi"))
-    sets = shingle_sets(open_rows.select("node").distinct(), nodes, docs, id_col, text_col)
-    more = across_components(open_rows.join(nodes.select("node", "signature"), "node").join(sets, "node"), similarity)
-    found = materialise(connected_components(links.unionAll(materialise(more))))
+    if open_rows.limit(1).count():
+        sets = shingle_sets(open_rows.select("node").distinct(), nodes, docs, id_col, text_col)
+        more = across_components(open_rows.join(nodes.select("node", "signature"), "node").join(sets, "node"), similarity)
+        found = with_links(found, materialise(more))
     per_text = nodes.join(found, "node", "left").select("text_id", F.coalesce("component", "node").alias("component"))
     rows = materialise(signed.select("doc_id", "text_hash", "text_id", "row_id").join(per_text, "text_id"))
     pick = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "row_id", "text_id")).alias("r")
