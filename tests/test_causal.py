@@ -107,3 +107,33 @@ def test_window_moments_equal_materialised_windows(spark):
     np.testing.assert_array_equal(m.post_n.to_numpy(), g.post_n.fillna(0).to_numpy())
     np.testing.assert_allclose(m.pre_sum.to_numpy(), g.pre_sum.fillna(0).to_numpy(), atol=1e-9)
     np.testing.assert_allclose(m.post_sum.to_numpy(), g.post_sum.fillna(0).to_numpy(), atol=1e-9)
+
+
+def test_dense_spans_take_the_row_join_and_agree(spark):
+    """One span holds most rows; beyond the bound its events go row by row."""
+    rng = np.random.default_rng(4)
+    ts = np.sort(np.concatenate([rng.integers(0, 50_000, 300), rng.integers(20_000, 20_900, 900)]))
+    series = pd.DataFrame({"rid": np.arange(len(ts)), "t": ts, "lat": rng.normal(100, 10, len(ts))})
+    events = pd.DataFrame({"eid": np.arange(0, len(ts), 9), "tc": ts[::9]})
+    run = lambda **how: K.pre_post(spark.createDataFrame(series), spark.createDataFrame(events), t_col="t", tie_col="rid",
+                                   value_col="lat", event_key="eid", event_t="tc", half_width=1_000, **how).toPandas().sort_values("eid", ignore_index=True)
+    whole, split = run(), run(span_rows=400)
+    assert len(whole) > 50
+    pd.testing.assert_frame_equal(whole, split[whole.columns], check_dtype=False, rtol=1e-12)
+    exp = _loop(ts, series.lat.to_numpy(), list(zip(events.eid, events.tc)), 1_000)
+    assert set(whole.eid) == set(exp)
+
+
+def test_missing_values_are_left_out_of_windows(spark):
+    rows = [(i, i * 10, None if i % 4 == 0 else float("nan") if i % 7 == 0 else float(i)) for i in range(40)]
+    series = spark.createDataFrame(rows, "rid long, t long, lat double")
+    got = K.pre_post(series, spark.createDataFrame([(1, 200)], "eid long, tc long"), t_col="t", tie_col="rid", value_col="lat",
+                     event_key="eid", event_t="tc", half_width=100).first()
+    pre = [v for _, t, v in rows if 100 <= t < 200 and v is not None and v == v]
+    post = [v for _, t, v in rows if 200 < t <= 300 and v is not None and v == v]
+    assert (got.pre_n, got.post_n) == (10, 10)
+    np.testing.assert_allclose([got.pre_mean, got.post_mean, got.pre_p95, got.post_p95],
+                               [np.mean(pre), np.mean(post), np.percentile(pre, 95), np.percentile(post, 95)])
+    empty = K.pre_post(series.limit(0), spark.createDataFrame([(1, 200)], "eid long, tc long"), t_col="t", tie_col="rid", value_col="lat",
+                       event_key="eid", event_t="tc", half_width=100)
+    assert empty.count() == 0

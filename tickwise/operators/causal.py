@@ -1,21 +1,28 @@
 """Event-effect estimation.
 
-The per-event Python loop of the reference becomes: a bucketed range join
-(``rangejoin.event_windows``) -> one grouped aggregate per event -> per-action
-aggregates. Bootstraps and Welch tests run on the per-event table.
+A loop over events becomes one cogroup of series and events by time span, in
+which all windows are answered by range queries (``pre_post``), and aggregates
+per action. Bootstraps and Welch tests run on the per-event table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import stats as S
 from .asof import asof_join
+from ..functions.moments import window_moments
+from ..functions.ranges import FirstBelow, RangeRanks
 from ..session import cut_lineage
-from .rangejoin import ROW_T, ROW_TIE, control_centre, event_windows, window_moments
+from .rangejoin import ROW_T, ROW_TIE, control_centre, event_windows
+from .rangejoin import window_moments as edge_moments
+from .window import finite
 
 
 def _window_stats(win: DataFrame, key: str, value: str, min_pts: int, *, carry: Sequence[str] = (),
@@ -72,12 +79,84 @@ def _window_stats(win: DataFrame, key: str, value: str, min_pts: int, *, carry:
     return g
 
 
+#: Series rows of three half-widths up to which a task holds them; denser spans are joined row by row.
+SPAN_ROWS = 2_000_000
+
+
+def _effects_of_span(t: np.ndarray, v: np.ndarray, centre: np.ndarray, half_width: int, smooth: int) -> dict[str, np.ndarray]:
+    """Window figures of every centre over a series sorted by (t, tie); missing
+    values are NaN. No window's rows are gone through: means come from merged
+    moments, quantiles from a wavelet matrix, the restoration from the first
+    small trailing mean, which is computed once per series row."""
+    lo, mid, hi = (np.searchsorted(t, x, side) for x, side in (
+        (centre - half_width, "left"), (centre, "left"), (centre + half_width, "right")))
+    after = np.minimum(mid + 1, hi)  # the first row at or after the centre is left out
+    fine = np.isfinite(v)
+    upto = np.concatenate([[0], np.cumsum(fine)])  # ranges of rows as ranges of values
+    ranks = RangeRanks(v[fine])
+    out = {"pre_n": mid - lo, "post_n": hi - after}
+    for role, a, b in (("pre", lo, mid), ("post", after, hi)):
+        n, mean, _ = window_moments(v, a, b)
+        out[f"{role}_mean"] = np.where(n > 0, mean, np.nan)
+        out[f"{role}_p95"] = ranks.quantile(upto[a], upto[b], 0.95)
+    rows = np.arange(len(t))
+    n, trailing, _ = window_moments(v, np.maximum(rows - smooth + 1, 0), rows + 1)
+    trailing = np.where((n > 0) & (rows >= smooth - 1), trailing, np.inf)
+    first = FirstBelow(trailing).find(np.minimum(after + smooth - 1, hi), hi, out["pre_mean"])
+    at = np.where(first < hi, first, hi - 1)
+    out["restoration_time"] = np.where(out["post_n"] >= smooth, (t[np.maximum(at, 0)] if len(t) else 0) - centre, np.nan)
+    return out
+
+
 def pre_post(series: DataFrame, events: DataFrame, *, t_col: str, tie_col: str, value_col: str,
              event_key: str, event_t: str, half_width: int, min_pts: int = 5, smooth: int = 5,
-             attrs: Sequence[str] = ()) -> DataFrame:
+             attrs: Sequence[str] = (), span_rows: int | None = None) -> DataFrame:
     """K1 (+ W6): per treated event pre/post mean, p95, counts, deltas and
     restoration time (first post tick whose ``smooth``-point trailing mean is
-    <= the pre mean, else the last post tick; minus the event tick)."""
+    <= the pre mean, else the last post tick; minus the event tick).
+
+    Time is cut into spans of the half-width; a series row visits three of them,
+    an event lies in one, so O(series + events) rows are shuffled and a span's
+    events are answered together (``_effects_of_span``). Spans denser than
+    ``span_rows``, found by one count, go through the row-by-row window join
+    instead, which spills: results are the same."""
+    w = int(half_width)
+    limit = int(span_rows or SPAN_ROWS)
+    span = lambda c: F.expr(f"({c} - pmod({c}, {w}L)) div {w}L")
+    s = series.select(F.col(t_col).cast("long").alias("row_t"), F.col(tie_col).alias("row_tie"), finite(value_col).alias("row_v"))
+    e = events.select(event_key, F.col(event_t).cast("long").alias("event_tick"), *attrs).withColumn("span", span("event_tick"))
+    visits = s.withColumn("own", span("row_t")).select("*", F.explode(F.array(F.col("own") - 1, F.col("own"), F.col("own") + 1)).alias("span"))
+    dense = cut_lineage(visits.groupBy("span").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("span"))
+    crowded = dense.limit(1).count() > 0
+    near = e.join(dense, "span", "left_anti") if crowded else e
+    near_visits = visits.join(dense, "span", "left_anti") if crowded else visits
+    figures = ["pre_mean", "post_mean", "pre_p95", "post_p95", "pre_n", "post_n", "restoration_time"]
+    kinds = {c: "long" if c.endswith("_n") else "double" for c in figures}
+    shape = T.StructType([*e.drop("span").schema.fields, *T.StructType.fromDDL(", ".join(f"{c} {k}" for c, k in kinds.items())).fields])
+
+    def answer(rows: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["row_t", "row_tie"], ignore_index=True)
+        got = _effects_of_span(rows["row_t"].to_numpy(dtype=np.int64), rows["row_v"].to_numpy(dtype=np.float64),
+                               centres["event_tick"].to_numpy(dtype=np.int64), w, smooth)
+        return centres.drop(columns="span").reset_index(drop=True).assign(**got)[shape.names]
+
+    out = near_visits.select("span", "row_t", "row_tie", "row_v").groupBy("span").cogroup(near.groupBy("span")).applyInPandas(answer, shape)
+    out = out.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) if kinds.get(c) == "double" else F.col(c) for c in shape.names])
+    out = out.where((F.col("pre_n") >= min_pts) & (F.col("post_n") >= min_pts))
+    out = out.select(event_key, *attrs, F.col("event_tick").alias(event_t), *figures[:6],
+                     (F.col("post_mean") - F.col("pre_mean")).alias("delta_mean"), (F.col("post_p95") - F.col("pre_p95")).alias("delta_p95"),
+                     "restoration_time")
+    if not crowded:
+        return out
+    far = e.join(dense, "span", "left_semi").select(event_key, F.col("event_tick").alias(event_t), *attrs)
+    return out.unionByName(_pre_post_rows(series, far, t_col=t_col, tie_col=tie_col, value_col=value_col, event_key=event_key, event_t=event_t,
+                                          half_width=w, min_pts=min_pts, smooth=smooth, attrs=attrs).select(*out.columns))
+
+
+def _pre_post_rows(series: DataFrame, events: DataFrame, *, t_col: str, tie_col: str, value_col: str, event_key: str, event_t: str,
+                   half_width: int, min_pts: int, smooth: int, attrs: Sequence[str]) -> DataFrame:
+    """``pre_post`` by one row per (event, row in its window): any density, as
+    sorts spill, at a cost that grows with the rows in all windows."""
     ev = events.select(event_key, F.col(event_t).alias("__centre"), *attrs)
     win = event_windows(series, ev, t_col=t_col, tie_col=tie_col, value_cols=[value_col],
                         event_keys=[event_key], centre_col="__centre", half_width=half_width)
@@ -104,7 +183,7 @@ def did_deltas(series: DataFrame, events: DataFrame, *, t_col: str, tie_col: str
     centres = (ev.select(event_key, F.lit("treated").alias("arm"), F.col("__centre").alias("__cc"))
                .unionByName(ev.select(event_key, F.lit("control").alias("arm"), control_centre(
                    F.col("__centre"), half_width, int(t_min), int(t_max), shift).alias("__cc"))))
-    m = window_moments(series, centres, t_col=t_col, tie_col=tie_col, value_col=value_col,
+    m = edge_moments(series, centres, t_col=t_col, tie_col=tie_col, value_col=value_col,
                        centre_keys=[event_key, "arm"], centre_col="__cc", half_width=half_width)
     ok = (F.col("pre_n") >= min_pts) & (F.col("post_n") >= min_pts)
     d = m.where(ok).select(event_key, "arm", (F.col("post_sum") / F.col("post_n")

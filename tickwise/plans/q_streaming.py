@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import models as M
 from ..sources.tables import Tables
+from ..streaming import stateful as S
 from ..streaming import stream as X
 from .registry import register, round_doubles
 
@@ -73,17 +74,61 @@ def x5d(spark, sf_dir):
     return X.run_available(s.select("user_id"), "append", "x5d")
 
 
-@register("X4_streaming_asof_enrichment")
+@register("X4_streaming_asof_enrichment", f"""
+WITH l AS (SELECT event_id, user_id, epoch_us(ts) AS t_us FROM events WHERE event_type <> 'error'),
+r AS (SELECT event_id AS err_id, user_id, epoch_us(ts) AS match_t_us FROM events WHERE event_type = 'error')
+SELECT l.event_id, l.user_id, l.t_us, r.match_t_us, r.err_id
+FROM l LEFT JOIN r ON r.user_id = l.user_id AND abs(r.match_t_us - l.t_us) <= {6 * H}
+QUALIFY row_number() OVER (PARTITION BY l.event_id ORDER BY abs(r.match_t_us - l.t_us), r.match_t_us, r.err_id) = 1
+""")
 def x4(spark, sf_dir):
-    """Non-error events enriched with the nearest error of the same user within
-    6 h, as a stream-stream join + aggregation in one append-mode query."""
+    """Every non-error event with the nearest error of the same user within 6 h,
+    answered once from keyed state; the end-of-stream mark drains the last ones."""
+    def build(marks):
+        ev = S.with_end_mark(_events_stream(spark, sf_dir), "event_time", marks)
+        # the mark has no type or user: it goes with the left rows
+        left = ev.where((F.col("event_type") != "error") | F.col("event_type").isNull())
+        right = ev.where(F.col("event_type") == "error").select(
+            F.col("event_id").alias("err_id"), "user_id", F.col("event_time").alias("err_time"))
+        return S.asof_rows_stream(left, right, key="user_id", left_time="event_time", left_id="event_id", right_time="err_time",
+                                  right_id="err_id", tolerance=6 * H, delay=f"{DELAY_H} hours")
+    return S.run_drained(spark, build, "event_time", "x4")[0]
+
+
+def _rolling_stream(spark, sf_dir, marks=None, **how):
     ev = _events_stream(spark, sf_dir)
-    left = ev.where(F.col("event_type") != "error").select("event_id", "user_id", "event_time")
-    right = ev.where(F.col("event_type") == "error").select(
-        F.col("event_id").alias("err_id"), "user_id", F.col("event_time").alias("err_time"))
-    s = X.asof_enrich_stream(left, right, "user_id", "event_time", "err_time", "event_id", "6 hours",
-                             f"{DELAY_H} hours", ["err_id"])
-    return X.run_available(s, "append", "x4")
+    ev = S.with_end_mark(ev, "event_time", marks) if marks else ev
+    return S.rolling_stats_stream(ev, id_col="event_id", time_col="event_time", value_col="value",
+                                  windows={"1h": H, "6h": 6 * H}, delay=f"{DELAY_H} hours", **how)
+
+
+def _rolling_sql(keys="", where=""):
+    by = f"PARTITION BY {keys} " if keys else ""
+    stats = ", ".join(f"""round(avg(value) OVER w{n}, 8) AS value_roll_mean_{n}h,
+       round(coalesce(stddev_samp(value) OVER w{n}, 0), 8) AS value_roll_std_{n}h, CAST(count(value) OVER w{n} AS DOUBLE) AS rate_{n}h"""
+                      for n in (1, 6))
+    frames = ", ".join(f"w{n} AS ({by}ORDER BY t_us RANGE BETWEEN {n * H - 1} PRECEDING AND CURRENT ROW)" for n in (1, 6))
+    return f"""
+WITH e AS (SELECT event_id, user_id, epoch_us(ts) AS t_us, value FROM events),
+r AS (SELECT {keys + ", " if keys else ""}event_id, t_us, round(value, 8) AS value, {stats} FROM e WINDOW {frames})
+SELECT * FROM r{where}"""
+
+
+# a row is settled when the watermark (milliseconds) has passed the one after its own
+@register("X3_streaming_exact_rolling_rows",
+          _rolling_sql(where=f" WHERE t_us // 1000 + 1 < (SELECT max(epoch_us(ts)) // 1000 FROM events) - {DELAY_H * 3_600_000}"))
+def x3_rows(spark, sf_dir):
+    """W1-W3 per row of a stream, for all rows before the final watermark."""
+    S.stateful_session(spark)
+    return round_doubles(X.run_available(_rolling_stream(spark, sf_dir), "append", "x3rows"))
+
+
+@register("X3_streaming_exact_rolling_by_key_drained", _rolling_sql("user_id"))
+def x3_by_key(spark, sf_dir):
+    """The same per user, to the last row of the stream."""
+    got, _ = S.run_drained(spark, lambda marks: _rolling_stream(spark, sf_dir, marks, keys=["user_id"], bucket_width=24 * 30 * H),
+                           "event_time", "x3key")
+    return round_doubles(got)
 
 
 @register("X1_streaming_batch_scoring")
