@@ -67,3 +67,50 @@ def test_tree_contributions_identity(spark):
     np.testing.assert_allclose(j.explained, j.prediction, atol=1e-9)
     s = mean_abs_contribution(c, ["a", "b", "c"]).toPandas().set_index("feature")
     assert s.loc["b", "mean_abs_contribution"] > s.loc["c", "mean_abs_contribution"]   # |coef| 2.0 vs 0.5
+
+
+def _expected_value(tree, x, known, node=0):
+    """Value of a tree where features outside ``known`` follow the covers."""
+    f = tree["feat"][node]
+    if f < 0:
+        return tree["val"][node]
+    left, right = tree["left"][node], tree["right"][node]
+    if f in known:
+        return _expected_value(tree, x, known, left if x[f] <= tree["thr"][node] else right)
+    share = tree["cover"][left] / tree["cover"][node]
+    return share * _expected_value(tree, x, known, left) + (1 - share) * _expected_value(tree, x, known, right)
+
+
+@pytest.mark.parametrize("kind", ["boosted", "forest"])
+def test_shapley_values_equal_all_subsets(spark, kind):
+    from itertools import combinations
+    from math import factorial
+
+    from pyspark.ml.regression import RandomForestRegressor
+    from tickwise.operators import explain as E
+    df, X, _ = _data(spark, 400, 5)
+    df = df.withColumn("rid", F.monotonically_increasing_id())
+    if kind == "boosted":
+        m = M.gbt_regressor(df, "features", "y", max_iter=4, max_depth=4)
+    else:
+        m = RandomForestRegressor(labelCol="y", numTrees=5, maxDepth=4, seed=3).fit(df)
+    trees, weights = E.ensemble_trees(m)
+    X = X[:25].copy()
+    X[3, 1] = np.nan  # goes right, as Spark's trees take it
+    got_base, got = E.shapley_np(X, [(w, E.leaf_games(t)) for w, t in zip(weights, trees)])
+    for x, row, base in zip(X, got, got_base):
+        want = np.zeros(3)
+        for f in range(3):
+            others = [g for g in range(3) if g != f]
+            for k in range(3):
+                for s in combinations(others, k):
+                    gain = sum(w * (_expected_value(t, x, {*s, f}) - _expected_value(t, x, set(s))) for w, t in zip(weights, trees))
+                    want[f] += factorial(k) * factorial(2 - k) / 6 * gain
+        np.testing.assert_allclose(row, want, atol=1e-10)
+        assert base == pytest.approx(sum(w * _expected_value(t, x, set()) for w, t in zip(weights, trees)))
+    c = E.tree_contributions(df, m, "features", "rid", ["a", "b", "c"])
+    j = c.join(m.transform(df).select("rid", "prediction"), "rid").toPandas()
+    np.testing.assert_allclose(j.explained, j.prediction, atol=1e-9)
+    path = E.tree_contributions(df, m, "features", "rid", ["a", "b", "c"], method="path").join(
+        m.transform(df).select("rid", "prediction"), "rid").toPandas()
+    np.testing.assert_allclose(path.explained, path.prediction, atol=1e-9)
