@@ -40,3 +40,20 @@ def poisson1_weights(keys: np.ndarray, n_boot: int, seed: int) -> np.ndarray:
     u = uniforms(keys, np.arange(n_boot, dtype=np.uint64), seed)
     return np.searchsorted(_POISSON1_CDF, u, side="right").astype(np.float32)
 
+
+
+#: Smallest 32-bit numbers that give at least 1, 2, 3 ... of Poisson(1); SQL can count them too.
+POISSON1_STEPS = [math.ceil(float(c) * 2**32) for c in _POISSON1_CDF if c * 2**32 < 2**32 - 1]
+
+
+def md5_poisson1_weights(keys: np.ndarray, n_boot: int, seed: int) -> np.ndarray:
+    """As ``poisson1_weights``, from the first 8 digits of md5(seed|key|replicate):
+    slower, and reproducible in any SQL engine."""
+    from hashlib import md5
+    u = np.array([[int(md5(f"{seed}|{k}|{r}".encode()).hexdigest()[:8], 16) for r in range(n_boot)] for k in keys.tolist()], dtype=np.int64)
+    return np.searchsorted(POISSON1_STEPS, u.reshape(len(keys), n_boot), side="right").astype(np.float32)
+
+
+def unit_weights(keys: np.ndarray, n_boot: int, seed: int) -> np.ndarray:
+    """Every row once: the metric itself."""
+    return np.ones((len(keys), n_boot), dtype=np.float32)

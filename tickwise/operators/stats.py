@@ -22,6 +22,7 @@ from ..functions.hashing import poisson1_weights
 from ..session import bounded_values, checked_broadcast, cut_lineage
 
 CHUNK_ROWS = 2048
+HELD_SUMS = 8_000_000   # doubles of bootstrap sums that a task holds
 
 
 def num(c: str) -> Column:
@@ -315,11 +316,13 @@ def welch_test(df: DataFrame, by: Sequence[str], arm: str, value: str, a, b) ->
     return g.withColumn("p_value", t_two_sided_p(F.col("t_stat"), F.col("dof")))
 
 
-def _weighted_partials(df: DataFrame, by: Sequence[str], row_key: str, cols: Sequence[str],
-                       n_boot: int, seed: int) -> DataFrame:
+def weighted_partials(df: DataFrame, by: Sequence[str], row_key: str, cols: Sequence[str],
+                      n_boot: int, seed: int, weights=poisson1_weights) -> DataFrame:
     """Per task: for every replicate r and group, sum(w) and sum(w * col) with
     Poisson(1) weights hashed from (row key, r, seed), so the result does not
-    depend on partitioning. Output rows: tasks x groups x replicates."""
+    depend on partitioning. Output rows: tasks x groups x replicates. A task
+    holds at most HELD_SUMS sums: with more groups it passes what it has on, and
+    the shuffle by (group, replicate) adds up."""
     by = list(by)
     schema = T.StructType([*(df.schema[k] for k in by), T.StructField("rep", T.IntegerType()),
                            T.StructField("sw", T.DoubleType()),
@@ -336,10 +339,16 @@ def _weighted_partials(df: DataFrame, by: Sequence[str], row_key: str, cols: Seq
                 sums = acc.setdefault(g, np.zeros((1 + len(cols), n_boot)))
                 for lo in range(0, len(ix), CHUNK_ROWS):   # bounded rows x reps block
                     part = ix[lo:lo + CHUNK_ROWS]
-                    w = poisson1_weights(pdf[row_key].to_numpy(dtype=np.int64)[part], n_boot, seed)
+                    w = weights(pdf[row_key].to_numpy(dtype=np.int64)[part], n_boot, seed)
                     sums[0] += w.sum(axis=0)
                     for j, c in enumerate(cols):
                         sums[j + 1] += pdf[c].to_numpy(dtype=float)[part] @ w
+                if len(acc) * (1 + len(cols)) * n_boot > HELD_SUMS:
+                    yield from told(acc)
+                    acc = {}
+        yield from told(acc)
+
+    def told(acc: dict):
         for g, sums in acc.items():
             out = {k: [v] * n_boot for k, v in zip(by, g)}
             out["rep"] = np.arange(n_boot, dtype=np.int32)
@@ -362,8 +371,8 @@ def bootstrap_mean_diff_ci(df: DataFrame, by: Sequence[str], arm: str, value: st
                   (F.col(arm) == a).cast("double").alias("ia"), (F.col(arm) == b).cast("double").alias("ib"))
     x = x.fillna(0.0, subset=["va", "vb"])
     # separate weights per arm: arm b uses a shifted seed
-    pa = _weighted_partials(x.where(F.col("ia") == 1), by, row_key, ["va"], n_boot, seed)
-    pb = _weighted_partials(x.where(F.col("ib") == 1), by, row_key, ["vb"], n_boot, seed + 7919)
+    pa = weighted_partials(x.where(F.col("ia") == 1), by, row_key, ["va"], n_boot, seed)
+    pb = weighted_partials(x.where(F.col("ib") == 1), by, row_key, ["vb"], n_boot, seed + 7919)
     reps = pa.join(pb.withColumnRenamed("sw", "sw_b"), [*by, "rep"])
     diffs = reps.select(*by, "rep", (F.col("s_va") / F.col("sw") - F.col("s_vb") / F.col("sw_b")).alias("d"))
     return diffs.groupBy(*by).agg(F.percentile("d", [alpha / 2, 1 - alpha / 2]).alias("ci")).select(
@@ -377,7 +386,7 @@ def bootstrap_paired(df: DataFrame, by: Sequence[str], a_col: str, b_col: str, r
     percentile CI, and with ``with_p`` the share of replicate differences on the
     other side of 0 from the observed one (not doubled)."""
     x = df.where(F.col(a_col).isNotNull() & F.col(b_col).isNotNull())
-    part = _weighted_partials(x, by, row_key, [a_col, b_col], n_boot, seed)
+    part = weighted_partials(x, by, row_key, [a_col, b_col], n_boot, seed)
     d = part.select(*by, "rep", ((F.col(f"s_{a_col}") - F.col(f"s_{b_col}")) / F.col("sw")).alias("d"))
     obs = x.groupBy(*by).agg((F.avg(a_col) - F.avg(b_col)).alias("diff"), F.count(F.lit(1)).alias("n"))
     d = d.join(obs, list(by)) if by else attach_row(d, obs)

@@ -7,11 +7,16 @@ severity labels are derived from ``props.k`` and ``user_id``.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.hashing import POISSON1_STEPS, md5_poisson1_weights
+from ..operators import bootstrap as B
 from ..operators import causal as K
 from ..operators import stats as S
-from ..session import micros
+from ..session import cut_lineage, micros
 from ..sources.tables import Tables
 from .registry import register, round_doubles
 
@@ -251,3 +256,51 @@ def a22(spark, sf_dir):
         "event_id", F.abs(F.col("value") - F.col("pa")).alias("loss_a"),
         F.abs(F.col("value") - F.col("pb")).alias("loss_b"))
     return S.bootstrap_paired(x, [], "loss_a", "loss_b", "event_id", n_boot=2000, seed=SEED, with_p=True)
+
+
+def _metric_input(spark, sf_dir):
+    """Two fixed predictors of an event's value (per-user and per-type mean) and
+    the class "value above 50" that they predict."""
+    ev = Tables(spark, sf_dir).events.select("event_id", "user_id", "event_type", "value")
+    pa = ev.groupBy("user_id").agg(F.round(F.avg("value"), 6).alias("pa"))
+    pb = ev.groupBy("event_type").agg(F.round(F.avg("value"), 6).alias("pb"))
+    high = lambda c: (F.col(c) > 50).cast("int")
+    return ev.join(pa, "user_id").join(pb, "event_type").select(
+        "event_id", "value", "pa", "pb", high("value").alias("y"), high("pa").alias("ca"), high("pb").alias("cb"))
+
+
+N_MD5 = 40
+# sums and counts of one replicate's differences: observed first (weights of 1 as replicate -1)
+A22_SQL = f"""
+WITH pa AS (SELECT user_id, round(avg(value), 6) AS pa FROM events GROUP BY user_id),
+pb AS (SELECT event_type, round(avg(value), 6) AS pb FROM events GROUP BY event_type),
+x AS (SELECT event_id, value, pa, pb, CAST(value > 50 AS INT) AS y, CAST(pa > 50 AS INT) AS ca, CAST(pb > 50 AS INT) AS cb
+      FROM events JOIN pa USING (user_id) JOIN pb USING (event_type)),
+u AS (SELECT x.*, rep, CASE WHEN rep < 0 THEN 1 ELSE len(list_filter({POISSON1_STEPS}, lambda s: s <=
+        CAST(('0x' || substr(md5(concat('{SEED}|', event_id, '|', rep)), 1, 8)) AS BIGINT))) END AS w
+      FROM x, range(-1, {N_MD5}) r(rep)),
+mae AS (SELECT rep, sum(w * abs(value - pa)) / sum(w) AS a, sum(w * abs(value - pb)) / sum(w) AS b FROM u GROUP BY rep),
+f1 AS (SELECT rep, coalesce(2 * sum(w * y * ca) / nullif(sum(w * (y + ca)), 0), 0) AS a,
+              coalesce(2 * sum(w * y * cb) / nullif(sum(w * (y + cb)), 0), 0) AS b FROM u GROUP BY rep),
+s AS (SELECT rep, 'a' AS side, pa AS score, y, w FROM u UNION ALL SELECT rep, 'b', pb, y, w FROM u),
+g AS (SELECT rep, side, score, sum(w * y) AS pos, sum(w * (1 - y)) AS neg FROM s GROUP BY rep, side, score),
+c AS (SELECT *, sum(neg) OVER (PARTITION BY rep, side ORDER BY score) - neg AS below FROM g),
+v AS (SELECT rep, side, sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)) AS auc FROM c GROUP BY rep, side),
+auc AS (SELECT rep, max(auc) FILTER (WHERE side = 'a') AS a, max(auc) FILTER (WHERE side = 'b') AS b FROM v GROUP BY rep),
+m AS (SELECT 'mae' AS metric, * FROM mae UNION ALL SELECT 'f1', * FROM f1 UNION ALL SELECT 'auc', * FROM auc),
+o AS (SELECT metric, a AS metric_a, b AS metric_b, a - b AS diff FROM m WHERE rep < 0)
+SELECT metric, (SELECT count(*) FROM x) AS n, round(metric_a, 8) AS metric_a, round(metric_b, 8) AS metric_b, round(diff, 8) AS diff,
+       round(quantile_cont(a - b, 0.025), 8) AS ci_lower, round(quantile_cont(a - b, 0.975), 8) AS ci_upper,
+       round(avg(CASE WHEN diff <= 0 THEN CAST(a - b >= 0 AS INT) ELSE CAST(a - b <= 0 AS INT) END), 8) AS p_value
+FROM m JOIN o USING (metric) WHERE rep >= 0 GROUP BY metric, metric_a, metric_b, diff
+"""
+
+
+@register("A22_metric_bootstrap_mae_f1_auc", A22_SQL)
+def a22_metrics(spark, sf_dir):
+    """Paired tests of MAE, F1 and AUC with weights that SQL can draw too."""
+    x = cut_lineage(_metric_input(spark, sf_dir))
+    how = {"row_key": "event_id", "n_boot": N_MD5, "seed": SEED, "weights": md5_poisson1_weights}
+    rows = [("mae", B.metric_bootstrap(x, "value", ("pa", "pb"), B.MAE, **how)), ("f1", B.metric_bootstrap(x, "y", ("ca", "cb"), B.F1, **how)),
+            ("auc", B.metric_bootstrap(x, "y", ("pa", "pb"), B.AUC, **how))]
+    return round_doubles(reduce(DataFrame.unionAll, [d.select(F.lit(name).alias("metric"), "*") for name, d in rows]))
