@@ -20,7 +20,7 @@ def _series(n=400, seed=3, null_frac=0.05):
 
 
 
-@pytest.mark.parametrize("strategy", ["fixed", "depth"])
+@pytest.mark.parametrize("strategy", ["fixed", "depth", "moments"])
 def test_rolling_matches_pandas_on_unique_ticks(spark, strategy):
     pdf = _series()
     windows = {"a": 500, "b": 3000}
@@ -117,7 +117,7 @@ def test_rolling_depth_keyed_with_peers(spark):
         np.testing.assert_allclose(a[c].to_numpy(dtype=float), b[c].to_numpy(dtype=float), rtol=1e-9, atol=1e-12)
 
 
-@pytest.mark.parametrize("strategy", ["fixed", "depth"])
+@pytest.mark.parametrize("strategy", ["fixed", "depth", "moments"])
 @pytest.mark.parametrize("offset,scale", [(0, 1), (1e9, 0.1), (1e5, 0.01), (0, 1e-7), (0, 1e-13), (1e14, 1e3)])
 def test_rolling_std_at_any_magnitude(spark, strategy, offset, scale):
     """The spread of a window is kept whatever the values' size."""
@@ -136,3 +136,43 @@ def test_rolling_skips_values_that_are_no_numbers(spark):
     df = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, 3.0), (4, None), (5, float("inf"))], "t long, v double")
     got = {r.t: (r.v_roll_mean_w, r.v_roll_std_w) for r in rolling_time_stats(df, "t", "v", {"w": 10}).collect()}
     assert got[5][0] == pytest.approx(2.0) and got[5][1] == pytest.approx(2 ** 0.5) and got[2][0] == 1.0
+
+
+@pytest.mark.parametrize("include", [True, False])
+@pytest.mark.parametrize("ties", [True, False])
+@pytest.mark.parametrize("how", ["moments", "split", "depth"])
+def test_rolling_options_on_equal_ticks(spark, include, ties, how):
+    """Keyed rows with ties and nulls; ``split``: a dense bucket is left to the
+    running totals."""
+    from tickwise.functions.moments import mean_std, rolling_moments
+    rng = np.random.default_rng(6)
+    n = 240
+    t = np.sort(np.where(rng.random(n) < 0.4, rng.integers(500, 620, n), rng.integers(0, 3000, n)))
+    pdf = pd.DataFrame({"rid": np.arange(n), "k": rng.integers(0, 2, n), "t": t, "v": rng.uniform(50, 150, n), "note": [f"r{i}" for i in range(n)]})
+    pdf.loc[rng.random(n) < 0.1, "v"] = np.nan
+    sdf = nan_to_null(spark.createDataFrame(pdf)).repartition(4)
+    extra = {"moments": {}, "split": {"span_rows": 60}, "depth": {"strategy": "depth", "target_rows": 17}}[how]
+    got = rolling_time_stats(sdf, "t", "v", {"w": 100, "x": 400}, partition_by=["k"], include_current=include, exact_ties=ties, tie_col="rid", **extra)
+    assert got.columns[:5] == ["rid", "k", "t", "v", "note"]
+    got = got.toPandas().set_index("rid")
+    assert len(got) == n and (got.note == [f"r{i}" for i in got.index]).all()
+    for _, part in pdf.groupby("k"):
+        for lab, w in (("w", 100), ("x", 400)):
+            m = rolling_moments(part.t.to_numpy(), part.v.to_numpy(), w, include, ties)
+            mean, std = mean_std(m)
+            rows = got.loc[part.rid]
+            np.testing.assert_allclose(rows[f"v_roll_mean_{lab}"].to_numpy(dtype=float), mean, rtol=1e-9)
+            np.testing.assert_allclose(rows[f"v_roll_std_{lab}"].to_numpy(dtype=float), std, rtol=1e-7, atol=1e-8)
+            np.testing.assert_allclose(rows[f"rate_{lab}"].to_numpy(dtype=float), m[0])
+
+
+def test_rolling_beside_a_far_outlier(spark):
+    """Windows without the outlier keep a spread of 1e-6 beside 1e15."""
+    rng = np.random.default_rng(1)
+    v = 5.0 + rng.normal(0, 1e-6, 300)
+    v[150] = 1e15
+    sdf = spark.createDataFrame(pd.DataFrame({"t": np.arange(300) * 10, "v": v}))
+    got = rolling_time_stats(sdf, "t", "v", {"w": 100}).toPandas().sort_values("t")
+    want = pd.Series(v).rolling(10, min_periods=1).apply(lambda x: np.std(x, ddof=1) if len(x) > 1 else 0.0)
+    calm = np.r_[0:150, 160:300]
+    np.testing.assert_allclose(got.v_roll_std_w.to_numpy()[calm], want.to_numpy()[calm], rtol=1e-5)

@@ -3,6 +3,8 @@
 A set of values is (n, mean, M2), M2 the sum of squares about its own mean. Two
 disjoint sets merge into one without a common centre or scale, so a window's
 figures depend on the values inside it alone, however far values outside lie.
+While sets merge, a mean is kept as one of the values and the distance from it,
+so its error is one of the spread, not of the magnitude.
 NumPy helpers for use inside a task, on rows that Spark has brought together.
 """
 
@@ -15,37 +17,47 @@ import numpy as np
 Moments = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
-def merged(a: Moments, b: Moments) -> Moments:
-    """Moments of the unions of disjoint sets, element by element."""
+def _merged(a: tuple, b: tuple) -> tuple:
+    """Unions of disjoint sets (n, value, distance of the mean from it, M2),
+    element by element."""
     n = a[0] + b[0]
     share = b[0] / np.maximum(n, 1)
-    apart = np.where((a[0] > 0) & (b[0] > 0), b[1] - a[1], 0.0)
-    mean = np.where(a[0] > 0, a[1] + apart * share, b[1])
-    return n, mean, a[2] + b[2] + apart * apart * a[0] * share
+    some = a[0] > 0
+    apart = np.where(some & (b[0] > 0), (b[1] - a[1]) + (b[2] - a[2]), 0.0)
+    return (n, np.where(some, a[1], b[1]), np.where(some, a[2] + apart * share, b[2]), a[3] + b[3] + apart * apart * a[0] * share)
 
 
-def window_moments(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> Moments:
-    """Moments of ``values[lo[i]:hi[i]]`` for every i; NaN and infinities are
-    missing. A window is put together from runs of 1, 2, 4 ... values, one for
-    each bit of its length: O((rows + windows) log(longest)), O(rows) memory."""
+def _whole(a: tuple) -> Moments:
+    return a[0], a[1] + a[2], a[3]
+
+
+def _windows(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple:
     fine = np.isfinite(values)
-    run: Moments = (fine.astype(np.int64), np.where(fine, values, 0.0).astype(np.float64), np.zeros(len(values)))
+    none = np.zeros(len(values))
+    run = (fine.astype(np.int64), np.where(fine, values, 0.0).astype(np.float64), none, none)
     at, left = np.array(lo, dtype=np.int64), np.maximum(np.asarray(hi, dtype=np.int64) - lo, 0)
-    out: Moments = (np.zeros(len(at), dtype=np.int64), np.zeros(len(at)), np.zeros(len(at)))
+    out = (np.zeros(len(at), dtype=np.int64), *(np.zeros(len(at)) for _ in range(3)))
     size = 1
     while left.any():
         take = np.flatnonzero(left & size)
         if len(take):
-            got = merged(tuple(x[take] for x in out), tuple(x[at[take]] for x in run))
+            got = _merged(tuple(x[take] for x in out), tuple(x[at[take]] for x in run))
             for x, new in zip(out, got):
                 x[take] = new
             at[take] += size
             left[take] -= size
-        run = merged(tuple(x[:-size] for x in run), tuple(x[size:] for x in run))
+        run = _merged(tuple(x[:-size] for x in run), tuple(x[size:] for x in run))
         size *= 2
     return out
 
 
+def window_moments(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> Moments:
+    """Moments of ``values[lo[i]:hi[i]]`` for every i; NaN and infinities are
+    missing. A window is put together from runs of 1, 2, 4 ... values, one for
+    each bit of its length: O((rows + windows) log(longest)), O(rows) memory."""
+    return _whole(_windows(values, lo, hi))
+
+
 def rolling_moments(t: np.ndarray, values: np.ndarray, width: int, include_current: bool = True, exact_ties: bool = False) -> Moments:
     """Moments over ``(t - width, t]`` per row, rows sorted by ``t``. Rows of one
     tick see each other; with ``exact_ties`` a row sees only those before it.
@@ -55,7 +67,7 @@ def rolling_moments(t: np.ndarray, values: np.ndarray, width: int, include_curre
     hi = rows + 1 if exact_ties else np.searchsorted(t, t, side="right")
     if include_current:
         return window_moments(values, lo, hi)
-    return merged(window_moments(values, lo, rows), window_moments(values, rows + 1, hi))
+    return _whole(_merged(_windows(values, lo, rows), _windows(values, rows + 1, hi)))
 
 
 def mean_std(m: Moments) -> tuple[np.ndarray, np.ndarray]:

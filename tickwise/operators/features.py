@@ -34,18 +34,20 @@ class RollingLagFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritab
     stdName = Param(Params._dummy(), "stdName", "std column template", TypeConverters.toString)
     rateName = Param(Params._dummy(), "rateName", "count column template", TypeConverters.toString)
     lagName = Param(Params._dummy(), "lagName", "lag column template", TypeConverters.toString)
+    includeCurrent = Param(Params._dummy(), "includeCurrent", "whether a row's windows hold the row itself", TypeConverters.toBoolean)
+    exactTies = Param(Params._dummy(), "exactTies", "rows of one tick see only those before them", TypeConverters.toBoolean)
 
     @keyword_only
     def __init__(self, *, t_col: str = "timestamp_ns", value_col: str = "latency_us",
                  windows: Mapping[str, int] | None = None, lags: Sequence[int] = tuple(range(1, 11)),
                  count_col: str | None = None, tie_col: str | None = None,
                  mean_name: str = "{v}_roll_mean_{w}", std_name: str = "{v}_roll_std_{w}",
-                 rate_name: str = "rate_{w}", lag_name: str = "{v}_lag_{k}"):
+                 rate_name: str = "rate_{w}", lag_name: str = "{v}_lag_{k}", include_current: bool = True, exact_ties: bool = False):
         super().__init__()
         windows = windows or {"1s": 1_000_000_000, "10s": 10_000_000_000, "60s": 60_000_000_000}
         self._set(tCol=t_col, valueCol=value_col, windowSpecs=[f"{k}={int(v)}" for k, v in windows.items()],
                   lags=[int(k) for k in lags], meanName=mean_name, stdName=std_name,
-                  rateName=rate_name, lagName=lag_name)
+                  rateName=rate_name, lagName=lag_name, includeCurrent=include_current, exactTies=exact_ties)
         if count_col:
             self._set(countCol=count_col)
         if tie_col:
@@ -75,7 +77,9 @@ class RollingLagFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritab
         x = rolling_time_stats(df, t, v, self.windows(), count_col=cc,
                                mean_name=self.getOrDefault(self.meanName),
                                std_name=self.getOrDefault(self.stdName),
-                               count_name=self.getOrDefault(self.rateName))
+                               count_name=self.getOrDefault(self.rateName),
+                               include_current=self.getOrDefault(self.includeCurrent), exact_ties=self.getOrDefault(self.exactTies),
+                               tie_col=self.getOrDefault(self.tieCol) if self.isSet(self.tieCol) else None)
         order = [F.col(t)]
         if self.isSet(self.tieCol):
             order.append(F.col(self.getOrDefault(self.tieCol)))

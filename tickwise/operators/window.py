@@ -2,12 +2,15 @@
 (SURVEY W1-W5, W7, W8, W11-W13, F9).
 
 Time-range windows (W1-W3) use *halo buckets*: ``own = t div B`` with
-``B >= widest window``; each row is placed in its own bucket and copied into
-the next one, windows run per bucket, and only rows in their own bucket are
+``B >= widest window``; each row is placed in its own bucket and, if a window of
+the next one reaches back to it, there too; only rows in their own bucket are
 kept. Every frame ``(t-w, t]`` lies in buckets ``own-1`` and ``own``, so the
-result equals the global window. Frames are RANGE frames: rows with the same
-tick are peers and see each other (SQL semantics). Window statistics are
-differences of running totals (O(rows), independent of the window width).
+result equals the global window. Rows with the same tick are peers and see each
+other (SQL RANGE frames), unless ``exact_ties`` asks for the order of a tie
+column. A bucket's windows are merged from moments of runs of rows
+(``functions.moments``): O(log rows) a window, and no figure depends on values
+outside its window. Buckets denser than a task should hold go through
+differences of exact running totals over equi-depth buckets instead.
 
 Row-count windows (lags W4, sequences W11/W12) use *index buckets*: a dense
 row index (global or per key, ``order.with_row_index``), ``own = idx div B``,
@@ -23,14 +26,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.moments import rolling_columns
 from ..session import bounded_values, cut_lineage, tick_col
 from .order import ROW_IDX, with_row_index
 
 _T, _OWN, _B = "__w_t", "__w_own", "__w_bucket"
 DEFAULT_INDEX_BUCKET = 1 << 18
+#: Rows of a halo bucket (two of the widest windows) that a task answers at once.
+SPAN_ROWS = 2_000_000
 
 
 class Scaled:
@@ -90,8 +99,12 @@ def rolling_time_stats(
     mean_name: str = "{v}_roll_mean_{w}",
     std_name: str = "{v}_roll_std_{w}",
     count_name: str = "rate_{w}",
-    strategy: str = "depth",
+    strategy: str = "moments",
     target_rows: int = 20_000,
+    include_current: bool = True,
+    exact_ties: bool = False,
+    tie_col: str | None = None,
+    span_rows: int | None = None,
 ) -> DataFrame:
     """Rolling mean, sample std (single row -> 0) and non-null count of
     ``count_col`` (default ``value_col``) over ``(t - width, t]`` per window.
@@ -99,30 +112,38 @@ def rolling_time_stats(
     ``windows`` maps a label to a width in ticks of ``t_col`` (microseconds for
     timestamps, raw values for integer ticks). Rows are ordered globally
     (``partition_by`` restricts windows to a key, as an option).
-
-    Each statistic is a difference of two running totals inside the halo
-    bucket: ``(-inf, t]`` minus ``(-inf, t - width]``. Both are growing
-    frames, so the cost is O(rows) whatever the window width (a sliding RANGE
-    frame re-aggregates the whole frame for every row). Sums are exact in a
-    fixed-point scale fitted to each bucket (``Scaled``), so values of any
-    size keep their variance.
-
-    ``strategy="depth"`` runs totals over equi-depth buckets with carried
-    offsets and looks the total at ``t - width`` up with a backward as-of join
-    (``_rolling_depth``), whatever the density; ``fixed``, for axes known to be
-    even, uses halo buckets.
+    ``include_current=False`` leaves a row itself out of its windows (a target
+    that must not see itself). ``exact_ties=True`` lets a row see only those
+    rows of its tick that come before it in ``tie_col``, as pandas does.
+
+    ``strategy="moments"`` answers a halo bucket in one task, from one exchange
+    of the rows; buckets of more than ``span_rows`` rows (found by one count) are
+    left to ``depth``: running totals over equi-depth buckets with carried
+    offsets, and the total at ``t - width`` from a backward as-of join
+    (``_rolling_depth``), at any density. ``fixed``, for axes known to be even,
+    takes totals in halo buckets (neither option).
     """
     widths = {k: int(v) for k, v in windows.items()}
     bw = int(bucket_width or max(widths.values()))
     if bw < max(widths.values()):
         raise ValueError("bucket_width must be >= the widest window")
+    if exact_ties and tie_col is None:
+        raise ValueError("exact_ties needs a tie_col")
+    if strategy == "fixed" and (exact_ties or not include_current):
+        raise ValueError("the fixed strategy has neither include_current=False nor exact_ties")
     cc = count_col or value_col
     x = df.withColumn(_T, tick_col(df, t_col))
     x = x.withColumn(_OWN, _floor_div(_T, bw))
+    depth = lambda rows: _rolling_depth(rows.drop(_OWN), value_col, widths, cc, list(partition_by), target_rows,
+                                        mean_name, std_name, count_name, include_current, exact_ties, tie_col)
+    if strategy == "moments" and any(isinstance(f.dataType, T.UserDefinedType) for f in df.schema.fields):
+        strategy = "depth"  # vectors don't travel in Arrow batches
     if strategy == "depth":
-        out = _rolling_depth(x.drop(_OWN), value_col, widths, cc, list(partition_by), target_rows,
-                             mean_name, std_name, count_name)
-        return out.drop(_T)
+        got = depth(x).drop(_T)
+        return got.select(*df.columns, *[c for c in got.columns if c not in df.columns])
+    if strategy == "moments":
+        return _rolling_moments(x, df, value_col, widths, cc, list(partition_by), bw, (mean_name, std_name, count_name), include_current,
+                                exact_ties, tie_col, int(span_rows or SPAN_ROWS), depth)
     x = x.withColumn(_B, F.explode(F.array(F.col(_OWN), F.col(_OWN) + 1)))
     v, whole = F.col("__w_v"), Window.partitionBy(*partition_by, _B)
     x = x.withColumn("__w_v", finite(value_col)).withColumn("__w_c", F.coalesce(F.avg("__w_v").over(whole), F.lit(0.0)))
@@ -148,9 +169,56 @@ def rolling_time_stats(
     return x.where(F.col(_B) == F.col(_OWN)).drop(_T, _OWN, _B, "__w_x", "__w_x2", "__w_v", "__w_c", "__w_s")
 
 
+def _rolling_moments(x: DataFrame, df: DataFrame, value_col: str, widths: Mapping[str, int], cc: str, pb: list[str], bw: int,
+                     names: tuple[str, str, str], include_current: bool, exact_ties: bool, tie_col: str | None, span_rows: int, depth) -> DataFrame:
+    """Halo buckets as groups: rows travel whole to their own bucket, copies for
+    the next one without their other columns."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    wide = max(widths.values())
+    x = x.withColumn("__w_v", finite(value_col)).withColumn("__w_k", F.col(cc).isNotNull())
+    own = F.struct(F.col(_OWN).alias(_B), F.lit(True).alias("__w_mine"))
+    after = F.struct((F.col(_OWN) + 1).alias(_B), F.lit(False).alias("__w_mine"))
+    visits = x.select("*", F.inline(F.when(F.col(_T) > (F.col(_OWN) + 1) * bw - wide, F.array(own, after)).otherwise(F.array(own))))
+    span = [*pb, _B]
+    dense = cut_lineage(visits.groupBy(*span).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > span_rows).drop("n"))
+    crowded = dense.limit(1).count() > 0
+    same = lambda left, right: reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in span])
+    near = visits.join(dense, same(visits, dense), "left_anti") if crowded else visits
+    tie, columns = [tie_col] if tie_col else [], list(df.columns)
+    needed = {*pb, *tie}
+    near = near.select(_T, "__w_v", "__w_k", "__w_mine", *[F.col(k).alias(f"__w_key{i}") for i, k in enumerate(pb)], _B,
+                       *[F.col(c) if c in needed else F.when(F.col("__w_mine"), F.col(c)).alias(c) for c in df.columns])
+    stats = [n.format(v=value_col, w=label) for label in widths for n in names]
+    shape = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in df.schema.fields], *[T.StructField(c, T.DoubleType()) for c in stats]])
+
+    def answer(rows: pa.Table) -> pa.Table:
+        rows = rows.take(pc.sort_indices(rows, sort_keys=[(_T, "ascending"), *[(c, "ascending") for c in tie]]))
+        got = rolling_columns(rows[_T].to_numpy(), rows["__w_v"].to_numpy().astype(float), rows["__w_k"].to_numpy().astype(bool), widths,
+                              include_current, exact_ties, names, value_col)
+        mine = rows["__w_mine"]
+        out = rows.select(columns)
+        for c, values in got.items():
+            out = out.append_column(c, pa.array(values, from_pandas=True))
+        return out.filter(mine)
+
+    out = near.groupBy(*[f"__w_key{i}" for i in range(len(pb))], _B).applyInArrow(answer, shape)
+    if not crowded:
+        return out
+    # the rows of dense buckets and of those before them, whole; results of the former are kept
+    reach = dense.unionAll(dense.withColumn(_B, F.col(_B) - 1)).distinct()
+    rows = x.drop("__w_v", "__w_k").withColumn(_B, F.col(_OWN))
+    far = rows.join(reach, same(rows, reach), "left_semi")
+    far = depth(far.withColumnRenamed(_B, "__w_span"))
+    kept = far.withColumnRenamed("__w_span", _B)
+    return out.unionByName(kept.join(dense, same(kept, dense), "left_semi").select(*out.columns))
+
+
 def _rolling_depth(x: DataFrame, value_col: str, widths: Mapping[str, int], cc: str, pb: list[str],
-                   target_rows: int, mean_name: str, std_name: str, count_name: str) -> DataFrame:
-    """Density-robust rolling statistics.
+                   target_rows: int, mean_name: str, std_name: str, count_name: str, include_current: bool = True,
+                   exact_ties: bool = False, tie_col: str | None = None) -> DataFrame:
+    """Density-robust rolling statistics. A row's own value, or the later rows of
+    its tick, are taken off the exact totals where the options ask for it.
 
     1. Equi-depth buckets on the tick; per (key, bucket) running totals
        (RANGE frame, peers included) plus the carried totals of earlier
@@ -172,14 +240,20 @@ def _rolling_depth(x: DataFrame, value_col: str, widths: Mapping[str, int], cc:
     x = db.assign(x, _T, _B)
     tots = ["__w_c", "__w_x", "__w_x2", "__w_k"]
     run = Window.partitionBy(*pb, _B).orderBy(_T).rangeBetween(Window.unboundedPreceding, 0)
-    x = x.withColumns({f"{c}_run": F.sum(c).over(run) for c in tots})
-    summ = x.groupBy(*pb, _B).agg(*[F.sum(c).alias(f"{c}_tot") for c in tots])
+    x = x.withColumns({f"{c}_run": F.coalesce(F.sum(c).over(run), F.lit(0)) for c in tots})
+    summ = x.groupBy(*pb, _B).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(f"{c}_tot") for c in tots])
     earlier = Window.partitionBy(*pb).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.select(*pb, _B, *[F.coalesce(F.sum(f"{c}_tot").over(earlier), F.lit(0)).alias(f"{c}_off")
                                   for c in tots])
     x = x.join(summ, [*pb, _B], "left")
-    x = x.withColumns({f"{c}_cum": F.col(f"{c}_run") + F.col(f"{c}_off") for c in tots}).drop(
-        *[f"{c}_run" for c in tots], *[f"{c}_off" for c in tots], _B)
+    x = x.withColumns({f"{c}_cum": F.col(f"{c}_run") + F.col(f"{c}_off") for c in tots})
+    upto = {c: F.col(f"{c}_cum") for c in tots}
+    if exact_ties:
+        by_row = Window.partitionBy(*pb, _B).orderBy(_T, tie_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        upto = {c: F.coalesce(F.sum(c).over(by_row), F.lit(0)) + F.col(f"{c}_off") for c in tots}
+    if not include_current:
+        upto = {c: e - F.coalesce(F.col(c), F.lit(0)) for c, e in upto.items()}
+    x = x.withColumns({f"{c}_upto": e for c, e in upto.items()}).drop(*[f"{c}_run" for c in tots], *[f"{c}_off" for c in tots], _B)
     # the probes of all windows go through one as-of join, as narrow rows; written once, since both sides read it
     x = cut_lineage(x.withColumn("__w_id", F.monotonically_increasing_id()))
     cum = x.select(*pb, F.col(_T).alias("__w_tc"), *[F.col(f"{c}_cum").alias(f"{c}_at") for c in tots])
@@ -190,7 +264,7 @@ def _rolling_depth(x: DataFrame, value_col: str, widths: Mapping[str, int], cc:
                                      for k in range(len(widths)) for c in tots])
     out = x.join(at, "__w_id")
     for k, label in enumerate(widths):
-        d = {c: F.col(f"{c}_cum") - F.coalesce(F.col(f"{c}_at{k}"), F.lit(0)) for c in tots}
+        d = {c: F.col(f"{c}_upto") - F.coalesce(F.col(f"{c}_at{k}"), F.lit(0)) for c in tots}
         n = d["__w_c"]
         sx, sq = d["__w_x"], d["__w_x2"]
         out = out.withColumns({
@@ -198,7 +272,8 @@ def _rolling_depth(x: DataFrame, value_col: str, widths: Mapping[str, int], cc:
             std_name.format(v=value_col, w=label): F.coalesce(scaled.std(n, sx, sq), F.lit(0.0)),
             count_name.format(v=value_col, w=label): d["__w_k"].cast("double"),
         })
-    return out.drop("__w_id", *tots, *[f"{c}_cum" for c in tots], *[f"{c}_at{k}" for k in range(len(widths)) for c in tots])
+    return out.drop("__w_id", *tots, *[f"{c}_{end}" for c in tots for end in ("cum", "upto")],
+                    *[f"{c}_at{k}" for k in range(len(widths)) for c in tots])
 
 
 def _index_buckets(idx: DataFrame, halo: int, bucket_rows: int, idx_col: str = ROW_IDX) -> DataFrame:

@@ -178,3 +178,27 @@ def lookups(spark, sf_dir):
     e = t.events.select("event_id", lookup_default("event_type", {"error": 3, "purchase": 2}, 0).alias("weight"),
                         (F.col("user_id") * 7).alias("k"))
     return J.lookup(e, "k", t.customer, "c_custkey", "c_mktsegment", "segment", "none").drop("k")
+
+
+@register("F7_M7_S12_one_pipeline_raw_to_scores")
+def f7_pipeline(spark, sf_dir):
+    """Raw events to scores in one Pipeline (rolling and lag features, encoder,
+    stacking of ridge and boosted trees), fitted on the first 70 % of the time
+    with its last fifth for the meta learner, saved, loaded and applied to all
+    rows."""
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.regression import GBTRegressor, LinearRegression
+
+    from ..operators.stages import Stacking, TabularEncoder
+    ev = Tables(spark, sf_dir).events
+    rows = ev.select("event_id", "user_id", "event_type", micros("ts").alias("t_us"), "value", F.col("value").alias("target"))
+    lo, hi = rows.agg(F.min("t_us"), F.max("t_us")).first()
+    at = lambda share: F.col("t_us") > lo + (hi - lo) * share
+    rows = rows.withColumn("held_out", at(0.56))
+    roll = RollingLagFeatures(t_col="t_us", value_col="value", windows=WINDOWS, lags=LAGS, tie_col="event_id")
+    enc = TabularEncoder(numeric=roll.feature_names()[-len(LAGS):], onehot=["event_type"], frequency=["user_id"])
+    bases = [LinearRegression(labelCol="target", regParam=0.1), GBTRegressor(labelCol="target", maxIter=5, maxDepth=3, seed=42)]
+    model = Pipeline(stages=[roll, enc, Stacking(bases, "target", "held_out")]).fit(rows.where(~at(0.7)))
+    path = os.path.join(ensure_checkpoint_dir(spark), f"pipeline-{uuid.uuid4().hex}")
+    model.write().save(path)
+    return round_doubles(PipelineModel.load(path).transform(rows).select("event_id", "prediction"), 6)

@@ -43,6 +43,38 @@ def w1(spark, sf_dir):
     return round_doubles(rolling_time_stats(ev, "t_us", "value", WINDOWS))
 
 
+# ticks of ten minutes: many equal ones
+COARSE = 600_000_000
+
+
+def _coarse(spark, sf_dir):
+    return _events(spark, sf_dir).select("event_id", (F.col("t_us") - F.pmod("t_us", F.lit(COARSE))).alias("t_us"), "value")
+
+
+def _option_sql(seen: str) -> str:
+    """Self-join over the window: ``seen`` says which rows of it row a sees."""
+    stats = ", ".join(f"""round(avg(b.value) FILTER (WHERE b.t_us > a.t_us - {w}), 8) AS value_roll_mean_{lab},
+       round(coalesce(stddev_samp(b.value) FILTER (WHERE b.t_us > a.t_us - {w}), 0.0), 8) AS value_roll_std_{lab},
+       CAST(count(b.value) FILTER (WHERE b.t_us > a.t_us - {w}) AS DOUBLE) AS rate_{lab}""" for lab, w in WINDOWS.items())
+    return f"""
+WITH e AS (SELECT event_id, value, epoch_us(ts) // {COARSE} * {COARSE} AS t_us FROM events)
+SELECT a.event_id, a.t_us, a.value, {stats}
+FROM e a LEFT JOIN e b ON b.t_us BETWEEN a.t_us - {max(WINDOWS.values()) - 1} AND a.t_us AND {seen}
+GROUP BY a.event_id, a.t_us, a.value"""
+
+
+@register("W1_W2_W3_without_current_row", _option_sql("b.event_id <> a.event_id"))
+def w1_without_current(spark, sf_dir):
+    """Rolling features of a target that don't see the row's own value."""
+    return round_doubles(rolling_time_stats(_coarse(spark, sf_dir), "t_us", "value", WINDOWS, include_current=False))
+
+
+@register("W1_W2_W3_exact_ties", _option_sql("(b.t_us < a.t_us OR b.event_id <= a.event_id)"))
+def w1_exact_ties(spark, sf_dir):
+    """Rows of one tick see those before them only, in the order of their ids."""
+    return round_doubles(rolling_time_stats(_coarse(spark, sf_dir), "t_us", "value", WINDOWS, exact_ties=True, tie_col="event_id"))
+
+
 def _lag_sql(partition: str = "") -> str:
     part = f"PARTITION BY {partition} " if partition else ""
     cols = ",\n       ".join(
