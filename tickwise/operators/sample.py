@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import strata_key
-from ..session import checked_broadcast
+from ..session import checked_broadcast, cut_lineage
+from .stats import attach_row
 
 _H, _P, _S = "__smp_hash", "__smp_prefix", "__smp_stratum"
 
@@ -34,15 +35,13 @@ def sample_hash(key: str | Column, seed: int) -> Column:
 def stratum_targets(counts: DataFrame, n: int) -> DataFrame:
     """Per stratum ``target = min(bround(count / N * n) (+ residual if largest), count)``.
     ``counts`` has (stratum, count); one row per stratum (small)."""
-    w_all = Window.partitionBy()
-    c = counts.withColumn("__N", F.sum("count").over(w_all))
+    counts = cut_lineage(counts)  # one row per stratum, read by three aggregates
+    c = attach_row(counts, counts.agg(F.sum("count").alias("__N")))
     c = c.withColumn("target", F.bround(F.col("count") / F.col("__N") * n, 0).cast("long"))
-    c = c.withColumn("__diff", F.lit(n) - F.sum("target").over(w_all))
     # largest target wins the residual; ties -> larger count, then stratum key
-    c = c.withColumn("__rk", F.row_number().over(Window.orderBy(
-        F.col("target").desc(), F.col("count").desc(), F.col(_S).asc())))
-    c = c.withColumn("target", F.when(F.col("__rk") == 1, F.col("target") + F.col("__diff"))
-                     .otherwise(F.col("target")))
+    first = c.orderBy(F.col("target").desc(), F.col("count").desc(), F.col(_S).asc()).limit(1).select(F.col(_S).alias("__first"))
+    c = attach_row(attach_row(c, c.agg((F.lit(n) - F.sum("target")).alias("__diff"))), first)
+    c = c.withColumn("target", F.when(F.col(_S).eqNullSafe(F.col("__first")), F.col("target") + F.col("__diff")).otherwise(F.col("target")))
     return c.select(_S, "count", F.least(F.greatest(F.col("target"), F.lit(0)), F.col("count")).alias("target"))
 
 

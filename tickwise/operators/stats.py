@@ -153,9 +153,10 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Data
 
 def value_counts(df: DataFrame, col: str, normalize: bool = False) -> DataFrame:
     """Count per non-null value (and share of non-null rows)."""
-    g = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    if normalize:
-        g = g.withColumn("share", F.col("count") / F.sum("count").over(Window.partitionBy()))
+    x = df.where(F.col(col).isNotNull())
+    g = x.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    if normalize:  # one number beside the counts: no task holds all values
+        g = attach_row(g, x.agg(F.count(F.lit(1)).alias("__all"))).withColumn("share", F.col("count") / F.col("__all")).drop("__all")
     return g
 
 
@@ -218,20 +219,26 @@ def top_correlated(df: DataFrame, target: str, cols: Sequence[str], k: int = 15)
 
 def histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
     """Equal-width bins over [min, max] (per group when ``by``); the
-    last bin is closed; empty bins are emitted with count 0.
-    ``bin = least(floor((x - min) * n / (max - min)), n - 1)``."""
+    last bin is closed; empty bins are emitted with count 0. Edges are
+    ``min + i * ((max - min) / n)``, the last one max; a value belongs to the
+    last edge at or below it, by comparison: the quotient only says where to look."""
     x = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double")))
     rng = x.groupBy(*by).agg(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi"))
     j = x.join(checked_broadcast(rng), list(by), "inner") if by else attach_row(x, rng)
-    width = F.col("hi") - F.col("lo")
-    b = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col(col) - F.col("lo")) * bins / width), F.lit(bins - 1))).cast("int")
+    v, width = F.col(col).cast("double"), F.col("hi") - F.col("lo")
+
+    def edge(i: Column) -> Column:
+        return F.when(i == bins, F.col("hi")).otherwise(F.col("lo") + i * (width / F.lit(float(bins))))
+
+    j = j.withColumn("__near", F.when(width == 0, 0).otherwise(
+        F.greatest(F.least(F.floor((v - F.col("lo")) / width * bins), F.lit(bins - 1)), F.lit(0))).cast("int"))
+    near = F.col("__near")
+    b = near - (v < edge(near)).cast("int") + ((v >= edge(near + 1)) & (near < bins - 1)).cast("int")
     counts = j.groupBy(*by, b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     spine = rng.select(*by, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     out = spine.join(counts, [*by, "bin"], "left").fillna(0, subset=["count"])
     return out.select(*by, "bin",
-                      (F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / bins).alias("edge_lo"),
-                      (F.col("lo") + (F.col("bin") + 1) * (F.col("hi") - F.col("lo")) / bins).alias("edge_hi"),
+                      edge(F.col("bin")).alias("edge_lo"), edge(F.col("bin") + 1).alias("edge_hi"),
                       F.col("count").cast("long").alias("count"))
 
 

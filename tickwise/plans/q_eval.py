@@ -13,7 +13,7 @@ from ..functions.expr import prob_flag, residuals
 from ..operators import evaluate as E
 from ..operators import stats as S
 from ..sources.tables import Tables
-from .registry import register, round_doubles
+from .registry import histogram_sql, register, round_doubles
 
 
 def preds(spark, sf_dir):
@@ -121,20 +121,26 @@ def e7(spark, sf_dir):
 
 @register("E8_C13_residual_histogram_by_class", f"""WITH {PRED_SQL},
 x AS (SELECT y_cls, y - p AS residual FROM p),
-r AS (SELECT y_cls, min(residual) AS lo, max(residual) AS hi FROM x GROUP BY y_cls),
-b AS (SELECT x.y_cls, CAST(CASE WHEN hi - lo = 0 THEN 0 ELSE least(floor((residual - lo) * 40 / (hi - lo)), 39) END AS INTEGER) AS bin
-      FROM x JOIN r USING (y_cls)),
-c AS (SELECT y_cls, bin, count(*) AS count FROM b GROUP BY ALL),
-s AS (SELECT y_cls, lo, hi, CAST(range AS INTEGER) AS bin FROM r, range(40))
-SELECT s.y_cls, s.bin, round(lo + s.bin * (hi - lo) / 40, 8) AS edge_lo, round(lo + (s.bin + 1) * (hi - lo) / 40, 8) AS edge_hi,
-       coalesce(c.count, 0) AS count
-FROM s LEFT JOIN c USING (y_cls, bin)
-""")
+{histogram_sql("x", "residual", 40, "y_cls")}""")
 def e8(spark, sf_dir):
     x = preds(spark, sf_dir).withColumn("residual", residuals("y", "p")["residual"])
     return round_doubles(S.histogram(x, "residual", 40, by=["y_cls"]))
 
 
+@register("E8_absolute_error_histogram", f"""WITH {PRED_SQL},
+x AS (SELECT abs(y - p) AS error FROM p),
+{histogram_sql("x", "error", 40)}""")
+def e8_error(spark, sf_dir):
+    return round_doubles(S.histogram(preds(spark, sf_dir).withColumn("error", F.abs(F.col("y") - F.col("p"))), "error", 40))
+
+
+@register("E8_probability_histogram_by_class", f"""WITH {PRED_SQL},
+x AS (SELECT y_cls, score FROM p),
+{histogram_sql("x", "score", 20, "y_cls")}""")
+def e8_probability(spark, sf_dir):
+    return round_doubles(S.histogram(preds(spark, sf_dir), "score", 20, by=["y_cls"]))
+
+
 @register("E12_per_supplier_metrics_top10", f"""WITH {PRED_SQL},
 top AS (SELECT l_suppkey, sum(y_cls) AS n_violations FROM p WHERE l_suppkey IS NOT NULL GROUP BY l_suppkey
         ORDER BY n_violations DESC, l_suppkey LIMIT 10),

@@ -8,7 +8,7 @@ from ..functions.expr import binary_target, coerce_numeric, lenient_bool, residu
 from ..operators import stats as S
 from ..operators.order import chrono_split
 from ..sources.tables import Tables
-from .registry import r8, register, round_doubles
+from .registry import histogram_sql, r8, register, round_doubles
 
 LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -144,17 +144,7 @@ def t2(spark, sf_dir):
                                           ["l_quantity", "l_discount", "l_tax", "l_linenumber"], 15))
 
 
-@register("A14_equal_width_histogram_80", """
-WITH r AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem),
-b AS (SELECT CAST(CASE WHEN hi - lo = 0 THEN 0
-                       ELSE least(floor((l_extendedprice - lo) * 80 / (hi - lo)), 79) END AS INTEGER) AS bin
-      FROM lineitem, r WHERE l_extendedprice IS NOT NULL),
-c AS (SELECT bin, count(*) AS count FROM b GROUP BY bin),
-s AS (SELECT CAST(range AS INTEGER) AS bin, lo, hi FROM range(80), r)
-SELECT s.bin, round(lo + s.bin * (hi - lo) / 80, 8) AS edge_lo, round(lo + (s.bin + 1) * (hi - lo) / 80, 8) AS edge_hi,
-       coalesce(c.count, 0) AS count
-FROM s LEFT JOIN c ON s.bin = c.bin
-""")
+@register("A14_equal_width_histogram_80", "WITH " + histogram_sql("lineitem", "l_extendedprice", 80))
 def a14(spark, sf_dir):
     return round_doubles(S.histogram(_li(spark, sf_dir), "l_extendedprice", 80))
 

@@ -27,6 +27,21 @@ def round_doubles(df, nd: int = ROUND):
                        else F.col(f.name) for f in df.schema.fields])
 
 
+def histogram_sql(rows: str, col: str, bins: int, by: str = "") -> str:
+    """SELECT of an equal-width histogram of ``col`` over the CTE ``rows``, which
+    counts the edges at or below each value."""
+    key, group, using = (f"{by}, ", f" GROUP BY {by}", f" JOIN r USING ({by})") if by else ("", "", ", r")
+    both = f"USING ({key}bin)"
+    return f"""r AS (SELECT {key}min({col}) AS lo, max({col}) AS hi FROM {rows}{group}),
+b AS (SELECT {key}CASE WHEN hi = lo THEN 0 ELSE CAST((SELECT count(*) FROM range(1, {bins}) e(i) WHERE {col} >= lo + e.i * ((hi - lo) / {bins}.0::DOUBLE)) AS INTEGER) END AS bin
+      FROM {rows}{using} WHERE {col} IS NOT NULL),
+c AS (SELECT {key}bin, count(*) AS count FROM b GROUP BY ALL),
+s AS (SELECT {key}lo, hi, CAST(range AS INTEGER) AS bin FROM r, range({bins}))
+SELECT {key}bin, round(lo + bin * ((hi - lo) / {bins}.0::DOUBLE), 8) AS edge_lo,
+       round(CASE WHEN bin = {bins - 1} THEN hi ELSE lo + (bin + 1) * ((hi - lo) / {bins}.0::DOUBLE) END, 8) AS edge_hi, coalesce(c.count, 0) AS count
+FROM s LEFT JOIN c {both}"""
+
+
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 
