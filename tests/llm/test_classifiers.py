@@ -109,3 +109,15 @@ def test_odd_rows(odd_docs, no_docs, labels, ready):
     assert quality.score(quality.measure(no_docs), quality.fit(quality.measure(no_docs), labels)).count() == 0
     kept = toxicity.clean_documents(odd_docs, labels)
     assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count()
+
+
+def test_first_by_hash_holds_the_first_rows(ready):
+    from pyspark.sql import functions as F
+    from tickwise.llm.common import first_by_hash
+    rows = ready.range(20_000).select("id", F.xxhash64("id").alias("h"))
+    want = [r.id for r in rows.orderBy("h").limit(500).collect()]
+    part = first_by_hash(rows, F.col("h"), 500)
+    assert [r.id for r in part.orderBy("h").limit(500).collect()] == want and part.count() < 1000
+    # a third of all rows share one key above the threshold: nothing is lost
+    same = rows.withColumn("h", F.when(F.col("id") % 3 > 0, (1 << 62)).otherwise(F.col("h")))
+    assert first_by_hash(same, F.col("h"), 9000).count() >= 9000

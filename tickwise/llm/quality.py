@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, prepare, table
+from .common import first_by_hash, materialise, prepare, table
 from .registry import register
 from .toxicity import held_out, one_label
 
@@ -159,7 +159,8 @@ def fit(measured: DataFrame, labels: DataFrame, positives: int = 20_000, unlabel
     key = [F.xxhash64("doc_id", "stats"), F.col("doc_id")]
 
     def sample(rows: DataFrame, n: int) -> np.ndarray:
-        got = rows.orderBy(*key).limit(n).select("stats").toPandas()["stats"]  # n rows at most
+        # about n rows leave the tasks, n reach the driver
+        got = first_by_hash(rows, key[0], n).orderBy(*key).limit(n).select("stats").toPandas()["stats"]
         return np.vstack(got.to_list()).astype(float) if len(got) else np.zeros((0, len(NAMES)))
 
     # the unlabelled text is drawn from all training rows, labelled or not, without their labels
