@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 
+from conftest import SF
 from tickwise.operators.order import (chrono_split, cumulative_sums, expanding_folds, fold_bounds,
                                       linspace_positions, positional_slice, split_bounds,
                                       systematic_sample, with_row_index, zip_join)
@@ -79,3 +80,12 @@ def test_cumulative_sums(spark):
     exp = pdf.sort_values(["g", "o"]).assign(e=lambda d: d.groupby("g").x.cumsum())
     m = got.merge(exp[["o", "e"]], on="o")
     assert (m.x_cum == m.e).all()
+
+
+def test_scans_are_not_written_before_their_bounds_are_sampled(spark):
+    from pyspark.sql import functions as F
+    from tickwise.session import scan_only
+    rows = spark.read.parquet(f"{SF}/events.parquet")
+    assert scan_only(rows) and scan_only(rows.where("value > 3").select("event_id", F.col("value") + 1))
+    assert not scan_only(rows.groupBy("user_id").count()) and not scan_only(rows.join(rows.select("user_id"), "user_id"))
+    assert not scan_only(rows.distinct()) and not scan_only(rows.orderBy("value"))

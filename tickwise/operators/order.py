@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checked_broadcast, cut_lineage
+from ..session import checked_broadcast, cut_lineage, scan_only
 
 ROW_IDX = "row_idx"
 
@@ -47,8 +47,8 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = ROW
     spark = df.sparkSession
     pb = list(partition_by)
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # written before the bounds are sampled, so that the plan above runs once
-    df = cut_lineage(df)
+    # more than a scan is written before the bounds are sampled, so that it runs once
+    df = df if scan_only(df) else cut_lineage(df)
     oc = [F.col(c) for c in pb] + _cols(order)
     ranged = (df.repartitionByRange(parts, *oc).sortWithinPartitions(*oc)
                 .withColumn("__pid", F.spark_partition_id())
@@ -169,8 +169,8 @@ def cumulative_sums(df: DataFrame, order: Sequence[str | Column], cols: Sequence
     spark = df.sparkSession
     pb = list(partition_by)
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # written before the bounds are sampled, so that the plan above runs once
-    df = cut_lineage(df)
+    # more than a scan is written before the bounds are sampled, so that it runs once
+    df = df if scan_only(df) else cut_lineage(df)
     oc = [F.col(c) for c in pb] + _cols(order)
     ranged = (df.repartitionByRange(parts, *oc).sortWithinPartitions(*oc)
                 .withColumn("__pid", F.spark_partition_id())

@@ -6,6 +6,7 @@ Everything here is driver-side configuration; no data passes through it.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -110,6 +111,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         held.unpersist()
 
 
+#: Plan nodes that a second pass over the input repeats without a shuffle, a sort or Python.
+SCAN_NODES = {"Project", "Filter", "Relation", "RelationV2", "LogicalRDD", "LocalRelation", "Range"}
+
+
+def scan_only(df: DataFrame) -> bool:
+    """Whether the plan is a scan with projections and filters: to run it twice
+    (to sample bounds, then to write) costs less than to write it in between."""
+    nodes = re.findall(r"^[\s:+|-]*(\w+)", df._jdf.queryExecution().optimizedPlan().toString(), re.M)
+    return bool(nodes) and set(nodes) <= SCAN_NODES
+
+
 def _row_bytes(df: DataFrame) -> Column:
     """Bytes of a row's values: measured for strings, binaries and collections,
     8 for the rest (and 8 a field for nested ones' own layout)."""
