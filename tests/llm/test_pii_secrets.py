@@ -93,6 +93,16 @@ def test_trees_add_spans_that_base_matching_swallows(ready):
     assert "phone:5:22" in got[300].spans.split(",") and got[300].base == ""
 
 
+def test_every_labelled_candidate_is_learnt_from(ready):
+    """Candidates alike in all features are one row with their number; a held-out
+    share is taken from all of them, however many there are."""
+    docs = ready.range(30_000).selectExpr("id AS doc_id", "concat('write to user', lpad(id, 5, '0'), '@example.com now') AS text")
+    proposed = pii.propose(docs)
+    rows = pii.labelled_features(proposed).where("label = 1").collect()
+    assert sum(r.n for r in rows) == pii.candidates(proposed).where("label = 1").count() == 30_000
+    assert len(rows) <= 4 and 7_000 < sum(r.n for r in rows if r.held) < 8_000
+
+
 def test_pii_odd_rows(odd_docs, no_docs):
     out = pii.redact_documents(odd_docs)
     assert out.columns == odd_docs.columns

@@ -5,12 +5,12 @@ Everything on the path of a text is a column expression in one projection:
 a pattern's matches get marks, the text is split at the marks, and a fold over
 the parts turns them into (start, end, value, context). Generators are wider
 patterns of the same kinds, so their spans overlap each other and the base
-spans. The boosted trees are fitted by Spark's GBTClassifier on a bounded,
-hash-ordered sample of candidates (``sample``, a parameter) with the labels the
-base rules give (a candidate that is a valid base span is 1; one that overlaps a
-valid base span with other bounds, or breaks its kind's rules, is 0; the rest
-are what there is to decide). The fitted trees are written out as nested CASE
-expressions. A threshold per kind is the lowest score at which the held-out
+spans. The boosted trees are fitted by Spark's GBTClassifier on all labelled
+candidates, those of equal features as one row with their number as its weight.
+The labels are those the base rules give (a candidate that is a valid base span
+is 1; one that overlaps a valid base span with other bounds, or breaks its
+kind's rules, is 0; the rest are what there is to decide). The fitted trees are
+written out as nested CASE expressions. A threshold per kind is the lowest score at which the held-out
 labels reach the wanted precision; a kind that never does adds nothing.
 
 A null or empty text has no spans (digest of the empty string). Equal rows and
@@ -182,27 +182,31 @@ class Selector:
         return F.transform(F.filter(with_f, reaches), lambda x: x["s"])
 
 
-def fit(proposed: DataFrame, sample: int = 20_000, rounds: int = 12, depth: int = 4, precision: float = 0.95) -> Selector:
-    """Boosted trees on at most ``sample`` labelled candidates of either label,
-    the first by hash; every fourth is held out for the thresholds."""
+def labelled_features(proposed: DataFrame) -> DataFrame:
+    """All labelled candidates as (held, label, kind, features, n): n of them are
+    alike in everything a model sees. Every fourth, by hash, is held out."""
+    labelled = candidates(proposed).where("label IS NOT NULL")
+    held = F.pmod(F.xxhash64("doc_id", "s.kind", "s.start", "s.end", "s.value"), F.lit(4)) == 0
+    keyed = labelled.select(held.alias("held"), "label", F.col("s.kind").alias("kind"), *[c.alias(n) for n, c in features(F.col("s")).items()])
+    return keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).cast("double").alias("n"))
+
+
+def fit(proposed: DataFrame, rounds: int = 12, depth: int = 4, precision: float = 0.95) -> Selector:
+    """Boosted trees on all labelled candidates but every fourth; these are held
+    out for the thresholds."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    labelled = candidates(proposed).where("label IS NOT NULL")
-    key = F.xxhash64("doc_id", "s.kind", "s.start", "s.end", "s.value")
-    keyed = labelled.select(key.alias("key"), "label", F.col("s.kind").alias("kind"), *[c.alias(n) for n, c in features(F.col("s")).items()])
-    names = [c for c in keyed.columns if c not in ("key", "label", "kind")]
-    # top-n by key for each label: bounded whatever the corpus
-    rows = keyed.where("label = 1").orderBy("key").limit(sample).unionAll(keyed.where("label = 0").orderBy("key").limit(sample))
-    rows = materialise(rows.coalesce(4))
-    train = rows.where("pmod(key, 4) <> 0")
+    rows = materialise(labelled_features(proposed))
+    names = [c for c in rows.columns if c not in ("held", "label", "kind", "n")]
+    train = rows.where("NOT held")
     if {r["label"] for r in train.select("label").distinct().collect()} != {0.0, 1.0}:
         return Selector(names, [], [], {})
-    model = GBTClassifier(maxIter=rounds, maxDepth=depth, seed=7, stepSize=0.3).fit(
-        VectorAssembler(inputCols=names, outputCol="features").transform(train).select("features", "label"))
+    model = GBTClassifier(maxIter=rounds, maxDepth=depth, seed=7, stepSize=0.3, weightCol="n").fit(
+        VectorAssembler(inputCols=names, outputCol="features").transform(train).select("features", "label", "n"))
     selector = Selector(names, [t._call_java("rootNode") for t in model.trees], list(model.treeWeights), {})
-    held = rows.where("pmod(key, 4) = 0").select("kind", "label", F.round(selector.score(F.struct(*names)), 2).alias("p"))
-    at = held.groupBy("kind", "p").agg(F.sum("label").alias("right"), F.count(F.lit(1)).alias("n")).collect()  # 4 x 101 rows
+    held = rows.where("held").select("kind", "label", "n", F.round(selector.score(F.struct(*names)), 2).alias("p"))
+    at = held.groupBy("kind", "p").agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("n")).collect()  # 4 x 101 rows
     for kind in KINDS:
         right = n = 0
         for r in sorted((r for r in at if r["kind"] == kind), key=lambda r: -r["p"]):
