@@ -1,5 +1,7 @@
 """Model parity rules (closed forms) and the early-stopping rule."""
 
+import threading
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -51,6 +53,28 @@ def test_early_stopping_rule(spark):
     assert r.best_iter == best and r.model.getNumTrees == r.best_iter
 
 
+def test_early_stopping_keeps_a_fit_of_the_best_count(spark, monkeypatch):
+    df, _, _ = _data(spark, 200, 2)
+    fits, fit = [], M.gbt_regressor
+    monkeypatch.setattr(M, "gbt_regressor", lambda *a, **k: fits.append(k["max_iter"]) or fit(*a, **k))
+    r = M.early_stopping_gbt(df, df, "features", "y", classification=False, max_rounds=3, patience=3, max_depth=2)
+    assert r.best_iter == 3 and fits == [3] and r.model.getNumTrees == 3
+
+
+def test_training_rows_are_packed(spark, monkeypatch):
+    df = spark.range(0, 1000, 1, 64)
+    cores = spark.sparkContext.defaultParallelism
+    assert M.packed(df).rdd.getNumPartitions() == min(cores, 64) and M.packed(df).count() == 1000
+    monkeypatch.setattr(M, "TASK_ROWS", 25)
+    assert M.packed(df).rdd.getNumPartitions() == max(cores, 40)
+
+
+def test_independent_fits_run_side_by_side(spark):
+    both = threading.Barrier(2, timeout=30)  # broken unless both run at once
+    assert [v for v, _ in M.side_by_side(spark, [lambda: (1, both.wait()), lambda: (2, both.wait())])] == [1, 2]
+    assert M.side_by_side(spark, []) == []
+
+
 def test_sequence_flatten(spark):
     pdf = pd.DataFrame({"seq": [[[1.0, 2.0], [3.0, 4.0]]]})
     out = M.flatten_sequences(spark.createDataFrame(pdf)).first()["features"]

@@ -8,7 +8,11 @@ Parity rules established in SURVEY §2.10 / §4.3:
   ``standardization=False``.
 * L2 logistic (propensity): ``regParam = 1/(C*n)``.
 * Boosted trees: ``GBTRegressor`` / ``GBTClassifier``; early stopping uses
-  ``evaluateEachIteration`` on validation with a patience rule, then refits.
+  ``evaluateEachIteration`` on validation with a patience rule, then refits
+  unless the best count is the one fitted. A level of a tree is a job of its
+  own, so small training rows stand in few partitions (``packed``).
+* Independent fits run side by side (``side_by_side``), as the ``parallelism``
+  of Spark's CrossValidator: a round of boosting is a chain of short jobs.
 
 Training data never leaves the cluster; only fitted coefficients/trees
 (bounded by the feature count and iteration count) reach the driver.
@@ -16,9 +20,11 @@ Training data never leaves the cluster; only fitted coefficients/trees
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -27,6 +33,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Fits that run at once; each holds its training rows in the block store, which spills.
+SIDE_BY_SIDE = 4
+
+
+def side_by_side(spark, fits: Sequence[Callable[[], object]], parallelism: int = SIDE_BY_SIDE) -> list:
+    """Results of independent ``fits``, in their order."""
+    if not fits:
+        return []
+    with ThreadPool(min(parallelism, len(fits))) as pool:
+        return pool.map(lambda fit: inheritable_thread_target(spark)(fit)(), fits, chunksize=1)
+
+
 # M1
 def mean_predictor(train: DataFrame, label: str) -> float:
     return float(train.agg(F.avg(label)).first()[0])
@@ -45,11 +63,22 @@ def ridge(train: DataFrame, features: str, label: str, alpha: float = 1.0):
 
 
 # M3
+#: Training rows of a boosted model that a task goes through.
+TASK_ROWS = 250_000
+
+
+def packed(train: DataFrame) -> DataFrame:
+    """``train`` in no more partitions than there are cores, or one per
+    ``TASK_ROWS`` rows if those are more: boosting makes two stages a level."""
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    return train.coalesce(max(cores, -(-train.count() // TASK_ROWS)))
+
+
 def gbt_regressor(train: DataFrame, features: str, label: str, *, max_iter: int = 200, max_depth: int = 6,
                   step: float = 0.1, subsample: float = 1.0, feature_subset: str = "all", seed: int = 42):
     return GBTRegressor(featuresCol=features, labelCol=label, maxIter=max_iter, maxDepth=max_depth,
                         stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=feature_subset,
-                        seed=seed).fit(train)
+                        seed=seed).fit(packed(train))
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "class_weight") -> DataFrame:
@@ -74,7 +103,8 @@ def balanced_logistic(train: DataFrame, features: str, label: str, C: float = 1.
 def gbt_classifier(train: DataFrame, features: str, label: str, *, max_iter: int = 200, max_depth: int = 6,
                    step: float = 0.1, subsample: float = 1.0, feature_subset: str = "all", weighted: bool = True,
                    seed: int = 42):
-    data = balanced_weights(train, label) if weighted else train
+    data = packed(train)
+    data = balanced_weights(data, label) if weighted else data
     kw = {"weightCol": "class_weight"} if weighted else {}
     return GBTClassifier(featuresCol=features, labelCol=label, maxIter=max_iter, maxDepth=max_depth,
                          stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=feature_subset,
@@ -104,15 +134,16 @@ def early_stopping_gbt(train: DataFrame, val: DataFrame, features: str, label: s
                        seed: int = 42) -> EarlyStopResult:
     """Fit ``max_rounds`` trees once, score every prefix on validation
     (``evaluateEachIteration``), stop at the first run of ``patience`` rounds
-    without improvement, refit with the best count."""
-    if classification:
-        full = gbt_classifier(train, features, label, max_iter=max_rounds, max_depth=max_depth, step=step,
-                              weighted=False, seed=seed)
-        hist = list(full.evaluateEachIteration(val))
-    else:
-        full = gbt_regressor(train, features, label, max_iter=max_rounds, max_depth=max_depth, step=step,
-                             seed=seed)
-        hist = list(full.evaluateEachIteration(val, "squared"))
+    without improvement, refit with the best count (the same model, if that is
+    ``max_rounds``)."""
+    def fit(rounds: int):
+        how = {"max_iter": rounds, "max_depth": max_depth, "step": step, "seed": seed}
+        if classification:
+            return gbt_classifier(train, features, label, weighted=False, **how)
+        return gbt_regressor(train, features, label, **how)
+
+    full = fit(max_rounds)
+    hist = list(full.evaluateEachIteration(val) if classification else full.evaluateEachIteration(val, "squared"))
     best, best_i, since = float("inf"), 0, 0
     for i, v in enumerate(hist):
         if v < best:
@@ -122,11 +153,7 @@ def early_stopping_gbt(train: DataFrame, val: DataFrame, features: str, label: s
             if since >= patience:
                 break
     k = best_i + 1
-    if classification:
-        model = gbt_classifier(train, features, label, max_iter=k, max_depth=max_depth, step=step,
-                               weighted=False, seed=seed)
-    else:
-        model = gbt_regressor(train, features, label, max_iter=k, max_depth=max_depth, step=step, seed=seed)
+    model = full if k == max_rounds else fit(k)
     return EarlyStopResult(k, hist, model)
 
 
