@@ -106,7 +106,13 @@ class Tree:
         """(row of ``queries``, score, id): up to k a query, of score ``beat``
         or more. The queries go down together: the queue holds nodes by the
         lowest distance that any of them could find there, and a page that is
-        opened is one matrix product for the queries that still need it."""
+        opened is one matrix product for the queries that still need it.
+        One lifted query (a vector ending in 0, ``longest`` with its own square)
+        gives (score, id)."""
+        if queries.ndim == 1:
+            q = queries[:-1]
+            got = self.search(np.array([own]), q[None], k, np.array([beat], dtype=np.float64), longest - float(q @ q))
+            return [(s, i) for _, s, i in got]
         size = np.sqrt((queries * queries).sum(axis=1))
         reach = size * size + longest  # distance^2 = reach - 2 * score
         least = np.array(beat, dtype=np.float64)
