@@ -85,3 +85,28 @@ def test_md5_weights_are_poisson_and_countable(spark):
     assert abs(w.mean() - 1) < 0.05 and abs(w.var() - 1) < 0.1
     u = int(spark.range(1).select(F.conv(F.substring(F.md5(F.lit("7|5|2")), 1, 8), 16, 10).alias("u")).first().u)
     assert w[5, 2] == sum(s <= u for s in POISSON1_STEPS)
+
+
+def test_poisson_weights_are_the_steps_of_their_uniforms():
+    from tickwise.functions.hashing import _POISSON1_CDF, uniforms
+    keys = np.concatenate([np.arange(300), [-1, 2**62, -2**63]])
+    for n_boot, seed in ((2000, 42), (3, 7961), (0, 1)):
+        u = uniforms(keys, np.arange(n_boot, dtype=np.uint64), seed)
+        np.testing.assert_array_equal(poisson1_weights(keys, n_boot, seed), np.searchsorted(_POISSON1_CDF, u, side="right"))
+    assert poisson1_weights(keys[:0], 5, 1).shape == (0, 5)
+
+
+def test_bootstrap_blocks_are_small_and_use_every_core(spark):
+    import tracemalloc
+    rows = S.chunk_rows(2000)
+    tracemalloc.start()
+    poisson1_weights(np.arange(rows), 2000, 42)
+    assert tracemalloc.get_traced_memory()[1] < 16 << 20
+    tracemalloc.stop()
+    df = spark.range(4000).select("id", F.lit(0).alias("g"), (F.col("id") % 7).cast("double").alias("s")).coalesce(1)
+    one = S.dealt(df, ["id", "s"])
+    assert one.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    got = S.weighted_partials(df, ["g"], "id", ["s"], 6, 1).orderBy("rep").toPandas()
+    w = poisson1_weights(np.arange(4000), 6, 1).astype(float)
+    np.testing.assert_allclose(got["sw"], w.sum(axis=0))
+    np.testing.assert_allclose(got["s_s"], (np.arange(4000) % 7) @ w)

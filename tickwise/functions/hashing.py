@@ -35,10 +35,32 @@ def uniforms(keys: np.ndarray, streams: np.ndarray, seed: int) -> np.ndarray:
 _POISSON1_CDF = np.cumsum([math.exp(-1.0) / math.factorial(k) for k in range(20)])
 
 
+#: The weight of every value of a hash's first 14 bits; -1 where a step of the distribution lies inside.
+_TOP_BITS = 14
+_EDGES = np.arange((1 << _TOP_BITS) + 1) / (1 << _TOP_BITS)
+_LOW, _HIGH = np.searchsorted(_POISSON1_CDF, _EDGES[:-1], side="right"), np.searchsorted(_POISSON1_CDF, _EDGES[1:], side="left")
+_BY_TOP_BITS = np.where(_LOW == _HIGH, _LOW, -1).astype(np.float32)
+
+
 def poisson1_weights(keys: np.ndarray, n_boot: int, seed: int) -> np.ndarray:
-    """Poisson(1) bootstrap weights, shape (rows, n_boot), float32."""
-    u = uniforms(keys, np.arange(n_boot, dtype=np.uint64), seed)
-    return np.searchsorted(_POISSON1_CDF, u, side="right").astype(np.float32)
+    """Poisson(1) bootstrap weights, shape (rows, n_boot), float32: where the
+    ``uniforms`` stand in the distribution. Most are told by their first bits, so
+    a table answers them; the hash is taken in place, in two blocks of its size."""
+    k = splitmix64(keys.astype(np.uint64) ^ np.uint64(seed & 0xFFFFFFFFFFFFFFFF))
+    z = k[:, None] ^ splitmix64(np.arange(n_boot, dtype=np.uint64) * _GOLD)[None, :]
+    shifted = np.empty_like(z)
+    z += _GOLD
+    for bits, factor in ((30, _M1), (27, _M2), (31, None)):
+        np.right_shift(z, np.uint64(bits), out=shifted)
+        z ^= shifted
+        if factor is not None:
+            z *= factor
+    np.right_shift(z, np.uint64(64 - _TOP_BITS), out=shifted)
+    w = _BY_TOP_BITS[shifted.view(np.int64)]
+    near = np.flatnonzero(w.ravel() < 0)
+    u = (z.ravel()[near] >> np.uint64(11)).astype(np.float64) * (1.0 / 9007199254740992.0)
+    w.ravel()[near] = np.searchsorted(_POISSON1_CDF, u, side="right")
+    return w
 
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from ..functions.hashing import poisson1_weights, unit_weights
 from .buckets import fit_depth_buckets
-from .stats import CHUNK_ROWS, attach_row, weighted_partials
+from .stats import CHUNK_ROWS, attach_row, chunk_rows, dealt, weighted_partials
 
 Weights = Callable[[np.ndarray, int, int], np.ndarray]
 
@@ -94,7 +94,8 @@ def _auc_replicates(df: DataFrame, by: list[str], y: str, score: str, row_key: s
     order, ties one half; null without both classes."""
     x = df.select(*by, F.col(row_key).alias("key"), F.col(y).cast("double").alias("y"), F.col(score).cast("double").alias("score"))
     x = fit_depth_buckets(x, "score", target_rows).assign(x, "score", "block")
-    x = x.repartition(*by, "block").sortWithinPartitions(*by, "block", "score")
+    x = dealt(x, [*by, "block"]).sortWithinPartitions(*by, "block", "score")
+    chunk = chunk_rows(n_boot, CHUNK_ROWS)
     shape = T.StructType([*[x.schema[k] for k in by], T.StructField("block", T.IntegerType()), T.StructField("rep", T.IntegerType()),
                           *[T.StructField(c, T.DoubleType()) for c in ("pos", "neg", "pairs")]])
 
@@ -113,8 +114,8 @@ def _auc_replicates(df: DataFrame, by: list[str], y: str, score: str, row_key: s
                     if ranks is not None:
                         yield told()
                     key, ranks = k, _BlockRanks(n_boot)
-                for lo in range(0, len(part), CHUNK_ROWS):
-                    rows = part.iloc[lo:lo + CHUNK_ROWS]
+                for lo in range(0, len(part), chunk):
+                    rows = part.iloc[lo:lo + chunk]
                     w = weights(rows["key"].to_numpy(dtype=np.int64), n_boot, seed).astype(np.float64)
                     ranks.add(rows["score"].to_numpy(), rows["y"].to_numpy(), w)
         if ranks is not None:

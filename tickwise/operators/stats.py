@@ -22,6 +22,7 @@ from ..functions.hashing import poisson1_weights
 from ..session import bounded_values, checked_broadcast, cut_lineage
 
 CHUNK_ROWS = 2048
+CHUNK_CELLS = 1 << 17   # rows x replicates of bootstrap weights that a task makes at once
 HELD_SUMS = 8_000_000   # doubles of bootstrap sums that a task holds
 
 
@@ -323,6 +324,20 @@ def welch_test(df: DataFrame, by: Sequence[str], arm: str, value: str, a, b) ->
     return g.withColumn("p_value", t_two_sided_p(F.col("t_stat"), F.col("dof")))
 
 
+def chunk_rows(n_boot: int, most: int = CHUNK_ROWS) -> int:
+    """Rows of a block of weights, which then stays in a core's cache."""
+    return max(min(most, CHUNK_CELLS // max(n_boot, 1)), 1)
+
+
+def dealt(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` by its keys in at least a partition a core: a few MB of rows are
+    rows x replicates of work, which merged small partitions would leave to one
+    task."""
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(parts, *keys)
+
+
 def weighted_partials(df: DataFrame, by: Sequence[str], row_key: str, cols: Sequence[str],
                       n_boot: int, seed: int, weights=poisson1_weights) -> DataFrame:
     """Per task: for every replicate r and group, sum(w) and sum(w * col) with
@@ -330,7 +345,7 @@ def weighted_partials(df: DataFrame, by: Sequence[str], row_key: str, cols: Sequ
     depend on partitioning. Output rows: tasks x groups x replicates. A task
     holds at most HELD_SUMS sums: with more groups it passes what it has on, and
     the shuffle by (group, replicate) adds up."""
-    by = list(by)
+    by, chunk = list(by), chunk_rows(n_boot)
     schema = T.StructType([*(df.schema[k] for k in by), T.StructField("rep", T.IntegerType()),
                            T.StructField("sw", T.DoubleType()),
                            *[T.StructField(f"s_{c}", T.DoubleType()) for c in cols]])
@@ -344,12 +359,10 @@ def weighted_partials(df: DataFrame, by: Sequence[str], row_key: str, cols: Sequ
             for g, ix in groups.items():
                 g = g if isinstance(g, tuple) else (g,)
                 sums = acc.setdefault(g, np.zeros((1 + len(cols), n_boot)))
-                for lo in range(0, len(ix), CHUNK_ROWS):   # bounded rows x reps block
-                    part = ix[lo:lo + CHUNK_ROWS]
-                    w = weights(pdf[row_key].to_numpy(dtype=np.int64)[part], n_boot, seed)
-                    sums[0] += w.sum(axis=0)
-                    for j, c in enumerate(cols):
-                        sums[j + 1] += pdf[c].to_numpy(dtype=float)[part] @ w
+                keys = pdf[row_key].to_numpy(dtype=np.int64)[ix]
+                values = np.vstack([np.ones(len(ix)), *[pdf[c].to_numpy(dtype=float)[ix] for c in cols]])
+                for lo in range(0, len(ix), chunk):   # bounded rows x reps block
+                    sums += values[:, lo:lo + chunk] @ weights(keys[lo:lo + chunk], n_boot, seed).astype(float)
                 if len(acc) * (1 + len(cols)) * n_boot > HELD_SUMS:
                     yield from told(acc)
                     acc = {}
@@ -364,7 +377,7 @@ def weighted_partials(df: DataFrame, by: Sequence[str], row_key: str, cols: Sequ
                 out[f"s_{c}"] = sums[j + 1]
             yield pd.DataFrame(out)
 
-    parts = df.select(*by, row_key, *cols).mapInPandas(run, schema)
+    parts = dealt(df.select(*by, row_key, *cols), [row_key, *cols]).mapInPandas(run, schema)
     return parts.groupBy(*by, "rep").agg(F.sum("sw").alias("sw"),
                                          *[F.sum(f"s_{c}").alias(f"s_{c}") for c in cols])
 
