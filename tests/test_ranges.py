@@ -54,3 +54,27 @@ def test_rolling_rules(include_current, exact_ties):
             assert np.isnan(mean[i]) and std[i] == 0
             continue
         assert mean[i] == pytest.approx(v[seen].mean()) and std[i] == pytest.approx(v[seen].std(ddof=1) if len(seen) > 1 else 0, abs=1e-12)
+
+
+@pytest.mark.parametrize("include_current", [True, False])
+@pytest.mark.parametrize("exact_ties", [True, False])
+def test_growing_series_answers_as_the_whole_one(include_current, exact_ties):
+    from tickwise.functions.moments import GrowingSeries
+    rng = np.random.default_rng(8)
+    t = np.sort(rng.integers(0, 400, 3000))
+    v = np.where(rng.random(3000) < 0.1, np.nan, rng.standard_normal(3000) * 1e-3 + 1e6)
+    counted = rng.random(3000) < 0.8
+    mean, std = mean_std(rolling_moments(t, v, 37, include_current, exact_ties))
+    n = rolling_moments(t, np.where(counted, 0.0, np.nan), 37, include_current, exact_ties)[0]
+    series, told = GrowingSeries(), 0
+    for lo in range(0, 3000, 170):
+        series.add(t[lo:lo + 170], v[lo:lo + 170], counted[lo:lo + 170])
+        upto = len(series) if exact_ties and include_current or len(series) == 3000 else int(np.searchsorted(series.t.seen(), series.t.seen()[-1]))
+        moments, seen = series.rolling(told, upto, 37, include_current, exact_ties)
+        got = mean_std(moments)
+        np.testing.assert_allclose(got[0], mean[told:upto], rtol=1e-14)
+        np.testing.assert_allclose(got[1], std[told:upto], rtol=1e-6, atol=1e-12)
+        np.testing.assert_array_equal(seen, n[told:upto])
+        told = upto
+    with pytest.raises(ValueError):
+        series.add(t[:1] - 1, v[:1], counted[:1])

@@ -176,3 +176,23 @@ def test_rolling_beside_a_far_outlier(spark):
     want = pd.Series(v).rolling(10, min_periods=1).apply(lambda x: np.std(x, ddof=1) if len(x) > 1 else 0.0)
     calm = np.r_[0:150, 160:300]
     np.testing.assert_allclose(got.v_roll_std_w.to_numpy()[calm], want.to_numpy()[calm], rtol=1e-5)
+
+
+@pytest.mark.parametrize("exact_ties", [True, False])
+def test_rolling_buckets_are_answered_in_parts(spark, monkeypatch, exact_ties):
+    from pyspark.sql import functions as F
+    from tickwise.operators import window
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"i": np.arange(900), "g": rng.integers(0, 2, 900), "t": rng.integers(0, 120, 900), "v": rng.random(900).round(3)})
+    df = spark.createDataFrame(pdf).withColumn("t", F.when(F.col("i") % 90 != 0, F.col("t")))
+    ask = lambda: window.rolling_time_stats(
+        df, "t", "v", {"a": 7, "b": 40}, partition_by=["g"], exact_ties=exact_ties, tie_col="i").orderBy("i").toPandas()
+    whole = ask()
+    monkeypatch.setattr(window, "ANSWERED_ROWS", 16)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        parts = ask()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    pd.testing.assert_frame_equal(whole, parts)
+    assert len(parts) == 900 and parts.rate_b[parts.t.isna()].eq(0).all() and parts.v_roll_mean_b[parts.t.isna()].isna().all()

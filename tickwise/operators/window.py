@@ -24,15 +24,17 @@ per row).
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.moments import rolling_columns
+from ..functions.moments import GrowingSeries, mean_std
 from ..session import bounded_values, cut_lineage, tick_col
 from .order import ROW_IDX, with_row_index
 
@@ -40,6 +42,8 @@ _T, _OWN, _B = "__w_t", "__w_own", "__w_bucket"
 DEFAULT_INDEX_BUCKET = 1 << 18
 #: Rows of a halo bucket (two of the widest windows) that a task answers at once.
 SPAN_ROWS = 2_000_000
+#: Rows of a bucket that are answered together.
+ANSWERED_ROWS = 1 << 16
 
 
 class Scaled:
@@ -172,9 +176,9 @@ def rolling_time_stats(
 def _rolling_moments(x: DataFrame, df: DataFrame, value_col: str, widths: Mapping[str, int], cc: str, pb: list[str], bw: int,
                      names: tuple[str, str, str], include_current: bool, exact_ties: bool, tie_col: str | None, span_rows: int, depth) -> DataFrame:
     """Halo buckets as groups: rows travel whole to their own bucket, copies for
-    the next one without their other columns."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
+    the next one without their other columns. Spark sorts a bucket; the task
+    goes through it batch by batch and holds whole rows only until they are
+    answered, of the others what ``GrowingSeries`` holds."""
     wide = max(widths.values())
     x = x.withColumn("__w_v", finite(value_col)).withColumn("__w_k", F.col(cc).isNotNull())
     own = F.struct(F.col(_OWN).alias(_B), F.lit(True).alias("__w_mine"))
@@ -192,17 +196,44 @@ def _rolling_moments(x: DataFrame, df: DataFrame, value_col: str, widths: Mappin
     stats = [n.format(v=value_col, w=label) for label in widths for n in names]
     shape = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in df.schema.fields], *[T.StructField(c, T.DoubleType()) for c in stats]])
 
-    def answer(rows: pa.Table) -> pa.Table:
-        rows = rows.take(pc.sort_indices(rows, sort_keys=[(_T, "ascending"), *[(c, "ascending") for c in tie]]))
-        got = rolling_columns(rows[_T].to_numpy(), rows["__w_v"].to_numpy().astype(float), rows["__w_k"].to_numpy().astype(bool), widths,
-                              include_current, exact_ties, names, value_col)
-        mine = rows["__w_mine"]
-        out = rows.select(columns)
-        for c, values in got.items():
-            out = out.append_column(c, pa.array(values, from_pandas=True))
-        return out.filter(mine)
-
-    out = near.groupBy(*[f"__w_key{i}" for i in range(len(pb))], _B).applyInArrow(answer, shape)
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # halo rows come first; rows of the bucket wait, whole, until all of their tick have come
+        series, waiting, told = GrowingSeries(), [], 0
+
+        def ready(upto: int) -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(waiting)
+            waiting[:] = rows.slice(upto - told).to_batches()
+            out = rows.slice(0, upto - told).combine_chunks()
+            for label, width in widths.items():
+                moments, n = series.rolling(told, upto, width, include_current, exact_ties)
+                for name, values in zip(names, (*mean_std(moments), n.astype(np.float64))):
+                    out = out.append_column(name.format(v=value_col, w=label), pa.array(values, from_pandas=True))
+            yield from out.to_batches()
+
+        for batch in batches:
+            t = batch.column(_T)
+            if t.null_count:  # without a tick, a bucket of its own: no windows
+                empty = {n.format(v=value_col, w=label): x for label in widths for n, x in zip(names, (None, 0.0, 0.0))}
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c) for c in columns), *(pa.array([x] * len(batch), pa.float64()) for x in empty.values())], [*columns, *empty])
+                continue
+            series.add(t.to_numpy(zero_copy_only=False), batch.column("__w_v").to_numpy(zero_copy_only=False).astype(float),
+                       batch.column("__w_k").to_numpy(zero_copy_only=False))
+            mine = batch.filter(batch.column("__w_mine")).select(columns)
+            told += len(batch) - len(mine)
+            if len(mine):
+                waiting.append(mine)
+            if len(series) - told >= ANSWERED_ROWS:
+                upto = len(series) if exact_ties else int(np.searchsorted(series.t.seen(), series.t.seen()[-1]))
+                if upto > told:
+                    yield from ready(upto)
+                    told = upto
+        if len(series) > told:
+            yield from ready(len(series))
+
+    keys = [*[f"__w_key{i}" for i in range(len(pb))], _B]
+    near = near.repartition(*keys).sortWithinPartitions(*keys, _T, *tie)
+    out = near.groupBy(*keys).applyInArrow(answer, shape)
     if not crowded:
         return out
     # the rows of dense buckets and of those before them, whole; results of the former are kept
