@@ -81,3 +81,18 @@ def test_asof_rows_answer_every_left_row_once(spark, tmp_dir):
     found = got.collect()
     assert len(found) == len(want)
     assert {r.event_id: (r.rid, r.match_t_us) for r in found} == want
+
+
+def test_state_keeps_blocks_of_rows():
+    pdf = pd.DataFrame({"s_t": [5, 3], "s_id": [1, 2], "s_v": [None, 2.5], "s_c": [False, True], "s_own": [True, False]})
+
+    class State(list):
+        def get(self):
+            return iter(self)
+    blocks = [S.as_block(pdf, S.ROLLING_BLOCK), S.as_block(pdf[:1], S.ROLLING_BLOCK)]
+    got = S.held_block(State((b.tobytes(),) for b in blocks), S.ROLLING_BLOCK)
+    assert got["t"].tolist() == [5, 3, 5] and got["own"].tolist() == [True, False, True]
+    np.testing.assert_array_equal(got["v"], [np.nan, 2.5, np.nan])
+    assert len(S.held_block(State(), S.NEAREST_BLOCK)) == 0
+    with pytest.raises(ValueError):
+        S.as_block(pdf.assign(s_id=[1, None]), S.NEAREST_BLOCK)

@@ -50,6 +50,24 @@ def settled_before(t: np.ndarray, watermark_ms: int) -> np.ndarray:
     return t // 1000 + 1 < watermark_ms
 
 
+#: Rows of a state are kept in blocks, the bytes of an array: one value a batch, not one a row.
+ROLLING_BLOCK = np.dtype([("t", "<i8"), ("id", "<i8"), ("v", "<f8"), ("c", "?"), ("own", "?")])
+NEAREST_BLOCK = np.dtype([("t", "<i8"), ("id", "<i8")])
+
+
+def as_block(pdf: pd.DataFrame, kind: np.dtype) -> np.ndarray:
+    if pdf["s_id"].isna().any():
+        raise ValueError("a row of a stream needs an id")
+    out = np.empty(len(pdf), dtype=kind)
+    for name in kind.names:
+        out[name] = pdf[f"s_{name}"].to_numpy(dtype=kind[name])
+    return out
+
+
+def held_block(state, kind: np.dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(bytes(block) for block, in state.get()), dtype=kind)
+
+
 class RollingRows(StatefulProcessor):
     """Rolling statistics of one (key, bucket): rows of the bucket and the last
     ``wide`` ticks before it. A row is answered when the watermark has passed
@@ -62,35 +80,34 @@ class RollingRows(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", "t long, id long, v double, c boolean, own boolean")
+        self.rows = handle.getListState("rows", "block binary")
         self.done = handle.getValueState("done", "watermark long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for pdf in rows:
-            fresh = pdf[["s_t", "s_id", "s_v", "s_c", "s_own"]]
-            self.rows.appendList([(int(t), int(i), float(v) if v is not None and v == v else None, bool(c), bool(o))
-                                  for t, i, v, c, o in fresh.itertuples(index=False, name=None)])
-            own = fresh["s_t"][fresh["s_own"]].to_numpy(dtype=np.int64)
+            fresh = as_block(pdf, ROLLING_BLOCK)
+            self.rows.appendValue((fresh.tobytes(),))
+            own = fresh["t"][fresh["own"]]
             if len(own):
                 self.handle.registerTimer(int(own.min()) // 1000 + 1)
         self.handle.registerTimer((int(key[-1]) + 1) * self.bucket // 1000 + 2)
-        yield pd.DataFrame(columns=self.columns)
+        yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
         before = self.done.get()[0] if self.done.exists() else 0
-        held = pd.DataFrame(list(self.rows.get()), columns=["t", "id", "v", "c", "own"])
+        held = held_block(self.rows, ROLLING_BLOCK)
         if len(held) and watermark > before:
-            held = held.sort_values(["t", "id"], kind="stable", ignore_index=True)
-            t, own = held["t"].to_numpy(dtype=np.int64), held["own"].to_numpy(dtype=bool)
+            held = held[np.lexsort((held["id"], held["t"]))]
+            t, own = held["t"].copy(), held["own"]
             passed = settled_before(t, watermark)
             now = np.flatnonzero(own & passed & ~settled_before(t, before))
             if len(now):
                 # later rows can't be in the window of a settled one, but equal ticks can
-                stats = rolling_columns(t, held["v"].to_numpy(dtype=np.float64), held["c"].to_numpy(dtype=bool), self.windows, *self.flags,
+                stats = rolling_columns(t, held["v"].copy(), held["c"], self.windows, *self.flags,
                                         self.names, self.value_col)
                 part = pd.DataFrame({**{c: [k] * len(now) for c, k in zip(self.columns, key[:-1])}, "id": held["id"][now], "t_us": t[now],
-                                     self.value_col: held["v"][now].astype(np.float64), **{c: x[now] for c, x in stats.items()}})
+                                     self.value_col: held["v"][now], **{c: x[now] for c, x in stats.items()}})
                 yield part[self.columns].reset_index(drop=True)
             self.done.update((int(watermark),))
             left = t[own & ~passed]
@@ -144,8 +161,8 @@ class NearestRows(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.left = handle.getListState("left", "t long, id long")
-        self.right = handle.getListState("right", "t long, id long")
+        self.left = handle.getListState("left", "block binary")
+        self.right = handle.getListState("right", "block binary")
 
     def due(self, t: np.ndarray | int):
         """Milliseconds at which a left row at ``t`` can be answered."""
@@ -155,15 +172,15 @@ class NearestRows(StatefulProcessor):
         for pdf in rows:
             for state, part in ((self.left, pdf[pdf["s_left"]]), (self.right, pdf[~pdf["s_left"]])):
                 if len(part):
-                    state.appendList([(int(t), int(i)) for t, i in part[["s_t", "s_id"]].itertuples(index=False, name=None)])
+                    state.appendValue((as_block(part, NEAREST_BLOCK).tobytes(),))
                     # right rows alone must leave in time too
                     self.handle.registerTimer(int(self.due(int(part["s_t"].min()))))
-        yield pd.DataFrame(columns=self.columns)
+        yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        left = np.array(sorted(map(tuple, self.left.get())), dtype=np.int64).reshape(-1, 2)
-        right = np.array(sorted(map(tuple, self.right.get())), dtype=np.int64).reshape(-1, 2)
+        left, right = (rows[np.lexsort((rows[:, 1], rows[:, 0]))] for rows in (
+            held_block(x, NEAREST_BLOCK).view(np.int64).reshape(-1, 2) for x in (self.left, self.right)))
         ready = self.due(left[:, 0]) < watermark
         now, rest = left[ready], left[~ready]
         if len(now):
@@ -177,7 +194,7 @@ class NearestRows(StatefulProcessor):
         keep = right[right[:, 0] >= oldest]
         for state, before, after in ((self.left, left, rest), (self.right, right, keep)):
             if len(after) < len(before):
-                state.put(list(map(tuple, after.tolist()))) if len(after) else state.clear()
+                state.put([(np.ascontiguousarray(after).tobytes(),)]) if len(after) else state.clear()
         waiting = [*rest[:1, 0].tolist(), *(keep[:1, 0] + self.tolerance).tolist()]
         if waiting:
             self.handle.registerTimer(max(int(self.due(min(waiting))), watermark + 1))
