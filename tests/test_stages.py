@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import functions as F
 
@@ -65,3 +66,28 @@ def test_encoder_stage_keeps_columns_and_unseen_values(spark, tmp_dir):
     a, b = ([(r.id, r.c, r.k, r.features) for r in s.transform(new).orderBy("id").collect()] for s in (stage, loaded))
     assert a == b and stage.transform(new).columns == ["id", "x", "c", "k", "features"]
     assert a[0][3].toArray()[-1] == 0.0 and loaded.uid == stage.uid
+
+
+def counted_rows(spark, rows):
+    """``rows`` behind a Python step, and how many of them it has made so far."""
+    made = spark.sparkContext.accumulator(0)
+
+    def make(batches):
+        for b in batches:
+            made.add(len(b))
+            yield b
+    return rows.mapInPandas(make, rows.schema), made
+
+
+def test_fits_make_their_rows_once(spark):
+    rows = spark.range(300).selectExpr("id", "cast(id % 7 as double) x", "cast(id % 5 as double) z", "concat('u', id % 4) c",
+                                       "cast(id as double) y", "id % 3 = 0 held_out")
+    made_rows, made = counted_rows(spark, rows)
+    stage = TabularEncoder(numeric=["x", "z"], onehot=["c"], frequency=["c"]).fit(made_rows)
+    assert made.value == 300
+    assert stage.transform(made_rows).count() == 300 and made.value <= 600  # the frequency map is written, not counted again
+    coded = stage.transform(rows).drop("features").selectExpr("*", "x + z as s")
+    made_rows, made = counted_rows(spark, coded)
+    made_rows = VectorAssembler(inputCols=["x", "z", "s"], outputCol="features").transform(made_rows)
+    Stacking([LinearRegression(labelCol="y", regParam=0.1), GBTRegressor(labelCol="y", maxIter=2, maxDepth=2, seed=1)], "y", "held_out").fit(made_rows)
+    assert made.value == 300

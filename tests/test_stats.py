@@ -73,3 +73,21 @@ def test_missing_and_profile(spark):
     assert m.loc["a", "missing"] == 2 and m.loc["b", "missing"] == 1 and m.loc["a", "pct"] == 66.67
     p = S.profile(spark.createDataFrame(pdf), "t").toPandas()
     assert set(p.columns) >= {"table", "n_rows", "n_columns", "column", "dtype", "missing", "non_null"}
+
+
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_column_quantiles_match_numpy(spark, few):
+    rng = np.random.default_rng(5)
+    n = 4001
+    pdf = pd.DataFrame({"id": range(n), "a": rng.standard_normal(n), "tied": rng.integers(0, 3, n).astype(float), "one": 7.0,
+                        "wide": np.where(rng.random(n) < 0.2, np.inf, rng.random(n)), "holes": np.where(rng.random(n) < 0.4, np.nan, rng.random(n))})
+    df = spark.createDataFrame(pdf).repartition(5).selectExpr("*", "cast(null as double) nothing", "if(id < 2, id, null) pair")
+    names = ["a", "tied", "one", "wide", "holes"]
+    for q in (0.0, 0.5, 0.93, 1.0):
+        got = S.column_quantiles(df, [*names, "nothing", "pair"], q, few=few)
+        assert got["nothing"] is None and got["pair"] == q
+        for c in names:
+            v = np.sort(pdf[c].dropna().to_numpy())
+            h = (len(v) - 1) * q
+            lo, hi = v[int(np.floor(h))], v[int(np.ceil(h))]
+            np.testing.assert_equal(got[c], lo + (h - np.floor(h)) * (hi - lo))

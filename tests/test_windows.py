@@ -196,3 +196,11 @@ def test_rolling_buckets_are_answered_in_parts(spark, monkeypatch, exact_ties):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     pd.testing.assert_frame_equal(whole, parts)
     assert len(parts) == 900 and parts.rate_b[parts.t.isna()].eq(0).all() and parts.v_roll_mean_b[parts.t.isna()].isna().all()
+
+
+def test_lag_buckets_are_shared_out(spark):
+    from tickwise.operators.window import DEFAULT_INDEX_BUCKET, _bucket_rows
+    df, parts = spark.range(1), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for n in (6_000_000, 600_000):
+        assert n / _bucket_rows(df, n) >= min(4 * parts, n / DEFAULT_INDEX_BUCKET) and _bucket_rows(df, n) <= DEFAULT_INDEX_BUCKET
+    assert 600_000 / _bucket_rows(df, 600_000) >= 4 * parts and _bucket_rows(df, 10**12) == DEFAULT_INDEX_BUCKET

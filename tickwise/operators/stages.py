@@ -13,6 +13,7 @@ import json
 import os
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -115,20 +116,22 @@ class Stacking(Estimator, _StackingParams):
 
     def _fit(self, df: DataFrame) -> "StackingModel":
         label, held = self.getOrDefault(self.labelCol), F.col(self.getOrDefault(self.heldOutCol)).cast("boolean")
-        learn = df.where(~held).persist()   # every base reads it
+        # every base reads the rows that learn, the meta learner the others: one pass makes both
+        rows = df.persist(StorageLevel.MEMORY_AND_DISK) if df.storageLevel == StorageLevel.NONE else df
         try:
-            bases = [b.fit(learn) for b in self.bases]
+            bases = [b.fit(rows.where(~held)) for b in self.bases]
+            rest = self.base_scores(rows.where(held), bases).select(label, "meta_features").persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                if self.getOrDefault(self.classification):
+                    meta = LogisticRegression(featuresCol="meta_features", labelCol=label, maxIter=1000, regParam=1.0 / max(rest.count(), 1),
+                                              standardization=False).fit(rest)
+                else:
+                    meta = ridge(rest, "meta_features", label)
+            finally:
+                rest.unpersist()
         finally:
-            learn.unpersist()
-        rest = self.base_scores(df.where(held), bases).persist()
-        try:
-            if self.getOrDefault(self.classification):
-                meta = LogisticRegression(featuresCol="meta_features", labelCol=label, maxIter=1000, regParam=1.0 / max(rest.count(), 1),
-                                          standardization=False).fit(rest)
-            else:
-                meta = ridge(rest, "meta_features", label)
-        finally:
-            rest.unpersist()
+            if rows is not df:
+                rows.unpersist()
         return self._copyValues(StackingModel(bases, meta))
 
 

@@ -40,6 +40,7 @@ from .order import ROW_IDX, with_row_index
 
 _T, _OWN, _B = "__w_t", "__w_own", "__w_bucket"
 DEFAULT_INDEX_BUCKET = 1 << 18
+MIN_INDEX_BUCKET = 1 << 13
 #: Rows of a halo bucket (two of the widest windows) that a task answers at once.
 SPAN_ROWS = 2_000_000
 #: Rows of a bucket that are answered together.
@@ -307,6 +308,13 @@ def _rolling_depth(x: DataFrame, value_col: str, widths: Mapping[str, int], cc:
                     *[f"{c}_at{k}" for k in range(len(widths)) for c in tots])
 
 
+def _bucket_rows(df: DataFrame, n: int) -> int:
+    """Rows of an index bucket: at least four buckets a shuffle partition, unless
+    they would be small, so that all tasks have their share of the rows."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(DEFAULT_INDEX_BUCKET, max(MIN_INDEX_BUCKET, n // (4 * parts)))
+
+
 def _index_buckets(idx: DataFrame, halo: int, bucket_rows: int, idx_col: str = ROW_IDX) -> DataFrame:
     """Own bucket plus a copy of the last ``halo`` rows into the next bucket."""
     b = int(max(bucket_rows, halo + 1))
@@ -326,7 +334,7 @@ def lag_features(
     backfill: bool = True,
     fill_value: float | None = 0.0,
     name: str = "{v}_lag_{k}",
-    bucket_rows: int = DEFAULT_INDEX_BUCKET,
+    bucket_rows: int | None = None,
     indexed: tuple[DataFrame, int] | None = None,
 ) -> DataFrame:
     """W4 + W5: ``shift(k)`` in ``order`` (global unless ``partition_by``), then
@@ -336,17 +344,18 @@ def lag_features(
     """
     lags = sorted(set(int(k) for k in lags))
     kmax = max(lags)
-    idx, _ = indexed or with_row_index(df, order, partition_by=partition_by)
-    x = _index_buckets(idx, kmax, bucket_rows)
+    idx, n = indexed or with_row_index(df, order, partition_by=partition_by)
+    x = _index_buckets(idx, kmax, bucket_rows or _bucket_rows(df, n))
     w = Window.partitionBy(*partition_by, _B).orderBy(ROW_IDX)
     names = [name.format(v=value_col, k=k) for k in lags]
     x = x.withColumns({n: F.lag(value_col, k).over(w).cast("double") for n, k in zip(names, lags)})
-    x = x.where(F.col(_B) == F.col(_OWN)).drop(_B)
+    x = x.where(F.col(_B) == F.col(_OWN)).drop(_OWN)
     if backfill:
-        x = backfill_columns(x, names, ROW_IDX, partition_by=partition_by, bucket_col=_OWN)
+        # by the same column as the lags, so that the rows stay where they are
+        x = backfill_columns(x, names, ROW_IDX, partition_by=partition_by, bucket_col=_B)
     if fill_value is not None:
         x = x.fillna(fill_value, subset=names)
-    return x.drop(_OWN)
+    return x.drop(_B)
 
 
 def backfill_columns(df: DataFrame, cols: Sequence[str], idx_col: str, *,
