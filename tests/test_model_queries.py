@@ -82,3 +82,18 @@ def test_contributions_have_dependence_and_devices(small):
     for r in kind("feature"):  # the pairs add up to the summary
         parts = [abs(x.contribution) for x in kind("dependence") if x.feature == r.feature]
         assert sum(parts) / n == pytest.approx(r.mean_abs_contribution, rel=1e-3, abs=1e-3)
+
+
+def test_scoring_makes_its_training_rows_once(spark, monkeypatch):
+    made, d = spark.sparkContext.accumulator(0), Q.model_table(spark, SF).drop("features")
+
+    def make(batches):
+        for b in batches:
+            made.add(len(b))
+            yield b
+    assemble = Q.VectorAssembler(inputCols=Q.FEATS, outputCol="features")
+    monkeypatch.setattr(Q, "model_table", lambda *_: assemble.transform(d.mapInPandas(make, d.schema)))
+    n = d.count()
+    got = Q.m11(spark, SF)
+    assert made.value == n
+    assert got.count() == n and got.where("predicted_y is null or violation_probability is null").count() == 0

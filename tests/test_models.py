@@ -138,3 +138,12 @@ def test_shapley_values_equal_all_subsets(spark, kind):
     path = E.tree_contributions(df, m, "features", "rid", ["a", "b", "c"], method="path").join(
         m.transform(df).select("rid", "prediction"), "rid").toPandas()
     np.testing.assert_allclose(path.explained, path.prediction, atol=1e-9)
+
+
+def test_class_weights_with_missing_labels(spark):
+    rows = [(0,)] * 6 + [(1,)] * 2 + [(None,)]
+    w = M.class_weights(spark.createDataFrame(rows, "y int").repartition(3), "y").where("y is not null").orderBy("y").collect()
+    assert [(r.y, r["__nc"]) for r in w] == [(0, 6), (1, 2)]
+    np.testing.assert_allclose([r.class_weight for r in w], [9 / (3 * 6), 9 / (3 * 2)])
+    joined = M.balanced_weights(spark.createDataFrame(rows, "y int"), "y")
+    assert joined.columns == ["y", "class_weight"] and joined.count() == 9 and joined.where("class_weight is null").count() == 1

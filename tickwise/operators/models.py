@@ -32,6 +32,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 
 #: Fits that run at once; each holds its training rows in the block store, which spills.
 SIDE_BY_SIDE = 4
@@ -81,19 +82,27 @@ def gbt_regressor(train: DataFrame, features: str, label: str, *, max_iter: int
                         seed=seed).fit(packed(train))
 
 
-def balanced_weights(df: DataFrame, label: str, out: str = "class_weight") -> DataFrame:
-    """``class_weight='balanced'``: ``n / (n_classes * n_c)`` per row."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
+def class_weights(df: DataFrame, label: str, out: str = "class_weight") -> DataFrame:
+    """(``label``, weight, rows) per class. Written once: a fit goes over its rows
+    several times, and counting them must not be part of each."""
+    counts = cut_lineage(df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc")))
     tot = counts.agg(F.sum("__nc").alias("__n"), F.count(F.lit(1)).alias("__k"))
     w = counts.withColumn("__one", F.lit(1)).join(F.broadcast(tot.withColumn("__one", F.lit(1))), "__one")
-    w = w.select(label, (F.col("__n") / (F.col("__k") * F.col("__nc"))).alias(out))
-    return df.join(F.broadcast(w), label, "left")
+    return cut_lineage(w.select(label, (F.col("__n") / (F.col("__k") * F.col("__nc"))).alias(out), "__nc"))
+
+
+def balanced_weights(df: DataFrame, label: str, out: str = "class_weight", weights: DataFrame | None = None) -> DataFrame:
+    """``class_weight='balanced'``: ``n / (n_classes * n_c)`` per row."""
+    w = class_weights(df, label, out) if weights is None else weights
+    return df.join(F.broadcast(w.drop("__nc")), label, "left")
 
 
 # M4
 def balanced_logistic(train: DataFrame, features: str, label: str, C: float = 1.0, max_iter: int = 1000):
-    tw = balanced_weights(train, label)
-    sw = float(tw.agg(F.sum("class_weight")).first()[0])
+    w = class_weights(train, label)
+    tw = balanced_weights(train, label, weights=w)
+    # the weights of all rows; rows without a label match no class
+    sw = float(w.where(F.col(label).isNotNull()).agg(F.sum(F.col("class_weight") * F.col("__nc"))).first()[0])
     return LogisticRegression(featuresCol=features, labelCol=label, weightCol="class_weight",
                               regParam=1.0 / (C * sw), elasticNetParam=0.0, standardization=False,
                               maxIter=max_iter, tol=1e-10).fit(tw)

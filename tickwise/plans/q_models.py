@@ -12,6 +12,7 @@ from __future__ import annotations
 import random
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -213,9 +214,13 @@ def m10(spark, sf_dir):
 def m11(spark, sf_dir):
     """Score every row: predicted value, violation probability, flag (>= 0.5)."""
     d = model_table(spark, sf_dir)
-    tr, _va, _te = _parts(d)
-    reg = M.ridge(tr, "features", "y")
-    clf = M.balanced_logistic(tr, "features", "y_cls")
+    # the fits' passes read the assembled train rows from the block store, which spills
+    tr = _parts(d)[0].select("features", "y", "y_cls").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        reg, clf = M.side_by_side(spark, [lambda: M.ridge(tr, "features", "y"),
+                                          lambda: M.balanced_logistic(tr, "features", "y_cls")])
+    finally:
+        tr.unpersist()
     s = reg.transform(d).withColumnRenamed("prediction", "predicted_y")
     s = clf.transform(s).withColumn("violation_probability", vector_to_array("probability")[1])
     return round_doubles(s.select(ROW_IDX, "predicted_y", "violation_probability",
