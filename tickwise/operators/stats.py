@@ -74,11 +74,12 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
                              for i in range(len(probs))])
 
 
-#: Rank error of the sketch that brackets a quantile is at most rows / SKETCH.
-SKETCH = 10_000
+#: Rank error of the sketch that brackets a quantile is at most rows / SKETCH. One
+#: task merges the sketches of all partitions, so they are kept small.
+SKETCH = 1_000
 
 
-def column_quantiles(df: DataFrame, cols: Sequence[str], q: float, few: int = 10 * SKETCH) -> dict[str, float | None]:
+def column_quantiles(df: DataFrame, cols: Sequence[str], q: float, few: int = 100 * SKETCH) -> dict[str, float | None]:
     """Exact linearly interpolated quantile ``q`` of each column's non-null values
     (None without any), equal to ``exact_quantiles``, for columns side by side.
 
