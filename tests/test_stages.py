@@ -91,3 +91,17 @@ def test_fits_make_their_rows_once(spark):
     made_rows = VectorAssembler(inputCols=["x", "z", "s"], outputCol="features").transform(made_rows)
     Stacking([LinearRegression(labelCol="y", regParam=0.1), GBTRegressor(labelCol="y", maxIter=2, maxDepth=2, seed=1)], "y", "held_out").fit(made_rows)
     assert made.value == 300
+
+
+def test_rolling_statistics_reach_the_scores(spark, tmp_dir, monkeypatch):
+    from tickwise.plans import q_features as Q
+    # runs of alike values with gaps between them: the last hours say more than the last value
+    spark.range(400).selectExpr("id as event_id", "id % 3 as user_id", "if(id % 2 = 0, 'error', 'view') as event_type",
+                                "timestamp_micros((id * 7 + (id div 10) * 200) * 60000000) as ts",
+                                "cast((id div 10) % 4 * 10 + id % 5 as double) as value").write.parquet(f"{tmp_dir}/events.parquet")
+    scores = lambda: {r.event_id: r.prediction for r in Q.f7_pipeline(spark, tmp_dir).collect()}
+    first = scores()
+    monkeypatch.setattr(Q, "WINDOWS", {"2m": 120_000_000, "1h": HOUR, "3h": 3 * HOUR})
+    other = scores()
+    assert len(first) == len(other) == 400
+    assert any(abs(first[i] - other[i]) > 1e-3 for i in first)

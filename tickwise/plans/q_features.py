@@ -185,7 +185,8 @@ def f7_pipeline(spark, sf_dir):
     """Raw events to scores in one Pipeline (rolling and lag features, encoder,
     stacking of ridge and boosted trees), fitted on the first 70 % of the time
     with its last fifth for the meta learner, saved, loaded and applied to all
-    rows."""
+    rows. The target is the measured value, so a row's windows leave out the
+    row itself."""
     from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.regression import GBTRegressor, LinearRegression
 
@@ -195,8 +196,8 @@ def f7_pipeline(spark, sf_dir):
     lo, hi = rows.agg(F.min("t_us"), F.max("t_us")).first()
     at = lambda share: F.col("t_us") > lo + (hi - lo) * share
     rows = rows.withColumn("held_out", at(0.56))
-    roll = RollingLagFeatures(t_col="t_us", value_col="value", windows=WINDOWS, lags=LAGS, tie_col="event_id")
-    enc = TabularEncoder(numeric=roll.feature_names()[-len(LAGS):], onehot=["event_type"], frequency=["user_id"])
+    roll = RollingLagFeatures(t_col="t_us", value_col="value", windows=WINDOWS, lags=LAGS, tie_col="event_id", include_current=False)
+    enc = TabularEncoder(numeric=roll.feature_names(), onehot=["event_type"], frequency=["user_id"])
     bases = [LinearRegression(labelCol="target", regParam=0.1), GBTRegressor(labelCol="target", maxIter=5, maxDepth=3, seed=42)]
     model = Pipeline(stages=[roll, enc, Stacking(bases, "target", "held_out")]).fit(rows.where(~at(0.7)))
     path = os.path.join(ensure_checkpoint_dir(spark), f"pipeline-{uuid.uuid4().hex}")
