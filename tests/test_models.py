@@ -5,7 +5,9 @@ import threading
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from tickwise.operators import models as M
@@ -147,3 +149,61 @@ def test_class_weights_with_missing_labels(spark):
     np.testing.assert_allclose([r.class_weight for r in w], [9 / (3 * 6), 9 / (3 * 2)])
     joined = M.balanced_weights(spark.createDataFrame(rows, "y int"), "y")
     assert joined.columns == ["y", "class_weight"] and joined.count() == 9 and joined.where("class_weight is null").count() == 1
+
+
+def _alike(spark, copies=1):
+    """Rows over few values, ``copies`` times each, and a class that follows them."""
+    rows = spark.range(600).selectExpr("id", "cast(id % 40 as double) a", "cast(id * 7 % 11 as double) b", "cast(id * 13 % 50 as double) c")
+    rows = rows.withColumn("y", F.col("a") * 3 + F.col("b") * F.col("c") + F.col("id") % 7).withColumn(
+        "y_cls", (F.col("a") + F.col("id") % 17 > 25).cast("int"))
+    rows = rows.crossJoin(spark.range(copies).select(F.col("id").alias("copy")))
+    return VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(rows)
+
+
+def test_boosting_on_cells_is_sparks_own(spark):
+    df = _alike(spark).cache()
+    how = {"maxIter": 4, "maxDepth": 3, "seed": 42, "featuresCol": "features"}
+    got = M.gbt_regressor(df, "features", "y", max_iter=4, max_depth=3)
+    want = GBTRegressor(labelCol="y", **how).fit(df)
+    p = lambda m, c="prediction": [r[0] for r in m.transform(df).orderBy("id").select(c).collect()]
+    np.testing.assert_allclose(p(got), p(want), rtol=1e-9)
+    np.testing.assert_allclose(got.featureImportances.toArray(), want.featureImportances.toArray(), atol=1e-9)
+    np.testing.assert_allclose(got.evaluateEachIteration(df, "squared"), want.evaluateEachIteration(df, "squared"), rtol=1e-9)
+    got = M.gbt_classifier(df, "features", "y_cls", max_iter=4, max_depth=3, weighted=False)
+    want = GBTClassifier(labelCol="y_cls", **how).fit(df)
+    np.testing.assert_allclose([v[1] for v in p(got, "probability")], [v[1] for v in p(want, "probability")], rtol=1e-9)
+
+
+def test_boosting_goes_over_cells_not_rows(spark):
+    once, often = _alike(spark), _alike(spark, 50)
+    few, many = (M.cells(df, "features", "y", "y_cls") for df in (once, often))
+    size = lambda c: c.blocks.agg(F.sum("n")).first()[0]
+    assert (few.n, many.n) == (600, 30_000) and size(few) == size(many) <= 600
+    p = lambda m: [r[0] for r in m.transform(once).orderBy("id").select("prediction").collect()]
+    for fit, label in ((M.gbt_regressor, "y"), (M.gbt_classifier, "y_cls")):
+        a, b = (fit(c, "features", label, max_iter=3, max_depth=3) for c in (few, many))
+        np.testing.assert_allclose(p(a), p(b), rtol=1e-9)
+
+
+def test_rounds_draw_single_rows(spark, tmp_dir):
+    df = _alike(spark, 3).cache()
+    with pytest.raises(ValueError):
+        M.gbt_regressor(M.cells(df, "features", "y"), "features", "y", max_iter=2, subsample=0.8)
+    m = M.gbt_regressor(df, "features", "y", max_iter=6, max_depth=3, subsample=0.8, feature_subset="0.8")
+    drawn = [t._java_obj.rootNode().impurityStats().count() for t in m.trees]
+    assert len(set(drawn)) > 1 and all(abs(n - 1440) < 100 for n in drawn)
+    m.write().save(f"{tmp_dir}/gbt")
+    scores = lambda m: [r[0] for r in m.transform(df).orderBy("id", "copy").select("prediction").collect()]
+    assert scores(type(m).load(f"{tmp_dir}/gbt")) == scores(m)
+    assert np.corrcoef(scores(m), [r.y for r in df.orderBy("id", "copy").collect()])[0, 1] > 0.8
+
+
+def test_boosting_refuses_missing_labels_and_values(spark):
+    df = _alike(spark)
+    for label, fit in (("y", M.gbt_regressor), ("y_cls", M.gbt_classifier)):
+        with pytest.raises(Exception, match="labels must not be null"):
+            fit(df.withColumn(label, F.when(F.col("id") != 5, F.col(label))), "features", label, max_iter=1)
+    with pytest.raises(ValueError, match="NaN"):
+        bad = VectorAssembler(inputCols=["a", "b"], outputCol="features", handleInvalid="keep").transform(
+            df.drop("features").withColumn("a", F.when(F.col("id") != 5, F.col("a"))))
+        M.gbt_regressor(bad, "features", "y", max_iter=1)

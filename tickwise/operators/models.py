@@ -7,10 +7,12 @@ Parity rules established in SURVEY §2.10 / §4.3:
 * Balanced logistic: class weights ``n / (2 n_c)``, ``regParam = 1/(C*sum w)``,
   ``standardization=False``.
 * L2 logistic (propensity): ``regParam = 1/(C*n)``.
-* Boosted trees: ``GBTRegressor`` / ``GBTClassifier``; early stopping uses
+* Boosted trees: ``GBTRegressor`` / ``GBTClassifier`` models; early stopping uses
   ``evaluateEachIteration`` on validation with a patience rule, then refits
   unless the best count is the one fitted. A level of a tree is a job of its
   own, so small training rows stand in few partitions (``packed``).
+* Boosted trees learn from binned rows (``boosting``), made once for all fits on
+  the same rows (``cells``); Spark's own fit is left for categorical features.
 * Independent fits run side by side (``side_by_side``), as the ``parallelism``
   of Spark's CrossValidator: a round of boosting is a chain of short jobs.
 
@@ -33,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .boosting import Cells, boost, categorical, cells, class_rows, subset
 
 #: Fits that run at once; each holds its training rows in the block store, which spills.
 SIDE_BY_SIDE = 4
@@ -75,11 +78,20 @@ def packed(train: DataFrame) -> DataFrame:
     return train.coalesce(max(cores, -(-train.count() // TASK_ROWS)))
 
 
-def gbt_regressor(train: DataFrame, features: str, label: str, *, max_iter: int = 200, max_depth: int = 6,
+def _left_to_spark(train: DataFrame, features: str, feature_subset: str) -> bool:
+    """Trees over categories, and subsets of features that have a name."""
+    return categorical(train, features) or subset(feature_subset, 1) is None
+
+
+def gbt_regressor(train: DataFrame | Cells, features: str, label: str, *, max_iter: int = 200, max_depth: int = 6,
                   step: float = 0.1, subsample: float = 1.0, feature_subset: str = "all", seed: int = 42):
-    return GBTRegressor(featuresCol=features, labelCol=label, maxIter=max_iter, maxDepth=max_depth,
-                        stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=feature_subset,
-                        seed=seed).fit(packed(train))
+    est = GBTRegressor(featuresCol=features, labelCol=label, maxIter=max_iter, maxDepth=max_depth,
+                       stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=feature_subset, seed=seed)
+    if isinstance(train, DataFrame):
+        if _left_to_spark(train, features, feature_subset):
+            return est.fit(packed(train))
+        train = cells(train, features, target=label, added=subsample == 1.0)
+    return boost(est, train)
 
 
 def class_weights(df: DataFrame, label: str, out: str = "class_weight") -> DataFrame:
@@ -109,15 +121,22 @@ def balanced_logistic(train: DataFrame, features: str, label: str, C: float = 1.
 
 
 # M5
-def gbt_classifier(train: DataFrame, features: str, label: str, *, max_iter: int = 200, max_depth: int = 6,
+def gbt_classifier(train: DataFrame | Cells, features: str, label: str, *, max_iter: int = 200, max_depth: int = 6,
                    step: float = 0.1, subsample: float = 1.0, feature_subset: str = "all", weighted: bool = True,
                    seed: int = 42):
-    data = packed(train)
-    data = balanced_weights(data, label) if weighted else data
-    kw = {"weightCol": "class_weight"} if weighted else {}
-    return GBTClassifier(featuresCol=features, labelCol=label, maxIter=max_iter, maxDepth=max_depth,
-                         stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=feature_subset,
-                         seed=seed, **kw).fit(data)
+    est = GBTClassifier(featuresCol=features, labelCol=label, maxIter=max_iter, maxDepth=max_depth,
+                        stepSize=step, subsamplingRate=subsample, featureSubsetStrategy=feature_subset, seed=seed)
+    if isinstance(train, DataFrame):
+        if _left_to_spark(train, features, feature_subset):
+            data = packed(train)
+            data = balanced_weights(data, label) if weighted else data
+            return (est.setWeightCol("class_weight") if weighted else est).fit(data)
+        train = cells(train, features, classes=label, added=subsample == 1.0)
+    if not weighted:
+        return boost(est, train)
+    rows = class_rows(train)
+    there = sum(n > 0 for n in rows)
+    return boost(est, train, tuple(train.n / (there * n) if n else 1.0 for n in rows))
 
 
 # M9
@@ -138,13 +157,16 @@ class EarlyStopResult:
     model: object
 
 
-def early_stopping_gbt(train: DataFrame, val: DataFrame, features: str, label: str, *, classification: bool,
+def early_stopping_gbt(train: DataFrame | Cells, val: DataFrame, features: str, label: str, *, classification: bool,
                        max_rounds: int = 500, patience: int = 30, max_depth: int = 6, step: float = 0.1,
                        seed: int = 42) -> EarlyStopResult:
     """Fit ``max_rounds`` trees once, score every prefix on validation
     (``evaluateEachIteration``), stop at the first run of ``patience`` rounds
     without improvement, refit with the best count (the same model, if that is
     ``max_rounds``)."""
+    if isinstance(train, DataFrame) and not categorical(train, features):
+        train = cells(train, features, **{"classes" if classification else "target": label})
+
     def fit(rounds: int):
         how = {"max_iter": rounds, "max_depth": max_depth, "step": step, "seed": seed}
         if classification:
