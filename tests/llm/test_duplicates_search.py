@@ -1,6 +1,8 @@
 """Near-duplicates, links and top-k against brute force."""
 
+import pickle
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -262,6 +264,25 @@ def test_top_k_with_many_trees_ties_and_odd_rows(ready, monkeypatch):
     assert mtree.top_k(df.where("false")).count() == 0
 
 
+def test_trees_travel_once_for_many_queries(ready, monkeypatch):
+    """A tree is read by its cell's queries and once per chunk of all queries, not once per cell that asks."""
+    opened = ready.sparkContext.accumulator(0)
+
+    def loads(blob):
+        opened.add(1)
+        return pickle.loads(blob)
+    monkeypatch.setattr(mtree, "pickle", SimpleNamespace(loads=loads, dumps=pickle.dumps))
+    monkeypatch.setattr(mtree, "TREE_ROWS", 20)
+    rng = np.random.default_rng(12)
+    rows = [(i, list(map(float, rng.standard_normal(8)))) for i in range(600)]
+    df = ready.createDataFrame(rows, "vec_id long, embedding array<double>")
+    check_top(df, rows, every=3)
+    trees = 600 / 20 * 2  # cells aren't even
+    assert 0 < opened.value <= 2 * trees
+    monkeypatch.setattr(mtree, "GROUP_QUERIES", 64)
+    check_top(df, rows, every=3)  # in several chunks
+
+
 def test_tree_bounds_skip_pages():
     rng = np.random.default_rng(4)
     centers = rng.standard_normal((20, 8)) * 400

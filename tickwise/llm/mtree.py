@@ -11,9 +11,12 @@ large cells, a heap of equal vectors say, are split by a hash. Each part, about
 TREE_ROWS rows, becomes one M-tree in one task: paged nodes with routing
 objects, covering radii and distances to the parent. Trees are rows of a table.
 Search: a query first runs in its own cell's first tree, which gives it a k-th
-score to beat. Blocks of queries then go to the trees of those cells alone whose
-(centre, radius) can hold a better score for one of the block. In a tree the
-block's queries go down together: a queue holds nodes by the lowest distance
+score to beat. Queries then go, GROUP_QUERIES of them at most in a task, to the
+groups of GROUP_TREES trees that hold one of a cell whose (centre, radius) can
+hold a better score. So a tree travels once per GROUP_QUERIES queries and a query
+once per group, whatever the number of cells. A task takes blocks of queries
+through its trees, the nearest first, and each tree tightens the score to beat.
+In a tree the block's queries go down together: a queue holds nodes by the lowest distance
 that is possible for one of them; stored parent distances rule entries out
 before their distance is computed (|d(q, parent) - d(parent, entry)| bounds it);
 an opened page is one matrix product for the queries that still need it; the
@@ -49,6 +52,8 @@ PAGE = 64
 TREE_ROWS = 4096
 CELLS = 1024
 QUERY_BLOCK = 256
+#: Trees that a task searches, queries that it takes through them: about 32 and 16 MB at 64 components.
+GROUP_TREES, GROUP_QUERIES = 16, 32768
 SLACK = 1e-6  # against rounding of distances; scores are exact
 
 
@@ -214,77 +219,102 @@ def top_k_of_length(rows: DataFrame, dim: int, k: int, every: int) -> DataFrame:
     dealt = materialise(rows.mapInPandas(deal, "id long, cell long, away double, point binary"))
     # a cell's trees are drawn from it by hash and share its ball: the directory has at most CELLS rows
     cells_of = materialise(dealt.groupBy("cell").agg(F.max("away").alias("radius"), F.ceil(F.count(F.lit(1)) / TREE_ROWS).alias("parts")))
-    balls = cells_of.toPandas()
+    balls = cells_of.toPandas().sort_values("cell")
     placed = dealt.join(F.broadcast(cells_of.select("cell", "parts")), "cell").withColumn("part", F.pmod(F.xxhash64("id", "point"), "parts"))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = Tree(pdf["id"].to_numpy(), lift(unpack(pdf["point"]), longest))
         return pd.DataFrame({"cell": [pdf["cell"].iloc[0]], "part": [pdf["part"].iloc[0]], "tree": [pickle.dumps(tree)]})
 
-    trees = materialise(placed.groupBy("cell", "part").applyInPandas(build, "cell long, part long, tree binary")
-                        .withColumn("number", F.monotonically_increasing_id()))
-
-    def search(key, forest: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
+    trees = materialise(placed.groupBy("cell", "part").applyInPandas(build, "cell long, part long, tree binary"))
+    queries = materialise(dealt.where(F.col("id") % every == 0).select(F.monotonically_increasing_id().alias("q"), "id", "cell", "point"))
+    parts = balls["parts"].to_numpy(dtype=np.int64)
+    before, count = np.cumsum(parts) - parts, int(parts.sum())
+    # a tree a task where trees are few
+    groups = max(1, min(count, max(4 * spark.sparkContext.defaultParallelism, -(-count // GROUP_TREES))))
+    chunks = max(1, -(-queries.count() // GROUP_QUERIES))
+    told = spark.sparkContext.broadcast((balls["cell"].to_numpy(), centers.value[balls["cell"]], balls["radius"].to_numpy(), before, parts))
+
+    def search(forest: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        """Hits of ``asked`` (q, id, home, beat, point) in the trees (cell, part, tree),
+        but for a query's first tree where it has a score to beat."""
+        forest = [(cell, part, pickle.loads(tree)) for cell, part, tree in zip(forest["cell"], forest["part"], forest["tree"])]
+        asked = asked.sort_values(["home", "q"])
         found = []
-        for blob in forest["tree"]:
-            tree = pickle.loads(blob)
-            for block in blocks.itertuples(index=False):
-                points = np.frombuffer(block.points, dtype="<f8").reshape(len(block.ids), -1)
-                got = tree.search(np.asarray(block.ids), points, k, np.asarray(block.beats, dtype=np.float64), longest)
-                found += [(block.ids[q], i, score, points[q].tobytes()) for q, score, i in got]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score", "point"])
-
-    shape = "query_id long, vec_id long, score long, point binary"
-
-    def searched(blocks: DataFrame) -> DataFrame:
-        """``blocks``: number (of a tree), deal, ids, beats, points."""
-        used = blocks.select(F.col("number").alias("t"), F.col("deal").alias("d")).distinct()
-        return trees.select(F.col("number").alias("t"), "tree").join(used, "t").groupBy("t", "d").cogroup(
-            blocks.groupBy("number", "deal")).applyInPandas(search, shape)
-
-    def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"cell": [pdf["cell"].iloc[0]], "slice": [pdf["slice"].iloc[0]], "ids": [pdf["id"].to_numpy()],
-                             "beats": [pdf["beat"].to_numpy(dtype=float)], "points": [b"".join(pdf["point"])]})
-
-    def blocks_of(queries: DataFrame) -> DataFrame:
-        """Blocks of about QUERY_BLOCK queries of one cell."""
-        counts = queries.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).alias("slices"))
-        cut = queries.join(F.broadcast(counts), "cell").withColumn("slice", F.pmod(F.xxhash64("id", "point"), "slices"))
-        return cut.groupBy("cell", "slice").applyInPandas(block, "cell long, slice long, ids array<long>, beats array<double>, points binary")
-
-    queries = materialise(dealt.where(F.col("id") % every == 0))
-    home = trees.where("part = 0").select("cell", "number")
-    first_blocks = blocks_of(queries.withColumn("beat", F.lit(float("-inf")))).join(F.broadcast(home), "cell") \
-        .withColumn("deal", F.col("slice"))
-    first = materialise(searched(first_blocks))
-    worst = first.groupBy("query_id", "point").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst"))
-    worst = worst.select(F.col("query_id").alias("id"), "point",
-                         F.when(F.col("n") >= k, F.col("worst").cast("double")).otherwise(float("-inf")).alias("beat"))
-    again = queries.join(worst, ["id", "point"], "left").withColumn("beat", F.coalesce("beat", F.lit(float("-inf"))))
-    told = spark.sparkContext.broadcast((balls["cell"].to_numpy(), centers.value[balls["cell"]], balls["radius"].to_numpy()))
+        for at in range(0, len(asked) if forest else 0, QUERY_BLOCK):
+            block = asked.iloc[at:at + QUERY_BLOCK]
+            points, own, home = unpack(block["point"]), block["id"].to_numpy(), block["home"].to_numpy()
+            beat, done = block["beat"].to_numpy(dtype=np.float64), block["searched"].to_numpy()
+            best = np.full((len(block), k), -math.inf)
+            ids = np.full((len(block), k), np.iinfo(np.int64).max)
+            middle = np.append(points.mean(axis=0), 0.0)
+            for cell, part, tree in sorted(forest, key=lambda t: (float(np.linalg.norm(t[2].center - middle)), t[0], t[1])):
+                use = np.flatnonzero(~done | (home != cell) | (part != 0))
+                if not len(use):
+                    continue
+                got = tree.search(own[use], points[use], k, beat[use], longest)
+                if not got:
+                    continue
+                hit = np.full((len(block), 2 * k), -math.inf)
+                hit_ids = np.full((len(block), 2 * k), np.iinfo(np.int64).max)
+                hit[:, :k], hit_ids[:, :k] = best, ids
+                filled = np.full(len(block), k)
+                for i, score, other in got:
+                    i = use[i]
+                    hit[i, filled[i]], hit_ids[i, filled[i]] = score, other
+                    filled[i] += 1
+                first = np.lexsort((hit_ids, -hit), axis=1)[:, :k]
+                best, ids = np.take_along_axis(hit, first, 1), np.take_along_axis(hit_ids, first, 1)
+                beat = np.maximum(beat, best[:, -1])
+            rows, places = np.nonzero(best > -math.inf)
+            found.append(pd.DataFrame({"q": block["q"].to_numpy()[rows], "query_id": own[rows], "vec_id": ids[rows, places],
+                                       "score": best[rows, places].astype(np.int64)}))
+        return pd.concat(found) if found else pd.DataFrame(columns=["q", "query_id", "vec_id", "score"])
+
+    shape = "q long, query_id long, vec_id long, score long"
+    # queries of a cell that has many go through its first tree in several tasks
+    slices = queries.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / GROUP_QUERIES).alias("slices"))
+    homes = trees.where("part = 0").join(F.broadcast(slices), "cell").select("cell", "part", "tree", F.explode(F.sequence(F.lit(0), F.col("slices").cast("int") - 1)).alias("slice"))
+    at_home = queries.join(F.broadcast(slices), "cell").select(
+        "q", "id", F.col("cell").alias("home"), F.lit(float("-inf")).alias("beat"), F.lit(False).alias("searched"), "point",
+        F.pmod(F.xxhash64("q"), "slices").cast("int").alias("slice"))
+    first = materialise(homes.groupBy("cell", "slice").cogroup(at_home.groupBy("home", "slice")).applyInPandas(search, shape))
+    worst = first.groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst"))
+    worst = worst.select("q", F.when(F.col("n") >= k, F.col("worst").cast("double")).otherwise(float("-inf")).alias("beat"))
+    again = queries.join(worst, "q", "left").select(
+        "q", "id", F.col("cell").alias("home"), F.coalesce("beat", F.lit(float("-inf"))).alias("beat"), F.lit(True).alias("searched"), "point")
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cell, center, radius = told.value
+        """Queries with the groups that can hold a better score for them."""
+        cell, center, radius, before, parts = told.value
+        tree_of = np.repeat(np.arange(len(cell)), parts)
+        # where the trees of a group come from: tree number t, of cell tree_of[t], is in group t % groups
+        held = np.zeros((len(cell), groups), dtype=bool)
+        held[tree_of, np.arange(len(tree_of)) % groups] = True
         for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                points = np.frombuffer(r.points, dtype="<f8").reshape(len(r.ids), -1)
+            for at in range(0, len(pdf), 64):
+                some = pdf.iloc[at:at + 64]
+                points = unpack(some["point"])
                 reach = (points * points).sum(1)[:, None] + longest
                 d = distances(np.column_stack([points, np.zeros(len(points))]), center)
                 low = np.maximum(d * (1 - SLACK) - radius - SLACK, 0.0)
                 # by the distance on the sphere, and by the ball without the added coordinate
                 highest = np.minimum((reach - low * low) / 2, points @ center[:, :-1].T + np.sqrt(reach - longest) * radius) * (1 + SLACK) + SLACK
-                can = highest >= np.asarray(r.beats)[:, None]
-                for t in np.flatnonzero(can.any(axis=0)):
-                    rows = np.flatnonzero(can[:, t])
-                    yield pd.DataFrame({"cell": [cell[t]], "home": [r.cell], "deal": [(r.cell * 31 + r.slice) // 16], "ids": [np.asarray(r.ids)[rows]],
-                                        "beats": [np.asarray(r.beats)[rows]], "points": [points[rows].tobytes()]})
-
-    routed = blocks_of(again).mapInPandas(route, "cell long, home long, deal long, ids array<long>, beats array<double>, points binary")
-    routed = materialise(routed.join(trees.select("cell", "part", "number"), "cell").where("cell <> home or part <> 0")
-                         .select("number", "deal", "ids", "beats", "points"))
-    every_one = first.unionAll(searched(routed))
-    place = Window.partitionBy("query_id", "point").orderBy(F.desc("score"), "vec_id")
-    return (every_one.distinct().withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
+                can = highest >= some["beat"].to_numpy()[:, None]
+                # the first tree of its own cell has been searched
+                can[np.arange(len(some)), np.searchsorted(cell, some["home"])] &= parts[np.searchsorted(cell, some["home"])] > 1
+                rows, to = np.nonzero(can.astype(np.float32) @ held.astype(np.float32))
+                if len(rows):
+                    yield some.iloc[rows].assign(group=to, chunk=some["q"].to_numpy()[rows] % chunks)
+
+    routed = again.mapInPandas(route, "q long, id long, home long, beat double, searched boolean, point binary, group long, chunk long")
+    numbers = spark.createDataFrame(pd.DataFrame({"cell": balls["cell"].astype("int64"), "before": before}), "cell long, before long")
+    grouped = trees.join(F.broadcast(numbers), "cell").select(
+        "cell", "part", "tree", F.pmod(F.col("before") + F.col("part"), F.lit(groups)).cast("long").alias("group"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))).alias("chunk"))
+    others = grouped.groupBy("group", "chunk").cogroup(routed.groupBy("group", "chunk")).applyInPandas(search, shape)
+    place = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+    return (first.unionAll(others).distinct().withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
