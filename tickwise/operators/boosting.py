@@ -333,7 +333,7 @@ def boost(estimator, of: Cells, weights: tuple[float, float] = (1.0, 1.0)):
     sc, d = of.blocks.sparkSession.sparkContext, len(of.cuts)
     rng = np.random.default_rng(seed)
     state = _loaded(of, weights if signed else None).persist(StorageLevel.MEMORY_AND_DISK)
-    grown, by = [], []
+    before, grown, by = None, [], []
     try:
         for r in range(get("maxIter")):
             tree, told = _grow(state, of, get("maxDepth"), subset(get("featureSubsetStrategy"), d), rng, r == 0, signed,
@@ -345,12 +345,14 @@ def boost(estimator, of: Cells, weights: tuple[float, float] = (1.0, 1.0)):
             def scored(block: tuple, tree=tree, means=means) -> tuple:
                 number, bins, w, y, score = block
                 return number, bins, w, y, score + means[tree.leaves(bins)]
+            # the next tree's first level makes the new scores
+            if before is not None:
+                before.unpersist()
             before, state = state, state.map(scored).persist(StorageLevel.MEMORY_AND_DISK)
-            if r + 1 < get("maxIter"):
-                state.count()
-            before.unpersist()
     finally:
-        state.unpersist()
+        for held in (before, state):
+            if held is not None:
+                held.unpersist()
     jvm, gateway = sc._jvm, sc._gateway
     ml = jvm.org.apache.spark.ml
     trees, by_ = gateway.new_array(ml.regression.DecisionTreeRegressionModel, len(grown)), gateway.new_array(jvm.double, len(grown))
